@@ -19,6 +19,7 @@ from itertools import chain
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from millrace.llm.common import by_batch, texts
 
@@ -198,7 +199,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     Null and empty texts give an empty array. A column that already bears the name is replaced.
     """
     keep = [c for c in df.columns if c != ids]
-    schema = df.select(*[f"`{c}`" for c in keep]).schema.add(ids, "array<int>")
+    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = vocabulary(path)
@@ -211,7 +212,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``df`` with column ``text`` decoded from ``ids``; null ids give an empty text."""
     keep = [c for c in df.columns if c != text]
-    schema = df.select(*[f"`{c}`" for c in keep]).schema.add(text, "string")
+    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(text, T.StringType())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = vocabulary(path)

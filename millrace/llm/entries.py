@@ -6,16 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, tokenizer_files
+from millrace.llm import bpe, lines, minhash, oracle, quality, tokenizer_files
 from millrace.llm.common import table
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_files.path())
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_minhash": op4_minhash,
+    "op5_lines": op5_lines,
     "op8_bpe": op8_bpe,
+    "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_minhash": oracle.OP4,
+    "op5_lines": oracle.OP5,
+    "op10_quality": oracle.OP10,
+}
