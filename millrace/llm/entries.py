@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, lines, minhash, mixing, oracle, quality, tokenizer_files
+from millrace.llm import ann, bpe, lines, minhash, mixing, oracle, quality, tokenizer_files
 from millrace.llm.common import table
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -31,6 +36,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
     "op2_mixing": op2_mixing,
     "op4_minhash": op4_minhash,
     "op5_lines": op5_lines,
