@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import ann, bpe, lines, minhash, mixing, oracle, quality, tokenizer_files
+from millrace.llm import ann, bpe, lines, minhash, mixing, oracle, pii, quality, tokenizer_files, toxicity
 from millrace.llm.common import table
 
 
@@ -27,10 +27,18 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_files.path())
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents")).drop("rejected_by")
 
@@ -40,7 +48,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op4_minhash": op4_minhash,
     "op5_lines": op5_lines,
+    "op7_pii": op7_pii,
     "op8_bpe": op8_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
 }
 
