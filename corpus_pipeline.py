@@ -3,19 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe, tokenizer_files
+from millrace.llm import bpe, lines, minhash, mixing, quality, tokenizer_files
 from millrace.llm.common import table
 from millrace.storage import saved
 
 
+def measured(docs: DataFrame) -> DataFrame:
+    """n_chars after the text has changed."""
+    return docs.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality rules: documents that a rule rejects go."""
+    return quality.keep(docs)
+
+
+def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: lines found in many documents go from every text."""
+    return measured(lines.dedup(docs))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: one document of each group stays."""
+    return minhash.keep_one(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: for each pass over a source, each document's words in the blocks drawn."""
+    return measured(mixing.mixture(docs))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE: per document the token count and digests of its ids and of the decoded text."""
     return bpe.digests(docs, tokenizer_files.path())
 
 
-STAGES = [("bpe", tokens)]
+STAGES = [
+    ("quality rules", good),
+    ("line dedup", without_common_lines),
+    ("near dedup", one_of_each),
+    ("mixing", mixed),
+    ("bpe", tokens),
+]
 
+#: SQL can't express the draws of the mix; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
@@ -23,5 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``, one after another."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import ann, bpe, lines, minhash, mixing, oracle, pii, quality, tokenizer_files, toxicity
+from millrace.llm import ann, bpe, chat, licenses, lines, minhash, mixing, oracle, pii, quality, tokenizer_files, toxicity
 from millrace.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,10 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -46,8 +54,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_mixing": op2_mixing,
+    "op3_chat": op3_chat,
     "op4_minhash": op4_minhash,
     "op5_lines": op5_lines,
+    "op6_licenses": op6_licenses,
     "op7_pii": op7_pii,
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
@@ -55,7 +65,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_chat": oracle.OP3,
     "op4_minhash": oracle.OP4,
     "op5_lines": oracle.OP5,
+    "op6_licenses": oracle.licence_sql(),
     "op10_quality": oracle.OP10,
 }

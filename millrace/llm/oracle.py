@@ -68,3 +68,50 @@ OP10 = f"""
 WITH {QUALITY.format(docs="documents")}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM q_all
 """
+
+#: Each participant's rendering of a stretch of a dialogue.
+OP3 = """
+WITH turns AS (
+    SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, CAST(floor(turn / 64) AS BIGINT) AS stretch FROM conversations),
+seen AS (
+    SELECT t.*, s.role AS perspective, t.role = s.role AS own,
+        CASE WHEN t.role = s.role THEN '<|assistant|>' WHEN t.role = 'system' THEN '<|system|>' ELSE '<|user name=' || t.role || '|>' END || chr(10) AS head,
+        t.text || chr(10) || '<|end|>' || chr(10) AS body
+    FROM turns t JOIN (SELECT DISTINCT conv_id, role FROM turns WHERE role <> 'system') s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+placed AS (
+    SELECT *, sum(length(head) + length(body)) OVER w - length(body) AS start, sum(length(head) + length(body)) OVER w AS stop
+    FROM seen WINDOW w AS (PARTITION BY conv_id, perspective, stretch ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, perspective, stretch, count(*)::BIGINT AS n_turns, string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, text) AS rendered,
+    coalesce(string_agg(start || ':' || stop, ',' ORDER BY turn NULLS FIRST, role, text) FILTER (own), '') AS mask,
+    coalesce(sum(length(body)) FILTER (own), 0)::BIGINT AS n_masked
+FROM placed GROUP BY conv_id, perspective, stretch
+"""
+
+
+def licence_sql() -> str:
+    """The licence scan: sentences by the table of known ones, then one step for each rule."""
+    from millrace.llm.licenses import ENDS, NOISE, RULES, WRAPPED, known_sentences
+
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    table = ", ".join(f"{quoted(s)}: {quoted(i)}" for s, i in known_sentences().items())
+    normal = f"trim(regexp_replace(lower(s), {quoted(NOISE)}, ' ', 'g'))"
+    ids = lambda ends: f"list_filter(list_transform(string_split_regex(text, {quoted(ends)}), lambda s: known[{normal}]), lambda i: i IS NOT NULL)"
+    steps, last = [], "s0"
+    for k, (name, sought) in enumerate(RULES, 1):
+        pattern = quoted("".join(f"|{i}|" for i in sought))
+        steps.append(
+            f"s{k} AS (SELECT doc_id, ids, replace(rest, {pattern}, '') AS rest, CASE WHEN contains(rest, {pattern}) THEN list_append(licences, {quoted(name)}) ELSE licences END AS licences FROM {last})"
+        )
+        last = f"s{k}"
+    return f"""
+WITH table_of AS (SELECT MAP {{{table}}} AS known),
+texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+both_ways AS (SELECT doc_id, {ids(ENDS)} AS a, {ids(WRAPPED)} AS b FROM texts, table_of),
+best AS (SELECT doc_id, CASE WHEN len(b) > len(a) THEN b ELSE a END AS ids FROM both_ways),
+s0 AS (SELECT doc_id, ids, array_to_string(list_transform(ids, lambda i: '|' || i || '|'), '') AS rest, []::VARCHAR[] AS licences FROM best),
+{", ".join(steps)}
+SELECT doc_id, len(ids)::BIGINT AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
+    array_to_string(list_sort(list_distinct(licences)), ',') AS licences,
+    ((length(rest) - length(replace(rest, '|', ''))) // 2)::BIGINT AS n_unmatched
+FROM {last}
+"""
