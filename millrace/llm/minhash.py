@@ -4,17 +4,23 @@ Circulant MinHash has two permutations of the 32-bit universe: the first scatter
 second, circularly shifted by k, gives coordinate k of the signature. Documents with the same set of
 shingles are one node. Nodes that agree in a whole band are candidates, and each link is confirmed
 on the full sets. Large groups are contracted first: every band bucket compares its nodes with one
-of them, and nodes already connected need no further comparing. The pairs of a bucket that are then
-still unconnected are all compared, so no candidate is left out.
+of them, and nodes already connected need no further comparing; this goes on while it halves the pairs
+that are left. All nodes of buckets still unconnected are then compared by prefix filtering on their
+rarest shingles, which leaves out no pair that can be linked.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
 from millrace.llm.common import by_batch, texts
 from millrace.llm.components import components
@@ -26,7 +32,9 @@ BANDS = COORDS // ROWS
 #: Shingles whose coordinates are computed at once, to stay in a core's cache.
 BLOCK = 512
 #: Rounds of contraction at most, and the open pairs per node below which they are compared at once.
-ROUNDS, OPEN_PER_NODE = 6, 4
+ROUNDS, OPEN_PER_NODE = 6, 1
+#: 64-bit words of the bitmap that bounds what two sets share.
+BIT_WORDS = 8
 
 # Finalisers of the public MurmurHash3, and odd multipliers.
 MIX32 = (np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
@@ -103,18 +111,26 @@ def sketches(df: DataFrame) -> DataFrame:
     return df.mapInArrow(by_batch(run), "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>")
 
 
+def bitmap(shingle_set: np.ndarray) -> np.ndarray:
+    """A bit for each class of shingles that the set has: a bit that another set lacks is a shingle it lacks."""
+    bits = np.zeros(64 * BIT_WORDS, np.uint8)
+    bits[shingle_set % np.uint64(64 * BIT_WORDS)] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles): the whole sets of the documents that ``nodes`` names."""
+    """(node, shingles, bits): the whole sets, and their bitmaps, of the documents that ``nodes`` names."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingles(t) for t in texts(batch)]
         out = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
         digests = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), digests, out], ["node", "digest", "shingles"])
+        bits = pa.array([bitmap(s) for s in sets], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), digests, out, bits], ["node", "digest", "shingles", "bits"])
 
     named = docs.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    found = named.mapInArrow(by_batch(run), "node bigint, digest binary, shingles array<bigint>")
-    return found.dropDuplicates(["node", "digest"]).select("node", "shingles")
+    found = named.mapInArrow(by_batch(run), "node bigint, digest binary, shingles array<bigint>, bits array<bigint>")
+    return found.dropDuplicates(["node", "digest"]).drop("digest")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -125,13 +141,65 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").where(100 * common >= percent * union).select("a", "b").distinct()
 
 
-def candidates(left: DataFrame, right: DataFrame, percent: int, each_once: bool) -> DataFrame:
-    """Pairs of unconnected nodes of one bucket whose sizes allow a link."""
-    l, r = (side.select("key", *[F.col(c).alias(f"{c}_{at}") for c in ("node", "n", "comp")]) for side, at in ((left, "l"), (right, "r")))
-    fits = (F.col("comp_l") != F.col("comp_r")) & (100 * F.least("n_l", "n_r") >= percent * F.greatest("n_l", "n_r"))
-    if each_once:
-        fits &= F.col("node_l") < F.col("node_r")
-    return l.join(r, "key").where(fits).select(F.least("node_l", "node_r").alias("a"), F.greatest("node_l", "node_r").alias("b")).distinct()
+def star_pairs(still: DataFrame, turn: int, percent: int) -> DataFrame:
+    """For each bucket one of its nodes with those that aren't connected with it and whose sizes allow a link.
+
+    The node that meets most others in its buckets leads, in later turns weighed by chance.
+    """
+    chance = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1000)) if turn else F.lit(1)
+    first = F.struct((F.col("meets") * chance).alias("h"), "node", "n", "comp")
+    leaders = still.groupBy("key").agg(F.max(first).alias("l")).select("key", "l.*").toDF("key", "h", "node_l", "n_l", "comp_l")
+    fits = (F.col("comp") != F.col("comp_l")) & (100 * F.least("n", "n_l") >= percent * F.greatest("n", "n_l"))
+    pairs = still.join(leaders, "key").where(fits)
+    return pairs.select(F.least("node", "node_l").alias("a"), F.greatest("node", "node_l").alias("b")).distinct()
+
+
+def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of unconnected ``nodes`` (node, comp) that can be linked, and few others.
+
+    Two sets of such similarity share a shingle among the rarest of each: of n shingles those before
+    the ceil(n * percent / 100)-th last. The nodes of the largest component of a shingle are paired
+    with the others only, so a large group costs no more than its size for each of those.
+    """
+    own = sets.join(nodes, "node").withColumn("n", F.size("shingles")).withColumn("set", F.xxhash64("shingles"))
+    each = own.select("node", "comp", "n", "set", F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("rows"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("rows > 1")
+    common = saved(each.join(often, "shingle"), "minhash-common")
+    by_set = W.Window.partitionBy("node", "set")
+    alone = F.col("n") - F.count("*").over(by_set)  # shingles of this set only come first
+    nth = F.row_number().over(by_set.orderBy("rows", "shingle"))
+    ranked = common.withColumn("alone", alone).withColumn("nth", nth)
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    ranked = ranked.where((F.col("alone") + F.col("nth") <= length) & (F.col("c1") < F.col("c2")))
+    prefix = saved(ranked.select("shingle", "node", "set", "comp", "n", F.col("alone").cast("int").alias("alone"), "nth"), "minhash-prefixes")
+    by_comp = prefix.groupBy("shingle", "comp").agg(F.count("*").alias("rows"))
+    largest = by_comp.groupBy("shingle").agg(F.max_by("comp", F.struct("rows", "comp")).alias("largest"), F.count("*").alias("comps")).where("comps > 1")
+    flagged = prefix.join(largest.drop("comps"), "shingle").withColumn("large", F.col("comp") == F.col("largest")).drop("largest")
+    words = own.select("node", "set", *[F.col("bits")[k].alias(f"bits_{k}") for k in range(BIT_WORDS)])
+    flagged = saved(flagged.join(words, ["node", "set"]).drop("set"), "minhash-flagged")
+    renamed = lambda c: c.replace("bits_", "bits_l_") if c.startswith("bits_") else f"{c}_l"
+    others = flagged.where("not large").drop("large")
+    others = others.select("shingle", *[F.col(c).alias(renamed(c)) for c in others.columns if c != "shingle"])
+    fits = (F.col("comp") != F.col("comp_l")) & (F.col("large") | (F.col("node_l") < F.col("node")))
+    # shared at most: what both have up to this shingle, and what is left behind it
+    most = F.least("nth", "nth_l") + F.least(F.col("n") - F.col("alone") - F.col("nth"), F.col("n_l") - F.col("alone_l") - F.col("nth_l"))
+    lacks = lambda a, b: reduce(add, [F.bit_count(F.col(f"{a}{k}").bitwiseAND(F.bitwise_not(F.col(f"{b}{k}")))) for k in range(BIT_WORDS)])
+    for bound in (most, F.col("n") - lacks("bits_", "bits_l_"), F.col("n_l") - lacks("bits_l_", "bits_")):
+        fits &= (100 + percent) * bound >= percent * (F.col("n") + F.col("n_l"))
+    pairs = flagged.join(others, "shingle").where(fits)
+    return pairs.select(F.least("node", "node_l").alias("a"), F.greatest("node", "node_l").alias("b")).distinct()
+
+
+def joined_up(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, comp) after ``links`` (a, b): the components of what ``comp`` has connected so far."""
+    if comp is None:
+        return components(links).select("node", F.col("label").alias("comp"))
+    of = lambda side: comp.select(F.col("node").alias(side), F.col("comp").alias(f"comp_{side}"))
+    lifted = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    found = components(lifted.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b")))
+    moved = comp.join(found.withColumnRenamed("node", "comp"), "comp", "left").select("node", F.coalesce("label", "comp").alias("comp"))
+    new = found.join(comp.select("node"), "node", "left_anti").select("node", F.col("label").alias("comp"))
+    return saved(moved.union(new), "minhash-comp")
 
 
 def node_components(docs: DataFrame, nodes: DataFrame, same: DataFrame, percent: int) -> DataFrame:
@@ -140,15 +208,16 @@ def node_components(docs: DataFrame, nodes: DataFrame, same: DataFrame, percent:
     nodes: node, n, bands. same: pairs (a, b) connected beforehand.
     """
     rows = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key")
-    multi = saved(rows.join(shared, "key", "left_semi"), "minhash-buckets")
-    in_buckets = saved(multi.select("node").distinct(), "minhash-nodes")
+    shared = rows.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
+    multi = saved(rows.join(shared, "key"), "minhash-buckets")
+    in_buckets = saved(multi.groupBy("node").agg(F.sum("rows").alias("meets")), "minhash-nodes")
     n_nodes = in_buckets.count()
     sets = saved(full_sets(docs, in_buckets), "minhash-sets")
-    edges = saved(same, "minhash-edges")
-    comp = saved(components(edges).select("node", F.col("label").alias("comp")), "minhash-comp")
+    comp = joined_up(None, same)
+    before = math.inf
     for turn in range(ROUNDS + 1):
-        labelled = multi.join(comp, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
+        of_node = in_buckets.join(comp, "node", "left").select("node", "meets", F.coalesce("comp", "node").alias("comp"))
+        labelled = multi.select("key", "node", "n").join(of_node, "node")
         by_comp = labelled.groupBy("key", "comp").agg(F.count("*").alias("rows"))
         per_key = by_comp.groupBy("key").agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("rows")).alias("squares"))
         open_keys = saved(per_key.where("rows * rows > squares"), "minhash-open")
@@ -156,16 +225,13 @@ def node_components(docs: DataFrame, nodes: DataFrame, same: DataFrame, percent:
         if not left:
             break
         still = saved(labelled.join(open_keys.select("key"), "key", "left_semi"), "minhash-still")
-        last = turn == ROUNDS or left <= OPEN_PER_NODE * n_nodes
+        last = turn == ROUNDS or left <= OPEN_PER_NODE * n_nodes or left > before / 2
+        before = left
         if last:
-            pairs = candidates(still, still, percent, True)
+            pairs = prefix_pairs(still.select("node", "comp").distinct(), sets, percent)
         else:
-            first = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "comp")
-            leaders = still.groupBy("key").agg(F.min(first).alias("first")).select("key", "first.node", "first.n", "first.comp")
-            pairs = candidates(still, leaders, percent, False)
-        found = linked(saved(pairs, "minhash-pairs"), sets, percent)
-        edges = saved(edges.union(found).distinct(), "minhash-edges")
-        comp = saved(components(edges).select("node", F.col("label").alias("comp")), "minhash-comp")
+            pairs = star_pairs(still, turn, percent)
+        comp = joined_up(comp, linked(saved(pairs, "minhash-pairs"), sets, percent))
         if last:
             break
     return comp
