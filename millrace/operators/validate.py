@@ -7,6 +7,8 @@ no error is valid, the others are set aside with their reasons.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +23,8 @@ VALIDATED = {"int": "bigint", "float": "double", "str": "string", "bool": "boole
 def unknown_keys(json: Column, allowed: list[str], prefixes: tuple[str, ...] = ()) -> Column:
     """Keys of a JSON object that are neither allowed nor start with one of the dropped prefixes."""
     rest = F.array_except(F.json_object_keys(json), F.array(*[F.lit(k) for k in allowed]))
-    for prefix in prefixes:
-        rest = F.filter(rest, lambda k, p=prefix: ~k.startswith(p))
-    return rest
+    dropped = [F.lit(p) for p in prefixes]
+    return F.filter(rest, lambda k: ~reduce(or_, [k.startswith(p) for p in dropped])) if dropped else rest
 
 
 def checked(df: DataFrame, table: Table, record: str = "record", persisted: bool = True) -> DataFrame:
