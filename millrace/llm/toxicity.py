@@ -80,7 +80,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFra
         return pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(plain, kind), pa.array(other, kind)], ["toxic", "features", "swapped"])
 
     # the chosen ids are at most max_train rows
-    joined = docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
     return joined.mapInArrow(by_batch(run), "toxic int, features array<int>, swapped array<int>")
 
 
