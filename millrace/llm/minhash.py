@@ -34,7 +34,7 @@ BLOCK = 512
 #: Rounds of contraction at most, and the open pairs per node below which they are compared at once.
 ROUNDS, OPEN_PER_NODE = 6, 1
 #: 64-bit words of the bitmap that bounds what two sets share.
-BIT_WORDS = 8
+BIT_WORDS = 16
 
 # Finalisers of the public MurmurHash3, and odd multipliers.
 MIX32 = (np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
