@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, lines, minhash, mixing, quality, tokenizer_files
-from millrace.llm.common import table
+from millrace.llm.common import importable, table
 from millrace.storage import saved
 
 
@@ -17,6 +17,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that a rule rejects go."""
+    importable(spark)
     return quality.keep(docs)
 
 
