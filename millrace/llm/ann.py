@@ -24,6 +24,8 @@ from millrace.storage import saved
 
 #: Vectors of a list on average, lists at most, sampled vectors for a list and in all.
 LIST_ROWS, MAX_LISTS, SAMPLE_PER_LIST, MAX_SAMPLE = 512, 65_536, 40, 131_072
+#: Components of all sampled vectors at most (128 MB on the driver), and of a block of distances.
+MAX_SAMPLE_VALUES, BLOCK_VALUES = 1 << 24, 1 << 23
 #: Lists of a vector at most, and how much farther than the nearest centroid they may be.
 REPLICAS, REPLICA_RATIO = 6, 1.08
 #: Graph: nearest links, long links, entry points, nodes opened in a step.
@@ -52,11 +54,9 @@ def fitted(sample: np.ndarray, n_lists: int, seed: int = 7, turns: int = 8) -> n
     """Centroids of about equally filled lists: k-means whose distances rise with a list's share."""
     rng = np.random.default_rng(seed)
     found = sample[rng.choice(len(sample), n_lists, replace=False)]
-    fill = np.ones(n_lists)
+    fill, size = np.ones(n_lists), max(1, BLOCK_VALUES // n_lists)
     for _ in range(turns):
-        at = np.concatenate([
-            (2 - 2 * sample[i : i + 4096] @ found.T + 0.05 * fill).argmin(axis=1) for i in range(0, len(sample), 4096)
-        ])
+        at = np.concatenate([(2 - 2 * sample[i : i + size] @ found.T + 0.05 * fill).argmin(axis=1) for i in range(0, len(sample), size)])
         counts = np.bincount(at, minlength=n_lists)
         sums = np.zeros_like(found)
         np.add.at(sums, at, sample)
@@ -72,9 +72,8 @@ class Graph:
     def __init__(self, centroids: np.ndarray, seed: int = 11):
         n = len(centroids)
         self.centroids = centroids
-        near = [
-            np.argsort(-(centroids[i : i + 2048] @ centroids.T), axis=1, kind="stable")[:, 1 : LINKS + 1] for i in range(0, n, 2048)
-        ]
+        size = max(1, BLOCK_VALUES // n)
+        near = [np.argsort(-(centroids[i : i + size] @ centroids.T), axis=1, kind="stable")[:, 1 : LINKS + 1] for i in range(0, n, size)]
         rng = np.random.default_rng(seed)
         self.links = np.concatenate([np.concatenate(near), rng.integers(0, n, (n, LONG_LINKS))], axis=1)
         self.entries = np.unique(rng.integers(0, n, ENTRIES))
@@ -188,8 +187,10 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id"
     shape = "query_id bigint, rank int, vec_id bigint, score double"
     if not n:
         return spark.createDataFrame([], shape)
-    n_lists = max(1, min(MAX_LISTS, n // LIST_ROWS))
-    n_sample = min(n, MAX_SAMPLE, max(SAMPLE_PER_LIST * n_lists, 4096))
+    length = own.select(F.size("vector")).first()[0]
+    most = max(64, min(n, MAX_SAMPLE, MAX_SAMPLE_VALUES // length))
+    n_lists = max(1, min(MAX_LISTS, n // LIST_ROWS, most // 2))
+    n_sample = min(n, most, max(SAMPLE_PER_LIST * n_lists, 4096))
     sampled = own.orderBy(F.xxhash64("digest"), "digest").limit(n_sample).select("vector").toArrow()
     sample = unit(matrix(sampled.column("vector").combine_chunks()))
     graph = Graph(fitted(sample, n_lists))
