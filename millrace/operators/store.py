@@ -7,7 +7,6 @@ Readers keep the version they started with. After a failure the store takes no m
 from __future__ import annotations
 
 import contextlib
-import json
 import uuid
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
@@ -39,11 +38,7 @@ class Store:
 
     def manifest(self) -> dict[str, str]:
         """Path of each table's visible version."""
-        path = f"{self.root}/{MANIFEST}"
-        if not landing.exists(self.spark, path):
-            return {}
-        text = "\n".join(r[0] for r in self.spark.read.text(path, wholetext=True).collect())
-        return json.loads(text)
+        return landing.read_json(self.spark, f"{self.root}/{MANIFEST}") or {}
 
     def schema_of(self, name: str):
         if name == "_runs":
@@ -55,7 +50,8 @@ class Store:
     def read(self, name: str) -> DataFrame:
         """The visible version, or an empty frame of the contract's shape."""
         path = self.manifest().get(name)
-        return self.spark.read.parquet(path) if path else self.spark.createDataFrame([], self.schema_of(name))
+        found = self.spark.read.parquet(path) if path else self.spark.createDataFrame([], self.schema_of(name))
+        return audit.migrated_runs(found) if name == "_runs" else found
 
     def query(self, sql: str, params: list | None = None) -> DataFrame:
         """Any query over the visible tables."""

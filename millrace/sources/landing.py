@@ -22,6 +22,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def read_json(spark: SparkSession, path: str) -> object | None:
+    """A small JSON file, read by the driver; None if it isn't there."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 def listing(spark: SparkSession, path: str) -> DataFrame:
     """(path) of the files of a glob, without reading them; none gives an empty frame."""
     if not exists(spark, path):
