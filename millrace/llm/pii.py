@@ -12,6 +12,7 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ KINDS = ("email", "ip", "card", "phone")
 # The patterns of the four kinds; digits are 0-9 only.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")  # a run of digits is taken whole in any case
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
@@ -73,7 +74,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The patterns' spans by kind as listed, then start; a match that fails its check is dropped."""
     found = emails(text) if "@" in text else []
     if DIGITS.search(text):
-        found += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        found += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(n := p.lstrip("0")) <= 3 and int(n or 0) <= 255 for p in m[0].split("."))]
         for m in CARD.finditer(text):
             digits = re.sub(r"[ -]", "", m[0])
             if 16 <= len(digits) <= 19 and luhn(digits):
@@ -125,13 +126,19 @@ def features(kind: str, window: str, start: int, end: int) -> list[float]:
 
 def windows(text: str, known: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
     """Stretches around signs that ``known`` spans don't explain, between those spans."""
-    fixed = sorted((a, b) for _, a, b in known)
+    fixed: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in known):
+        if fixed and a < fixed[-1][1]:
+            fixed[-1][1] = max(b, fixed[-1][1])
+        else:
+            fixed.append([a, b])
+    starts, ends = [0, *(a for a, _ in fixed), len(text)], [0, *(b for _, b in fixed)]
     out: list[list[int]] = []
     for m in SIGN.finditer(text):
-        if any(a < m.end() and m.start() < b for a, b in fixed):
+        behind = bisect_right(ends, m.start())
+        if starts[behind] < m.end():
             continue
-        low = max([0, m.start() - REACH, *(b for _, b in fixed if b <= m.start())])
-        high = min([len(text), m.end() + REACH, *(a for a, _ in fixed if a >= m.end())])
+        low, high = max(ends[behind - 1], m.start() - REACH), min(starts[behind], m.end() + REACH)
         if out and low < out[-1][1]:
             out[-1][1] = max(high, out[-1][1])
         else:
@@ -143,13 +150,18 @@ def segments(window: str) -> tuple[int, list[tuple[int, int, int, int]]]:
     """Number of tokens, and candidates (first token, end token, start, end): bounded, holding a sign, with clean ends."""
     tokens = [(m.start(), m.end()) for m in TOKEN.finditer(window)]
     signs = [(m.start(), m.end()) for m in SIGN.finditer(window)]
+    marks = [(a, b) for a, b in signs if b - a < 7]  # held whole
+    numbers = [(a, b) for a, b in signs if b - a >= 7]  # held in part
+    mark_starts, number_ends = [a for a, _ in marks], [b for _, b in numbers]
     found = []
     for i, (start, _) in enumerate(tokens):
         if not (window[start].isalnum() or window[start] in "+("):
             continue
+        mark, number = bisect_left(mark_starts, start), bisect_right(number_ends, start)
+        least = min([b for _, b in marks[mark : mark + 1]] + [a + 1 for a, _ in numbers[number : number + 1]], default=len(window) + 1)
         for j in range(i + 1, min(len(tokens), i + MAX_TOKENS) + 1):
             end = tokens[j - 1][1]
-            if window[end - 1].isalnum() and any(start <= (a if b - a < 7 else max(a, start)) < end and (b - a >= 7 or b <= end) for a, b in signs):
+            if end >= least and window[end - 1].isalnum():
                 found.append((i, j, start, end))
     return len(tokens), found
 
