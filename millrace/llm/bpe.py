@@ -85,6 +85,8 @@ class ByteBpe:
         self.token_bytes |= {i: t.encode() for t, i in self.special.items()}
         self.bytes_of = [self.token_bytes.get(i, b"") for i in range(max(self.token_bytes) + 1)]
         self.lone_space = not any(b << 8 | 32 in inside for b in range(256) if not chr(b).isspace())
+        self.same = list(range(len(self.bytes_of)))  # one object for each id: what is remembered holds no others
+        self.names = list(map(str, self.same))
         self.single = [vocab[c] for c in sorted(letters, key=letters.get)]
         self.merges = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
@@ -103,12 +105,12 @@ class ByteBpe:
         ids, table = [self.single[b] for b in raw], self.byte_ranks
         ranks = [table[a << 8 | b] for a, b in zip(raw, raw[1:], strict=False)]
         if FORCED not in ranks:
-            return self.merge(ids, ranks)
+            return tuple([self.same[i] for i in self.merge(ids, ranks)])
         out, start = (), 0
         for end in [i + 1 for i, rank in enumerate(ranks) if rank == FORCED] + [len(ids)]:
             out += self.merge(ids[start:end], ranks[start : end - 1])
             start = end
-        return out
+        return tuple([self.same[i] for i in out])
 
     def merge(self, ids: list[int], ranks: list[int]) -> tuple:
         """Ids of one fragment: the lowest-ranked pair merges first, the leftmost of equals.
@@ -153,22 +155,19 @@ class ByteBpe:
             offer(left)
         return tuple(i for i in ids if i >= 0)
 
-    def piece(self, text: str) -> tuple[tuple, str]:
-        """Ids, and those as text, of a stretch that starts and ends at a boundary between pre-tokens."""
+    def piece(self, text: str) -> tuple:
+        """Ids of a stretch that starts and ends at a boundary between pre-tokens."""
         if plain := PLAIN(text):
             ids = self.pretokens[plain[1]]
-            if plain[2]:
-                ids += self.pretokens[plain[2]]
-        else:
-            ids = tuple(chain.from_iterable([self.pretokens[p] for p in self.find(text)]))
-        return ids, ",".join(map(str, ids))
+            return ids + self.pretokens[plain[2]] if plain[2] else ids
+        return tuple(chain.from_iterable([self.pretokens[p] for p in self.find(text)]))
 
-    def encoded_pieces(self, text: str) -> list[tuple[tuple, str]]:
-        """Ids, and those as text, of the stretches of ``text`` between certain boundaries."""
+    def encoded_pieces(self, text: str) -> list[tuple]:
+        """Ids of the stretches of ``text`` between certain boundaries."""
         out = []
         for k, part in enumerate(self.parts.split(text) if self.parts else [text]):
             if k % 2:
-                out.append(((self.special[part],), str(self.special[part])))
+                out.append((self.special[part],))
             elif part:
                 first, *rest = LONE_SPACE.split(part) if self.lone_space else [part]
                 out.append(self.piece(first))
@@ -177,7 +176,7 @@ class ByteBpe:
         return out
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable([ids for ids, _ in self.encoded_pieces(text)]))
+        return list(chain.from_iterable(self.encoded_pieces(text)))
 
     def decode(self, ids: list[int]) -> str:
         """Text of ``ids``; ids that are not in the vocabulary are passed over, as the format's decoder does."""
@@ -232,10 +231,9 @@ def digests(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
         own = vocabulary(path)
         counts, of_ids, of_text = [], [], []
         for t in texts(batch, "text"):
-            pieces = own.encoded_pieces(t)
-            ids = list(chain.from_iterable([x for x, _ in pieces]))
+            ids = own.encode(t)
             counts.append(len(ids))
-            of_ids.append(hashlib.sha256(",".join([x for _, x in pieces]).encode()).hexdigest())
+            of_ids.append(hashlib.sha256(",".join([own.names[i] for i in ids]).encode()).hexdigest())
             of_text.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_text)],
