@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: The code points [\x20\x09-\x0D] that part words and are stripped from line ends.
 SPACES = " \t\n\x0b\x0c\r"
 
+#: Bytes of a batch that are worked on at once (one row at least), so that a worker's memory doesn't follow the batch size.
+SLICE_BYTES = 4 << 20
 
 #: The folder that holds the package.
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -31,12 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def by_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:
-    """``fn`` over each Arrow batch of a partition, for ``mapInArrow``."""
+    """``fn`` over each Arrow batch of a partition, in slices of about ``SLICE_BYTES``, for ``mapInArrow``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
+            rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+            for start in range(0, batch.num_rows, rows):
+                out = fn(batch.slice(start, rows))
                 if out is not None and out.num_rows:
                     yield out
 
