@@ -51,8 +51,8 @@ SENTENCES = {
     "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
     "public-domain": "this is free and unencumbered software released into the public domain",
 }
-#: A known sentence holds one of these, so a text without any needs no splitting.
-SIGNS = ("licens", "licenc", "permission", "warrant", "redistribution", "free software", "public domain", "under mit", "under the ", "under apache", "under gpl", "under cc")
+#: Every known sentence holds one of these as a whole word. A word stays whole in any spacing and markup, so a text without any needs no splitting.
+SIGNS = ("under", "permission", "warranty", "redistribution", "redistributions", "license", "domain")
 #: Ordered: a rule that needs more sentences stands before those that need fewer.
 RULES = (
     ("MIT", ("mit-grant", "mit-notice", "as-is")), ("MIT", ("mit-grant", "mit-notice")), ("ISC", ("isc-grant", "as-is")), ("ISC", ("isc-grant",)),

@@ -185,3 +185,16 @@ def test_licenses(spark):
     assert got[n:] == [(1, "ref-MIT", "MIT", 0), (1, "ref-CC-BY-NC-4.0", "CC-BY-NC-4.0", 0), (2, "mit-grant,mit-notice", "MIT", 0), (2, "ref-MIT,ref-Apache-2.0", "Apache-2.0,MIT", 0), (1, "apache-comply", "", 1)]
     assert all(any(s in sentence for s in licenses.SIGNS) for sentence in licenses.known_sentences())
     assert licenses.scan(frame(spark, [])).collect() == []
+
+
+def test_licenses_in_any_spacing(spark):
+    """Line breaks, spaces and markup between the words of a known sentence change nothing."""
+    texts = ["Released under\nGPL 2.0", "Released under the\nGPL v2", "Released under **MIT**", "Distributed under (CC BY 4.0)", "published   under\t_apache_ 2.0", "> This is free and unencumbered software released into the public\n> domain.", "Nothing is\nunder here"]
+    got = [tuple(r)[1:] for r in licenses.scan(frame(spark, texts)).collect()]
+    assert got[:-1] == [(1, f"ref-{x}", x, 0) for x in ("GPL-2.0", "GPL-2.0", "MIT", "CC-BY-4.0", "Apache-2.0")] + [(1, "public-domain", "Unlicense", 0)]
+    assert got[-1] == (0, "", "", 0)
+    known = list(licenses.known_sentences())
+    assert all(set(licenses.SIGNS) & set(s.split()) for s in known) and all(s.isalnum() for s in licenses.SIGNS)
+    for joint in ("\n", "  ", " ** ", "\n> "):
+        spread = licenses.scan(frame(spark, [joint.join(s.upper().split(" ")) for s in known])).collect()
+        assert [r["sentence_ids"] for r in spread] == list(licenses.known_sentences().values())
