@@ -125,24 +125,22 @@ def features(kind: str, window: str, start: int, end: int) -> list[float]:
 
 
 def windows(text: str, known: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Stretches around signs that ``known`` spans don't explain, between those spans."""
+    """Stretches around signs in the gaps between ``known`` spans, within those gaps."""
     fixed: list[list[int]] = []
     for a, b in sorted((a, b) for _, a, b in known):
         if fixed and a < fixed[-1][1]:
             fixed[-1][1] = max(b, fixed[-1][1])
         else:
             fixed.append([a, b])
-    starts, ends = [0, *(a for a, _ in fixed), len(text)], [0, *(b for _, b in fixed)]
+    gaps = zip([0, *(b for _, b in fixed)], [*(a for a, _ in fixed), len(text)], strict=True)
     out: list[list[int]] = []
-    for m in SIGN.finditer(text):
-        behind = bisect_right(ends, m.start())
-        if starts[behind] < m.end():
-            continue
-        low, high = max(ends[behind - 1], m.start() - REACH), min(starts[behind], m.end() + REACH)
-        if out and low < out[-1][1]:
-            out[-1][1] = max(high, out[-1][1])
-        else:
-            out.append([low, high])
+    for left, right in gaps:
+        for m in SIGN.finditer(text, left, right):  # what a span leaves of a sign counts on its own
+            low, high = max(left, m.start() - REACH), min(right, m.end() + REACH)
+            if out and low < out[-1][1]:
+                out[-1][1] = max(high, out[-1][1])
+            else:
+                out.append([low, high])
     return [(a, b) for a, b in out]
 
 

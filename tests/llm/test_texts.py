@@ -198,3 +198,17 @@ def test_licenses_in_any_spacing(spark):
     for joint in ("\n", "  ", " ** ", "\n> "):
         spread = licenses.scan(frame(spark, [joint.join(s.upper().split(" ")) for s in known])).collect()
         assert [r["sentence_ids"] for r in spread] == list(licenses.known_sentences().values())
+
+
+def test_field_finds_disguises_beside_plain_ones(field):
+    """A plain item on a line hides none of its neighbours."""
+    lines_of = {
+        "Tel 0049 171 234 5678, +49 30 1234567": [("phone", 4, 21), ("phone", 23, 37)],
+        "pay 4111.1111.1111.1111, 4111 1111 1111 1111": [("card", 4, 23), ("card", 25, 44)],
+        "0049 171 234 5678 | 10.1.2.3": [("ip", 20, 28), ("phone", 0, 17)],
+        "+49 30 1234567, 0049 171 234 5678, 10.1.2.3": [("ip", 35, 43), ("phone", 0, 14), ("phone", 16, 33)],
+    }
+    for t, want in lines_of.items():
+        assert pii.all_spans(t, field) == want
+    for clean in ("10.1.2.3 2024-05-06 12:30:45", "on 2024-05-06 12:30 from 10.1.2.3, 1234567", "+49 30 1234567, 12345678"):
+        assert pii.all_spans(clean, field) == pii.base_spans(clean)
