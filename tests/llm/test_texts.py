@@ -212,3 +212,12 @@ def test_field_finds_disguises_beside_plain_ones(field):
         assert pii.all_spans(t, field) == want
     for clean in ("10.1.2.3 2024-05-06 12:30:45", "on 2024-05-06 12:30 from 10.1.2.3, 1234567", "+49 30 1234567, 12345678"):
         assert pii.all_spans(clean, field) == pii.base_spans(clean)
+
+
+def test_field_learns_nothing_from_unlabelled_rows(spark):
+    """Many copies of a disguised item don't teach it as clean, and the other rows keep their spans."""
+    copies = "reach us: joe (at) mail (dot) org, ann (at) mail (dot) org; tel 0049 171 234 5678 or 10[.]20[.]30[.]40"
+    alone = [r["spans"] for r in pii.report(frame(spark, [copies, "sue[at]mail[dot]net"])).collect()]
+    among = [r["spans"] for r in pii.report(frame(spark, [copies] * 400 + [copies, "sue[at]mail[dot]net"])).collect()]
+    assert alone[0].count("email") == 2 and alone[0].count("ip") == alone[0].count("phone") == 1 and alone[1] == "email:0:19"
+    assert among == [alone[0]] * 401 + alone[1:]
