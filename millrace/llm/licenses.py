@@ -49,23 +49,76 @@ SENTENCES = {
     "apache-obtain": "you may obtain a copy of the license at",
     "gpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "apache-as-is": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "apache-see": "see the license for the specific language governing permissions and limitations under the license",
+    "bsd-as-is": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "isc-as-is": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "gnu-implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "public-domain": "this is free and unencumbered software released into the public domain",
 }
+#: GNU licences by their word in the header and the versions that headers name.
+GNU = {"GPL": ("general", ("2", "3")), "LGPL": ("lesser general", ("2.1", "3")), "AGPL": ("affero general", ("3",))}
+GNU_VERSIONS = {"2": "2.0", "2.1": "2.1", "3": "3.0"}
+LATER = "either version {} of the license or at your option any later version"
+HOLDERS = ("copyright holder", "copyright holders", "copyright owner", "author", "authors", "organization", "university", "project")
+#: Identifiers that an SPDX line may give; known if no space follows the colon, as a sentence ends at a colon and space,
+#: and a name alone is no known sentence (it would hide the wrapped 'Released under' before it).
+SPDX = (*NAMES, *(f"{name}-{v}-{how}" for name, (_, versions) in GNU.items() for v in map(GNU_VERSIONS.get, versions) for how in ("only", "or-later")))
 #: Every known sentence holds one of these as a whole word. A word stays whole in any spacing and markup, so a text without any needs no splitting.
-SIGNS = ("under", "permission", "warranty", "redistribution", "redistributions", "license", "domain")
+SIGNS = ("under", "permission", "warranty", "warranties", "redistribution", "redistributions", "license", "domain", "free", "mpl")
+
+
+def gnu_rules() -> list[tuple[str, tuple[str, ...]]]:
+    """The notices of GNU headers: the version in the sentence of the terms or in one of its own (GPL 2, LGPL 2.1)."""
+    out = []
+    for name, (_, versions) in GNU.items():
+        for v in versions:
+            for terms in ((f"{name.lower()}-terms-{v}",), (f"{name.lower()}-terms", f"later-{v}")):
+                for ids in (("gnu-free", *terms, "gnu-hope", "gnu-implied"), ("gnu-free", *terms), terms):
+                    out.append((f"{name}-{GNU_VERSIONS[v]}-or-later", ids))
+    return sorted(out, key=lambda rule: -len(rule[1]))
+
+
+BSD = ("bsd-grant", "bsd-source", "bsd-binary")
+APACHE = ("ref-Apache-2.0", "apache-comply", "apache-obtain")
 #: Ordered: a rule that needs more sentences stands before those that need fewer.
 RULES = (
-    ("MIT", ("mit-grant", "mit-notice", "as-is")), ("MIT", ("mit-grant", "mit-notice")), ("ISC", ("isc-grant", "as-is")), ("ISC", ("isc-grant",)),
-    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")), ("Apache-2.0", ("ref-Apache-2.0", "apache-comply", "apache-obtain")),
-    ("GPL-3.0-or-later", ("gpl-free", "gpl-hope")), ("GPL-3.0-or-later", ("gpl-free",)), ("Unlicense", ("public-domain",)),
-    *((name, (f"ref-{name}",)) for name in NAMES),
+    ("MIT", ("mit-grant", "mit-notice", "as-is")), ("MIT", ("mit-grant", "mit-notice")),
+    ("ISC", ("isc-grant", "isc-as-is")), ("ISC", ("isc-grant", "as-is")), ("ISC", ("isc-grant",)),
+    ("BSD-3-Clause", (*BSD, "bsd-endorse", "bsd-as-is")), ("BSD-3-Clause", (*BSD, "bsd-endorse")),
+    ("BSD-2-Clause", (*BSD, "bsd-as-is")), ("BSD-2-Clause", BSD),
+    ("Apache-2.0", (*APACHE, "apache-as-is", "apache-see")), ("Apache-2.0", APACHE),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl-hope")), ("GPL-3.0-or-later", ("gpl-free",)), *gnu_rules(),
+    ("MPL-2.0", ("mpl-terms", "mpl-obtain")), ("MPL-2.0", ("mpl-terms",)), ("Unlicense", ("public-domain",)),
+    *((name, (f"ref-{name}",)) for name in SPDX),
 )
 
 
 def known_sentences() -> dict[str, str]:
     """Identifier of each known sentence in its normal form."""
-    referring = {f"{how} {name}": f"ref-{licence}" for licence, names in NAMES.items() for name in names for how in REFERRING}
-    return referring | {sentence: key for key, sentence in SENTENCES.items()}
+    known = {f"{how} {name}": f"ref-{licence}" for licence, names in NAMES.items() for name in names for how in REFERRING}
+    known |= {f"{how} the apache license version 2.0 the license": "ref-Apache-2.0" for how in REFERRING}
+    for name in SPDX:
+        known[f"spdx license identifier {name.lower().replace('-', ' ')}"] = f"ref-{name}"
+    for name, (word, versions) in GNU.items():
+        terms = f"you can redistribute it and or modify it under the terms of the gnu {word} public license as published by the free software foundation"
+        known[terms] = f"{name.lower()}-terms"
+        for v in versions:
+            known |= {f"{terms} {LATER.format(v)}": f"{name.lower()}-terms-{v}", LATER.format(v): f"later-{v}"}
+    for what in ("program", "library", "file"):
+        known |= {f"this {what} is free software": "gnu-free", f"this {what} is distributed in the hope that it will be useful but without any warranty": "gnu-hope"}
+    for url in ("http www.apache.org licenses license 2.0", "https www.apache.org licenses license 2.0"):
+        # where comment signs fill the blank lines, the sentences around the address are one
+        known |= {f"{SENTENCES['apache-obtain']} {url}": "apache-obtain", f"{SENTENCES['apache-obtain']} {url} {SENTENCES['apache-as-is']}": "apache-obtain"}
+    for version in ("v", "v.2.0", "version 2.0"):
+        known[f"this source code form is subject to the terms of the mozilla public license {version}"] = "mpl-terms"
+    for url in ("http mozilla.org mpl 2.0", "https mozilla.org mpl 2.0"):
+        known[f"if a copy of the mpl was not distributed with this file you can obtain one at {url}"] = "mpl-obtain"
+    endorse = "may be used to endorse or promote products derived from this software without specific prior written permission"
+    for holder in HOLDERS:
+        known |= {f"neither the name of the {holder} nor the names of its contributors {endorse}": "bsd-endorse", f"neither the name of {holder} nor the names of its contributors {endorse}": "bsd-endorse"}
+    known |= {f"nor the names of its contributors {endorse}": "bsd-endorse", f"the name of the author {endorse.replace('may be', 'may not be')}": "bsd-endorse"}
+    return known | {sentence: key for key, sentence in SENTENCES.items()}
 
 
 #: Patterns that Java's and other engines read alike: where sentences end, what is no part of the normal form.

@@ -221,3 +221,70 @@ def test_field_learns_nothing_from_unlabelled_rows(spark):
     among = [r["spans"] for r in pii.report(frame(spark, [copies] * 400 + [copies, "sue[at]mail[dot]net"])).collect()]
     assert alone[0].count("email") == 2 and alone[0].count("ip") == alone[0].count("phone") == 1 and alone[1] == "email:0:19"
     assert among == [alone[0]] * 401 + alone[1:]
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+BSD_2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+BSD_AS_IS = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE."""
+GNU = """This {what} is free software{a} you can redistribute it and/or modify
+it under the terms of the GNU {word} Public License as published by
+the Free Software Foundation{b} either version {v} of the License, or
+(at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {word} Public License for more details."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_licenses_of_standard_headers(spark):
+    want = [
+        (APACHE, "Apache-2.0"), (BSD_2 + BSD_AS_IS, "BSD-2-Clause"), (BSD_2 + BSD_THIRD + BSD_AS_IS, "BSD-3-Clause"), (BSD_2 + BSD_THIRD, "BSD-3-Clause"), (ISC, "ISC"), (MPL, "MPL-2.0"),
+        (GNU.format(what="program", a=";", b=";", v="2", word="General"), "GPL-2.0-or-later"), (GNU.format(what="program", a=":", b=",", v="3", word="General"), "GPL-3.0-or-later"),
+        (GNU.format(what="library", a=";", b=";", v="2.1", word="Lesser General"), "LGPL-2.1-or-later"), (GNU.format(what="program", a=":", b=",", v="3", word="Lesser General"), "LGPL-3.0-or-later"),
+        (GNU.format(what="program", a=":", b=",", v="3", word="Affero General"), "AGPL-3.0-or-later"),
+    ]
+    for sign in ("# ", " * ", "// "):
+        want += [("\n".join(sign + x for x in t.split("\n")), name) for t, name in want[:11]]
+    want += [(f"// SPDX-License-Identifier:{x}\nint main();", x) for x in licenses.SPDX]
+    got = licenses.scan(frame(spark, [t for t, _ in want])).collect()
+    assert [r["licences"] for r in got] == [name for _, name in want]
+    assert [r["n_unmatched"] for r in got[:11]] == [0] * 11
