@@ -1,7 +1,9 @@
 """Chat formatting by perspective: every participant once as the assistant, the others as named users.
 
 Only DataFrame functions. A dialogue is rendered in stretches of ``STRETCH`` turn numbers, so that no
-row or group grows with the length of a dialogue; a short dialogue is one stretch.
+row or group grows with the length of a dialogue whose turn numbers differ; a short dialogue is one stretch.
+Tied turn numbers share a stretch, null turns are one, and rows with a null conv_id are one dialogue:
+nothing but their number bounds such a group, which is one array, repeated for every speaker.
 """
 
 from __future__ import annotations
