@@ -5,8 +5,8 @@ second, circularly shifted by k, gives coordinate k of the signature. Documents
 shingles are one node. Nodes that agree in a whole band are candidates, and each link is confirmed
 on the full sets. Large groups are contracted first: every band bucket compares its nodes with one
 of them, and nodes already connected need no further comparing; this goes on while it halves the pairs
-that are left. All nodes of buckets still unconnected are then compared by prefix filtering on their
-rarest shingles, which leaves out no pair that can be linked.
+that are left. All nodes of buckets still unconnected are then compared by prefix filtering on the rarest
+classes of their shingles, which leaves out no pair that can be linked.
 """
 
 from __future__ import annotations
@@ -157,36 +157,44 @@ def star_pairs(still: DataFrame, turn: int, percent: int) -> DataFrame:
 def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs of unconnected ``nodes`` (node, comp) that can be linked, and few others.
 
-    Two sets of such similarity share a shingle among the rarest of each: of n shingles those before
-    the ceil(n * percent / 100)-th last. The nodes of the largest component of a shingle are paired
-    with the others only, so a large group costs no more than its size for each of those.
+    Shingles that exactly the same sets hold are one class, weighed by their number, so what two sets
+    share is met class by class and not shingle by shingle. Two sets of such similarity share a class
+    among the rarest of each: of n shingles those before the ceil(n * percent / 100)-th last. The nodes
+    of the largest component of a class are paired with the others only, so a large group costs no more
+    than its size for each of those.
     """
     own = sets.join(nodes, "node").withColumn("n", F.size("shingles")).withColumn("set", F.xxhash64("shingles"))
     each = own.select("node", "comp", "n", "set", F.explode("shingles").alias("shingle"))
-    often = each.groupBy("shingle").agg(F.count("*").alias("rows"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("rows > 1")
-    common = saved(each.join(often, "shingle"), "minhash-common")
+    # who holds a shingle, as 128 bits: sums that keep no order
+    holders = [F.sum(F.shiftright(F.xxhash64("node", "set", F.lit(k)), 1) % (1 << 40)).alias(f"p{k}") for k in (1, 2, 3)]
+    often = each.groupBy("shingle").agg(F.count("*").alias("rows"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), *holders).where("rows > 1")
+    of_class = ["rows", "p1", "p2", "p3"]
+    weighed = each.join(often, "shingle").groupBy("node", "set", *of_class).agg(
+        *[F.first(c).alias(c) for c in ("comp", "n", "c1", "c2")], F.count("*").alias("weight")
+    )
+    common = saved(weighed, "minhash-common")
     by_set = W.Window.partitionBy("node", "set")
-    alone = F.col("n") - F.count("*").over(by_set)  # shingles of this set only come first
-    nth = F.row_number().over(by_set.orderBy("rows", "shingle"))
-    ranked = common.withColumn("alone", alone).withColumn("nth", nth)
+    alone = F.col("n") - F.sum("weight").over(by_set)  # shingles of this set only come first
+    upto = F.sum("weight").over(by_set.orderBy(*of_class).rowsBetween(W.Window.unboundedPreceding, 0))
+    ranked = common.withColumn("alone", alone).withColumn("nth", upto)
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    ranked = ranked.where((F.col("alone") + F.col("nth") <= length) & (F.col("c1") < F.col("c2")))
-    prefix = saved(ranked.select("shingle", "node", "set", "comp", "n", F.col("alone").cast("int").alias("alone"), "nth"), "minhash-prefixes")
-    by_comp = prefix.groupBy("shingle", "comp").agg(F.count("*").alias("rows"))
-    largest = by_comp.groupBy("shingle").agg(F.max_by("comp", F.struct("rows", "comp")).alias("largest"), F.count("*").alias("comps")).where("comps > 1")
-    flagged = prefix.join(largest.drop("comps"), "shingle").withColumn("large", F.col("comp") == F.col("largest")).drop("largest")
+    ranked = ranked.where((F.col("alone") + F.col("nth") - F.col("weight") < length) & (F.col("c1") < F.col("c2")))
+    prefix = saved(ranked.select(*of_class, "node", "set", "comp", "n", F.col("alone").cast("int").alias("alone"), F.col("nth").cast("int").alias("nth"), F.col("weight").cast("int").alias("weight")), "minhash-prefixes")
+    by_comp = prefix.groupBy(*of_class, "comp").agg(F.count("*").alias("held"))
+    largest = by_comp.groupBy(*of_class).agg(F.max_by("comp", F.struct("held", "comp")).alias("largest"), F.count("*").alias("comps")).where("comps > 1")
+    flagged = prefix.join(largest.drop("comps"), of_class).withColumn("large", F.col("comp") == F.col("largest")).drop("largest")
     words = own.select("node", "set", *[F.col("bits")[k].alias(f"bits_{k}") for k in range(BIT_WORDS)])
     flagged = saved(flagged.join(words, ["node", "set"]).drop("set"), "minhash-flagged")
     renamed = lambda c: c.replace("bits_", "bits_l_") if c.startswith("bits_") else f"{c}_l"
     others = flagged.where("not large").drop("large")
-    others = others.select("shingle", *[F.col(c).alias(renamed(c)) for c in others.columns if c != "shingle"])
+    others = others.select(*of_class, *[F.col(c).alias(renamed(c)) for c in others.columns if c not in of_class])
     fits = (F.col("comp") != F.col("comp_l")) & (F.col("large") | (F.col("node_l") < F.col("node")))
-    # shared at most: what both have up to this shingle, and what is left behind it
-    most = F.least("nth", "nth_l") + F.least(F.col("n") - F.col("alone") - F.col("nth"), F.col("n_l") - F.col("alone_l") - F.col("nth_l"))
+    # shared at most, if this is the first class that both hold (one before it gives the pair already): it and what is left behind it
+    most = F.col("weight") + F.least(F.col("n") - F.col("alone") - F.col("nth"), F.col("n_l") - F.col("alone_l") - F.col("nth_l"))
     lacks = lambda a, b: reduce(add, [F.bit_count(F.col(f"{a}{k}").bitwiseAND(F.bitwise_not(F.col(f"{b}{k}")))) for k in range(BIT_WORDS)])
     for bound in (most, F.col("n") - lacks("bits_", "bits_l_"), F.col("n_l") - lacks("bits_l_", "bits_")):
         fits &= (100 + percent) * bound >= percent * (F.col("n") + F.col("n_l"))
-    pairs = flagged.join(others, "shingle").where(fits)
+    pairs = flagged.join(others, of_class).where(fits)
     return pairs.select(F.least("node", "node_l").alias("a"), F.greatest("node", "node_l").alias("b")).distinct()
 
 
