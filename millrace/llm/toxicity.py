@@ -2,16 +2,20 @@
 
 A logistic regression over the different words of a text and their beginnings. For every labelled
 text that names a group of people, the terms are swapped within their set and the squared change of
-the score is part of the loss, so that a neutral mention of a group counts for nothing.
+the score is part of the loss, so that a neutral mention of a group counts for nothing. The sets are
+a parameter. Corpora whose groups have other names add their own: words of the labelled texts that
+are mentioned alike in both classes, each paired with the one that stands most often in the same texts.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +30,9 @@ PREFIXES = (4, 5, 6)
 #: Weights of the ridge and of the counterfactual penalty.
 RIDGE, COUNTERFACTUAL = 2e-4, 1.0
 STEPS = 300
+#: Neutral terms found in the labelled rows: at most, letters at least, share of the rows from and to which one is
+#: held, and how far the share of toxic ones among its rows may be from that of all, in standard errors.
+MAX_TERMS, TERM_LETTERS, TERM_SHARE, TERM_ERRORS = 256, 4, (0.005, 0.2), 1.0
 
 #: Sets of terms that stand for groups of people; one is swapped for the next of its set.
 IDENTITIES = (
@@ -35,7 +42,6 @@ IDENTITIES = (
     ("frauen", "männer"), ("muslime", "christen", "juden"), ("femmes", "hommes"), ("musulmans", "chrétiens", "juifs"),
     ("mujeres", "hombres"), ("musulmanes", "cristianos", "judíos"),
 )
-SWAP = {term: terms[(i + 1) % len(terms)] for terms in IDENTITIES for i, term in enumerate(terms)}
 
 WORD = re.compile(r"[^\W\d_]+").findall
 
@@ -58,33 +64,85 @@ def features(words: set[str]) -> set[int]:
     return found
 
 
-def swapped(words: set[str]) -> set[str] | None:
+def swaps(sets: Iterable[tuple[str, ...]]) -> dict[str, str]:
+    """For each term the next of its set; a term of two sets counts in the first."""
+    found: dict[str, str] = {}
+    for terms in sets:
+        own = [t for t in dict.fromkeys(terms) if t not in found]
+        found |= {t: own[(i + 1) % len(own)] for i, t in enumerate(own) if len(own) > 1}
+    return found
+
+
+def swapped(words: set[str], swap: dict[str, str]) -> set[str] | None:
     """The words with every identity term swapped; None if there are none."""
-    return {SWAP.get(w, w) for w in words} if not SWAP.keys().isdisjoint(words) else None
+    return {swap.get(w, w) for w in words} if not swap.keys().isdisjoint(words) else None
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
-    """(toxic, features, swapped) of at most ``max_train`` labelled documents outside the held-out fold."""
+    """(toxic, place, words) of at most ``max_train`` labelled documents outside the held-out fold."""
     learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
     own = labels.where(learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
+    place = F.xxhash64("doc_id")
+    chosen = own.orderBy(place, "doc_id").limit(max_train).select("doc_id", "toxic", place.alias("place"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = pa.array([sorted(words_of(t)) for t in texts(batch)], pa.list_(pa.string()))
+        return pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("place"), words], ["toxic", "place", "words"])
+
+    # the chosen ids are at most max_train rows
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "place")
+    return joined.mapInArrow(by_batch(run), "toxic int, place bigint, words array<string>")
+
+
+def neutral_terms(rows: DataFrame, known: Iterable[str] = (), max_terms: int = MAX_TERMS) -> list[tuple[str, str]]:
+    """Pairs of terms that the labelled rows mention alike in toxic and other texts, found in company of one another.
+
+    The terms are the ``max_terms`` most frequent of such words; a pair are the two unpaired ones whose
+    rows agree most. Rows without both labels give none.
+    """
+    n, p = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < p < n:
+        return []
+    held = rows.select("toxic", F.explode("words").alias("w")).where((F.length("w") >= TERM_LETTERS) & ~F.col("w").isin(*known))
+    counted = held.groupBy("w").agg(F.count("*").alias("d"), F.sum("toxic").alias("a")).where(F.col("d").between(max(2, TERM_SHARE[0] * n), TERM_SHARE[1] * n))
+    even = F.abs(F.col("a") / F.col("d") - F.lit(p / n)) <= TERM_ERRORS * F.sqrt(F.lit(p / n * (1 - p / n)) / F.col("d"))
+    terms = [r["w"] for r in counted.where(even).orderBy(F.desc("d"), "w").limit(max_terms).collect()]
+    if len(terms) < 2:
+        return []
+    both = rows.select(F.expr("array_intersect(words, array({}))".format(", ".join(f"'{t}'" for t in terms))).alias("w"))  # letters only
+    pairs = both.select(F.explode("w").alias("x"), "w").select("x", F.explode("w").alias("y")).groupBy("x", "y").agg(F.count("*").alias("c")).collect()
+    at, met = {t: i for i, t in enumerate(terms)}, np.zeros((len(terms), len(terms)))
+    for r in pairs:  # at most max_terms squared
+        met[at[r["x"]], at[r["y"]]] = r["c"]
+    alike = met / np.sqrt(np.outer(met.diagonal(), met.diagonal()))
+    free, found = set(range(len(terms))), []
+    for k in np.argsort(-np.triu(alike, 1), axis=None, kind="stable"):
+        i, j = divmod(int(k), len(terms))
+        if i < j and {i, j} <= free:
+            free -= {i, j}
+            found.append((terms[i], terms[j]))
+    return found
+
+
+def with_features(rows: DataFrame, swap: dict[str, str]) -> DataFrame:
+    """(toxic, place, features, swapped) of training rows; swapped is null where no term stands."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         plain, other = [], []
-        for t in texts(batch):
-            words = words_of(t)
-            swap = swapped(words)
+        for own in batch.column("words").to_pylist():
+            words = set(own)
+            swap_words = swapped(words, swap)
             plain.append(sorted(features(words)))
-            other.append(None if swap is None else sorted(features(swap)))
+            other.append(None if swap_words is None else sorted(features(swap_words)))
         kind = pa.list_(pa.int32())
-        return pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(plain, kind), pa.array(other, kind)], ["toxic", "features", "swapped"])
+        return pa.RecordBatch.from_arrays(
+            [batch.column("toxic"), batch.column("place"), pa.array(plain, kind), pa.array(other, kind)], ["toxic", "place", "features", "swapped"]
+        )
 
-    # the chosen ids are at most max_train rows
-    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    return joined.mapInArrow(by_batch(run), "toxic int, features array<int>, swapped array<int>")
+    return rows.mapInArrow(by_batch(run), "toxic int, place bigint, features array<int>, swapped array<int>")
 
 
-def telling(rows: DataFrame, max_features: int) -> list[int]:
+def telling(rows: DataFrame, max_features: int, swap: dict[str, str]) -> list[int]:
     """The features that tell most by chi-square, and those of the identity terms."""
     totals = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("p")).first()
     counted = rows.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("d"), F.sum("toxic").alias("a"))
@@ -93,14 +151,15 @@ def telling(rows: DataFrame, max_features: int) -> list[int]:
     spread = expected * F.lit(1 - p / max(n, 1.0)) + F.lit(1e-9)
     ranked = counted.where(F.col("d") >= MIN_DOCS).withColumn("chi", (F.col("a") - expected) ** 2 / spread)
     best = [r["f"] for r in ranked.orderBy(F.desc("chi"), "f").limit(max_features).select("f").collect()]
-    return sorted({*best, *(f for term in SWAP for f in word_features(term))})
+    return sorted({*best, *(f for term in swap for f in word_features(term))})
 
 
 class Model:
-    """Weights of features and a bias."""
+    """Weights of features and a bias; ``swap`` and ``n_pairs`` tell which swaps it was held to, and on how many texts."""
 
-    def __init__(self, weights: dict[int, float], bias: float):
+    def __init__(self, weights: dict[int, float], bias: float, swap: dict[str, str] | None = None, n_pairs: int = 0):
         self.weights, self.bias, self.of_word = weights, bias, {}
+        self.swap, self.n_pairs = swap or {}, n_pairs
 
     def score(self, text: str) -> float:
         found: set[int] = set()
@@ -117,56 +176,71 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
-def cells(lists: list, at: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    rows = [i for i, x in enumerate(lists) for f in x if f in at]
-    return np.array(rows, np.int64), np.array([at[f] for x in lists for f in x if f in at], np.int64)
+def cells(lists: pa.ListArray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place in ``chosen``) of every listed feature that is chosen; a null list has none."""
+    lengths = np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
+    rows, own = np.repeat(np.arange(len(lists)), lengths), lists.flatten().to_numpy(zero_copy_only=False)
+    place = np.minimum(np.searchsorted(chosen, own), len(chosen) - 1)
+    known = chosen[place] == own
+    return rows[known], place[known]
 
 
-def fit(labels: list[int], plain: list[list[int]], other: list[list[int] | None], chosen: list[int]) -> Model:
+def fit(labels: np.ndarray, plain: pa.ListArray, other: pa.ListArray, chosen: list[int], penalty: float = COUNTERFACTUAL) -> Model:
     """Full-batch Adam on the logistic loss, the ridge and the counterfactual penalty."""
-    n, at = len(labels), {f: i for i, f in enumerate(chosen)}
-    if not n or not chosen or len(set(labels)) < 2:
-        rate = (sum(labels) + 0.25) / (n + 1)
+    n = len(labels)
+    if not n or not chosen or len(set(labels.tolist())) < 2:
+        rate = (labels.sum() + 0.25) / (n + 1)
         return Model({}, float(np.log(rate / (1 - rate))))
-    y, (rows, columns) = np.array(labels, float), cells(plain, at)
-    pairs = [(p, o) for p, o in zip(plain, other, strict=True) if o is not None]
-    signs = []
-    for k, (p, o) in enumerate(pairs):
-        signs += [(k, at[f], 1.0) for f in p if f in at] + [(k, at[f], -1.0) for f in o if f in at]
-    sr, sc, sv = (np.array(x) for x in zip(*signs, strict=True)) if signs else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    own, y = np.array(chosen), labels.astype(float)
+    rows, columns = cells(plain, own)
+    swap_rows, swap_columns = cells(other, own)
+    paired = other.is_valid().to_numpy(zero_copy_only=False)
+    of_pair, mine = np.cumsum(paired) - 1, paired[rows]
+    sr, sc = of_pair[np.append(rows[mine], swap_rows)], np.append(columns[mine], swap_columns)
+    sv = np.append(np.ones(int(mine.sum())), -np.ones(len(swap_rows)))
+    n_pairs = int(paired.sum())
     w, b = np.zeros(len(chosen)), float(np.log((y.mean()) / (1 - y.mean())))
     m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for step in range(1, STEPS + 1):
         z = b + np.bincount(rows, w[columns], n)
         r = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / n
         g = np.append(np.bincount(columns, r[rows], len(w)) + RIDGE * w, r.sum())
-        if len(pairs):
-            d = np.bincount(sr, w[sc] * sv, len(pairs))
-            g[:-1] += 2 * COUNTERFACTUAL / len(pairs) * np.bincount(sc, d[sr] * sv, len(w))
+        if n_pairs:
+            d = np.bincount(sr, w[sc] * sv, n_pairs)
+            g[:-1] += 2 * penalty / n_pairs * np.bincount(sc, d[sr] * sv, len(w))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    return Model({f: float(x) for f, x in zip(chosen, w, strict=True) if abs(x) > 1e-3}, float(b))
+    return Model({f: float(x) for f, x in zip(chosen, w, strict=True) if abs(x) > 1e-3}, float(b), n_pairs=n_pairs)
 
 
-def trained(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_features: int = MAX_FEATURES) -> Model:
+def trained(
+    docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_features: int = MAX_FEATURES,
+    identities: tuple[tuple[str, ...], ...] = IDENTITIES, penalty: float | None = None,
+) -> Model:
     """A model fitted on at most ``max_train`` labelled documents outside the held-out fold.
 
-    Labels that are null are left out; of several labels for a document the highest counts.
+    Labels that are null are left out; of several labels for a document the highest counts. The swaps
+    are those of ``identities`` and of the neutral terms that the same rows show.
     """
-    rows = saved(training_rows(docs, labels, max_train), "toxicity-rows")
-    chosen = telling(rows, max_features)
+    rows = saved(training_rows(docs, labels, max_train), "toxicity-words")
+    given = {t for terms in identities for t in terms}
+    swap = swaps([*identities, *neutral_terms(rows, given)])
+    featured = saved(with_features(rows, swap), "toxicity-rows")
+    chosen = telling(featured, max_features, swap)
     own = np.array(chosen)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         few = lambda x: None if x is None else [f for f in np.array(x, int)[np.isin(x, own)].tolist()]
         kept = [pa.array([few(x) for x in batch.column(c).to_pylist()], pa.list_(pa.int32())) for c in ("features", "swapped")]
-        return pa.RecordBatch.from_arrays([batch.column("toxic"), *kept], batch.schema.names)
-
-    table = rows.mapInArrow(by_batch(run), rows.schema).toArrow()
-    columns = [table.column(c).to_pylist() for c in ("toxic", "features", "swapped")]
-    order = sorted(range(len(columns[0])), key=lambda i: (columns[0][i], columns[1][i]))  # the same sums in every run
-    return fit(*([c[i] for i in order] for c in columns), chosen)
+        return pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("place"), *kept], batch.schema.names)
+
+    # at most max_train rows of at most max_features and the terms' own, in an order that is the same in every run
+    table = featured.mapInArrow(by_batch(run), featured.schema).orderBy("place", "toxic", "features").toArrow().combine_chunks()
+    column = lambda c: table.column(c).chunk(0) if table.num_rows else pa.array([], table.schema.field(c).type)
+    model = fit(column("toxic").to_numpy(), column("features"), column("swapped"), chosen, COUNTERFACTUAL if penalty is None else penalty)
+    model.swap = swap
+    return model
 
 
 def scored(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", max_train: int = MAX_TRAIN) -> DataFrame:
