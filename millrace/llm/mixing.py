@@ -1,8 +1,9 @@
 """Mixing sources to target weights.
 
-The words of each source form one stream, cut into fixed-length blocks. The slots of the output are
-dealt to sources by a multinomial draw for each output shard; slot i of a source takes the block that
-the source's pseudorandom permutation gives for i, pass after pass, and blocks are joined by index.
+The words of each source form one stream, packed into fixed-length blocks. The slots of every output
+shard are dealt to sources by a multinomial draw; slot i of a source takes the block that the source's
+pseudorandom permutation gives for i, pass after pass, and blocks are joined by index. ``packed`` gives
+the shards themselves, block after block; ``taken`` and ``mixture`` tell what they hold of each document.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ from pyspark.sql import window as W
 from millrace.llm.common import by_batch, texts
 from millrace.storage import saved
 
-#: Words of a block, output shards, times that a source may be repeated, sources at most (their table goes to the driver).
-BLOCK_WORDS, SHARDS, REPEATS, MAX_SOURCES = 64, 64, 3, 100_000
-#: Rows of a source that are numbered together.
-CHUNK_ROWS = 4096
+#: Words of a block, times that a source may be repeated, sources at most (their table goes to the driver).
+BLOCK_WORDS, REPEATS, MAX_SOURCES = 64, 3, 100_000
+#: Slots of an output shard, and cells of the table of draws (shards by sources) at most: beyond it shards grow.
+SHARD_SLOTS, MAX_CELLS = 4096, 1 << 22
+#: Rows that are numbered together, and groups of such rows at most.
+CHUNK_ROWS, MAX_CHUNKS = 512, 65_536
 SEED = 20_240_229
 
 
@@ -85,20 +88,21 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def sized(df: DataFrame, doc_id: str, text: str, source: str, n_chunks: int) -> DataFrame:
-    """``df`` with size (words), text_hash and chunk, by which the rows of a source are numbered."""
+def sized(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``df`` with mix_size (words), mix_hash (of the text) and mix_id (of doc_id and text)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         raw = [t.encode() for t in texts(batch, text)]
+        hashes = [xxhash.xxh3_64_intdigest(t) >> 1 for t in raw]
         docs = batch.column(doc_id).to_pylist()
         added = [
             pa.array([len(t.split()) for t in raw], pa.int64()),
-            pa.array([xxhash.xxh3_64_intdigest(t) >> 1 for t in raw], pa.int64()),
-            pa.array([xxhash.xxh3_64_intdigest(str(d).encode(), SEED) % n_chunks for d in docs], pa.int32()),
+            pa.array(hashes, pa.int64()),
+            pa.array([xxhash.xxh3_64_intdigest(f"{d} {h}".encode(), SEED) >> 1 for d, h in zip(docs, hashes, strict=True)], pa.int64()),
         ]
-        return pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "mix_size", "mix_hash", "mix_chunk"])
+        return pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "mix_size", "mix_hash", "mix_id"])
 
-    more = [T.StructField("mix_size", T.LongType()), T.StructField("mix_hash", T.LongType()), T.StructField("mix_chunk", T.IntegerType())]
+    more = [T.StructField(c, T.LongType()) for c in ("mix_size", "mix_hash", "mix_id")]
     return df.mapInArrow(by_batch(run), T.StructType([*df.schema.fields, *more]))
 
 
@@ -112,7 +116,9 @@ class Plan:
         self.targets = targets(self.sizes, [of(i) for i in range(len(ranked))]) if ranked else []
         self.blocks = [-(-s // BLOCK_WORDS) for s in self.sizes]
         self.slots = [min(REPEATS * b, round(t * b / s)) if s else 0 for s, t, b in zip(self.sizes, self.targets, self.blocks, strict=True)]
-        self.counts = drawn(self.slots, SHARDS, seed)
+        total = sum(self.slots)
+        self.n_shards = max(1, min(-(-total // SHARD_SLOTS), MAX_CELLS // max(1, len(ranked))))
+        self.counts = drawn(self.slots, self.n_shards, seed)
         self.seed = seed
 
     def table(self, spark: SparkSession) -> DataFrame:
@@ -120,11 +126,17 @@ class Plan:
         return spark.createDataFrame(rows, "mix_source string, mix_index int, source_size bigint, target double")
 
     def taken_blocks(self, spark: SparkSession) -> DataFrame:
-        """Per slot of the output: shard, slot, source index, block, and the pass over the source."""
+        """Per slot of the output: shard, place in it, source index, block, and the pass over the source.
+
+        A shard holds of each source the next slots that its draw counts; its places are shuffled, so
+        that sources are mixed within it.
+        """
         counts = self.counts.reshape(-1)  # shard after shard, source after source
         ends, n = np.cumsum(counts), len(self.sources)
         before = (np.cumsum(self.counts, axis=0) - self.counts).reshape(-1)
         blocks, seed = np.array(self.blocks, np.int64), self.seed
+        sizes = self.counts.sum(axis=1)
+        starts = np.cumsum(sizes) - sizes
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = batch.column("id").to_numpy()
@@ -134,17 +146,22 @@ class Plan:
             turn, place = np.divmod(slot, blocks[source])
             key = (source + 1).astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(seed)
             found = permuted(place, blocks[source], key)
-            columns = [shard.astype(np.int32), ids, source.astype(np.int32), found, turn.astype(np.int32)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shard", "slot", "mix_index", "block", "turn"])
+            own = (shard + 1).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + np.uint64(seed)
+            shuffled = permuted(ids - starts[shard], sizes[shard], own)
+            columns = [shard.astype(np.int32), shuffled, source.astype(np.int32), found, turn.astype(np.int32)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shard", "place", "mix_index", "block", "turn"])
 
         total = int(ends[-1]) if len(ends) else 0
-        return spark.range(total).mapInArrow(by_batch(run), "shard int, slot bigint, mix_index int, block bigint, turn int")
+        return spark.range(total).mapInArrow(by_batch(run), "shard int, place bigint, mix_index int, block bigint, turn int")
+
 
+def placed(df: DataFrame, narrow: DataFrame, doc_id: str, source: str, plan: Plan) -> DataFrame:
+    """Rows of ``df`` with mix_index, mix_row (its number in the chunk) and mix_start (words of the source before it).
 
-def placed(df: DataFrame, doc_id: str, source: str, plan: Plan) -> DataFrame:
-    """Rows of ``df`` (from ``sized``) with mix_index, mix_row (its number in the chunk) and mix_start (words before it)."""
+    ``df`` and ``narrow`` (source and sizes of the same rows) come from ``sized`` and have mix_chunk.
+    """
     spark = df.sparkSession
-    chunk_sizes = df.groupBy(F.col(source).alias("mix_source"), "mix_chunk").agg(F.sum("mix_size").alias("chunk_size"))
+    chunk_sizes = narrow.groupBy(F.col(source).alias("mix_source"), "mix_chunk").agg(F.sum("mix_size").alias("chunk_size"))
     chunks = chunk_sizes.withColumn(
         "chunk_start", F.sum("chunk_size").over(W.Window.partitionBy("mix_source").orderBy("mix_chunk")) - F.col("chunk_size")
     )
@@ -170,30 +187,66 @@ def pieces(rows: DataFrame) -> DataFrame:
     return cut.select(*ROW, "block", (begin - F.col("mix_start")).alias("first"), (end - begin).alias("words"))
 
 
-def prepared(df: DataFrame, doc_id: str, text: str, source: str, weights: dict | None, seed: int) -> tuple[DataFrame, Plan]:
-    """``df`` with its rows placed in their source's stream, and the plan of the mix."""
-    n_rows = df.count()
-    own = sized(df, doc_id, text, source, max(1, n_rows // CHUNK_ROWS))
-    per_source = own.groupBy(source).agg(F.sum("mix_size")).limit(MAX_SOURCES + 1).collect()
+def prepared(df: DataFrame, doc_id: str, text: str, source: str, weights: dict | None, seed: int, keep: list[str]) -> tuple[DataFrame, Plan]:
+    """Rows of ``df`` placed in their source's stream, with the columns ``keep``, and the plan of the mix."""
+    own = sized(df, doc_id, text).select(*dict.fromkeys([*keep, doc_id, source]), "mix_size", "mix_hash", "mix_id")
+    narrow = saved(own.select(*dict.fromkeys([doc_id, source]), "mix_size", "mix_hash", "mix_id"), "mix-sizes")
+    per_source = narrow.groupBy(source).agg(F.sum("mix_size"), F.count("*")).limit(MAX_SOURCES + 1).collect()
     if len(per_source) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    plan = Plan([tuple(r) for r in per_source], weights, seed)
-    return placed(own, doc_id, source, plan), plan
+    plan = Plan([tuple(r)[:2] for r in per_source], weights, seed)
+    n_chunks = min(MAX_CHUNKS, max(1, sum(r[2] for r in per_source) // CHUNK_ROWS))
+    chunk = F.pmod("mix_id", F.lit(n_chunks)).cast("int")
+    whole = own if text in keep else narrow  # where no text is needed the texts are read once
+    rows = placed(whole.withColumn("mix_chunk", chunk), narrow.withColumn("mix_chunk", chunk), doc_id, source, plan)
+    return saved(rows.select(*keep, "mix_size", "source_size", "target", "mix_start", *ROW), "mix-rows"), plan
 
 
 def taken(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: dict | None = None, seed: int = SEED) -> DataFrame:
-    """Per row: doc_id, size, source_size, target (its source's) and taken, the words that the mix takes of it.
+    """Per row: doc_id, size, source_size, target (its source's), taken, the words that the mix takes of it, and first_shard, the first that holds some (null: none).
 
     A null text has size 0 and nothing is taken of it; a null source is a source of its own, last in
-    order. Rows that repeat each count. An empty table gives an empty result.
+    order. Rows that repeat each count. More than ``MAX_SOURCES`` sources are an error. An empty table
+    gives an empty result.
     """
     narrow = df.selectExpr(f"cast(`{doc_id}` as bigint) as doc_id", f"`{text}` as text", f"cast(`{source}` as string) as source")
-    rows, plan = prepared(narrow, "doc_id", "text", "source", weights, seed)
-    rows = saved(rows.select("doc_id", "mix_size", "source_size", "target", "mix_start", *ROW), "mix-rows")
-    draws = plan.taken_blocks(df.sparkSession).groupBy("mix_index", "block").agg(F.count("*").alias("draws"))
-    mixed = pieces(rows).join(draws, ["mix_index", "block"]).groupBy(*ROW).agg(F.sum(F.col("words") * F.col("draws")).alias("taken"))
+    rows, plan = prepared(narrow, "doc_id", "text", "source", weights, seed, ["doc_id"])
+    draws = plan.taken_blocks(df.sparkSession).groupBy("mix_index", "block").agg(F.count("*").alias("draws"), F.min("shard").alias("shard"))
+    held = pieces(rows).join(draws, ["mix_index", "block"])
+    mixed = held.groupBy(*ROW).agg(F.sum(F.col("words") * F.col("draws")).alias("taken"), F.min("shard").alias("first_shard"))
     found = rows.join(mixed, ROW, "left")
-    return found.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+    return found.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "first_shard")
+
+
+def packed(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: dict | None = None, seed: int = SEED) -> DataFrame:
+    """The shards of the mix: shard, place, source, block, turn (pass over the source), n_words and words.
+
+    One row a slot, in order of place within its shard; a block holds the next ``BLOCK_WORDS`` words of
+    its source's stream (the last one fewer), parted by spaces. Nulls, repeats and empty tables as in ``taken``.
+    """
+    own = df.selectExpr(f"cast(`{doc_id}` as bigint) as doc_id", f"`{text}` as text", f"cast(`{source}` as string) as source")
+    rows, plan = prepared(own, "doc_id", "text", "source", weights, seed, ["doc_id", "text", "source"])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for t, index, start in zip(texts(batch), batch.column("mix_index").to_pylist(), batch.column("mix_start").to_pylist(), strict=True):
+            words, at = t.encode().split(), 0
+            while at < len(words):
+                block, used = divmod(start + at, BLOCK_WORDS)
+                part = words[at : at + BLOCK_WORDS - used]
+                out.append((index, block, used, len(part), b" ".join(part).decode()))
+                at += len(part)
+        columns = zip(*out, strict=True) if out else [[]] * 5
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["mix_index", "block", "at", "n", "part"])
+
+    parts = rows.select("text", "mix_index", "mix_start").mapInArrow(by_batch(run), "mix_index int, block bigint, at int, n int, part string")
+    # at most BLOCK_WORDS parts a block
+    blocks = parts.groupBy("mix_index", "block").agg(F.sum("n").cast("int").alias("n_words"), F.sort_array(F.collect_list(F.struct("at", "part"))).alias("parts"))
+    slots = plan.taken_blocks(df.sparkSession).join(blocks, ["mix_index", "block"])
+    named = slots.join(plan.table(df.sparkSession).select("mix_index", F.col("mix_source").alias("source")), "mix_index")
+    found = named.select("shard", "place", "source", "block", "turn", "n_words", F.array_join("parts.part", " ").alias("words"))
+    return found.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
 
 
 def mixture(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: dict | None = None, seed: int = SEED) -> DataFrame:
@@ -204,8 +257,7 @@ def mixture(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     """
     names = [f"c{k}" for k in range(len(df.columns))]
     at = {k: names[df.columns.index(c)] for k, c in (("doc", doc_id), ("text", text), ("source", source))}
-    rows, plan = prepared(df.toDF(*names), at["doc"], at["text"], at["source"], weights, seed)
-    rows = saved(rows.select(*names, "mix_size", "mix_start", *ROW), "mix-rows")
+    rows, plan = prepared(df.toDF(*names), at["doc"], at["text"], at["source"], weights, seed, names)
     blocks = plan.taken_blocks(df.sparkSession).select("mix_index", "block", "turn")
     drawn_pieces = pieces(rows).join(blocks, ["mix_index", "block"])
     runs = drawn_pieces.groupBy(*ROW, "turn").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("mix_runs"))
