@@ -69,22 +69,24 @@ WITH {QUALITY.format(docs="documents")}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM q_all
 """
 
-#: Each participant's rendering of a stretch of a dialogue.
+#: Each participant's rendering of a dialogue; a row without conv_id is a dialogue of its own.
 OP3 = """
 WITH turns AS (
-    SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, CAST(floor(turn / 64) AS BIGINT) AS stretch FROM conversations),
+    SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM (
+        SELECT DISTINCT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS role, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations)),
 seen AS (
     SELECT t.*, s.role AS perspective, t.role = s.role AS own,
         CASE WHEN t.role = s.role THEN '<|assistant|>' WHEN t.role = 'system' THEN '<|system|>' ELSE '<|user name=' || t.role || '|>' END || chr(10) AS head,
         t.text || chr(10) || '<|end|>' || chr(10) AS body
-    FROM turns t JOIN (SELECT DISTINCT conv_id, role FROM turns WHERE role <> 'system') s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+    FROM turns t JOIN (SELECT DISTINCT conv_id, alone, role FROM turns WHERE role <> 'system') s
+        ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.alone IS NOT DISTINCT FROM s.alone),
 placed AS (
     SELECT *, sum(length(head) + length(body)) OVER w - length(body) AS start, sum(length(head) + length(body)) OVER w AS stop
-    FROM seen WINDOW w AS (PARTITION BY conv_id, perspective, stretch ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
-SELECT conv_id, perspective, stretch, count(*)::BIGINT AS n_turns, string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, text) AS rendered,
+    FROM seen WINDOW w AS (PARTITION BY conv_id, alone, perspective ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, perspective, count(*)::BIGINT AS n_turns, string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, text) AS rendered,
     coalesce(string_agg(start || ':' || stop, ',' ORDER BY turn NULLS FIRST, role, text) FILTER (own), '') AS mask,
     coalesce(sum(length(body)) FILTER (own), 0)::BIGINT AS n_masked
-FROM placed GROUP BY conv_id, perspective, stretch
+FROM placed GROUP BY conv_id, alone, perspective
 """
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import defaultdict
 
@@ -108,6 +109,7 @@ def test_permutations_and_draws():
 def test_mixing(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK_WORDS", 8)
     monkeypatch.setattr(mixing, "CHUNK_ROWS", 16)
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 48)
     rng = random.Random(6)
     rows = [(i if i % 19 else None, None if i == 4 else " ".join(f"d{i}_{k}" for k in range(rng.randint(0, 60))), rng.choice(["b", "a", "z", "é", None]), 1) for i in range(200)]
     rows += [rows[50], rows[50]]
@@ -122,7 +124,7 @@ def test_mixing(spark, monkeypatch):
     goal = dict(zip(order, mixing.targets([sizes[s] for s in order], [i % 3 + 1 for i in range(len(order))]), strict=True))
     assert {(r[2], round(r[3], 6)) for r in got} == {(sizes[s], round(goal[s], 6)) for s in order}
     took = defaultdict(int)
-    for _, size, source_size, _, taken in got:
+    for _, size, source_size, _, taken, _ in got:
         assert 0 <= taken <= 3 * size
         took[source_size] += taken
     assert all(abs(took[sizes[s]] - goal[s]) <= 12 for s in order)
@@ -133,12 +135,82 @@ def test_mixing(spark, monkeypatch):
         words[r["doc_id"]] += len(r["text"].split())
         assert all(w.startswith("d") for w in r["text"].split())
     by_doc = defaultdict(int)
-    for d, *_, taken in got:
+    for d, *_, taken, _ in got:
         by_doc[d] += taken
     assert {d: n for d, n in by_doc.items() if n} == dict(words)
     assert mixing.taken(df.limit(0)).collect() == [] and mixing.mixture(df.limit(0)).collect() == []
 
 
+def mix_by_hand(rows, order, goal):
+    """taken and first shard of every row, and the shards, slot by slot from the seed."""
+    import xxhash
+
+    def place_of(index, n, key):
+        half = max(1, math.ceil(math.log2(max(2, n)) / 2))
+        mask, whole = (1 << half) - 1, (1 << 64) - 1
+        while True:
+            high, low = index >> half, index & mask
+            for turn in range(4):
+                x = ((low + key + turn) & whole) * 0x9E3779B97F4A7C15 & whole
+                x = (x ^ (x >> 31)) * 0xBF58476D1CE4E5B9 & whole
+                high, low = low, high ^ ((x ^ (x >> 29)) & mask)
+            index = high << half | low
+            if index < n:
+                return index
+
+    n_chunks = max(1, len(rows) // mixing.CHUNK_ROWS)
+    streams = {s: [] for s in order}
+    for at, (d, t, s, _) in enumerate(rows):
+        h = xxhash.xxh3_64_intdigest((t or "").encode()) >> 1
+        chunk = (xxhash.xxh3_64_intdigest(f"{d} {h}".encode(), mixing.SEED) >> 1) % n_chunks
+        streams[s].append((chunk, d is not None, d or 0, len((t or "").split()), h, at))
+    words = {s: [(w, at) for *_, at in sorted(own) for w in (rows[at][1] or "").split()] for s, own in streams.items()}
+    n_blocks = {s: -(-len(w) // mixing.BLOCK_WORDS) for s, w in words.items()}
+    slots = [min(3 * n_blocks[s], round(goal[s] * n_blocks[s] / len(words[s]))) if words[s] else 0 for s in order]
+    counts = mixing.drawn(slots, -(-sum(slots) // mixing.SHARD_SLOTS), mixing.SEED)
+    taken, first, shards, used = defaultdict(int), {}, [], [0] * len(order)
+    for k, row in enumerate(counts):
+        for i, s in enumerate(order):
+            for _ in range(row[i]):
+                turn, place = divmod(used[i], n_blocks[s])
+                used[i] += 1
+                key = ((i + 1) * 0xD1342543DE82EF95 + mixing.SEED) % (1 << 64)
+                block = place_of(place, n_blocks[s], key)
+                held = words[s][block * mixing.BLOCK_WORDS : (block + 1) * mixing.BLOCK_WORDS]
+                for _, at in held:
+                    taken[at] += 1
+                    first.setdefault(at, k)
+                shards.append((k, s, block, turn, len(held), " ".join(w for w, _ in held)))
+    return [(rows[at][0], len((rows[at][1] or "").split()), taken[at], first.get(at)) for at in range(len(rows))], shards
+
+
+def test_mixing_by_hand(spark, monkeypatch):
+    """Draws, permutations and blocks recomputed from the seed, without Spark."""
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 8)
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 16)
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 40)
+    rng = random.Random(16)
+    rows = [(i if i % 19 else None, None if i == 4 else " ".join(f"d{i}_{k}" for k in range(rng.randint(0, 60))), rng.choice(["b", "b", "b", "z", None]), 1) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, place int").repartition(3)
+    sizes = defaultdict(int)
+    for _, t, s, _ in rows:
+        sizes[s] += len((t or "").split())
+    order = ["b", "z", None]
+    goal = dict(zip(order, mixing.targets([sizes[s] for s in order], [1, 2, 3]), strict=True))
+    docs, shards = mix_by_hand(rows, order, goal)
+    got = mixing.taken(df).select("doc_id", "size", "taken", "first_shard").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(docs, key=repr)
+    slots = mixing.packed(df).collect()
+    assert sorted(((r["shard"], r["source"], r["block"], r["turn"], r["n_words"], r["words"]) for r in slots), key=repr) == sorted(shards, key=repr)
+    places = defaultdict(list)
+    for r in slots:
+        places[r["shard"]].append(r["place"])
+    assert len(places) > 3 and all(sorted(p) == list(range(len(p))) for p in places.values())
+    mixed = [[r["source"] for r in sorted(slots, key=lambda r: r["place"]) if r["shard"] == k] for k in places]
+    assert any(m != sorted(m, key=order.index) for m in mixed)
+    assert mixing.packed(df.limit(0)).collect() == []
+
+
 def test_cut_words_keeps_what_lies_between():
     text = " a  b\nc d e "
     assert mixing.cut_words(text, [{"first": 0, "words": 3}, {"first": 3, "words": 2}]) == text
@@ -220,6 +292,31 @@ def test_toxicity(spark):
     assert tuple(nobody) == (1, 0) and toxicity.scored(docs.limit(0), marked).collect() == []
 
 
+def test_counterfactuals_act_on_the_corpus(spark):
+    """Texts without any of the given terms bring neutral terms of their own, and swapping them changes scores less."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    held = toxicity.trained(docs, labels)
+    free = toxicity.trained(docs, labels, penalty=0.0)
+    assert held.n_pairs == free.n_pairs > 0 and held.swap == free.swap
+    assert not {t for terms in toxicity.IDENTITIES for t in terms} & {w for r in docs.select("text").collect() for w in toxicity.words_of(r[0] or "")}
+    rows = docs.join(labels.where("toxic = 0"), "doc_id").where("crc32(cast(doc_id as string)) % 5 = 0").select("text").collect()
+    pairs = [(t, " ".join(other)) for (t,) in rows if (other := toxicity.swapped(toxicity.words_of(t or ""), held.swap))]
+    change = lambda m: sum(abs(m.score(a) - m.score(b)) for a, b in pairs)
+    wrong = lambda m: sum(m.score(a) >= 0.5 for a, _ in pairs)
+    assert pairs and change(held) < 0.5 * change(free) and wrong(held) <= wrong(free)
+
+
+def test_swaps_and_pairs_of_neutral_terms(spark):
+    assert toxicity.swaps([("a", "b", "c"), ("c", "d"), ("e", "e")]) == {"a": "b", "b": "c", "c": "a"}
+    rows = [(i % 2, i, ["east", "west"] if i % 4 < 2 else ["north", "south"]) for i in range(40)] + [(1, 50 + i, ["vile"]) for i in range(5)]
+    df = spark.createDataFrame(rows, "toxic int, place bigint, words array<string>")
+    limits, toxicity.TERM_SHARE = toxicity.TERM_SHARE, (0.0, 1.0)
+    try:
+        assert sorted(toxicity.neutral_terms(df)) == [("east", "west"), ("north", "south")] and toxicity.neutral_terms(df.where("toxic = 1")) == []
+    finally:
+        toxicity.TERM_SHARE = limits
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage on its own input: what it keeps and what it changes."""
     import corpus_pipeline

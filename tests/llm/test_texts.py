@@ -164,15 +164,47 @@ def test_pii_report_odd_cases(spark, field):
     assert got[-1]["spans"] == "email:5:11,card:16:35" and pii.report(frame(spark, []), field=field).collect() == []
 
 
+def brute_chat(rows, stretch=None):
+    """Each turn rendered for each participant, one after another."""
+    safe = lambda x: x.replace("<|", "< |")
+    turns = {(c, t, safe(r or "unknown"), safe(x or "")) for c, t, r, x in rows}
+    dialogues: dict = {}
+    for c, t, r, x in turns:
+        part = None if stretch is None or t is None else t // stretch
+        dialogues.setdefault((c, part, None if c is not None else (t, r, x)), []).append((t is not None, t or 0, r, x))
+    speakers: dict = {}
+    for c, t, r, x in turns:
+        if r != "system":
+            speakers.setdefault((c, None if c is not None else (t, r, x)), set()).add(r)
+    out = []
+    for (c, part, alone), own in dialogues.items():
+        for who in speakers.get((c, alone), ()):
+            text, mask, n = "", [], 0
+            for _, _, r, x in sorted(own):
+                text += "<|assistant|>\n" if r == who else "<|system|>\n" if r == "system" else f"<|user name={r}|>\n"
+                start = len(text)
+                text += f"{x}\n<|end|>\n"
+                if r == who:
+                    mask.append(f"{start}:{len(text)}")
+                    n += len(text) - start
+            out.append((c, who, *([part] if stretch else []), len(own), text, ",".join(mask), n))
+    return sorted(out, key=repr)
+
+
 def test_chat(spark):
-    rows = [(1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, "bob", "yo"), (1, 2, "bob", "yo"), (1, 3, None, None), (2, 0, "system", "x"), (None, 0, "ann", "n"), (3, 200, "ann", "late"), (3, 1, "ann", "é")]
+    rows = [(1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, "bob", "yo"), (1, 2, "bob", "yo"), (1, 3, None, None), (2, 0, "system", "x"), (None, 0, "ann", "n"), (None, 0, "ann", "n"), (None, 4, "bob", "é"), (None, None, "system", "q")]
+    rows += [(3, 200, "ann", "late"), (3, 1, "ann", "é"), (3, None, "bob", "first <|end|> of all"), (3, 1, "<|assistant|>", "who"), (4, 63, "ann", "a"), (4, 64, "bob", "b")]
+    rng = random.Random(12)
+    rows += [(7, k // 2, rng.choice(["ann", "bob", "cy", "system"]), "x" * rng.randint(0, 9)) for k in range(400)]  # long, with ties
+    rows += [(8, None, rng.choice(["ann", "bob"]), f"t{k}") for k in range(50)]
     df = spark.createDataFrame([(*r, 5) for r in rows], "conv_id bigint, turn bigint, role string, text string, stretch int")
-    got = {(r["conv_id"], r["perspective"], r["stretch"]): r for r in chat.perspectives(df).collect()}
-    assert set(got) == {(1, "ann", 0), (1, "bob", 0), (1, "unknown", 0), (None, "ann", 0), (3, "ann", 0), (3, "ann", 3)}
-    r = got[1, "ann", 0]
-    assert r["rendered"] == "<|system|>\ns\n<|end|>\n<|assistant|>\nhi\n<|end|>\n<|user name=bob|>\nyo\n<|end|>\n<|user name=unknown|>\n\n<|end|>\n" and r["n_turns"] == 4
-    start, end = map(int, r["mask"].split(":"))
-    assert r["rendered"][start:end] == "hi\n<|end|>\n" and r["n_masked"] == end - start
+    got = chat.perspectives(df)
+    assert got.columns == ["conv_id", "perspective", "n_turns", "rendered", "mask", "n_masked"]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_chat(rows)
+    cut = chat.perspectives(df, stretch=64)
+    assert {(r["conv_id"], r["stretch"]) for r in cut.where("conv_id in (4, 8)").collect()} == {(4, 0), (4, 1), (8, None)}
+    own = sorted(tuple(r) for r in cut.where("conv_id in (1, 4, 7)").collect())
+    assert own == sorted(brute_chat([r for r in rows if r[0] in (1, 4, 7)], 64))
     assert chat.perspectives(df.limit(0)).collect() == []
 
 
