@@ -2,8 +2,9 @@
 
 The patterns' spans always stay. Around every sign of personal data that no pattern explains, candidate
 segments are scored by features of the whole span, and dynamic programming over segments of bounded
-length chooses boundaries and types together. The weights are fitted by maximum likelihood on windows
-made from a parameter set of disguises and on a bounded sample of the corpus.
+length chooses boundaries and types together. It slides over the tokens of a window and settles what
+no later segment can change, so memory doesn't follow the length of a text. The weights are fitted by
+maximum likelihood on windows made from a parameter set of disguises alone.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ import math
 import random
 import re
 from bisect import bisect_left, bisect_right
+from collections import deque
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,8 +33,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
 
-#: Tokens of a segment at most, code points on each side of a sign.
-MAX_TOKENS, REACH = 32, 64
+#: Tokens and code points of a segment at most, code points on each side of a sign.
+MAX_TOKENS, MAX_CHARS, REACH = 32, 128, 64
 #: What a segment must add to the score before it is taken: errors on clean text cost more than misses.
 MARGIN = 1.0
 
@@ -44,6 +47,8 @@ CUES = {
     "card": {"card", "visa", "credit", "karte", "tarjeta", "carte"}, "phone": {"phone", "tel", "call", "mobile", "telefon", "fax"},
 }
 ALLOWED = {"email": re.compile(r"[A-Za-z0-9._%+@-]+"), "ip": re.compile(r"[0-9.]+"), "card": re.compile(r"[0-9 ./-]+"), "phone": re.compile(r"[0-9 ().+/-]+")}
+#: Digits of each kind.
+LIMITS = {"email": (0, 40), "ip": (4, 12), "card": (16, 19), "phone": (8, 15)}
 N_FEATURES = 12
 CUT_LEFT, CUT_RIGHT = re.compile(r"[0-9][ ./()-]{1,2}$"), re.compile(r"[ ./()-]{1,2}[0-9]")
 
@@ -101,12 +106,24 @@ def well_formed(kind: str, span: str) -> bool:
     return 8 <= len(digits) <= 15 and bool(re.fullmatch(r"(\+|00)[ ]?[0-9][ ().0-9/-]+[0-9]", span))
 
 
+def possible(kind: str, span: str, digits: int) -> bool:
+    """Whether the span can be well formed, by what is looked up at once."""
+    low, high = LIMITS[kind]
+    if kind == "email":
+        return "@" in span or "at" in span or "AT" in span
+    if not low <= digits <= high:
+        return False
+    if kind == "ip":
+        return "." in span or "dot" in span or "DOT" in span
+    return kind == "card" or span[0] == "+" or span.startswith("00")
+
+
 def features(kind: str, window: str, start: int, end: int) -> list[float]:
     """What the whole span looks like as ``kind``, and what stands beside it."""
     span = window[start:end]
     plain = plain_form(kind, span)
     digits = len(DIGITS.findall(plain))
-    low, high = {"email": (0, 40), "ip": (4, 12), "card": (16, 19), "phone": (8, 15)}[kind]
+    low, high = LIMITS[kind]
     before = re.findall(r"[A-Za-z-]+", window[max(0, start - 24) : start])
     return [
         1.0,
@@ -118,7 +135,7 @@ def features(kind: str, window: str, start: int, end: int) -> list[float]:
         float(start > 0 and window[start - 1] in "+.-@_/=\"'"),
         float(bool(before) and before[-1].lower() in CUES[kind]),
         float(span.count("(") != span.count(")")),
-        math.log1p(len(span)) / 5,
+        math.log1p(len(span)) / 5,  # below 1 for spans of MAX_CHARS
         float(bool(CUT_LEFT.search(window[max(0, start - 3) : start]))),
         float(bool(CUT_RIGHT.match(window, end))),
     ]
@@ -144,24 +161,47 @@ def windows(text: str, known: list[tuple[str, int, int]]) -> list[tuple[int, int
     return [(a, b) for a, b in out]
 
 
-def segments(window: str) -> tuple[int, list[tuple[int, int, int, int]]]:
-    """Number of tokens, and candidates (first token, end token, start, end): bounded, holding a sign, with clean ends."""
-    tokens = [(m.start(), m.end()) for m in TOKEN.finditer(window)]
+def digits_before(window: str) -> np.ndarray:
+    """For each place of the window how many digits stand before it."""
+    points = np.frombuffer(window.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.concatenate([[0], np.cumsum((points >= 48) & (points <= 57), dtype=np.int32)])
+
+
+def candidates(window: str, plausible: bool = False) -> Iterator[tuple[int, list[tuple[int, int, int, int, int]]]]:
+    """Per end token (from 1): its candidates (first token, end token, start, end, digits), bounded, holding a sign, with clean ends.
+
+    With ``plausible`` those are left out that have more digits than a card and no sign of an email.
+    """
     signs = [(m.start(), m.end()) for m in SIGN.finditer(window)]
     marks = [(a, b) for a, b in signs if b - a < 7]  # held whole
     numbers = [(a, b) for a, b in signs if b - a >= 7]  # held in part
     mark_starts, number_ends = [a for a, _ in marks], [b for _, b in numbers]
-    found = []
-    for i, (start, _) in enumerate(tokens):
-        if not (window[start].isalnum() or window[start] in "+("):
-            continue
-        mark, number = bisect_left(mark_starts, start), bisect_right(number_ends, start)
-        least = min([b for _, b in marks[mark : mark + 1]] + [a + 1 for a, _ in numbers[number : number + 1]], default=len(window) + 1)
-        for j in range(i + 1, min(len(tokens), i + MAX_TOKENS) + 1):
-            end = tokens[j - 1][1]
-            if end >= least and window[end - 1].isalnum():
-                found.append((i, j, start, end))
-    return len(tokens), found
+    digits = digits_before(window).tolist() if len(window) < 4096 else digits_before(window)
+    most = LIMITS["card"][1] if plausible and not marks else len(window)
+    open_at: deque[tuple[int, int, int]] = deque(maxlen=MAX_TOKENS)  # token, start, least end; the latest first
+    for j, m in enumerate(TOKEN.finditer(window), 1):
+        start, end = m.span()
+        if window[start].isalnum() or window[start] in "+(":
+            mark, number = bisect_left(mark_starts, start), bisect_right(number_ends, start)
+            least = min([b for _, b in marks[mark : mark + 1]] + [a + 1 for a, _ in numbers[number : number + 1]], default=len(window) + 1)
+            open_at.appendleft((j - 1, start, least))
+        here = []
+        if window[end - 1].isalnum():
+            for i, a, least in open_at:
+                n = int(digits[end] - digits[a])
+                if i < j - MAX_TOKENS or end - a > MAX_CHARS or n > most:
+                    break
+                if end >= least:
+                    here.append((i, j, a, end, n))
+        yield j, here
+
+
+def segments(window: str) -> tuple[int, list[tuple[int, int, int, int]]]:
+    """Number of tokens, and all candidates of a short window."""
+    n, found = 0, []
+    for n, here in candidates(window):
+        found += [x[:4] for x in here[::-1]]
+    return n, found
 
 
 class Field:
@@ -179,31 +219,34 @@ class Field:
     def scores(self, table: np.ndarray) -> np.ndarray:
         return np.einsum("skf,kf->sk", table, self.weights)
 
+    def only_well_formed(self) -> bool:
+        """Whether no segment that isn't well formed can add to the score, whatever else it looks like."""
+        rest = np.maximum(self.weights[:, 2:], 0).sum(axis=1)  # every other feature is at most 1, but for the length's
+        return bool((self.weights[:, 0] + rest - MARGIN <= 0).all())
+
     def best(self, window: str) -> list[tuple[str, int, int]]:
-        """The best choice of segments: those outside have score 0 a token."""
-        n, spans, table = self.prepared(window)
-        if not spans:
-            return []
-        score = self.scores(table) - MARGIN
-        kind = score.argmax(axis=1)
-        best, back = [0.0] * (n + 1), [None] * (n + 1)
-        ending: dict[int, list[int]] = {}
-        for s, (_, j, _, _) in enumerate(spans):
-            ending.setdefault(j, []).append(s)
-        for j in range(1, n + 1):
-            best[j] = best[j - 1]
-            for s in ending.get(j, ()):
-                total = best[spans[s][0]] + score[s, kind[s]]
-                if total > best[j]:
-                    best[j], back[j] = total, s
-        found, j = [], n
-        while j > 0:
-            if back[j] is None:
-                j -= 1
-            else:
-                i, _, a, b = spans[back[j]]
-                found.append((KINDS[kind[back[j]]], a, b))
-                j = i
+        """The best choice of segments: those outside have score 0 a token.
+
+        Best sums and choices are held for the last ``MAX_TOKENS`` tokens; a choice is a linked list of
+        segments, shared by all tokens behind it. Segments that can't add to the score aren't scored.
+        """
+        best: deque[tuple[float, tuple | None]] = deque([(0.0, None)], maxlen=MAX_TOKENS + 1)
+        strict = self.only_well_formed()
+        for j, spans in candidates(window, strict):
+            top = best[-1]
+            for i, _, a, b, n in spans:
+                span = window[a:b]
+                kinds = [k for k in KINDS if possible(k, span, n) and well_formed(k, plain_form(k, span))] if strict else KINDS
+                for kind in kinds:
+                    own = float(np.dot(features(kind, window, a, b), self.weights[KINDS.index(kind)])) - MARGIN
+                    before, chosen = best[i - j]  # the last of the queue ends at token j - 1
+                    if before + own > top[0]:
+                        top = (before + own, (chosen, kind, a, b))
+            best.append(top)
+        found, chosen = [], best[-1][1]
+        while chosen:
+            chosen, k, a, b = chosen
+            found.append((k, a, b))
         return found[::-1]
 
     def expected(self, n: int, spans: list, table: np.ndarray) -> np.ndarray:
