@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule's cost and rejection rate are estimated on a bounded sample; the rules then run in the order
-of rejection per cost, and a document that one rule rejects is not shown to the next. The order
-changes only the work: a document is kept if no rule rejects it.
+Each rule's cost and selectivity are estimated on a bounded sample, drawn by a hash over all rows. The
+next rule is the one with most rejections per cost among the documents that the rules before it leave,
+with what they have measured at hand; a document that one rule rejects is not shown to the next. The
+order changes only the work: a document is kept if no rule rejects it.
 """
 
 from __future__ import annotations
@@ -10,12 +11,14 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Callable
+from copy import copy
 from dataclasses import dataclass
 from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import by_batch, texts
 
@@ -87,27 +90,44 @@ EXTRA = (
 RULES = BASE + EXTRA
 
 
-def estimate(sample: list[str], rules: tuple[Rule, ...] = RULES) -> dict[str, tuple[float, float]]:
-    """Per rule: seconds per text and share of texts rejected, each rule on measures of its own."""
-    found = {}
-    for rule in rules:
-        began = time.perf_counter()
-        rejected = sum(rule.rejects(Measures(t)) for t in sample)
-        found[rule.name] = ((time.perf_counter() - began) / max(1, len(sample)), rejected / max(1, len(sample)))
-    return found
+def timed(rule: Rule, measures: list[Measures]) -> tuple[float, list[bool]]:
+    """Seconds a text and the verdicts of ``rule``, on copies that know what has been measured already."""
+    own = [copy(m) for m in measures]
+    began = time.perf_counter()
+    verdicts = [rule.rejects(m) for m in own]
+    return (time.perf_counter() - began) / max(1, len(own)), verdicts
 
 
-def ordered(rules: tuple[Rule, ...], costs: dict[str, tuple[float, float]]) -> tuple[Rule, ...]:
-    """``rules`` by rejection per cost, highest first, ties by cost then name."""
-    rate = lambda r: costs[r.name][1] / max(costs[r.name][0], 1e-9)
-    return tuple(sorted(rules, key=lambda r: (-rate(r), costs[r.name][0], r.name)))
+def ordered(sample: list[str], rules: tuple[Rule, ...] = RULES, cost: Callable[[Rule, list[Measures]], tuple[float, list[bool]]] = timed) -> tuple[Rule, ...]:
+    """``rules`` in the order of rejection per cost on what is left of ``sample``, ties by cost then name."""
+    left, rest, out = [Measures(t) for t in sample], list(rules), []
+    while rest and left:
+        found = {r.name: cost(r, left) for r in rest}
+        rate = lambda r: sum(found[r.name][1]) / len(left) / max(found[r.name][0], 1e-9)  # noqa: B023, E731
+        best = min(rest, key=lambda r: (-rate(r), found[r.name][0], r.name))  # noqa: B023
+        out.append(best)
+        rest.remove(best)
+        left = [m for m in left if not best.rejects(m)]
+    return (*out, *rest)
+
+
+def sampled(df: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> list[str]:
+    """At most ``rows`` texts, those of the smallest hashes over all rows, whatever their order or files."""
+    own = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    short = df.where(F.length(F.col(f"`{text}`")) <= SAMPLE_CHARS)
+    found = short.select(F.xxhash64(*own).alias("h"), F.col(f"`{text}`").alias("t")).orderBy("h", "t").limit(rows)
+    return [r["t"] for r in found.collect()]
 
 
 def sampled_order(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> tuple[Rule, ...]:
     """The order for ``df`` from a sample of at most ``SAMPLE_ROWS`` texts (an empty table: as given)."""
-    own = F.col(f"`{text}`")
-    rows = df.where(F.length(own) <= SAMPLE_CHARS).select(own).limit(SAMPLE_ROWS).collect()
-    return ordered(rules, estimate([r[0] for r in rows], rules)) if rows else tuple(rules)
+    return ordered(sampled(df, text), rules)
+
+
+def rules_run(text: str, rules: tuple[Rule, ...]) -> int:
+    """How many rules look at the text: up to the first that rejects it."""
+    measures = Measures(text)
+    return next((i for i, r in enumerate(rules, 1) if r.rejects(measures)), len(rules))
 
 
 def rejected_by(text: str, rules: tuple[Rule, ...]) -> str | None:
