@@ -61,8 +61,7 @@ GNU = {"GPL": ("general", ("2", "3")), "LGPL": ("lesser general", ("2.1", "3")),
 GNU_VERSIONS = {"2": "2.0", "2.1": "2.1", "3": "3.0"}
 LATER = "either version {} of the license or at your option any later version"
 HOLDERS = ("copyright holder", "copyright holders", "copyright owner", "author", "authors", "organization", "university", "project")
-#: Identifiers that an SPDX line may give; known if no space follows the colon, as a sentence ends at a colon and space,
-#: and a name alone is no known sentence (it would hide the wrapped 'Released under' before it).
+#: Identifiers that an SPDX line may give.
 SPDX = (*NAMES, *(f"{name}-{v}-{how}" for name, (_, versions) in GNU.items() for v in map(GNU_VERSIONS.get, versions) for how in ("only", "or-later")))
 #: Every known sentence holds one of these as a whole word. A word stays whole in any spacing and markup, so a text without any needs no splitting.
 SIGNS = ("under", "permission", "warranty", "warranties", "redistribution", "redistributions", "license", "domain", "free", "mpl")
@@ -124,6 +123,8 @@ def known_sentences() -> dict[str, str]:
 #: Patterns that Java's and other engines read alike: where sentences end, what is no part of the normal form.
 ENDS, NOISE = r"[.!?:;]+\s|[.!?:;]+$|[\n\r]+", r"[^a-z0-9.]+"
 WRAPPED = r"[.!?:;]+\s|[.!?:;]+$|\n\s*\n"
+#: An SPDX line is one sentence, though a space follows its colon.
+SPDX_GAP = r"(SPDX-License-Identifier:)[ \t]+"
 
 
 def normal(sentence: Column) -> Column:
@@ -148,7 +149,8 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
     for sign in SIGNS[1:]:
         likely = likely | low.contains(sign)
     none = F.expr("cast(array() as array<string>)")
-    lines, wrapped = identified(F.col("text"), ENDS, table), identified(F.col("text"), WRAPPED, table)
+    whole = F.regexp_replace("text", SPDX_GAP, "$1")
+    lines, wrapped = identified(whole, ENDS, table), identified(whole, WRAPPED, table)
     found = own.select("doc_id", F.when(likely, F.struct(lines.alias("a"), wrapped.alias("b"))).alias("x"))
     best = F.when(F.col("x").isNull(), none).when(F.size("x.b") > F.size("x.a"), F.col("x.b")).otherwise(F.col("x.a"))
     found = found.select("doc_id", best.alias("ids"))

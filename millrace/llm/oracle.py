@@ -92,7 +92,7 @@ FROM placed GROUP BY conv_id, alone, perspective
 
 def licence_sql() -> str:
     """The licence scan: sentences by the table of known ones, then one step for each rule."""
-    from millrace.llm.licenses import ENDS, NOISE, RULES, WRAPPED, known_sentences
+    from millrace.llm.licenses import ENDS, NOISE, RULES, SPDX_GAP, WRAPPED, known_sentences
 
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     table = ", ".join(f"{quoted(s)}: {quoted(i)}" for s, i in known_sentences().items())
@@ -107,7 +107,7 @@ def licence_sql() -> str:
         last = f"s{k}"
     return f"""
 WITH table_of AS (SELECT MAP {{{table}}} AS known),
-texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), {quoted(SPDX_GAP)}, '\\1', 'g') AS text FROM documents),
 both_ways AS (SELECT doc_id, {ids(ENDS)} AS a, {ids(WRAPPED)} AS b FROM texts, table_of),
 best AS (SELECT doc_id, CASE WHEN len(b) > len(a) THEN b ELSE a END AS ids FROM both_ways),
 s0 AS (SELECT doc_id, ids, array_to_string(list_transform(ids, lambda i: '|' || i || '|'), '') AS rest, []::VARCHAR[] AS licences FROM best),
