@@ -30,8 +30,8 @@ MAX_SAMPLE_VALUES, BLOCK_VALUES = 1 << 24, 1 << 23
 REPLICAS, REPLICA_RATIO = 6, 1.08
 #: Graph: nearest links, long links, entry points, nodes opened in a step.
 LINKS, LONG_LINKS, ENTRIES, OPENED = 16, 4, 8, 4
-#: Vectors and queries of a block.
-BLOCK = 1024
+#: Vectors and queries of a block, and how far a product of unit rows may be from the cosine of the original ones.
+BLOCK, ROUNDING = 1024, 1e-9
 #: Share of the sampled neighbours that the lists within the calibrated ratio must hold.
 REACHED = 0.985
 TRIALS = 200
@@ -45,8 +45,9 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row, in double precision."""
-    a, b = a.astype(np.float64), b.astype(np.float64)
+    """Row by row, in double precision; powers of two are taken out first, which changes no digit and keeps sums in range."""
+    even = lambda x: np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+    a, b = even(a.astype(np.float64)), even(b.astype(np.float64))
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
@@ -178,7 +179,8 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id"
     Ties go to the smaller vec_id; a query is never its own neighbour. Vectors that are null, zero or
     hold null or non-finite components take no part, nor do those of another length than the most
     common one. Rows that repeat a vec_id and vector count once. With fewer than k others all are
-    returned; an empty table gives an empty result.
+    returned; an empty table gives an empty result. A query whose lists hold fewer than k others reads
+    all lists.
     """
     spark = df.sparkSession
     rows = saved(usable(df, vec_id, vector), "ann-rows")
@@ -217,7 +219,6 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id"
     asked = rows.join(queries.select(F.col(vec_id).cast("bigint").alias("vec_id")).distinct(), "vec_id", "left_semi")
     probes = asked.select("vec_id", "vector").mapInArrow(by_batch(probe), "list int, vec_id bigint, vector array<double>")
     posted = in_blocks(postings, ["ids", "vector"], "posted", "digest")
-    wanted = in_blocks(probes, ["vec_id", "vector"], "wanted", "vec_id")
 
     def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
@@ -226,17 +227,27 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id"
             q, v = matrix(w.field("vector")), matrix(p.field("vector"))
             asked_ids, ids = w.field("vec_id").to_pylist(), p.field("ids").to_pylist()
             nearby = unit(q) @ unit(v).T
-            some = min(len(v), 2 * k + 4)
-            best = np.argpartition(-nearby, some - 1, axis=1)[:, :some]
-            for i, (a, few) in enumerate(zip(asked_ids, best, strict=True)):
-                scores = cosines(np.broadcast_to(q[i], (some, q.shape[1])), v[few])
+            some = min(len(v), k + 1)  # one may be the query itself
+            least = -np.partition(-nearby, some - 1, axis=1)[:, some - 1] - ROUNDING
+            for i, a in enumerate(asked_ids):
+                few = np.flatnonzero(nearby[i] >= least[i])  # ties at the end stay, so that the smaller ids can win
+                scores = cosines(np.broadcast_to(q[i], (len(few), q.shape[1])), v[few])
                 hits = [(-s, x) for s, at in zip(scores, few, strict=True) for x in ids[at] if x != a]
                 out += [(a, x, -s) for s, x in sorted(hits)[:k]]
         a, x, s = zip(*out, strict=True) if out else ([], [], [])
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(x, pa.int64()), pa.array(s, pa.float64())], ["query_id", "vec_id", "score"])
 
-    found = wanted.join(posted, "list").select("wanted", "posted").mapInArrow(by_batch(compare), "query_id bigint, vec_id bigint, score double")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    def matched(probes: DataFrame) -> DataFrame:
+        wanted = in_blocks(probes, ["vec_id", "vector"], "wanted", "vec_id")
+        found = wanted.join(posted, "list").select("wanted", "posted").mapInArrow(by_batch(compare), "query_id bigint, vec_id bigint, score double")
+        return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
+    best = saved(matched(probes), "ann-found")
+    enough = best.groupBy(F.col("query_id").alias("vec_id")).count().where(F.col("count") >= k)
+    short = saved(asked.select("vec_id", "vector").join(enough, "vec_id", "left_anti"), "ann-short")
+    if not short.isEmpty():  # their lists held fewer than k others: they read all lists
+        rest = matched(short.select(F.explode(F.sequence(F.lit(0), F.lit(n_lists - 1))).alias("list"), "vec_id", "vector"))
+        best = best.union(rest).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = W.Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
