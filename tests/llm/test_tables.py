@@ -253,6 +253,28 @@ def test_neighbours(spark, monkeypatch):
     assert ann.search(few.limit(0), few.limit(0)).collect() == []
 
 
+def test_neighbours_that_tie_and_odd_sizes(spark):
+    """Rescaled copies tie: the smaller ids win. Very large and very small components count like others."""
+    rows = [(1000 - k, [2.0**k, 2.0 ** (k + 1)]) for k in range(40)] + [(50, [3.0, 6.0]), (7, [2.0**700, -(2.0**700)]), (8, [2.0**-700, -(2.0**-700)]), (100, [5.0, -5.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = ann.search(df, df.where("vec_id in (50, 100)")).orderBy("query_id", "rank").collect()
+    assert [r["vec_id"] for r in got if r["query_id"] == 50] == [961, 962, 963, 964, 965]
+    assert [(r["vec_id"], round(r["score"], 12)) for r in got if r["query_id"] == 100][:2] == [(7, 1.0), (8, 1.0)]
+    assert len(got) == 10 and all(np.isfinite(r["score"]) for r in got)
+    far = np.array([[1e200, 1e-200], [3e-300, 4e-300], [3.0, 4.0]])
+    assert ann.cosines(far, far).tolist() == pytest.approx([1.0] * 3) and ann.cosines(far[1:2], far[2:]).tolist() == pytest.approx([1.0])
+
+
+def test_queries_with_small_lists_read_on(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 8)
+    monkeypatch.setattr(ann, "calibrated", lambda *a: (1.0, 1))
+    rng = np.random.default_rng(5)
+    rows = [(i, (10 * np.eye(6)[i % 6] + 0.01 * rng.normal(size=6)).tolist()) for i in range(60)] + [(100, [-1.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = ann.search(df, df.where("vec_id = 100")).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == nearest([(i, v) for i, v in rows], 5)[100]
+
+
 def test_graph_finds_nearest_centroids():
     rng = np.random.default_rng(1)
     points = ann.unit(rng.normal(size=(400, 16)))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
+import time
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -68,11 +71,31 @@ def test_quality_against_brute_force(spark):
 
 
 def test_cascade_order():
-    cheap, dear = quality.Rule("cheap", lambda m: True), quality.Rule("dear", lambda m: True)
-    assert [r.name for r in quality.ordered((dear, cheap), {"cheap": (1.0, 0.5), "dear": (4.0, 1.0)})] == ["cheap", "dear"]
+    always, never = (lambda m: True), (lambda m: False)
+    fixed = lambda costs: lambda rule, measures: (costs[rule.name], [rule.rejects(m) for m in measures])
+    cheap, dear = quality.Rule("cheap", lambda m: m.n_words % 2 == 0), quality.Rule("dear", always)
+    sample = ["w " * k for k in range(1, 21)]
+    assert [r.name for r in quality.ordered(sample, (dear, cheap), fixed({"cheap": 1.0, "dear": 4.0}))] == ["cheap", "dear"]
+    # what "same" rejects is gone once "cheap" has run, so "other" comes before it although it rejects less alone
+    same, other = quality.Rule("same", cheap.rejects), quality.Rule("other", lambda m: m.n_words == 1)
+    assert [r.name for r in quality.ordered(sample, (same, other, cheap), fixed({"same": 1.5, "other": 1.0, "cheap": 1.0}))] == ["cheap", "other", "same"]
+    assert quality.ordered([], (dear, cheap)) == (dear, cheap)
     asked = []
-    rules = (quality.Rule("a", lambda m: True), quality.Rule("b", lambda m: asked.append(1) or False))
-    assert quality.rejected_by("text", rules) == "a" and not asked
+    rules = (quality.Rule("a", always), quality.Rule("b", lambda m: asked.append(1) or False))
+    assert quality.rejected_by("text", rules) == "a" and not asked and quality.rules_run("text", rules) == 1 and quality.rules_run("t", (quality.Rule("n", never),) * 3) == 3
+
+
+def test_cascade_saves_work_whatever_comes_first(spark):
+    """The first rows of the table are unlike the rest: the sample is drawn from all, and its order runs fewest rules."""
+    first = [" ".join(f"w{i}_{k}" for k in range(60)) + " #" * 80 for i in range(600)]
+    rest = ["few words" if i % 5 else " ".join(f"w{i}_{k}" for k in range(80)) for i in range(5000)]
+    df = frame(spark, first + rest)
+    some = quality.sampled(df)
+    assert len(some) == quality.SAMPLE_ROWS and sum(t == "few words" for t in some) > 200 and sorted(some) == sorted(quality.sampled(df.repartition(7)))
+    costs = {r.name: 1.0 for r in quality.RULES}
+    order = quality.ordered(some, quality.RULES, lambda rule, measures: (costs[rule.name], [rule.rejects(m) for m in measures]))
+    runs = {rules: sum(quality.rules_run(t, rules) for t in first + rest) for rules in itertools.permutations(quality.RULES)}
+    assert runs[order] == min(runs.values()) < runs[order[::-1]] / 2
 
 
 def brute_lines(rows, min_docs, min_chars=1):
@@ -133,6 +156,28 @@ def test_pii_long_runs_stay_linear(field):
     assert len(pii.all_spans("a@b.com 1.2.3.4 " * 5000, field)) == 10_000
 
 
+def test_pii_of_a_megabyte_of_numbers(field):
+    rng = random.Random(1)
+    text = " ".join(str(rng.randint(10**7, 10**8)) for _ in range(111_000))
+    tracemalloc.start()
+    began = time.perf_counter()
+    assert pii.all_spans(text, field) == []
+    took, peak = time.perf_counter() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert took < 120 and peak < 200e6  # tracing makes it many times slower
+
+
+def test_pruned_search_is_the_full_one(field):
+    """Leaving out segments that can't count changes nothing."""
+    rng = random.Random(15)
+    words = ["joe", "(at)", "@", "mail", "[dot]", ".", "com", "4111", "1111", "+49", "0049", "171", "10[.]2[.]3[.]4", "12", ",", "(", ")"]
+    full = pii.Field(field.weights)
+    full.only_well_formed = lambda: False
+    for _ in range(150):
+        t = "".join(rng.choice(words) + rng.choice(["", " ", "-"]) for _ in range(14))
+        assert field.best(t) == full.best(t)
+
+
 def test_field_finds_disguises_and_leaves_clean_text(field):
     assert pii.all_spans("write to joe.doe[at]mail[dot]org today", field) == [("email", 9, 32)]
     assert pii.all_spans("server 10[.]20[.]30[.]40 is up", field) == [("ip", 7, 24)]
@@ -316,7 +361,7 @@ def test_licenses_of_standard_headers(spark):
     ]
     for sign in ("# ", " * ", "// "):
         want += [("\n".join(sign + x for x in t.split("\n")), name) for t, name in want[:11]]
-    want += [(f"// SPDX-License-Identifier:{x}\nint main();", x) for x in licenses.SPDX]
+    want += [(f"// SPDX-License-Identifier:{gap}{x}\nint main();", x) for gap in ("", " ", " \t") for x in licenses.SPDX]
     got = licenses.scan(frame(spark, [t for t, _ in want])).collect()
     assert [r["licences"] for r in got] == [name for _, name in want]
     assert [r["n_unmatched"] for r in got[:11]] == [0] * 11
