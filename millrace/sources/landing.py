@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,17 +54,44 @@ def players(df: DataFrame) -> DataFrame:
     return df.withColumn("player", F.regexp_extract("path", r"(\d+)\.json$", 1).try_cast("bigint"))
 
 
-def write_json(spark: SparkSession, path: str, payload: object) -> None:
-    """Writes beside the target and renames, so that readers see all of it or nothing."""
+def write_json(spark: SparkSession, path: str, payload: object, replace: bool = True) -> None:
+    """Writes beside the target and renames in one step, so that readers see all of the old or all of the new.
+
+    Without ``replace`` a file that is there already is an error, and stays as it is.
+    """
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
-    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = fs.create(beside, True)
+    target = fs.makeQualified(target)
+    beside = target.suffix(f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(beside, False)
     try:
         out.write(bytearray(json.dumps(payload, indent=2, ensure_ascii=False).encode()))
     finally:
         out.close()
-    fs.delete(target, False)
-    if not fs.rename(beside, target):
-        raise OSError(f"can't write {path}")
+    kinds = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(kinds, 1)
+    how[0] = kinds.OVERWRITE if replace else kinds.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(beside, target, how)
+    except Exception as e:
+        fs.delete(beside, False)
+        raise OSError(f"can't write {path}") from e
+
+
+VERSION = "{}/manifest-{:012d}.json"
+
+
+def newest(spark: SparkSession, folder: str) -> tuple[int, object | None]:
+    """Number and content of the folder's highest version; 0 and None before the first."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest-*.json")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
+    numbers = [int(m[1]) for f in found if (m := re.fullmatch(r"manifest-(\d+)\.json", f.getPath().getName()))]
+    return (max(numbers), read_json(spark, VERSION.format(folder, max(numbers)))) if numbers else (0, None)
+
+
+def commit(spark: SparkSession, folder: str, number: int, payload: object) -> None:
+    """Makes ``payload`` version ``number``; an error if another writer has made that version."""
+    write_json(spark, VERSION.format(folder, number), payload, replace=False)
