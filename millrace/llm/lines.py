@@ -1,15 +1,17 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-Each batch of documents brings the hashes of its lines with the number of documents that hold each.
-It is merge-anti-joined with the runs: a line that the runs already show in enough documents needs
-no further counting. What is left becomes a run of its own, sorted by hash; when a level holds
-``fanout`` runs they are merged into one of the next level. The runs then say which lines are
-common, and every document loses those lines.
+A run is a table of line hashes with document counts, kept in buckets by hash and sorted within them.
+Each batch of documents brings the hashes of its lines; it is merge-joined with the runs bucket by
+bucket. A line that the runs already show in enough documents is left out; what is left becomes a run of
+its own, with a mark on the lines that cross the limit in this batch. Before a batch a level that holds
+``fanout`` runs is merged into one run of the next level. The marked lines of all runs are the common
+ones, and every document loses them. Runs live in a folder with a manifest and can be opened again.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from functools import reduce
 
 import pyarrow as pa
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import SPACES, by_batch, texts
+from millrace.sources import landing
 from millrace.storage import saved, work_path
 
 STRIP = SPACES.encode()
@@ -41,44 +44,89 @@ def text_hash(text: str) -> tuple[int, int]:
     return line_hash(b"\0" + text.encode())
 
 
-class Runs:
-    """Sorted runs of (h1, h2, n_docs) in levels, kept as Parquet under one folder."""
+RUN = "h1 bigint, h2 bigint, n_docs bigint, crosses boolean"
 
-    def __init__(self, spark: SparkSession, min_docs: int = 10, fanout: int = 4):
-        self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
-        self.levels: list[list[str]] = []
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("h1 bigint, h2 bigint, n_docs bigint").parquet(*paths)
+class Runs:
+    """Sorted runs in levels under ``path``: opened again if there are some, else begun anew."""
 
-    def _write(self, rows: DataFrame, level: int) -> None:
-        while len(self.levels) <= level:
-            self.levels.append([])
-        path = work_path(self.spark, f"lines-level{level}")
-        rows.sortWithinPartitions(*KEY).write.parquet(path)
-        self.levels[level].append(path)
-        if len(self.levels[level]) >= self.fanout:
-            merged = self._read(self.levels[level]).groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"))
-            self.levels[level] = []
-            self._write(merged, level + 1)
-
-    def counts(self) -> DataFrame:
-        """Documents per line hash over all runs."""
-        paths = [p for level in self.levels for p in level]
-        if not paths:
-            return self.spark.createDataFrame([], "h1 bigint, h2 bigint, n_docs bigint")
-        return self._read(paths).groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"))
+    def __init__(self, spark: SparkSession, min_docs: int = 10, fanout: int = 2, path: str | None = None):
+        self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
+        self.path = path or work_path(spark, "lines-runs")
+        self.version, found = landing.newest(spark, self.path)
+        found = found or {"levels": [], "buckets": int(spark.conf.get("spark.sql.shuffle.partitions"))}
+        self.levels: list[list[str]] = found["levels"]
+        self.buckets: int = found["buckets"]
+        self.tables: dict[str, str] = {}
+
+    def run(self, name: str) -> DataFrame:
+        """A run as a bucketed table, which joins with others bucket by bucket without a shuffle."""
+        if name not in self.tables:
+            self.tables[name] = f"lines_{uuid.uuid4().hex}"
+            layout = f"CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self.buckets} BUCKETS"
+            self.spark.sql(f"CREATE TABLE {self.tables[name]} ({RUN}) USING parquet {layout} LOCATION '{self.path}/{name}'")
+        return self.spark.table(self.tables[name])
+
+    def runs(self) -> list[DataFrame]:
+        return [self.run(name) for level in self.levels for name in level]
+
+    def close(self) -> None:
+        """Takes the runs' names out of the session's catalogue; the files stay."""
+        for name in self.tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.tables = {}
+
+    def _write(self, rows: DataFrame) -> str:
+        name = f"run-{uuid.uuid4().hex}"
+        self.tables[name] = f"lines_{uuid.uuid4().hex}"
+        rows.select("h1", "h2", "n_docs", "crosses").write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.path}/{name}").saveAsTable(self.tables[name])
+        return name
+
+    def _merged(self, left: str, right: str) -> str:
+        """Two runs merged bucket by bucket (not a union: Spark 4.1 may take the union of two bucketed scans for bucketed itself)."""
+        a = self.run(left).select(*KEY, F.col("n_docs").alias("n_a"), F.col("crosses").alias("crosses_a")).hint("merge")
+        b = self.run(right).select(*KEY, F.col("n_docs").alias("n_b"), F.col("crosses").alias("crosses_b"))
+        docs = F.coalesce("n_a", F.lit(0)) + F.coalesce("n_b", F.lit(0))
+        crosses = F.coalesce("crosses_a", F.lit(False)) | F.coalesce("crosses_b", F.lit(False))
+        return self._write(a.join(b, KEY, "full").select(*KEY, docs.alias("n_docs"), crosses.alias("crosses")))
+
+    def _commit(self) -> None:
+        self.version += 1
+        landing.commit(self.spark, self.path, self.version, {"levels": self.levels, "buckets": self.buckets})
+
+    def compact(self) -> None:
+        """Merges each level that holds ``fanout`` runs into a run of the next."""
+        level = 0
+        while level < len(self.levels):
+            if len(self.levels[level]) >= self.fanout:
+                name = reduce(self._merged, self.levels[level])
+                if level + 1 == len(self.levels):
+                    self.levels.append([])
+                self.levels[level + 1].append(name)
+                self.levels[level] = []
+                self._commit()
+            level += 1
 
     def common(self) -> DataFrame:
-        """Hashes of the lines found in at least ``min_docs`` documents."""
-        return self.counts().where(F.col("n_docs") >= self.min_docs).select(*KEY)
+        """Hashes of the lines found in at least ``min_docs`` documents, each once: a line crosses the limit in one batch."""
+        crossing = [r.where("crosses").select(*KEY) for r in self.runs()]
+        return reduce(DataFrame.union, crossing) if crossing else self.spark.createDataFrame([], "h1 bigint, h2 bigint")
 
     def add(self, batch: DataFrame) -> None:
-        """A batch of (document, h1, h2), each pair once: those not yet known as common become a run."""
-        counted = batch.groupBy(*KEY).agg(F.count("*").alias("n_docs"))
-        if self.levels:
-            counted = counted.join(self.common().hint("merge"), KEY, "left_anti")
-        self._write(counted, 0)
+        """A batch of (document, h1, h2), each pair once, of documents that no other batch holds."""
+        self.compact()
+        counted = batch.groupBy(*KEY).agg(F.count("*").alias("own"))
+        before = F.lit(0)
+        for k, run in enumerate(self.runs()):
+            counted = counted.join(run.select(*KEY, F.col("n_docs").alias(f"run{k}")).hint("merge"), KEY, "left")
+            before = before + F.coalesce(f"run{k}", F.lit(0))
+        open_ = counted.withColumn("before", before.cast("bigint")).where(F.col("before") < self.min_docs)
+        crosses = F.col("before") + F.col("own") >= self.min_docs
+        name = self._write(open_.select(*KEY, F.col("own").alias("n_docs"), crosses.alias("crosses")))
+        if not self.levels:
+            self.levels.append([])
+        self.levels[0].append(name)
+        self._commit()
 
 
 def hashed_lines(df: DataFrame, doc_id: str, text: str, n_batches: int, min_chars: int) -> DataFrame:
@@ -107,11 +155,16 @@ def common_by_text(
 
     Rows that share a doc_id are one document for the count; rows with a null doc_id are together one.
     """
-    held = saved(hashed_lines(df, doc_id, text, n_batches, min_chars), "lines-held")
-    runs = Runs(df.sparkSession, min_docs, fanout)
+    spark = df.sparkSession
+    path = work_path(spark, "lines-held")
+    lines = hashed_lines(df, doc_id, text, n_batches, min_chars)
+    lines.write.partitionBy("batch").parquet(path)
+    held = spark.read.schema(lines.schema).parquet(path)
+    runs = Runs(spark, min_docs, fanout)
     for k in range(n_batches):
-        runs.add(held.where(F.col("batch") == k).select("doc", *KEY).distinct())
+        runs.add(held.where(F.col("batch") == k).select("doc", *KEY).distinct())  # reads its own files alone
     common = saved(runs.common(), "lines-common")
+    runs.close()
     found = held.select("t1", "t2", *KEY).join(common, KEY, "left_semi").distinct()
     return found.groupBy("t1", "t2").agg(F.collect_list(F.struct(*KEY)).alias("common"))
 
@@ -130,20 +183,27 @@ def stripped(batch: pa.RecordBatch) -> list[tuple[str, int, int]]:
 
 
 def with_common(df: DataFrame, doc_id: str, text: str, **how) -> DataFrame:
-    """``df`` with its text's hash (t1, t2) and the common lines in it, null if there are none."""
-    found = common_by_text(df, doc_id, text, **how)
+    """``df`` with its text's hash (t1, t2) and the common lines in it, null if there are none.
+
+    Copies of one text are dealt to ``SALTS`` tasks by their documents.
+    """
+    found = common_by_text(df, doc_id, text, **how).withColumn("t3", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         pairs = [text_hash(t) for t in texts(batch, text)]
+        salts = [xxhash.xxh3_64_intdigest(str(d).encode()) % SALTS for d in batch.column(doc_id).to_pylist()]
         added = [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)]
-        return pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "t1", "t2"])
+        return pa.RecordBatch.from_arrays([*batch.columns, *added, pa.array(salts, pa.int32())], [*batch.schema.names, "t1", "t2", "t3"])
 
-    keyed = df.mapInArrow(by_batch(run), T.StructType([*df.schema.fields, T.StructField("t1", T.LongType()), T.StructField("t2", T.LongType())]))
-    return keyed.join(found, ["t1", "t2"], "left")
+    more = [T.StructField(c, T.LongType()) for c in ("t1", "t2")]
+    keyed = df.mapInArrow(by_batch(run), T.StructType([*df.schema.fields, *more, T.StructField("t3", T.IntegerType())]))
+    return keyed.join(found, ["t1", "t2", "t3"], "left")
 
 
 #: The contract's limits, and how many batches the runs are built from.
-PRODUCTION = {"min_docs": 10, "min_chars": 1, "n_batches": 4, "fanout": 4}
+PRODUCTION = {"min_docs": 10, "min_chars": 1, "n_batches": 6, "fanout": 2}
+#: Tasks that copies of one text are dealt to.
+SALTS = 4
 
 
 def digests(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:

@@ -11,6 +11,7 @@ import tracemalloc
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import bpe, chat, licenses, lines, pii, quality, tokenizer_files
 
@@ -126,6 +127,30 @@ def test_levels_are_compacted(spark):
         runs.add(spark.createDataFrame([(k, 7, 7), (k, k, k)], "doc bigint, h1 bigint, h2 bigint"))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     assert [tuple(r) for r in runs.common().collect()] == [(7, 7)]
+    again = lines.Runs(spark, min_docs=2, fanout=2, path=runs.path)  # as another session finds it
+    again.add(spark.createDataFrame([(9, 7, 7), (9, 3, 3), (9, 8, 8)], "doc bigint, h1 bigint, h2 bigint"))
+    assert sorted(tuple(r) for r in again.common().collect()) == [(3, 3), (7, 7)]
+    last = again.run(again.levels[0][-1]).select("h1", "n_docs", "crosses").collect()
+    assert sorted(map(tuple, last)) == [(3, 1, True), (8, 1, False)]  # 7 is common already: joined away
+    with pytest.raises(OSError):  # another writer was first
+        runs.add(spark.createDataFrame([(10, 1, 1)], "doc bigint, h1 bigint, h2 bigint"))
+    known = {t.name for t in spark.catalog.listTables()}
+    again.close()
+    runs.close()
+    assert not {t.name for t in spark.catalog.listTables()} & {n for n in known if n.startswith("lines_")}
+
+
+def test_batches_meet_runs_bucket_by_bucket(spark):
+    """The runs are read as they lie: only the batch is shuffled."""
+    runs = lines.Runs(spark, min_docs=2, fanout=4)
+    for k in range(2):
+        runs.add(spark.createDataFrame([(k, i, i) for i in range(k, 50)], "doc bigint, h1 bigint, h2 bigint"))
+    batch = spark.range(100).selectExpr("id as h1", "id as h2").groupBy("h1", "h2").count()
+    for k, run in enumerate(runs.runs()):
+        batch = batch.join(run.select("h1", "h2", F.col("n_docs").alias(f"r{k}")).hint("merge"), ["h1", "h2"], "left")
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Bucketed: true") == 2, plan
+    runs.close()
 
 
 def brute_pii(t):
