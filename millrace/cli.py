@@ -14,7 +14,8 @@ from millrace.operators import audit, smoke
 from millrace.operators.store import Store
 from millrace.plans.contract import compiled
 from millrace.plans.runner import Run, exit_code
-from millrace.sources import landing
+from millrace.sources import landing, rest
+from millrace.sources.fetch import Fetcher
 
 
 def parser() -> argparse.ArgumentParser:
@@ -26,6 +27,9 @@ def parser() -> argparse.ArgumentParser:
     commands = top.add_subparsers(dest="command", required=True)
     run = commands.add_parser("run", parents=[common])
     run.add_argument("--strict", action="store_true")
+    run.add_argument("--base-url", help="fetch from this API first; without it the landing folder alone is read")
+    run.add_argument("--rate", type=float, default=rest.DEFAULT_RATE, help=f"documents a second, at most {rest.MAX_RATE:g}")
+    run.add_argument("--force", action="store_true", help="fetch again what has landed already")
     for name in ("status", "inspect", "smoke-test"):
         commands.add_parser(name, parents=[common])
     schema = commands.add_parser("schema").add_subparsers(dest="action", required=True)
@@ -40,7 +44,8 @@ def show(rows: list) -> None:
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    own = parser().parse_args(args)
+    given = sys.argv[1:] if args is None else args
+    own = parser().parse_args(given if given and not given[0].startswith("-") or {"-h", "--help"} & set(given) else ["run", *given])
     logging.basicConfig(level=logging.DEBUG if own.verbose else logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     config = resolve(own.warehouse, own.raw_dir)
     if own.command == "schema" and own.action == "export":
@@ -50,10 +55,12 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName("millrace").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     store = Store(spark, config.warehouse)
     if own.command == "run":
-        run = Run(spark, store, config.raw_dir, strict=own.strict)
+        base_url = own.base_url or config.base_url
+        fetcher = Fetcher(spark, base_url, config.raw_dir, rest.clamped_rate(own.rate)) if base_url else None
+        run = Run(spark, store, config.raw_dir, strict=own.strict, fetcher=fetcher, force=own.force)
         status = run.run()
         for result in run.results:
-            logging.info(result.summary())
+            logging.info("%s (%.1f s)", result, run.seconds[result.stage])
         logging.info("status: %s", status)
         return exit_code(status)
     if own.command in ("status", "inspect"):

@@ -14,6 +14,7 @@ LINE = re.compile(r"^\s*([A-Za-z_]\w*)\s*:\s*(.*?)\s*$")
 class Config:
     warehouse: str
     raw_dir: str
+    base_url: str | None = None
 
 
 def read_file(path: str) -> dict[str, str]:
@@ -27,4 +28,4 @@ def read_file(path: str) -> dict[str, str]:
 def resolve(warehouse: str | None = None, raw_dir: str | None = None, file: str = "millrace.yaml") -> Config:
     found = read_file(file)
     pick = lambda flag, name, default: flag or os.environ.get(f"MILLRACE_{name.upper()}") or found.get(name) or default
-    return Config(pick(warehouse, "warehouse", "warehouse"), pick(raw_dir, "raw_dir", "raw"))
+    return Config(pick(warehouse, "warehouse", "warehouse"), pick(raw_dir, "raw_dir", "raw"), pick(None, "base_url", None))

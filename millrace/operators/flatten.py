@@ -12,11 +12,6 @@ def items(df: DataFrame, document: str, path: str, keep: list[str]) -> DataFrame
     return own.select(*keep, F.posexplode("__items").alias("pos", "record"))
 
 
-def parsed(record: Column) -> Column:
-    """Text back as VARIANT."""
-    return F.try_parse_json(record)
-
-
 def objects(df: DataFrame, record: str = "record") -> DataFrame:
     """The rows whose record is a JSON object."""
     return df.where(F.json_object_keys(F.to_json(record)).isNotNull())
@@ -31,25 +26,19 @@ def fixtures(df: DataFrame) -> DataFrame:
     return items(df, "document", "$", ["path"])
 
 
-def merged_object(*parts: Column) -> Column:
-    """One JSON object text from several; a later part's keys win."""
-    maps = [F.from_json(p, "map<string,string>") for p in parts]
-    return F.to_json(F.map_concat(*maps))
-
-
-def live_elements(df: DataFrame) -> DataFrame:
-    """Records of a live round: the element's id and the round, then its statistics, whose keys win.
+def live_elements(df: DataFrame, keep: tuple[str, ...] = ("path", "round")) -> DataFrame:
+    """Records of a live round with the columns ``keep``: the element's id and the round, then its statistics, whose keys win.
 
     Entries that aren't objects or have no id are passed over. The round is the file's, not the payload's.
     """
-    each = objects(items(df, "document", "$.elements", ["path", "round"]))
+    each = objects(items(df, "document", "$.elements", list(keep)))
     each = each.where(F.try_variant_get("record", "$.id", "string").isNotNull())
     stats = F.coalesce(F.try_variant_get("record", "$.stats", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)"))
     identity = F.create_map(
         F.lit("element_id"), F.try_variant_get("record", "$.id", "variant"), F.lit("round"), F.try_parse_json(F.col("round").cast("string"))
     )
     both = F.map_concat(F.map_filter(identity, lambda k, v: ~F.map_contains_key(stats, k)), stats)
-    return each.select("path", "round", "pos", F.try_parse_json(F.to_json(both)).alias("record"))
+    return each.select(*keep, "pos", F.try_parse_json(F.to_json(both)).alias("record"))
 
 
 def fixture_stats(df: DataFrame) -> DataFrame:

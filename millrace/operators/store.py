@@ -1,7 +1,8 @@
-"""Versioned Parquet tables behind one manifest.
+"""Versioned Parquet tables behind numbered manifests.
 
-Every write makes a new folder; a stage's tables become visible together when the manifest is swapped.
-Readers keep the version they started with. After a failure the store takes no more data.
+Every write makes a new folder; a stage's tables become visible together with the next manifest, which is
+made whole or not at all and never written over: of two writers that began at one version the second
+fails. Readers keep the version they started with. After a failure the store takes no more data.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import audit, drift, merge, validate
-from millrace.plans.contract import Contract, compiled
+from millrace.plans.contract import Contract, Table, compiled
 from millrace.plans.sql import Session
 from millrace.sources import landing
 
-MANIFEST = "manifest.json"
+#: What a table's version declares, beside its files; readers pass over names that begin with an underscore.
+DECLARED = "_declared.json"
 
 
 def now() -> str:
@@ -33,12 +35,13 @@ class Store:
         self.spark, self.root, self.contract = spark, root.rstrip("/"), contract or compiled()
         self.failed = False
         self._staged: dict[str, str] | None = None
+        self._base = 0
 
     # what is visible
 
     def manifest(self) -> dict[str, str]:
         """Path of each table's visible version."""
-        return landing.read_json(self.spark, f"{self.root}/{MANIFEST}") or {}
+        return landing.newest(self.spark, self.root)[1] or {}
 
     def schema_of(self, name: str):
         if name == "_runs":
@@ -59,17 +62,15 @@ class Store:
         return Session(self.spark, {n: self.read(n) for n in names}).query(sql, params)
 
     def live(self) -> dict[str, drift.LiveTable]:
-        """What the stored tables declare: the shape of their files, keys and layout of the contract that wrote them."""
+        """What the stored tables declare: the shape of their files, and what was written down beside them."""
         found = {}
         for name, path in self.manifest().items():
             if not name.startswith("_"):
-                own = self.contract[name] if any(t.name == name for t in self.contract.tables) else None
                 schema = self.spark.read.parquet(path).schema
-                if own:  # Parquet readers call every column nullable; keys and required columns are checked at write
-                    nulls = {f.name: f.nullable for f in own.schema.fields}
-                    for f in schema.fields:
-                        f.nullable = nulls.get(f.name, True)
-                found[name] = drift.LiveTable(schema, own.key if own else (), own.cluster_by if own else ())
+                declared = landing.read_json(self.spark, f"{path}/{DECLARED}") or {"key": [], "cluster_by": [], "not_null": []}
+                for f in schema.fields:  # Parquet readers call every column nullable
+                    f.nullable = f.name not in declared["not_null"]
+                found[name] = drift.LiveTable(schema, tuple(declared["key"]), tuple(declared["cluster_by"]))
         return found
 
     def validate(self) -> drift.Report:
@@ -82,14 +83,35 @@ class Store:
         """What is written inside becomes visible together at the end, or not at all."""
         if self._staged is not None:
             raise RuntimeError("a stage is open already")
+        self._base, before = landing.newest(self.spark, self.root)
         self._staged = {}
         try:
             yield
             if self._staged:
-                landing.write_json(self.spark, f"{self.root}/{MANIFEST}", self.manifest() | self._staged)
+                landing.commit(self.spark, self.root, self._base + 1, (before or {}) | self._staged)
         finally:
             self._staged = None
 
+    def _within(self) -> contextlib.AbstractContextManager:
+        """The open stage, or one for a single write."""
+        return self.stage() if self._staged is None else contextlib.nullcontext()
+
+    def vacuum(self) -> int:
+        """Removes table versions that the newest manifest doesn't show, and older manifests; returns how many.
+
+        Readers that hold an older version lose it: call it when none is at work.
+        """
+        jvm = self.spark._jvm
+        number, shown = landing.newest(self.spark, self.root)
+        top = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        kept = {path.rsplit("/", 1)[-1] for path in (shown or {}).values()} | {landing.VERSION.format(self.root, number).rsplit("/", 1)[-1]}
+        old = [f.getPath() for glob in ("*/v-*", "manifest-*.json") for f in fs.globStatus(jvm.org.apache.hadoop.fs.Path(top, glob)) or []]
+        old = [p for p in old if p.getName() not in kept]
+        for p in old:
+            fs.delete(p, True)
+        return len(old)
+
     def fail(self) -> None:
         """From now on data and metadata are not written; a run's status still is."""
         self.failed = True
@@ -98,15 +120,16 @@ class Store:
         staged = (self._staged or {}).get(name)
         return self.spark.read.parquet(staged) if staged else self.read(name)
 
-    def _put(self, name: str, rows: DataFrame, cluster_by: tuple[str, ...] = ()) -> None:
+    def _put(self, name: str, rows: DataFrame, table: Table | None = None) -> None:
+        """A new version of a table within the open stage."""
         path = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
-        if cluster_by:
-            rows = rows.sortWithinPartitions(*cluster_by)
+        if table and table.cluster_by:
+            rows = rows.sortWithinPartitions(*table.cluster_by)
         rows.write.parquet(path)
-        if self._staged is not None:
-            self._staged[name] = path
-        else:
-            landing.write_json(self.spark, f"{self.root}/{MANIFEST}", self.manifest() | {name: path})
+        if table:
+            required = [f.name for f in table.schema.fields if not f.nullable]
+            landing.write_json(self.spark, f"{path}/{DECLARED}", {"key": list(table.key), "cluster_by": list(table.cluster_by), "not_null": required})
+        self._staged[name] = path
 
     def upsert(self, name: str, rows: DataFrame, sequence: list[str]) -> int:
         """Merges ``rows`` by the table's key, the last by ``sequence`` winning; returns the rows given."""
@@ -117,56 +140,71 @@ class Store:
         try:
             n = staged.count()
             if n:
-                old = drift.migrated(self._visible(name), table)
-                self._put(name, merge.upsert(old.select(*table.column_names), staged, list(table.key), sequence), table.cluster_by)
+                with self._within():
+                    old = drift.migrated(self._visible(name), table)
+                    self._put(name, merge.upsert(old.select(*table.column_names), staged, list(table.key), sequence), table)
             return n
         finally:
             staged.unpersist()
 
     def upsert_records(
         self, name: str, records: DataFrame, sequence: list[str], ingested_at: str | None = None, project: Callable[[DataFrame], DataFrame] | None = None
-    ) -> tuple[validate.StageResult, DataFrame]:
+    ) -> tuple[validate.Tally, DataFrame]:
         """Validates VARIANT records and merges the valid ones: the counters, and the rows set aside with their reasons.
 
-        ``project`` may change the valid rows before they are merged.
+        ``project`` may change the valid rows before they are merged, but not add any: more rows written
+        than found valid are an error. What is set aside is kept under ``_rejects``, its record as text.
         """
         table = self.contract[name]
         stamp = ingested_at or now()
         own = records.select("record", *sequence)
         if self.failed:
-            return validate.StageResult(name), validate.checked(own, table).limit(0)
+            return validate.Tally(name), validate.checked(own, table).limit(0)
         rows = validate.checked(own, table).persist()
-        counted = rows.agg(F.count("*").alias("n"), F.count_if(F.size("_errors") == 0).alias("ok")).first()
-        good, bad = validate.split(rows)
-        good = good.drop("record").withColumn("ingested_at", F.lit(stamp))
-        written = self.upsert(name, project(good) if project else good, sequence)
-        return validate.StageResult(name, counted["n"], counted["ok"], min(written, counted["ok"]), counted["n"] - counted["ok"]), bad
+        try:
+            counted = validate.counts(rows, F.size("_errors") == 0).first()
+            good, bad = validate.split(rows)
+            bad = bad.withColumn("record", F.to_json("record"))
+            if counted["skipped"]:
+                path = f"{self.root}/_rejects/{name}/{uuid.uuid4().hex}"
+                bad.write.parquet(path)
+                bad = self.spark.read.schema(bad.schema).parquet(path)
+            else:
+                bad = self.spark.createDataFrame([], bad.schema)
+            good = good.drop("record").withColumn("ingested_at", F.lit(stamp))
+            written = self.upsert(name, project(good) if project else good, sequence)
+            return validate.Tally.of(name, counted, written), bad
+        finally:
+            rows.unpersist()
 
     # audit
 
-    def record_stage(self, run_started: str, result: validate.StageResult) -> None:
+    def record_stage(self, run_started: str, result: validate.Tally) -> None:
         if self.failed:
             return
         self._record(run_started, result)
 
-    def _record(self, run_started: str, result: validate.StageResult, status: str | None = None) -> None:
-        runs = self._visible("_runs")
-        at = (runs.agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0]) + 1
-        row = (at, run_started, result.stage, result.fetched, result.validated, result.written, result.skipped, result.errors, status)
-        self._put("_runs", runs.unionByName(self.spark.createDataFrame([row], audit.RUNS)))
+    def _record(self, run_started: str, result: validate.Tally, status: str | None = None) -> None:
+        with self._within():
+            runs = self._visible("_runs")
+            at = (runs.agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0]) + 1
+            row = (at, run_started, result.stage, result.fetched, result.validated, result.written, result.skipped, result.errors, status)
+            self._put("_runs", runs.unionByName(self.spark.createDataFrame([row], audit.RUNS)))
 
     def set_status(self, run_started: str, status: str) -> None:
         """The status of all of a run's stages; written after a failure too."""
-        runs = self._visible("_runs")
-        own = F.when(F.col("started_at") == run_started, F.lit(status)).otherwise(F.col("status"))
-        self._put("_runs", runs.withColumn("status", own))
+        with self._within():
+            runs = self._visible("_runs")
+            own = F.when(F.col("started_at") == run_started, F.lit(status)).otherwise(F.col("status"))
+            self._put("_runs", runs.withColumn("status", own))
 
     def set_metadata(self, values: dict[str, str]) -> None:
         if self.failed or not values:
             return
         stamp = now()
         new = self.spark.createDataFrame([(k, str(v), stamp) for k, v in values.items()], audit.METADATA).withColumn("seq", F.lit(1))
-        self._put("_metadata", merge.upsert(self._visible("_metadata"), new, ["key"], ["seq"]))
+        with self._within():
+            self._put("_metadata", merge.upsert(self._visible("_metadata"), new, ["key"], ["seq"]))
 
     def finalize(self, run_started: str, status: str | None = None, metadata: dict[str, str] | None = None) -> str:
         """Status and metadata in one swap; the status comes from the run's counters if it isn't given."""

@@ -46,7 +46,7 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
 
 def rounds(df: DataFrame) -> DataFrame:
     """With the round that the file's name holds."""
-    return df.withColumn("round", F.regexp_extract("path", r"gw_(\d+)\.json$", 1).try_cast("bigint"))
+    return df.withColumn("round", F.regexp_extract("path", r"gw_(\d+)(?:\.\d+)?\.json$", 1).try_cast("bigint"))
 
 
 def players(df: DataFrame) -> DataFrame:

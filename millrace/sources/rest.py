@@ -8,7 +8,9 @@ end is a row with a null body, so that one id's failure stops no other.
 from __future__ import annotations
 
 import json
+import math
 import random
+import re
 import time
 import urllib.error
 import urllib.request
@@ -22,6 +24,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 DEFAULT_RATE, MAX_RATE, MAX_CONCURRENT = 10.0, 10.0, 10
 MAX_RETRIES, TIMEOUT_S, BACKOFF_CAP_S, RETRY_AFTER_S = 5, 30.0, 60.0, 30.0
 RETRYABLE = frozenset({500, 502, 503, 504})
+#: What a server may make a task wait at most.
+LONGEST_WAIT_S = 3600.0
 
 
 def clamped_rate(rate: float) -> float:
@@ -31,25 +35,30 @@ def clamped_rate(rate: float) -> float:
     return min(rate, MAX_RATE)
 
 
-def backoff(attempt: int, base: float = 0.0, jitter: float | None = None) -> float:
-    """Seconds to wait after the given attempt (from 1)."""
-    return min(base + 2 ** (attempt - 1) + (random.random() if jitter is None else jitter), BACKOFF_CAP_S)
+def backoff(failures: int, base: float = 0.0, jitter: float | None = None) -> float:
+    """Seconds to wait after so many failed attempts: doubled each time, moved by chance, up to the cap."""
+    chance = random.random() if jitter is None else jitter
+    return BACKOFF_CAP_S if failures > 32 else min(BACKOFF_CAP_S, math.ldexp(1.0, failures - 1) + base + chance)
 
 
-def retry_after(header: str | None, now: datetime | None = None) -> float:
-    """Seconds that a Retry-After header asks for: a number or an HTTP date; missing or malformed gives the default."""
-    if not header:
-        return RETRY_AFTER_S
-    try:
-        return max(0.0, float(header))
-    except ValueError:
-        pass
+#: delay-seconds of RFC 9110, and the fractions and signs that some servers send.
+DELAY = re.compile(r"[+-]?[0-9]{1,12}(?:\.[0-9]*)?")
+
+
+def seconds_until(date: str, now: datetime | None) -> float | None:
+    """From ``now`` to an HTTP date (UTC if it names no zone); None if it isn't one."""
     try:
-        until = parsedate_to_datetime(header)
+        at = parsedate_to_datetime(date)
     except (TypeError, ValueError):
-        return RETRY_AFTER_S
-    until = until if until.tzinfo else until.replace(tzinfo=UTC)
-    return max(0.0, (until - (now or datetime.now(UTC))).total_seconds())
+        return None
+    return (at.replace(tzinfo=at.tzinfo or UTC) - (now or datetime.now(UTC))).total_seconds()
+
+
+def retry_after(header: str | None, now: datetime | None = None) -> float:
+    """Seconds that a Retry-After header asks for, at most ``LONGEST_WAIT_S``; missing or malformed gives the default."""
+    value = (header or "").strip()
+    asked = float(value) if DELAY.fullmatch(value) else seconds_until(value, now)
+    return RETRY_AFTER_S if asked is None else min(LONGEST_WAIT_S, max(0.0, asked))
 
 
 class TokenBucket:

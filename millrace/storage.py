@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Where the setting is absent, as in local tests, a folder of this machine is set instead.
+    Where the setting is absent, as in local tests, a folder of this machine is set instead; on a cluster,
+    whose executors couldn't read it, that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -14,16 +14,16 @@ from millrace.sources import landing
 def merge_rounds(spark: SparkSession, store: Store, raw_dir: str, checkpoint: str) -> StreamingQuery:
     """Merges the rounds whose files are new since the last call, then ends.
 
-    A file that is written again under another name, as for the round still being played, replaces the
-    rows of the same key.
+    A round that is still being played lands again under another name (``gw_7.2.json``): a file is read
+    once, so one that is written over isn't seen. Of two files of one round the later written one wins.
     """
     files = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "gw_*.json").schema("value string").load(raw_dir)
-    files = files.select(F.col("_metadata.file_path").alias("path"), "value")
+    files = files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("landed"), "value")
 
     def merge(batch: DataFrame, _: int) -> None:
-        documents = landing.rounds(batch.select("path", F.try_parse_json("value").alias("document")))
-        records = flatten.live_elements(documents).withColumnRenamed("round", "seq_round")
+        documents = landing.rounds(batch.select("path", "landed", F.try_parse_json("value").alias("document")))
+        records = flatten.live_elements(documents, ("path", "round", "landed")).withColumnRenamed("round", "seq_round")
         with store.stage():
-            store.upsert_records("gameweeks", records, ["seq_round", "pos"])
+            store.upsert_records("gameweeks", records, ["seq_round", "landed", "path", "pos"])
 
     return files.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -46,3 +46,7 @@ def test_current_round(spark):
 def test_sql_with_parameters(spark):
     own = Session(spark, {"t": spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, name string")})
     assert [tuple(r) for r in own.query("SELECT name FROM t WHERE id = ?", [2]).collect()] == [("b",)]
+    spark.range(3).createOrReplaceTempView("t")  # the caller's own
+    assert own.query("SELECT count(*) FROM t").first()[0] == 2 and spark.table("t").count() == 3
+    spark.catalog.dropTempView("t")
+    assert own.query("SELECT count(*) FROM t").first()[0] == 2 and "t" not in {x.name for x in spark.catalog.listTables()}

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import threading
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 from records import bootstrap, fixtures, history, live, record
@@ -9,7 +11,8 @@ from millrace.operators import drift, merge, smoke
 from millrace.operators.store import Store
 from millrace.plans.contract import compiled
 from millrace.plans.runner import Run, exit_code, players_by_cache, rounds_to_read
-from millrace.sources import landing
+from millrace.sources import landing, rest
+from millrace.sources.fetch import Fetcher
 from millrace.streaming.incremental import merge_rounds
 
 
@@ -87,6 +90,75 @@ def test_stage_is_atomic(spark, tmp_path):
     assert store.upsert("fixture_stats", own, ["seq"]) == 0
 
 
+STATS = "fixture_id bigint, identifier string, element bigint, value bigint, side string, ingested_at string, seq int"
+
+
+def test_two_writers_and_crashes(spark, tmp_path):
+    one = lambda i: spark.createDataFrame([(i, "x", 1, 2, "h", "t", 0)], STATS)
+    a, b = (Store(spark, str(tmp_path / "db")) for _ in range(2))
+    a.upsert("fixture_stats", one(1), ["seq"])
+    with pytest.raises(OSError), a.stage():  # both began at one version: the later commit fails, nothing is lost
+        a.upsert("fixture_stats", one(2), ["seq"])
+        b.upsert("fixture_stats", one(3), ["seq"])
+    assert rows(b.read("fixture_stats").select("fixture_id")) == [(1,), (3,)]
+    (tmp_path / "db" / "manifest-000000000009.json.tmp").write_text("{half")  # a writer that died before its rename
+    a.upsert("fixture_stats", one(4), ["seq"])
+    assert rows(a.read("fixture_stats").select("fixture_id")) == [(1,), (3,), (4,)]
+    versions = lambda: len(list((tmp_path / "db" / "fixture_stats").iterdir()))
+    assert versions() == 4 and a.vacuum() == 5 and versions() == 1 and a.read("fixture_stats").count() == 3
+
+
+def test_stored_tables_declare_what_wrote_them(spark, tmp_path):
+    from dataclasses import replace
+
+    from millrace.plans.contract import Contract
+
+    now = compiled()["fixture_stats"]
+    store = Store(spark, str(tmp_path / "db"), Contract((replace(now, key=("fixture_id", "element")),)))
+    store.upsert("fixture_stats", spark.createDataFrame([(1, "x", 1, 2, "h", "t", 0)], STATS), ["seq"])
+    assert store.validate().status == "valid"
+    assert Store(spark, store.root, Contract((now,))).validate().constraint_mismatches == ["fixture_stats: key"]
+
+
+class Api(BaseHTTPRequestHandler):
+    asked: list[str] = []
+    missing: set[str] = set()
+
+    def do_GET(self):  # noqa: N802
+        self.asked.append(self.path)
+        answers = {"/bootstrap-static/": bootstrap(), "/fixtures/": fixtures()}
+        kind, *rest = self.path.strip("/").split("/")
+        body = answers.get(self.path) or (live(1, 2) if kind == "event" else history(int(rest[0])))
+        self.send_response(404 if self.path in self.missing else 200)
+        self.end_headers()
+        self.wfile.write(json.dumps(body).encode())
+
+    def log_message(self, *_):
+        pass
+
+
+def test_fetching_run(spark, tmp_path, monkeypatch):
+    """The second run fetches only what is new, a forced one everything, and one missing player stops no other."""
+    monkeypatch.setattr(rest, "MAX_RATE", 1000.0)
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Api)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    store, raw = Store(spark, str(tmp_path / "db")), str(tmp_path / "raw")
+    fetcher = Fetcher(spark, f"http://127.0.0.1:{server.server_port}", raw)
+    everything = ["/bootstrap-static/", *(f"/element-summary/{i}/" for i in (1, 2, 3)), "/event/1/live/", "/event/2/live/", "/fixtures/"]
+    Api.missing.add("/element-summary/3/")
+    assert Run(spark, store, raw, fetcher=fetcher).run() == "FAILED" and sorted(Api.asked) == everything
+    assert store.read("player_histories").count() == 4 and store.read("gameweeks").count() == 4
+    Api.missing.clear()
+    Api.asked.clear()
+    second = Run(spark, store, raw, fetcher=fetcher)
+    assert second.run() == "SUCCESS" and sorted(Api.asked) == ["/bootstrap-static/", "/element-summary/3/", "/event/2/live/", "/fixtures/"]
+    assert {r.stage: r.fetched for r in second.results}["gameweeks"] == 2 and store.read("player_histories").count() == 6
+    assert set(second.seconds) == {"core", "fixtures", "gameweeks", "player_histories"}
+    Api.asked.clear()
+    assert Run(spark, store, raw, fetcher=fetcher, force=True).run() == "SUCCESS" and sorted(Api.asked) == everything
+    server.shutdown()
+
+
 def test_incremental_selection(spark):
     events = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 0, 1)], "id bigint, finished bigint, is_current bigint")
     done = spark.createDataFrame([(1,), (3,)], "round bigint")

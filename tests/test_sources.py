@@ -73,6 +73,21 @@ def test_rest_source(spark):
     server.shutdown()
 
 
+def test_waits_that_servers_ask_for():
+    assert rest.retry_after("1e999") == 30 and rest.retry_after("9" * 12) == rest.LONGEST_WAIT_S and rest.retry_after(" 2.5 ") == 2.5
+    assert rest.retry_after("Fri, 01 Jan 2021 00:00:10 GMT", datetime(2022, 1, 1, tzinfo=UTC)) == 0
+
+
+def test_versions_are_made_once(spark, tmp_path):
+    folder = str(tmp_path / "v")
+    assert landing.newest(spark, folder) == (0, None)
+    landing.commit(spark, folder, 1, {"a": 1})
+    with pytest.raises(OSError):
+        landing.commit(spark, folder, 1, {"a": 2})
+    landing.commit(spark, folder, 2, {"a": 3})
+    assert landing.newest(spark, folder) == (2, {"a": 3}) and not list((tmp_path / "v").glob("*.tmp"))
+
+
 def test_landing(spark, tmp_path):
     landing.write_json(spark, str(tmp_path / "gw_4.json"), {"é": [1]})
     landing.write_json(spark, str(tmp_path / "gw_4.json"), {"é": [2]})

@@ -65,11 +65,11 @@ def test_probes(spark, table):
 
 
 def test_counters():
-    whole = validate.StageResult.total("core", [validate.StageResult("a", 5, 4, 4, 1), validate.StageResult("b", 2, 2, 2)])
-    assert (whole.fetched, whole.validated, whole.written, whole.skipped) == (7, 6, 6, 1) and whole.failure_reason == "skipped_records"
-    for bad in ((1, 2, 0, 0), (2, 1, 1, 0), (-1, 0, 0, 0)):
+    whole = validate.Tally("core", errors=0) + validate.Tally("a", 5, 4, 4) + validate.Tally("b", 2, 2, 2)
+    assert (whole.fetched, whole.validated, whole.written, whole.skipped) == (7, 6, 6, 1) and whole.trouble == "skipped_records" and str(whole) == "core: 7 read, 6 valid, 6 written, 1 skipped, 0 errors"
+    for bad in ((1, 2, 0, 0), (2, 1, 2, 0), (-1, 0, 0, 0), (1, 1, 1, -1)):
         with pytest.raises(ValueError):
-            validate.StageResult("x", *bad)
+            validate.Tally("x", *bad)
 
 
 def test_scalars(spark):
