@@ -85,7 +85,7 @@ def flatten_histories(spark, sf_dir):
 
 
 @query("""SELECT event_id, array_to_string(list_filter([CASE WHEN event_id % 7 = 0 THEN 'unknown: odd' END, CASE WHEN event_id % 5 = 0 THEN 'element: missing' END,
-    CASE WHEN event_id % 11 = 0 THEN 'value: not int' END, CASE WHEN event_id % 13 = 0 THEN 'side: null' END], x -> x IS NOT NULL), '; ') AS reasons FROM events""")
+    CASE WHEN event_id % 11 = 0 THEN 'value: not int' END, CASE WHEN event_id % 13 = 0 THEN 'side: null' END], lambda x: x IS NOT NULL), '; ') AS reasons FROM events""")
 def validate_records(spark, sf_dir):
     """Rows through the contract of a table: what is missing, null, unknown or of another type."""
     parts = F.create_map(
