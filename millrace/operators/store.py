@@ -3,13 +3,18 @@
 Every write makes a new folder; a stage's tables become visible together with the next manifest, which is
 made whole or not at all and never written over: of two writers that began at one version the second
 fails. Readers keep the version they started with. After a failure the store takes no more data.
+
+A table is dealt into buckets by a hash of the key column that its rows arrive by (``Table.bucket_by``),
+and a merge writes only the buckets that its rows fall into. A table that outgrows its buckets gets twice
+as many, so that over its life each row is rewritten for this a bounded number of times.
 """
 
 from __future__ import annotations
 
 import contextlib
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
+from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,26 +27,50 @@ from millrace.sources import landing
 
 #: What a table's version declares, beside its files; readers pass over names that begin with an underscore.
 DECLARED = "_declared.json"
+BUCKET = "__bucket"
+#: Rows for each bucket from which a table gets more of them; some GB, which one merge may well rewrite.
+BUCKET_ROWS = 4_000_000
 
 
 def now() -> str:
     return datetime.now(UTC).isoformat()
 
 
+@dataclass(frozen=True)
+class Version:
+    """What is visible of a table: the folder last written, and path and rows of each bucket that holds any."""
+
+    folder: str
+    parts: dict[str, list] = field(default_factory=dict)
+    buckets: int = 1
+    #: What all parts have in common; parts of another shape are written anew.
+    shape: str = ""
+
+    @property
+    def rows(self) -> int:
+        return sum(n for _, n in self.parts.values())
+
+
+def shown(manifest: dict | None) -> dict[str, Version]:
+    """A manifest's tables; a bare path is one of the layout before buckets."""
+    return {name: Version(v, {"0": [v, 0]}) if isinstance(v, str) else Version(**v) for name, v in (manifest or {}).items()}
+
+
 class Store:
     """Tables of a contract, runs and metadata under ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, contract: Contract | None = None):
+    def __init__(self, spark: SparkSession, root: str, contract: Contract | None = None, bucket_rows: int = BUCKET_ROWS):
         self.spark, self.root, self.contract = spark, root.rstrip("/"), contract or compiled()
+        self.bucket_rows = bucket_rows
         self.failed = False
-        self._staged: dict[str, str] | None = None
+        self._staged: dict[str, Version] | None = None
         self._base = 0
 
     # what is visible
 
-    def manifest(self) -> dict[str, str]:
-        """Path of each table's visible version."""
-        return landing.newest(self.spark, self.root)[1] or {}
+    def manifest(self) -> dict[str, Version]:
+        """Each table's visible version."""
+        return shown(landing.newest(self.spark, self.root)[1])
 
     def schema_of(self, name: str):
         if name == "_runs":
@@ -52,8 +81,12 @@ class Store:
 
     def read(self, name: str) -> DataFrame:
         """The visible version, or an empty frame of the contract's shape."""
-        path = self.manifest().get(name)
-        found = self.spark.read.parquet(path) if path else self.spark.createDataFrame([], self.schema_of(name))
+        return self._scan(name, self.manifest().get(name))
+
+    def _scan(self, name: str, version: Version | None, without: Collection[str] = ()) -> DataFrame:
+        """The rows of a version, but for some buckets."""
+        paths = [path for bucket, (path, _) in version.parts.items() if bucket not in without] if version else []
+        found = self.spark.read.parquet(*paths) if paths else self.spark.createDataFrame([], self.schema_of(name))
         return audit.migrated_runs(found) if name == "_runs" else found
 
     def query(self, sql: str, params: list | None = None) -> DataFrame:
@@ -64,10 +97,10 @@ class Store:
     def live(self) -> dict[str, drift.LiveTable]:
         """What the stored tables declare: the shape of their files, and what was written down beside them."""
         found = {}
-        for name, path in self.manifest().items():
+        for name, version in self.manifest().items():
             if not name.startswith("_"):
-                schema = self.spark.read.parquet(path).schema
-                declared = landing.read_json(self.spark, f"{path}/{DECLARED}") or {"key": [], "cluster_by": [], "not_null": []}
+                schema = self._scan(name, version).schema
+                declared = landing.read_json(self.spark, f"{version.folder}/{DECLARED}") or {"key": [], "cluster_by": [], "not_null": []}
                 for f in schema.fields:  # Parquet readers call every column nullable
                     f.nullable = f.name not in declared["not_null"]
                 found[name] = drift.LiveTable(schema, tuple(declared["key"]), tuple(declared["cluster_by"]))
@@ -88,7 +121,8 @@ class Store:
         try:
             yield
             if self._staged:
-                landing.commit(self.spark, self.root, self._base + 1, (before or {}) | self._staged)
+                tables = shown(before) | self._staged
+                landing.commit(self.spark, self.root, self._base + 1, {name: asdict(version) for name, version in tables.items()})
         finally:
             self._staged = None
 
@@ -97,17 +131,25 @@ class Store:
         return self.stage() if self._staged is None else contextlib.nullcontext()
 
     def vacuum(self) -> int:
-        """Removes table versions that the newest manifest doesn't show, and older manifests; returns how many.
+        """Removes folders that the newest manifest doesn't show, and older manifests; returns how many.
 
         Readers that hold an older version lose it: call it when none is at work.
         """
         jvm = self.spark._jvm
-        number, shown = landing.newest(self.spark, self.root)
+        number, manifest = landing.newest(self.spark, self.root)
         top = jvm.org.apache.hadoop.fs.Path(self.root)
         fs = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        kept = {path.rsplit("/", 1)[-1] for path in (shown or {}).values()} | {landing.VERSION.format(self.root, number).rsplit("/", 1)[-1]}
-        old = [f.getPath() for glob in ("*/v-*", "manifest-*.json") for f in fs.globStatus(jvm.org.apache.hadoop.fs.Path(top, glob)) or []]
-        old = [p for p in old if p.getName() not in kept]
+        found = lambda glob: [f.getPath() for f in fs.globStatus(jvm.org.apache.hadoop.fs.Path(top, glob)) or []]
+        end = lambda path: path.rsplit("/v-", 1)[-1]
+        versions = shown(manifest).values()
+        parts = {end(path) for v in versions for path, _ in v.parts.values()}
+        folders = {p.split("/", 1)[0] for p in parts} | {end(v.folder) for v in versions}
+        old = [p for p in found("manifest-*.json") if p.getName() != landing.VERSION.format(self.root, number).rsplit("/", 1)[-1]]
+        for p in found("*/v-*"):
+            if end(p.toString()) not in folders:
+                old.append(p)
+            else:
+                old += [b for b in found(f"{p.getParent().getName()}/{p.getName()}/{BUCKET}=*") if end(b.toString()) not in parts]
         for p in old:
             fs.delete(p, True)
         return len(old)
@@ -116,20 +158,50 @@ class Store:
         """From now on data and metadata are not written; a run's status still is."""
         self.failed = True
 
+    def _version(self, name: str) -> Version | None:
+        """The version that the open stage has written, or the visible one."""
+        return (self._staged or {}).get(name) or self.manifest().get(name)
+
     def _visible(self, name: str) -> DataFrame:
-        staged = (self._staged or {}).get(name)
-        return self.spark.read.parquet(staged) if staged else self.read(name)
-
-    def _put(self, name: str, rows: DataFrame, table: Table | None = None) -> None:
-        """A new version of a table within the open stage."""
-        path = f"{self.root}/{name}/v-{uuid.uuid4().hex}"
-        if table and table.cluster_by:
-            rows = rows.sortWithinPartitions(*table.cluster_by)
-        rows.write.parquet(path)
-        if table:
-            required = [f.name for f in table.schema.fields if not f.nullable]
-            landing.write_json(self.spark, f"{path}/{DECLARED}", {"key": list(table.key), "cluster_by": list(table.cluster_by), "not_null": required})
-        self._staged[name] = path
+        return self._scan(name, self._version(name))
+
+    def _folder(self, name: str) -> str:
+        return f"{self.root}/{name}/v-{uuid.uuid4().hex}"
+
+    def _put(self, name: str, rows: DataFrame) -> None:
+        """A new version of a small table of the store's own within the open stage."""
+        folder = self._folder(name)
+        rows.write.parquet(folder)
+        self._staged[name] = Version(folder, {"0": [folder, 0]})
+
+    def _merge(self, table: Table, incoming: DataFrame, given: int, sequence: list[str]) -> None:
+        """Within the open stage, a new version of the buckets that ``incoming`` has keys of; the others keep their files.
+
+        All buckets are written where their number or the table's shape has changed. What the driver gets is
+        a row for each bucket.
+        """
+        old = self._version(table.name)
+        buckets, held = (old.buckets, old.rows) if old else (1, 0)
+        while buckets * self.bucket_rows < held + given:
+            buckets *= 2
+        shape = f"{table.schema.simpleString()} by {table.bucket_by} of {','.join(table.key)}, {','.join(table.cluster_by)}"
+        by = F.pmod(F.xxhash64(F.col(table.bucket_by).cast(table.schema[table.bucket_by].dataType)), F.lit(buckets)).cast("int")
+        kept = {}
+        if old and (old.buckets, old.shape) == (buckets, shape):
+            touched = {str(r[0]) for r in incoming.select(by).distinct().collect()}
+            kept = {bucket: part for bucket, part in old.parts.items() if bucket not in touched}
+        before = drift.migrated(self._scan(table.name, old, kept), table).select(*table.column_names)
+        rows = merge.upsert(before, incoming, list(table.key), sequence).withColumn(BUCKET, by)
+        if buckets > 1:  # few files a bucket, and several tasks for a bucket that is much larger than others
+            rows = rows.hint("rebalance", BUCKET)
+        folder = self._folder(table.name)
+        rows.sortWithinPartitions(BUCKET, *table.cluster_by).write.partitionBy(BUCKET).parquet(folder)
+        required = [f.name for f in table.schema.fields if not f.nullable]
+        landing.write_json(self.spark, f"{folder}/{DECLARED}", {"key": list(table.key), "cluster_by": list(table.cluster_by), "not_null": required})
+        written = {str(r[BUCKET]): [f"{folder}/{BUCKET}={r[BUCKET]}", r["count"]] for r in self.spark.read.parquet(folder).groupBy(BUCKET).count().collect()}
+        if kept.keys() & written.keys():
+            raise RuntimeError(f"{table.name}: rows of a bucket that was to stay")
+        self._staged[table.name] = Version(folder, kept | written, buckets, shape)
 
     def upsert(self, name: str, rows: DataFrame, sequence: list[str]) -> int:
         """Merges ``rows`` by the table's key, the last by ``sequence`` winning; returns the rows given."""
@@ -141,8 +213,7 @@ class Store:
             n = staged.count()
             if n:
                 with self._within():
-                    old = drift.migrated(self._visible(name), table)
-                    self._put(name, merge.upsert(old.select(*table.column_names), staged, list(table.key), sequence), table)
+                    self._merge(table, staged, n, sequence)
             return n
         finally:
             staged.unpersist()

@@ -57,6 +57,11 @@ class Table:
         own = [T.StructField(c.name, T._parse_datatype_string(SPARK_TYPES[c.type]), c.nullable, {"note": self.notes.get(c.name, "")}) for c in self.columns]
         return T.StructType([*own, *(T.StructField(s, T.StringType(), True, {"source": "system"}) for s in SYSTEM_COLUMNS)])
 
+    @property
+    def bucket_by(self) -> str:
+        """The column whose hash deals the rows into buckets: the first of the layout that is in the key, or the key's first."""
+        return next((c for c in self.cluster_by if c in self.key), self.key[0])
+
     def create_sql(self, database: str) -> str:
         columns = ",\n  ".join([c.ddl for c in self.columns] + [f"{s} STRING" for s in SYSTEM_COLUMNS])
         properties = f"'millrace.key' = '{','.join(self.key)}', 'millrace.grain' = '{self.grain}', 'millrace.cluster_by' = '{','.join(self.cluster_by)}'"
