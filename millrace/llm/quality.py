@@ -112,11 +112,21 @@ def ordered(sample: list[str], rules: tuple[Rule, ...] = RULES, cost: Callable[[
 
 
 def sampled(df: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> list[str]:
-    """At most ``rows`` texts, those of the smallest hashes over all rows, whatever their order or files."""
+    """At most ``rows`` texts, those of the smallest hashes over all rows, whatever their order or files.
+
+    Only rows under a bound on the hash are sorted, so that what tasks send doesn't grow with their number:
+    about twice as many rows as are wanted lie under the first, and it is raised where that was too few.
+    """
     own = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     short = df.where(F.length(F.col(f"`{text}`")) <= SAMPLE_CHARS)
-    found = short.select(F.xxhash64(*own).alias("h"), F.col(f"`{text}`").alias("t")).orderBy("h", "t").limit(rows)
-    return [r["t"] for r in found.collect()]
+    hashed = short.select(F.xxhash64(*own).alias("h"), F.col(f"`{text}`").alias("t"))
+    share = 2 * rows / max(1, df.count())
+    while True:
+        below = hashed if share >= 1 else hashed.where(F.col("h") < -(2**63) + int(share * 2**64))
+        found = below.orderBy("h", "t").limit(rows).collect()
+        if len(found) == rows or share >= 1:
+            return [r["t"] for r in found]
+        share *= 8
 
 
 def sampled_order(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> tuple[Rule, ...]:

@@ -390,3 +390,15 @@ def test_licenses_of_standard_headers(spark):
     got = licenses.scan(frame(spark, [t for t, _ in want])).collect()
     assert [r["licences"] for r in got] == [name for _, name in want]
     assert [r["n_unmatched"] for r in got[:11]] == [0] * 11
+
+
+def test_quality_sample_is_that_of_all_rows(spark):
+    """The bound on the hash changes nothing: few rows, many rows, rows mostly too long, one row many times."""
+    tables = {
+        "few": [(i, f"a b {i}") for i in range(7)], "many": [(i, f"a b {i}") for i in range(3000)],
+        "long": [(i, "x" * (70_000 if i % 50 else 5)) for i in range(600)], "copies": [(1, "same")] * 2000 + [(2, None), (3, "")],
+    }
+    for rows in tables.values():
+        df = spark.createDataFrame(rows, "doc_id bigint, text string")
+        hashed = df.where("length(text) <= 65536").selectExpr("xxhash64(doc_id, text) AS h", "text").collect()
+        assert quality.sampled(df, rows=10) == [r.text for r in sorted(hashed)[:10]]
