@@ -10,17 +10,20 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from millrace.config import resolve
-from millrace.operators import audit, smoke
+from millrace.operators import audit, drift, smoke
 from millrace.operators.store import Store
 from millrace.plans.contract import compiled
 from millrace.plans.runner import Run, exit_code
 from millrace.sources import landing, rest
 from millrace.sources.fetch import Fetcher
 
+RUN_COLUMNS = ("started_at", "stage", *audit.COUNTERS, "status")
+METADATA_COLUMNS = ("key", "value", "updated_at")
+
 
 def parser() -> argparse.ArgumentParser:
     common = argparse.ArgumentParser(add_help=False)
-    common.add_argument("--warehouse")
+    common.add_argument("--warehouse", "--db", help="where the tables are")
     common.add_argument("--raw-dir")
     common.add_argument("--verbose", action="store_true")
     top = argparse.ArgumentParser(prog="millrace")
@@ -28,7 +31,7 @@ def parser() -> argparse.ArgumentParser:
     run = commands.add_parser("run", parents=[common])
     run.add_argument("--strict", action="store_true")
     run.add_argument("--base-url", help="fetch from this API first; without it the landing folder alone is read")
-    run.add_argument("--rate", type=float, default=rest.DEFAULT_RATE, help=f"documents a second, at most {rest.MAX_RATE:g}")
+    run.add_argument("--rate", type=positive, default=rest.DEFAULT_RATE, help=f"documents a second, at most {rest.MAX_RATE:g}")
     run.add_argument("--force", action="store_true", help="fetch again what has landed already")
     for name in ("status", "inspect", "smoke-test"):
         commands.add_parser(name, parents=[common])
@@ -38,9 +41,37 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def show(rows: list) -> None:
-    for r in rows:
-        print(" ".join(f"{k}={v}" for k, v in r.asDict().items()))
+def positive(text: str) -> float:
+    value = float(text)
+    if not value > 0:
+        raise argparse.ArgumentTypeError("must be greater than 0")
+    return value
+
+
+def aligned(rows: list, columns: tuple[str, ...], nothing: str) -> list[str]:
+    """Lines with the columns below each other, names first; ``nothing`` if there are no rows."""
+    if not rows:
+        return [nothing]
+    cells = [list(columns), *[["-" if r[c] is None else str(r[c]) for c in columns] for r in rows]]
+    widths = [max(map(len, column)) for column in zip(*cells, strict=True)]
+    return ["  ".join(cell.ljust(w) for cell, w in zip(line, widths, strict=True)).rstrip() for line in cells]
+
+
+def report_lines(report: drift.Report) -> list[str]:
+    kinds = {
+        "missing table": report.missing_tables, "missing column": report.missing_columns, "extra column": report.extra_columns,
+        "other type": report.type_mismatches, "other constraint": report.constraint_mismatches,
+    }
+    return [f"schema: {report.status}", *[f"  {kind}: {name}" for kind, names in kinds.items() for name in names]]
+
+
+def smoke_lines(outcomes: dict[str, smoke.Outcome]) -> list[str]:
+    each = [[f"{name}: {'ok' if o.ok else 'failed'}", *[f"  {p}" for p in o.problems]] for name, o in outcomes.items()]
+    return [line for lines in each for line in lines]
+
+
+def show(lines: list[str]) -> None:
+    print("\n".join(lines))
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -64,21 +95,21 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         logging.info("status: %s", status)
         return exit_code(status)
     if own.command in ("status", "inspect"):
-        show(audit.recent(store.read("_runs"), 1 if own.command == "status" else 5).collect())
-        show(audit.latest_metadata(store.read("_metadata")).collect())
+        runs = audit.recent(store.read("_runs"), 1 if own.command == "status" else audit.RECENT).collect()
+        metadata = audit.latest_metadata(store.read("_metadata")).collect()
+        show([*aligned(runs, RUN_COLUMNS, "no runs yet"), "", *aligned(metadata, METADATA_COLUMNS, "no metadata yet")])
         return 0
     if own.command == "smoke-test":
         raw = config.raw_dir
-        outcomes = [
-            smoke.bootstrap(landing.documents(spark, f"{raw}/bootstrap.json"), compiled()),
-            smoke.fixtures(landing.documents(spark, f"{raw}/fixtures.json"), compiled()),
-            smoke.history(landing.documents(spark, f"{raw}/players/*.json"), compiled()),
-        ]
-        for problem in (p for o in outcomes for p in o.problems):
-            print(problem)
-        return int(not all(o.ok for o in outcomes))
+        outcomes = {
+            "bootstrap": smoke.bootstrap(landing.documents(spark, f"{raw}/bootstrap.json"), compiled()),
+            "fixtures": smoke.fixtures(landing.documents(spark, f"{raw}/fixtures.json"), compiled()),
+            "history": smoke.history(landing.documents(spark, f"{raw}/players/*.json"), compiled()),
+        }
+        show(smoke_lines(outcomes))
+        return int(not all(o.ok for o in outcomes.values()))
     report = store.validate()
-    print(report)
+    show(report_lines(report))
     return report.exit_code
 
 

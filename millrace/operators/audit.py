@@ -13,6 +13,8 @@ from millrace.operators.select import status
 RUNS = "run_id bigint, started_at string, stage string, fetched bigint, validated bigint, written bigint, skipped bigint, errors bigint, status string"
 METADATA = "key string, value string, updated_at string"
 COUNTERS = ("fetched", "validated", "written", "skipped", "errors")
+#: Stage rows that a report shows.
+RECENT = 5
 #: Share of skipped records from which a warning is due.
 SKIP_WARNING = 0.01
 
@@ -29,7 +31,7 @@ def totals(runs: DataFrame) -> DataFrame:
     return summed.withColumn("status", status(F.lit(False), F.col("errors"), F.col("skipped")))
 
 
-def recent(runs: DataFrame, n: int = 5) -> DataFrame:
+def recent(runs: DataFrame, n: int = RECENT) -> DataFrame:
     return runs.orderBy(F.desc("started_at"), F.desc("run_id")).limit(n)
 
 

@@ -10,22 +10,31 @@ from pyspark.sql import types as T
 
 from millrace.plans.contract import Contract
 
-WANTED = "table_name string, column_name string, expected string"
-LIVE = "table_name string, column_name string, actual string"
+REPORT = "table_name string, column_name string, kind string, expected string, actual string"
 
 
 def type_name(kind: T.DataType) -> str:
     return kind.simpleString().upper()
 
 
+def column_differences(wanted: list[tuple[str, str, str]], live: dict[str, T.StructType]) -> list[tuple]:
+    """(table, column, kind, expected, actual) of each column that differs: kind is missing, extra or type (compared without case).
+
+    The full outer join of two catalogues, which are on the driver anyway and have a row for each column.
+    """
+    expected = {(table, column): kind for table, column, kind in wanted}
+    actual = {(table, f.name): type_name(f.dataType) for table, schema in live.items() for f in schema.fields}
+    found = []
+    for at in sorted(expected.keys() | actual.keys()):
+        want, has = expected.get(at), actual.get(at)
+        if want is None or has is None or want.upper() != has.upper():
+            found.append((*at, "missing" if has is None else "extra" if want is None else "type", want, has))
+    return found
+
+
 def column_report(spark: SparkSession, wanted: list[tuple[str, str, str]], live: dict[str, T.StructType]) -> DataFrame:
-    """One row for each column that differs: kind is missing, extra or type (compared without case)."""
-    left = spark.createDataFrame(wanted, WANTED)
-    right = spark.createDataFrame([(t, f.name, type_name(f.dataType)) for t, s in live.items() for f in s.fields], LIVE)
-    both = left.join(right, ["table_name", "column_name"], "full")
-    kind = F.when(F.col("actual").isNull(), "missing").when(F.col("expected").isNull(), "extra").otherwise("type")
-    differs = ~F.upper("expected").eqNullSafe(F.upper("actual"))
-    return both.where(differs).select("table_name", "column_name", kind.alias("kind"), "expected", "actual")
+    """One row for each column that differs."""
+    return spark.createDataFrame(column_differences(wanted, live), REPORT)
 
 
 @dataclass(frozen=True)
@@ -53,16 +62,14 @@ class Report:
         return {"valid": 0, "invalid": 1, "drift": 2}[self.status]
 
 
-def validate(spark: SparkSession, contract: Contract, live: dict[str, LiveTable]) -> Report:
+def validate(contract: Contract, live: dict[str, LiveTable]) -> Report:
     """Tables, columns, types, nullability, keys and layout of ``live`` against the contract; other tables are ignored."""
     report = Report("valid", missing_tables=sorted(t.name for t in contract.tables if t.name not in live))
     own = [t for t in contract.tables if t.name in live]
     wanted = [(t.name, f.name, type_name(f.dataType)) for t in own for f in t.schema.fields]
-    if own:
-        rows = column_report(spark, wanted, {t.name: live[t.name].schema for t in own}).orderBy("table_name", "column_name").collect()
-        lists = {"missing": report.missing_columns, "extra": report.extra_columns, "type": report.type_mismatches}
-        for r in rows:
-            lists[r["kind"]].append(f"{r['table_name']}.{r['column_name']}")
+    lists = {"missing": report.missing_columns, "extra": report.extra_columns, "type": report.type_mismatches}
+    for table, column, kind, *_ in column_differences(wanted, {t.name: live[t.name].schema for t in own}):
+        lists[kind].append(f"{table}.{column}")
     for t in own:
         found = live[t.name]
         names = {f.name: f for f in found.schema.fields}

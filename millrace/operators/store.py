@@ -107,7 +107,7 @@ class Store:
         return found
 
     def validate(self) -> drift.Report:
-        return drift.validate(self.spark, self.contract, self.live())
+        return drift.validate(self.contract, self.live())
 
     # writes
 

@@ -7,24 +7,41 @@ no error is valid, the others are set aside with their reasons.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column as SparkColumn
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from millrace.functions.coerce import COERCE
-from millrace.plans.contract import Table
+from millrace.functions.coerce import COERCE, listed, quoted
+from millrace.plans.contract import Column, Table
 
 PERSISTED = {"int": "bigint", "float": "double", "str": "string", "bool": "bigint"}
 VALIDATED = {"int": "bigint", "float": "double", "str": "string", "bool": "boolean"}
 
 
-def unknown_keys(json: Column, allowed: list[str], prefixes: tuple[str, ...] = ()) -> Column:
-    """Keys of a JSON object that are neither allowed nor start with one of the dropped prefixes."""
-    rest = F.array_except(F.json_object_keys(json), F.array(*[F.lit(k) for k in allowed]))
-    dropped = [F.lit(p) for p in prefixes]
-    return F.filter(rest, lambda k: ~reduce(or_, [k.startswith(p) for p in dropped])) if dropped else rest
+def unknown_keys(keys: str, allowed: list[str], prefixes: tuple[str, ...] = ()) -> str:
+    """SQL text: those of ``keys``, an array, that are neither allowed nor start with one of the dropped prefixes."""
+    rest = f"array_except({keys}, array({listed(allowed)}))"
+    dropped = " OR ".join(f"startswith(k, {quoted(p)})" for p in prefixes)
+    return f"filter({rest}, k -> NOT ({dropped}))" if prefixes else rest
+
+
+def checks(c: Column, raw: str, persisted: bool) -> tuple[str, list[str]]:
+    """SQL text of a contract column's value, and of its possible errors; ``__keys`` are the record's keys."""
+    given = [f"array_contains(__keys, {quoted(k)})" for k in c.inputs]
+    present = f"({' OR '.join(given)})"
+    null = f"coalesce(is_variant_null({raw}), false)"
+    value = COERCE[c.type](raw)
+    kind = (PERSISTED if persisted else VALIDATED)[c.type]
+    default = "NULL" if c.required or c.default is None else quoted(str(int(c.default) if c.type == "bool" else c.default))
+    errors = {"missing": f"__keys IS NOT NULL AND NOT {present}"} if c.required else {}
+    if not c.nullable:
+        errors["null"] = f"{present} AND {null}"
+    errors[f"not {c.type}"] = f"{present} AND NOT {null} AND ({value}) IS NULL"
+    if len(given) > 1:
+        errors["given twice"] = " AND ".join(given)
+    column = f"CASE WHEN {present} THEN CAST({value} AS {kind}) ELSE CAST({default} AS {kind}) END AS `{c.name}`"
+    return column, [f"CASE WHEN {when} THEN {quoted(f'{c.name}: {why}')} END" for why, when in errors.items()]
 
 
 def checked(df: DataFrame, table: Table, record: str = "record", persisted: bool = True) -> DataFrame:
@@ -34,33 +51,21 @@ def checked(df: DataFrame, table: Table, record: str = "record", persisted: bool
     the column isn't nullable; a value that can't be coerced is an error. A record that isn't a JSON
     object has one error. Of two names for one column only one may be given.
     """
-    whole = F.to_json(F.col(record))
-    keys = F.json_object_keys(whole)
-    names = [k for c in table.columns for k in c.inputs]
-    allowed = [*names, *table.drop_keys]
+    own = [f"`{c}`" for c in df.columns]
+    # the keys and each raw value are taken once, the expressions above them refer to those columns
+    raw = [", ".join(f"try_variant_get(`{record}`, {quoted(f'$.{k}')}, 'variant')" for k in c.inputs) for c in table.columns]
+    taken = [f"coalesce({r}) AS `__raw_{c.name}`" for c, r in zip(table.columns, raw, strict=True)]
+    unknown = unknown_keys("__keys", [*(k for c in table.columns for k in c.inputs), *table.drop_keys], table.drop_prefixes)
     columns, errors = [], [
-        F.when(keys.isNull(), F.lit("not an object")),
-        F.when(F.size(unknown_keys(whole, allowed, table.drop_prefixes)) > 0, F.concat(F.lit("unknown: "), F.array_join(unknown_keys(whole, allowed, table.drop_prefixes), ", "))),
+        "CASE WHEN __keys IS NULL THEN 'not an object' END",
+        f"CASE WHEN size({unknown}) > 0 THEN concat('unknown: ', array_join({unknown}, ', ')) END",
     ]
     for c in table.columns:
-        given = [F.array_contains(keys, k) for k in c.inputs]
-        at = [F.try_variant_get(record, f"$.{k}", "variant") for k in c.inputs]
-        raw, present = F.coalesce(*at), given[0] if len(given) == 1 else given[0] | given[1]
-        null = F.coalesce(F.is_variant_null(raw), F.lit(False))
-        value = COERCE[c.type](raw)
-        if persisted and c.type == "bool":
-            value = value.cast("bigint")
-        kind = (PERSISTED if persisted else VALIDATED)[c.type]
-        default = F.lit(c.default).cast(kind) if not c.required else F.lit(None).cast(kind)
-        columns.append(F.when(present, value).otherwise(default).alias(c.name))
-        errors.append(F.when(keys.isNotNull() & ~present & F.lit(c.required), F.lit(f"{c.name}: missing")))
-        if not c.nullable:
-            errors.append(F.when(present & null, F.lit(f"{c.name}: null")))
-        errors.append(F.when(present & ~null & value.isNull(), F.lit(f"{c.name}: not {c.type}")))
-        if len(given) == 2:
-            errors.append(F.when(given[0] & given[1], F.lit(f"{c.name}: given twice")))
-    reasons = F.array_compact(F.array(*errors)).alias("_errors")
-    return df.select(*[f"`{c}`" for c in df.columns], *columns, reasons)
+        column, why = checks(c, f"`__raw_{c.name}`", persisted)
+        columns.append(column)
+        errors += why
+    prepared = df.selectExpr(*own, f"json_object_keys(to_json(`{record}`)) AS __keys", *taken)
+    return prepared.selectExpr(*own, *columns, f"array_compact(array({', '.join(errors)})) AS _errors")
 
 
 def split(checked_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -68,7 +73,7 @@ def split(checked_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checked_rows.where(F.size("_errors") == 0).drop("_errors"), checked_rows.where(F.size("_errors") > 0)
 
 
-def counts(df: DataFrame, valid: Column, *by: str) -> DataFrame:
+def counts(df: DataFrame, valid: SparkColumn, *by: str) -> DataFrame:
     """fetched, validated and skipped in one aggregate, by the columns given."""
     return df.groupBy(*by).agg(F.count("*").alias("fetched"), F.count_if(valid).alias("validated"), F.count_if(~valid).alias("skipped"))
 

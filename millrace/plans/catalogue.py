@@ -68,7 +68,7 @@ def json_extract(spark, sf_dir):
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, len(json_keys(props))::BIGINT AS n_keys FROM events")
 def variant_unpack(spark, sf_dir):
     own = read(spark, sf_dir, "events").withColumn("v", F.try_parse_json("props"))
-    k = coerce.to_bigint(F.try_variant_get("v", "$.k", "variant"))
+    k = F.expr(coerce.to_bigint("try_variant_get(v, '$.k', 'variant')"))
     return own.select("event_id", k.alias("k"), F.size(F.json_object_keys("props")).cast("bigint").alias("n_keys"))
 
 
@@ -102,7 +102,7 @@ def lax_cast_validate(spark, sf_dir):
     whole = F.round("value").cast("bigint").cast("string")
     raw = F.when(F.expr("event_id % 3 = 0"), whole).when(F.expr("event_id % 3 = 1"), F.concat(whole, F.lit(".0"))).otherwise("x")
     own = read(spark, sf_dir, "events").select("event_id", raw.alias("raw"))
-    return own.withColumn("coerced", coerce.integral(F.col("raw")))
+    return own.withColumn("coerced", F.expr(coerce.integral("raw")))
 
 
 @query("""SELECT event_type, count(*)::BIGINT AS fetched, count(*) FILTER (value >= 10)::BIGINT AS validated,
@@ -115,7 +115,7 @@ def validate_counts(spark, sf_dir):
 def unknown_key_reject(spark, sf_dir):
     raw = F.when(F.expr("event_id % 7 = 0"), F.lit('{"k": 1, "extra": 2}')).otherwise(F.col("props"))
     own = read(spark, sf_dir, "events").select("event_id", raw.alias("raw"))
-    return own.where(F.size(validate.unknown_keys(F.col("raw"), ["k"])) > 0).select("event_id")
+    return own.where(F.size(F.expr(validate.unknown_keys("json_object_keys(raw)", ["k"]))) > 0).select("event_id")
 
 
 @query("SELECT event_id, coalesce(CASE WHEN event_id % 5 <> 0 THEN value END, 0.0) AS filled FROM events")

@@ -7,6 +7,7 @@ from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 import pytest
 from records import bootstrap, fixtures, history, live, record
 
+from millrace import cli
 from millrace.operators import drift, merge, smoke
 from millrace.operators.store import Store
 from millrace.plans.contract import compiled
@@ -220,21 +221,21 @@ def test_stream_merges_new_files(spark, raw, tmp_path):
 def test_drift(spark):
     contract = compiled()
     live_tables = {t.name: drift.LiveTable(t.schema, t.key, t.cluster_by) for t in contract.tables}
-    assert drift.validate(spark, contract, live_tables).exit_code == 0
+    assert drift.validate(contract, live_tables).exit_code == 0
     from dataclasses import replace
 
     from pyspark.sql import types as T
 
     teams = live_tables["teams"]
     extra = live_tables | {"teams": replace(teams, schema=T.StructType([*teams.schema.fields, T.StructField("more", T.StringType())]))}
-    assert drift.validate(spark, contract, extra).status == "drift" and drift.validate(spark, contract, extra).exit_code == 2
+    assert drift.validate(contract, extra).status == "drift" and drift.validate(contract, extra).exit_code == 2
     gone = {k: v for k, v in live_tables.items() if k != "teams"}
-    assert drift.validate(spark, contract, gone).missing_tables == ["teams"]
+    assert drift.validate(contract, gone).missing_tables == ["teams"]
     other = T.StructType([T.StructField(f.name, T.StringType(), f.nullable) for f in teams.schema.fields])
-    assert drift.validate(spark, contract, live_tables | {"teams": replace(teams, schema=other)}).status == "invalid"
+    assert drift.validate(contract, live_tables | {"teams": replace(teams, schema=other)}).status == "invalid"
     loose = T.StructType([T.StructField(f.name, f.dataType, True) for f in teams.schema.fields])
-    assert drift.validate(spark, contract, live_tables | {"teams": replace(teams, schema=loose)}).constraint_mismatches
-    assert drift.validate(spark, contract, live_tables | {"fixture_stats": replace(live_tables["fixture_stats"], key=())}).status == "invalid"
+    assert drift.validate(contract, live_tables | {"teams": replace(teams, schema=loose)}).constraint_mismatches
+    assert drift.validate(contract, live_tables | {"fixture_stats": replace(live_tables["fixture_stats"], key=())}).status == "invalid"
     with pytest.raises(RuntimeError):
         drift.migrated(spark.createDataFrame([(1,)], "id bigint"), contract["teams"])
     narrow = spark.createDataFrame([], T.StructType([f for f in teams.schema.fields if f.name != "form"]))
@@ -253,6 +254,23 @@ def test_smoke(spark, raw):
     assert smoke.bootstrap(landing.documents(spark, str(raw / "bootstrap.json")), contract).problems == ["elements: missing field web_name", "teams: missing", "events: not a list"]
 
 
+def test_command_line(spark, raw, tmp_path, capsys):
+    places = ["--db", str(tmp_path / "db"), "--raw-dir", str(raw)]
+    assert cli.main(["status", *places], spark) == 0 and capsys.readouterr().out == "no runs yet\n\nno metadata yet\n"
+    assert cli.main(places, spark) == 0 and cli.main(["inspect", *places], spark) == 0
+    shown = capsys.readouterr().out.splitlines()
+    assert shown[0].split() == list(cli.RUN_COLUMNS) and [line.split()[1] for line in shown[1:5]] == ["player_histories", "gameweeks", "fixtures", "core"]
+    assert len({line.index(line.split()[1]) for line in shown[:5]}) == 1  # columns stand below each other
+    assert {line.split()[0] for line in shown[7:]} == {"current_gameweek", "last_successful_run_at", "total_players"}
+    assert cli.main(["schema", "validate", *places], spark) == 0 and capsys.readouterr().out == "schema: valid\n"
+    (raw / "fixtures.json").write_text("{}")
+    assert cli.main(["smoke-test", *places], spark) == 1
+    assert capsys.readouterr().out.splitlines() == ["bootstrap: ok", "fixtures: failed", "  fixtures: not a list", "history: ok"]
+    assert cli.report_lines(drift.Report("drift", extra_columns=["teams.more"])) == ["schema: drift", "  extra column: teams.more"]
+    with pytest.raises(SystemExit):
+        cli.main(["run", "--rate", "0"], spark)
+
+
 def test_artifacts(tmp_path, spark):
     contract = compiled()
     assert json.loads(contract.as_json())["tables"]["gameweeks"]["key"] == ["element_id", "round"]

@@ -20,7 +20,7 @@ CASES = [
 def test_coercion_matrix(spark):
     rows = spark.createDataFrame([(i, json.dumps(v)) for i, (v, _, _) in enumerate(CASES)], "i int, j string").withColumn("v", F.try_parse_json("j"))
     for kind in ("int", "float", "str", "bool"):
-        got = {r[0]: r[1] for r in rows.select("i", coerce.COERCE[kind](F.col("v"))).collect()}
+        got = {r[0]: r[1] for r in rows.select("i", F.expr(coerce.COERCE[kind]("v"))).collect()}
         for i, (value, wanted_kind, want) in enumerate(CASES):
             if wanted_kind == kind:
                 assert got[i] == want, (value, kind)
