@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,17 +24,43 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Paths given out so far that nobody has removed.
+_made: list[str] = []
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder, removed when the driver's JVM ends."""
     path = f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    _made.append(path)
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a working folder that nothing reads any more."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = work_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
+    """What ``make`` gives, saved, and its path; what was saved on the way to it is removed.
+
+    Nothing else may read or save working folders in between: one driver thread works on it.
+    """
+    path = work_path(spark, label)
+    before = len(_made)
+    df = make()
+    df.write.parquet(path)
+    for done in _made[before:]:
+        remove(spark, done)
+    del _made[before:]
+    return spark.read.schema(df.schema).parquet(path), path
