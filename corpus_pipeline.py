@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import bpe, lines, minhash, mixing, quality, tokenizer_files
 from millrace.llm.common import importable, table
-from millrace.storage import saved
+from millrace.storage import remove, settled
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -54,8 +54,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, one after another."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages applied to ``documents``, one after another.
+
+    A stage's working folders and its input go once its result is written, so two stages' documents are
+    held at most.
+    """
+    docs, held = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        docs, path = settled(spark, f"pipeline-{name.replace(' ', '-')}", lambda docs=docs, stage=stage: stage(spark, docs, sf_dir))
+        if held:
+            remove(spark, held)
+        held = path
     return STAGES[-1][1](spark, docs, sf_dir)
