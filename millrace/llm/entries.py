@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import ann, bpe, chat, licenses, lines, minhash, mixing, oracle, pii, quality, tokenizer_files, toxicity
+from millrace.llm import ann, bpe, chat, licenses, lines, minhash, mixing, oracle, packing, pii, quality, tokenizer_files, toxicity
 from millrace.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(table(spark, sf_dir, "documents"), tokenizer_files.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_mixing": op2_mixing,
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_packing": op11_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
