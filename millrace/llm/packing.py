@@ -14,7 +14,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.bpe import byte_letters
 from millrace.llm.common import SLICE_BYTES, texts
 
 #: Tokens of a window, and the id behind each document.
 WINDOW, END_ID = 2048, 1
 #: Windows of a partition that are open at once; their tokens are held, 8 MB at most.
 OPEN = 1024
-#: Words that a worker remembers (twice as many at most), and the length beyond which it remembers none.
-MEMO, LONG_WORD = 250_000, 64
+#: Words and stems that a worker remembers (twice as many at most), and the length beyond which it remembers none.
+MEMO, LONG_WORD = 300_000, 64
 #: Code points of a text that are parted into words at once.
 STRETCH = 1 << 20
 #: Rows of a partition number its windows from here on.
@@ -37,51 +38,112 @@ SHIFT = 33
 
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
 BLANK = re.compile("[ \n]")
+MARKS = ".,!?;:"
+#: Letters of one code point each that lower-case one by one and have no other composed form.
+PLAIN = re.compile(rf"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([{MARKS}]?)").fullmatch
 
 
 class Words:
     """Ids of texts by a tokenizer file whose pre-tokens never span white space: word by word, remembered.
 
-    When ``MEMO`` words are held, those not met again since the last time are forgotten.
+    A word of plain Latin letters, perhaps with one mark behind it, is its stem and the mark: the file's
+    normaliser only lower-cases it and its pattern parts it there, so the merge model can be asked alone.
+    When ``MEMO`` entries are held, those not met again since the last time are forgotten.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.own = Tokenizer.from_file(path)
-        self.own.no_truncation()
-        self.own.no_padding()
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.whole = Tokenizer.from_file(path)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+        self.merges = Tokenizer(self.whole.model)
+        letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.spelled = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+        self.words: tuple[dict, dict] = {}, {}
+        self.stems: tuple[dict, dict] = {}, {}
+
+    def of_stems(self, stems: set[str]) -> None:
+        known, old = self.stems
+        new = []
+        for s in stems:
+            if s not in known:
+                if s in old:
+                    known[s] = old[s]
+                else:
+                    new.append(s)
+        if not new:
+            return
+        spelled = [s if s.isascii() else s.translate(self.spelled) for s in new]
+        found = self.merges.encode(spelled, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, "<u4").tobytes()
+        ends = np.searchsorted(np.array(found.word_ids), np.arange(1, len(new) + 1)) * 4
+        start = 0
+        for s, end in zip(new, ends.tolist(), strict=True):
+            known[s] = ids[start:end]
+            start = end
 
     def learn(self, words: set[str]) -> None:
-        again = words & self.old.keys()
-        self.known.update((w, self.old[w]) for w in again)
-        new = list(words - again)
-        if new:
-            found = self.own.encode_batch_fast(new, add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
+        known, old = self.words
+        plain, odd = {}, []
+        for w in words:
+            if w in old:
+                known[w] = old[w]
+            elif m := PLAIN(w):
+                plain[w] = (m[1].lower(), m[2])
+            else:
+                odd.append(w)
+        if odd:
+            found = self.whole.encode_batch_fast(odd, add_special_tokens=False)
+            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(odd, found, strict=True))
+        if plain:
+            self.of_stems({s for s, _ in plain.values()})
+            stems, marks = self.stems[0], self.marks
+            known.update((w, stems[s] + marks[m]) for w, (s, m) in plain.items())
+
+    @cached_property
+    def marks(self) -> dict[str, bytes]:
+        """Ids of the marks that may stand behind a plain word."""
+        return {m: np.array(self.whole.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ["", *MARKS]}
 
     def encode(self, text: str) -> bytes:
         """Ids of the whole text, four bytes each, the lowest first."""
-        out, at = [], 0
-        while at < len(text):
-            cut = BLANK.search(text, min(len(text), at + STRETCH))
-            end = cut.start() if cut else len(text)
-            words = text[at:end].replace("\n", " ").split(" ")
-            new = set(words).difference(self.known)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; texts are worked on together up to ``STRETCH`` code points, longer ones in stretches."""
+        parts: list[tuple[int, str]] = []
+        for i, text in enumerate(texts):
+            at = 0
+            while len(text) - at > STRETCH and (cut := BLANK.search(text, at + STRETCH)):
+                parts.append((i, text[at : cut.start()]))
+                at = cut.end()
+            parts.append((i, text[at:]))
+        out: list[list[bytes]] = [[] for _ in texts]
+        while parts:
+            n = size = 0
+            while n < len(parts) and (not n or size + len(parts[n][1]) <= STRETCH):
+                size += len(parts[n][1])
+                n += 1
+            some, parts = parts[:n], parts[n:]
+            split = [t.replace("\n", " ").split(" ") for _, t in some]
+            new = set().union(*split).difference(self.words[0])
             if new:
                 self.learn(new)
-            known = self.known
-            out.append(b"".join([known[w] for w in words]))
+            known = self.words[0]
+            for (i, _), words in zip(some, split, strict=True):
+                out[i].append(b"".join([known[w] for w in words]))
             for w in new:
                 if len(w) > LONG_WORD:
                     del known[w]
-            if len(known) > MEMO:
-                self.old, self.known = known, {}
-            at = end + 1
-        return b"".join(out)
+                    self.stems[0].pop(w.lower(), None)
+            self.words, self.stems = forgetting(self.words), forgetting(self.stems)
+        return [b"".join(x) for x in out]
+
+
+def forgetting(known: tuple[dict, dict]) -> tuple[dict, dict]:
+    return ({}, known[0]) if len(known[0]) > MEMO else known
 
 
 @lru_cache(maxsize=2)
@@ -221,8 +283,8 @@ def pack(df: DataFrame, path: str, size: int = WINDOW, end_id: int = END_ID, doc
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
-                for doc, t in zip(part.column("doc_id").to_pylist(), texts(part), strict=True):
-                    packer.add(doc, own.encode(t) + end)
+                for doc, ids in zip(part.column("doc_id").to_pylist(), own.encode_all(texts(part)), strict=True):
+                    packer.add(doc, ids + end)
                 yield from rows(256)
         packer.finish()
         yield from rows(0)
