@@ -14,7 +14,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +38,14 @@ SHIFT = 33
 
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
 BLANK = re.compile("[ \n]")
-MARKS = ".,!?;:"
-#: Letters of one code point each that lower-case one by one and have no other composed form.
-PLAIN = re.compile(rf"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([{MARKS}]?)").fullmatch
+#: Letters of one code point each that lower-case one by one and have no other composed form, and the marks behind them.
+PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-/:-@\[-`{-~]{0,4})").fullmatch
 
 
 class Words:
     """Ids of texts by a tokenizer file whose pre-tokens never span white space: word by word, remembered.
 
-    A word of plain Latin letters, perhaps with one mark behind it, is its stem and the mark: the file's
+    A word of plain Latin letters, perhaps with marks behind it, is its stem and the marks: the file's
     normaliser only lower-cases it and its pattern parts it there, so the merge model can be asked alone.
     When ``MEMO`` entries are held, those not met again since the last time are forgotten.
     """
@@ -63,6 +62,7 @@ class Words:
         self.spelled = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
         self.words: tuple[dict, dict] = {}, {}
         self.stems: tuple[dict, dict] = {}, {}
+        self.marks: dict[str, bytes] = {}
 
     def of_stems(self, stems: set[str]) -> None:
         known, old = self.stems
@@ -100,13 +100,10 @@ class Words:
         if plain:
             self.of_stems({s for s, _ in plain.values()})
             stems, marks = self.stems[0], self.marks
+            for m in {m for _, m in plain.values()} - marks.keys():
+                marks[m] = np.array(self.whole.encode(m, add_special_tokens=False).ids, "<u4").tobytes()
             known.update((w, stems[s] + marks[m]) for w, (s, m) in plain.items())
 
-    @cached_property
-    def marks(self) -> dict[str, bytes]:
-        """Ids of the marks that may stand behind a plain word."""
-        return {m: np.array(self.whole.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ["", *MARKS]}
-
     def encode(self, text: str) -> bytes:
         """Ids of the whole text, four bytes each, the lowest first."""
         return self.encode_all([text])[0]
@@ -139,6 +136,8 @@ class Words:
                     del known[w]
                     self.stems[0].pop(w.lower(), None)
             self.words, self.stems = forgetting(self.words), forgetting(self.stems)
+            if len(self.marks) > MEMO:
+                self.marks = {}
         return [b"".join(x) for x in out]
 
 
