@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -38,28 +40,43 @@ SHIFT = 33
 
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
 BLANK = re.compile("[ \n]")
-#: Letters of one code point each that lower-case one by one and have no other composed form, and the marks behind them.
-PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-/:-@\[-`{-~]{0,4})").fullmatch
+MARKS = string.punctuation
+
+
+def narrow(text: str) -> bool:
+    """Whether no character is beyond U+00FF."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class Words:
     """Ids of texts by a tokenizer file whose pre-tokens never span white space: word by word, remembered.
 
-    A word of plain Latin letters, perhaps with marks behind it, is its stem and the marks: the file's
-    normaliser only lower-cases it and its pattern parts it there, so the merge model can be asked alone.
+    A word of letters up to U+00FF, perhaps with marks behind it, is its stem and the marks: the file's
+    normaliser only lower-cases it, letter by letter, and its pattern parts it there, so the merge model can
+    be asked alone. Whole texts of such characters are lower-cased at once.
     When ``MEMO`` entries are held, those not met again since the last time are forgotten.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
         self.merges = Tokenizer(self.whole.model)
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        vocab = self.whole.get_vocab()
+        self.is_end = np.zeros(max(vocab.values()) + 1, bool)  # a word's last token bears the format's suffix, no other does
+        self.is_end[[i for token, i in vocab.items() if token.endswith(self.whole.model.end_of_word_suffix)]] = True
         letters = {byte: letter for letter, byte in byte_letters().items()}
-        self.spelled = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+        self.spelled = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
         self.words: tuple[dict, dict] = {}, {}
         self.stems: tuple[dict, dict] = {}, {}
         self.marks: dict[str, bytes] = {}
@@ -76,33 +93,34 @@ class Words:
         if not new:
             return
         spelled = [s if s.isascii() else s.translate(self.spelled) for s in new]
-        found = self.merges.encode(spelled, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, "<u4").tobytes()
-        ends = np.searchsorted(np.array(found.word_ids), np.arange(1, len(new) + 1)) * 4
-        start = 0
+        found = np.array(self.merges.encode_batch_fast([" ".join(spelled)], add_special_tokens=False)[0].ids, "<u4")
+        ids, start = found.tobytes(), 0
+        ends = (np.flatnonzero(self.is_end[found]) + 1) * 4
         for s, end in zip(new, ends.tolist(), strict=True):
             known[s] = ids[start:end]
             start = end
 
     def learn(self, words: set[str]) -> None:
         known, old = self.words
-        plain, odd = {}, []
+        plain, odd = [], []
         for w in words:
             if w in old:
                 known[w] = old[w]
-            elif m := PLAIN(w):
-                plain[w] = (m[1].lower(), m[2])
+                continue
+            stem = w if w.isalpha() else w.rstrip(MARKS)
+            if stem.isalpha() and len(w) < len(stem) + 5 and narrow(stem):
+                plain.append((w, stem.lower(), w[len(stem) :]))
             else:
                 odd.append(w)
         if odd:
             found = self.whole.encode_batch_fast(odd, add_special_tokens=False)
             known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(odd, found, strict=True))
         if plain:
-            self.of_stems({s for s, _ in plain.values()})
+            self.of_stems({s for _, s, _ in plain})
             stems, marks = self.stems[0], self.marks
-            for m in {m for _, m in plain.values()} - marks.keys():
+            for m in {m for _, _, m in plain} - marks.keys():
                 marks[m] = np.array(self.whole.encode(m, add_special_tokens=False).ids, "<u4").tobytes()
-            known.update((w, stems[s] + marks[m]) for w, (s, m) in plain.items())
+            known.update([(w, stems[s] + marks[m] if m else stems[s]) for w, s, m in plain])
 
     def encode(self, text: str) -> bytes:
         """Ids of the whole text, four bytes each, the lowest first."""
@@ -112,6 +130,8 @@ class Words:
         """Ids of each text; texts are worked on together up to ``STRETCH`` code points, longer ones in stretches."""
         parts: list[tuple[int, str]] = []
         for i, text in enumerate(texts):
+            if "<|" not in text and narrow(text):  # the file's own tokens count in their own case only
+                text = text.lower()
             at = 0
             while len(text) - at > STRETCH and (cut := BLANK.search(text, at + STRETCH)):
                 parts.append((i, text[at : cut.start()]))
@@ -125,12 +145,12 @@ class Words:
                 n += 1
             some, parts = parts[:n], parts[n:]
             split = [t.replace("\n", " ").split(" ") for _, t in some]
-            new = set().union(*split).difference(self.words[0])
+            new = set(filterfalse(self.words[0].__contains__, chain.from_iterable(split)))
             if new:
                 self.learn(new)
             known = self.words[0]
             for (i, _), words in zip(some, split, strict=True):
-                out[i].append(b"".join([known[w] for w in words]))
+                out[i].append(b"".join(map(known.__getitem__, words)))
             for w in new:
                 if len(w) > LONG_WORD:
                     del known[w]
