@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import ann, bpe, chat, licenses, lines, minhash, mixing, oracle, packing, pii, quality, tokenizer_files, toxicity
+from millrace.llm import ann, bpe, chat, licenses, lines, merkle, merkle_sql, minhash, mixing, oracle, packing, pii, quality, tokenizer_files, toxicity, trie, trie_sql
 from millrace.llm.common import table
 
 
@@ -55,6 +55,14 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.report(table(spark, sf_dir, "documents"), tokenizer_files.path("word_bpe_49k.json"))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_mixing": op2_mixing,
@@ -67,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
     "op11_packing": op11_packing,
+    "op12_trie": op12_trie,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -75,4 +85,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_lines": oracle.OP5,
     "op6_licenses": oracle.licence_sql(),
     "op10_quality": oracle.OP10,
+    "op12_trie": trie_sql.trie_sql(),
+    "op13_merkle": merkle_sql.manifest_sql(),
 }
