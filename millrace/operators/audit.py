@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import skip_percent
@@ -18,6 +19,42 @@ RECENT = 5
 #: Share of skipped records from which a warning is due.
 SKIP_WARNING = 0.01
 
+SHAPES = {"_runs": RUNS, "_metadata": METADATA}
+
+
+@dataclass(frozen=True)
+class Log:
+    """A small table of the store's own: files, rows appended since they were written, and statuses by run."""
+
+    files: list[str] = field(default_factory=list)
+    rows: list[list] = field(default_factory=list)
+    statuses: dict[str, str] = field(default_factory=dict)
+    next: int = 1
+
+    @classmethod
+    def of(cls, found: str | dict) -> Log:
+        """From a manifest, of earlier layouts too; their rows are numbered below the next ones."""
+        if isinstance(found, str) or "parts" in found:
+            return cls([found] if isinstance(found, str) else [path for path, _ in found["parts"].values()], next=1 << 32)
+        return cls(**found)
+
+    @property
+    def paths(self) -> list[str]:
+        return self.files
+
+
+def shown(spark: SparkSession, name: str, log: Log | None) -> DataFrame:
+    """The table of a log: for metadata the last row of each key, for runs the last status of each run."""
+    log = log or Log()
+    rows = spark.createDataFrame([tuple(r) for r in log.rows], SHAPES[name])
+    if log.files:
+        old = spark.read.parquet(*log.files)
+        rows = (migrated_runs(old) if name == "_runs" else old.join(rows.select("key"), "key", "left_anti")).select(*rows.columns).unionByName(rows)
+    if log.statuses:
+        last = spark.createDataFrame(list(log.statuses.items()), "started_at string, last string")
+        rows = rows.join(last, "started_at", "left").withColumn("status", F.coalesce("last", "status")).select(*rows.columns)
+    return rows
+
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, n) of all tables given."""

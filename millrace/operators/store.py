@@ -4,58 +4,50 @@ Every write makes a new folder; a stage's tables become visible together with th
 made whole or not at all and never written over: of two writers that began at one version the second
 fails. Readers keep the version they started with. After a failure the store takes no more data.
 
-A table is dealt into buckets by a hash of the key column that its rows arrive by (``Table.bucket_by``),
-and a merge writes only the buckets that its rows fall into. A table that outgrows its buckets gets twice
-as many, so that over its life each row is rewritten for this a bounded number of times.
+A table is a directory of buckets, kept in the manifest (``operators/buckets.py``). A merge writes a delta:
+its rows, one for each key, dealt by bucket. A bucket's parts are put together when it is read, the later
+merge winning by key. When a bucket has many deltas, or more rows than it should, that bucket alone is
+folded into one part, or split by further bits of its rows' addresses. The manifest holds rows, least and
+greatest values of each part, so a read for given values opens only the parts that can hold them.
+
+Run rows, statuses and metadata are appended to the manifest itself, without any Spark job, and folded into
+a Parquet file now and then.
 """
 
 from __future__ import annotations
 
 import contextlib
 import uuid
-from collections.abc import Callable, Collection, Iterator
-from dataclasses import asdict, dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import asdict, replace
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql import window as W
 
-from millrace.operators import audit, drift, merge, validate
+from millrace.operators import audit, buckets, drift, merge, validate
+from millrace.operators.buckets import BUCKET, Part, Version
 from millrace.plans.contract import Contract, Table, compiled
 from millrace.plans.sql import Session
 from millrace.sources import landing
 
-#: What a table's version declares, beside its files; readers pass over names that begin with an underscore.
-DECLARED = "_declared.json"
-BUCKET = "__bucket"
-#: Rows for each bucket from which a table gets more of them; some GB, which one merge may well rewrite.
+#: Rows of a bucket from which a fold splits it; some GB, which one fold may well rewrite.
 BUCKET_ROWS = 4_000_000
+#: Deltas of a bucket at most; then it is folded.
+MAX_DELTAS = 8
+#: Tasks at most that write one bucket of a delta.
+SALTS = 8
+#: Rows of runs, statuses and metadata that the manifest holds before they are folded.
+TAIL = 200
+REJECTED = "rejected"
 
 
 def now() -> str:
     return datetime.now(UTC).isoformat()
 
 
-@dataclass(frozen=True)
-class Version:
-    """What is visible of a table: the folder last written, and path and rows of each bucket that holds any."""
-
-    folder: str
-    parts: dict[str, list] = field(default_factory=dict)
-    buckets: int = 1
-    #: What all parts have in common; parts of another shape are written anew.
-    shape: str = ""
-
-    @property
-    def rows(self) -> int:
-        return sum(n for _, n in self.parts.values())
-
-
-def shown(manifest: dict | None) -> dict[str, Version]:
-    """A manifest's tables; a bare path is one of the layout before buckets."""
-    return {name: Version(v, {"0": [v, 0]}) if isinstance(v, str) else Version(**v) for name, v in (manifest or {}).items()}
-
-
 class Store:
     """Tables of a contract, runs and metadata under ``root``."""
 
@@ -63,47 +55,78 @@ class Store:
         self.spark, self.root, self.contract = spark, root.rstrip("/"), contract or compiled()
         self.bucket_rows = bucket_rows
         self.failed = False
-        self._staged: dict[str, Version] | None = None
+        self._staged: dict[str, Version | audit.Log] | None = None
         self._base = 0
 
     # what is visible
 
-    def manifest(self) -> dict[str, Version]:
+    def manifest(self) -> dict[str, Version | audit.Log]:
         """Each table's visible version."""
-        return shown(landing.newest(self.spark, self.root)[1])
+        return self._shown(landing.newest(self.spark, self.root)[1])
 
-    def schema_of(self, name: str):
-        if name == "_runs":
-            return self.spark.createDataFrame([], audit.RUNS).schema
-        if name == "_metadata":
-            return self.spark.createDataFrame([], audit.METADATA).schema
-        return self.contract[name].schema
+    def _shown(self, found: dict | None) -> dict[str, Version | audit.Log]:
+        return {name: (audit.Log if name.startswith("_") else Version).of(v) for name, v in (found or {}).items()}
 
     def read(self, name: str) -> DataFrame:
         """The visible version, or an empty frame of the contract's shape."""
         return self._scan(name, self.manifest().get(name))
 
-    def _scan(self, name: str, version: Version | None, without: Collection[str] = ()) -> DataFrame:
-        """The rows of a version, but for some buckets."""
-        paths = [path for bucket, (path, _) in version.parts.items() if bucket not in without] if version else []
-        found = self.spark.read.parquet(*paths) if paths else self.spark.createDataFrame([], self.schema_of(name))
-        return audit.migrated_runs(found) if name == "_runs" else found
+    def where(self, name: str, **values) -> DataFrame:
+        """The visible rows with these values: a column is a value, or a pair of least and greatest ones (null: open).
+
+        Only parts that can hold such rows are opened: by the address of the layout's column, or of the whole
+        key, where these are given, and by the least and greatest values of each part.
+        """
+        version = self.manifest().get(name)
+        bounds = {c: v if isinstance(v, tuple) else (v, v) for c, v in values.items()}
+        if version:
+            table = self.contract[name]
+            exact = {c: v[0] for c, v in bounds.items() if v[0] is not None and v[0] == v[1]}
+            version = buckets.pruned(version, table, bounds, buckets.address_bits(self.spark, table, exact))
+        found = self._scan(name, version)
+        for c, (low, high) in bounds.items():
+            found = found.where((F.col(c) >= F.lit(low)) if low is not None else F.lit(True)).where((F.col(c) <= F.lit(high)) if high is not None else F.lit(True))
+        return found
+
+    def _scan(self, name: str, version: Version | audit.Log | None) -> DataFrame:
+        if name.startswith("_"):
+            return audit.shown(self.spark, name, version)
+        if not version or not version.paths:
+            return self.spark.createDataFrame([], self.contract[name].schema)
+        return self._rows(version).drop(BUCKET)
+
+    def _rows(self, version: Version) -> DataFrame:
+        """Rows of a version with their bucket; of a bucket of several parts the latest for each key."""
+        schema = version.schema and T._parse_datatype_string(version.schema)
+
+        def of(paths: list[str]) -> DataFrame:
+            found = (self.spark.read.schema(schema) if schema else self.spark.read).parquet(*paths)
+            at = F.col("_metadata.file_path")
+            return found.select("*", F.regexp_extract(at, f"{BUCKET}=b([01]*)", 1).alias(BUCKET), F.regexp_extract(at, "/v-([^/]*)/", 1).alias("__from"))
+
+        single = [parts[0].path for parts in version.buckets.values() if len(parts) == 1]
+        several = [p.path for parts in version.buckets.values() if len(parts) > 1 for p in parts]
+        clean = of(single) if single else None
+        mixed = merge.latest(of(several), [BUCKET, *version.key], F.desc("__from")) if several else None
+        return (clean.unionByName(mixed) if single and several else clean if single else mixed).drop("__from")
 
     def query(self, sql: str, params: list | None = None) -> DataFrame:
         """Any query over the visible tables."""
+        visible = self.manifest()
         names = [*(t.name for t in self.contract.tables), "_runs", "_metadata"]
-        return Session(self.spark, {n: self.read(n) for n in names}).query(sql, params)
+        return Session(self.spark, {n: self._scan(n, visible.get(n)) for n in names}).query(sql, params)
 
     def live(self) -> dict[str, drift.LiveTable]:
         """What the stored tables declare: the shape of their files, and what was written down beside them."""
         found = {}
         for name, version in self.manifest().items():
-            if not name.startswith("_"):
-                schema = self._scan(name, version).schema
-                declared = landing.read_json(self.spark, f"{version.folder}/{DECLARED}") or {"key": [], "cluster_by": [], "not_null": []}
+            if not name.startswith("_") and version.paths:
+                schema = self.spark.read.parquet(version.paths[0]).schema
+                own = T._parse_datatype_string(version.schema).names if version.schema else schema.names
+                schema = T.StructType([f for f in schema.fields if f.name in own])  # deltas hold what they were ordered by too
                 for f in schema.fields:  # Parquet readers call every column nullable
-                    f.nullable = f.name not in declared["not_null"]
-                found[name] = drift.LiveTable(schema, tuple(declared["key"]), tuple(declared["cluster_by"]))
+                    f.nullable = f.name not in version.not_null
+                found[name] = drift.LiveTable(schema, tuple(version.key), tuple(version.cluster_by))
         return found
 
     def validate(self) -> drift.Report:
@@ -121,7 +144,7 @@ class Store:
         try:
             yield
             if self._staged:
-                tables = shown(before) | self._staged
+                tables = self._shown(before) | self._staged
                 landing.commit(self.spark, self.root, self._base + 1, {name: asdict(version) for name, version in tables.items()})
         finally:
             self._staged = None
@@ -141,14 +164,13 @@ class Store:
         fs = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
         found = lambda glob: [f.getPath() for f in fs.globStatus(jvm.org.apache.hadoop.fs.Path(top, glob)) or []]
         end = lambda path: path.rsplit("/v-", 1)[-1]
-        versions = shown(manifest).values()
-        parts = {end(path) for v in versions for path, _ in v.parts.values()}
-        folders = {p.split("/", 1)[0] for p in parts} | {end(v.folder) for v in versions}
+        parts = {end(path) for v in self._shown(manifest).values() for path in v.paths}
+        folders = {p.split("/", 1)[0] for p in parts}
         old = [p for p in found("manifest-*.json") if p.getName() != landing.VERSION.format(self.root, number).rsplit("/", 1)[-1]]
         for p in found("*/v-*"):
             if end(p.toString()) not in folders:
                 old.append(p)
-            else:
+            elif end(p.toString()) not in parts:
                 old += [b for b in found(f"{p.getParent().getName()}/{p.getName()}/{BUCKET}=*") if end(b.toString()) not in parts]
         for p in old:
             fs.delete(p, True)
@@ -158,129 +180,192 @@ class Store:
         """From now on data and metadata are not written; a run's status still is."""
         self.failed = True
 
-    def _version(self, name: str) -> Version | None:
+    def _version(self, name: str) -> Version | audit.Log | None:
         """The version that the open stage has written, or the visible one."""
         return (self._staged or {}).get(name) or self.manifest().get(name)
 
-    def _visible(self, name: str) -> DataFrame:
-        return self._scan(name, self._version(name))
+    def _folder(self, name: str, number: int) -> str:
+        """A new folder; of two folders of a table the one of the later merge has the later name."""
+        return f"{self.root}/{name}/v-{number:09d}-{uuid.uuid4().hex}"
 
-    def _folder(self, name: str) -> str:
-        return f"{self.root}/{name}/v-{uuid.uuid4().hex}"
+    def _current(self, table: Table) -> Version:
+        """The table's version in the contract's shape; one of another shape is written anew."""
+        old = self._version(table.name)
+        new = buckets.empty(table)
+        if not old or not old.paths:
+            return new
+        if old.shape == new.shape:
+            return old
+        rows = drift.migrated(self._rows(old).drop(BUCKET), table).select(*table.column_names, F.lit("").alias(BUCKET))
+        return self._written(table, replace(new, merges=old.merges), [""], merge.latest(rows, list(table.key), *map(F.col, table.key)))
+
+    def _written(self, table: Table, version: Version, old: list[str], rows: DataFrame) -> Version:
+        """``rows`` as the one part of each of the buckets ``old``, which are split where they hold more than they should."""
+        slot = buckets.slot(table)
+        counted = rows.groupBy(BUCKET, slot.alias("slot")).count().collect()  # as many as slots and buckets at most
+        held: dict[str, dict[int, int]] = {b: {} for b in old}
+        for r in counted:
+            held[r[BUCKET]][r["slot"]] = r["count"]
+        leaves = [leaf for b in old for leaf in buckets.planned(b, held[b], self.bucket_rows)]
+        number = version.merges + 1
+        folder = self._folder(table.name, number)
+        if leaves != old:
+            rows = buckets.routed(rows.drop(BUCKET), table, leaves)
+        rows = rows.withColumn(BUCKET, F.concat(F.lit("b"), BUCKET))
+        if len(leaves) > 1:  # few files a bucket, and several tasks for one that is much larger than others
+            rows = rows.hint("rebalance", BUCKET)
+        rows.sortWithinPartitions(BUCKET, *table.cluster_by).write.partitionBy(BUCKET).parquet(folder)
+        parts = self._parts(table, folder)
+        kept = {b: p for b, p in version.buckets.items() if b not in old}
+        return replace(version, buckets=kept | {b: [parts[b]] if b in parts else [] for b in leaves}, merges=number)
 
-    def _put(self, name: str, rows: DataFrame) -> None:
-        """A new version of a small table of the store's own within the open stage."""
-        folder = self._folder(name)
-        rows.write.parquet(folder)
-        self._staged[name] = Version(folder, {"0": [folder, 0]})
+    def _parts(self, table: Table, folder: str) -> dict[str, Part]:
+        """What was written to a folder: rows and ranges by bucket."""
+        written = self.spark.read.parquet(folder).groupBy(BUCKET).agg(F.count("*").alias("n"), *buckets.ranges(table)).collect()
+        return {r[BUCKET][1:]: Part(f"{folder}/{BUCKET}={r[BUCKET]}", r["n"], buckets.range_of(table, r.asDict())) for r in written}
 
-    def _merge(self, table: Table, incoming: DataFrame, given: int, sequence: list[str]) -> None:
-        """Within the open stage, a new version of the buckets that ``incoming`` has keys of; the others keep their files.
+    def _merge(self, table: Table, incoming: DataFrame, sequence: list[str], bad: Column | None = None, more: tuple[str, ...] = ()) -> tuple[dict, str | None]:
+        """Within the open stage, a delta of ``incoming``: the last row by ``sequence`` for each key.
 
-        All buckets are written where their number or the table's shape has changed. What the driver gets is
-        a row for each bucket.
+        Rows that are ``bad`` are written beside it, with the columns ``more``. Returns the counters given and
+        good, and the folder of the bad rows. They are counted in the tasks that write, which count once
+        however often a task or a stage before them is run.
         """
-        old = self._version(table.name)
-        buckets, held = (old.buckets, old.rows) if old else (1, 0)
-        while buckets * self.bucket_rows < held + given:
-            buckets *= 2
-        shape = f"{table.schema.simpleString()} by {table.bucket_by} of {','.join(table.key)}, {','.join(table.cluster_by)}"
-        by = F.pmod(F.xxhash64(F.col(table.bucket_by).cast(table.schema[table.bucket_by].dataType)), F.lit(buckets)).cast("int")
-        kept = {}
-        if old and (old.buckets, old.shape) == (buckets, shape):
-            touched = {str(r[0]) for r in incoming.select(by).distinct().collect()}
-            kept = {bucket: part for bucket, part in old.parts.items() if bucket not in touched}
-        before = drift.migrated(self._scan(table.name, old, kept), table).select(*table.column_names)
-        rows = merge.upsert(before, incoming, list(table.key), sequence).withColumn(BUCKET, by)
-        if buckets > 1:  # few files a bucket, and several tasks for a bucket that is much larger than others
-            rows = rows.hint("rebalance", BUCKET)
-        folder = self._folder(table.name)
-        rows.sortWithinPartitions(BUCKET, *table.cluster_by).write.partitionBy(BUCKET).parquet(folder)
-        required = [f.name for f in table.schema.fields if not f.nullable]
-        landing.write_json(self.spark, f"{folder}/{DECLARED}", {"key": list(table.key), "cluster_by": list(table.cluster_by), "not_null": required})
-        written = {str(r[BUCKET]): [f"{folder}/{BUCKET}={r[BUCKET]}", r["count"]] for r in self.spark.read.parquet(folder).groupBy(BUCKET).count().collect()}
-        if kept.keys() & written.keys():
-            raise RuntimeError(f"{table.name}: rows of a bucket that was to stay")
-        self._staged[table.name] = Version(folder, kept | written, buckets, shape)
+        version = self._current(table)
+        number = version.merges + 1
+        folder = self._folder(table.name, number)
+        good = F.lit(True) if bad is None else ~bad
+        several = list(version.buckets) != [""]
+        columns = [*table.column_names, *dict.fromkeys([*sequence, *more])]
+        rows = incoming.select(*columns, good.alias("__good"))
+        rows = rows.withColumn("__own", F.when(~F.col("__good"), F.monotonically_increasing_id()))
+        rows = buckets.routed(rows, table, list(version.buckets))
+        spread = [BUCKET, "__salt"] if several else []
+        if several:  # a few files for each bucket, and no bucket is one task
+            rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*table.key, "__own"), F.lit(SALTS))).repartition(*spread)
+        order = [F.desc_nulls_last(s) for s in sequence]
+        nth = F.row_number().over(W.Window.partitionBy(*spread, *table.key, "__own").orderBy(*order))
+        own = F.col("__good") & (F.col("__nth") == 1)
+        seen = Observation()
+        rows = rows.withColumn("__nth", nth).observe(
+            seen, F.count("*").alias("given"), F.count_if("__good").alias("good"), F.count_if(own).alias("n"), *buckets.ranges(table, own)
+        )
+        rows = rows.where("__nth = 1").withColumn(BUCKET, F.when(F.col("__good"), F.concat(F.lit("b"), BUCKET)).otherwise(F.lit(REJECTED)))
+        rows = rows.select(BUCKET, *columns)
+        if several:
+            rows = rows.sortWithinPartitions(BUCKET, *table.cluster_by)
+        rows.write.partitionBy(BUCKET).parquet(folder)
+        counted = {"given": 0, "good": 0, "n": 0} | seen.get
+        rejected = None
+        if counted["given"] > counted["good"]:
+            rejected = f"{self.root}/_rejects/{table.name}/{uuid.uuid4().hex}"
+            landing.move(self.spark, f"{folder}/{BUCKET}={REJECTED}", rejected)
+        if counted["n"]:
+            parts = self._parts(table, folder) if several else {"": Part(f"{folder}/{BUCKET}=b", counted["n"], buckets.range_of(table, counted))}
+            after = {b: [*held, parts[b]] if b in parts else held for b, held in version.buckets.items()}
+            version = replace(version, buckets=after, merges=number)
+            full = [b for b in parts if buckets.is_full(after[b], self.bucket_rows, MAX_DELTAS)]
+            if full:
+                version = self._folded(table, version, full)
+            self._staged[table.name] = version
+        return counted, rejected
+
+    def _folded(self, table: Table, version: Version, full: list[str]) -> Version:
+        """The buckets ``full`` in one part each, split where that is too large; the others keep their parts."""
+        rows = self._rows(replace(version, buckets={b: version.buckets[b] for b in full}))
+        return self._written(table, version, full, rows.select(BUCKET, *table.column_names))
+
+    def compact(self, name: str) -> None:
+        """Folds every bucket that has more than one part."""
+        if self.failed:
+            return
+        with self._within():
+            version = self._current(self.contract[name])
+            several = [b for b, parts in version.buckets.items() if len(parts) > 1]
+            self._staged[name] = self._folded(self.contract[name], version, several) if several else version
 
     def upsert(self, name: str, rows: DataFrame, sequence: list[str]) -> int:
         """Merges ``rows`` by the table's key, the last by ``sequence`` winning; returns the rows given."""
         if self.failed:
             return 0
-        table = self.contract[name]
-        staged = rows.select(*table.column_names, *sequence).persist()
-        try:
-            n = staged.count()
-            if n:
-                with self._within():
-                    self._merge(table, staged, n, sequence)
-            return n
-        finally:
-            staged.unpersist()
+        with self._within():
+            return self._merge(self.contract[name], rows, sequence)[0]["given"]
 
     def upsert_records(
         self, name: str, records: DataFrame, sequence: list[str], ingested_at: str | None = None, project: Callable[[DataFrame], DataFrame] | None = None
     ) -> tuple[validate.Tally, DataFrame]:
         """Validates VARIANT records and merges the valid ones: the counters, and the rows set aside with their reasons.
 
-        ``project`` may change the valid rows before they are merged, but not add any: more rows written
-        than found valid are an error. What is set aside is kept under ``_rejects``, its record as text.
+        Both are written, and counted, in one query. ``project`` may change the valid rows before they are
+        merged, but not add any: more rows written than found valid are an error. Then what is set aside is
+        written by a query of its own. It is kept under ``_rejects``, its record as text.
         """
         table = self.contract[name]
-        stamp = ingested_at or now()
         own = records.select("record", *sequence)
+        rows = validate.checked(own, table)
+        set_aside = F.size("_errors") > 0
+        shape = T.StructType([*(rows.schema[c] for c in sequence if c not in table.column_names), *(rows.schema[c.name] for c in table.columns)])
+        shape = shape.add("record", T.StringType()).add("_errors", T.ArrayType(T.StringType()))
         if self.failed:
-            return validate.Tally(name), validate.checked(own, table).limit(0)
-        rows = validate.checked(own, table).persist()
-        try:
-            counted = validate.counts(rows, F.size("_errors") == 0).first()
-            good, bad = validate.split(rows)
-            bad = bad.withColumn("record", F.to_json("record"))
-            if counted["skipped"]:
+            return validate.Tally(name), self.spark.createDataFrame([], shape)
+        rows = rows.withColumn("ingested_at", F.lit(ingested_at or now()))
+        text = F.when(set_aside, F.to_json("record")).alias("record")
+        with self._within():
+            if project:
+                seen = Observation()
                 path = f"{self.root}/_rejects/{name}/{uuid.uuid4().hex}"
-                bad.write.parquet(path)
-                bad = self.spark.read.schema(bad.schema).parquet(path)
+                counting = rows.observe(seen, F.count("*").alias("given"), F.count_if(~set_aside).alias("good"))
+                counting.where(set_aside).select(*[c for c in shape.names if c != "record"], text).write.parquet(path)
+                counted, bad = seen.get, path
+                written = self._merge(table, project(rows.where(~set_aside).drop("record", "_errors")), sequence)[0]["given"]
             else:
-                bad = self.spark.createDataFrame([], bad.schema)
-            good = good.drop("record").withColumn("ingested_at", F.lit(stamp))
-            written = self.upsert(name, project(good) if project else good, sequence)
-            return validate.Tally.of(name, counted, written), bad
-        finally:
-            rows.unpersist()
+                counted, bad = self._merge(table, rows.withColumn("record", text), sequence, set_aside, ("record", "_errors"))
+                written = counted["good"]
+            result = validate.Tally(name, counted["given"], counted["good"], written)
+        found = self.spark.read.schema(shape).parquet(bad) if bad and result.skipped else self.spark.createDataFrame([], shape)
+        return result, found
 
     # audit
 
+    def _log(self, name: str) -> audit.Log:
+        return self._version(name) or audit.Log()
+
+    def _appended(self, name: str, log: audit.Log) -> None:
+        """Within the open stage; a log whose tail is long is folded into its file first."""
+        if len(log.rows) + len(log.statuses) > TAIL:
+            folder = self._folder(name, log.next)
+            audit.shown(self.spark, name, log).coalesce(1).write.parquet(folder)
+            log = audit.Log([folder], next=log.next)
+        self._staged[name] = log
+
     def record_stage(self, run_started: str, result: validate.Tally) -> None:
+        """Appends a stage's row; reads and runs nothing but the manifest."""
         if self.failed:
             return
-        self._record(run_started, result)
-
-    def _record(self, run_started: str, result: validate.Tally, status: str | None = None) -> None:
         with self._within():
-            runs = self._visible("_runs")
-            at = (runs.agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0]) + 1
-            row = (at, run_started, result.stage, result.fetched, result.validated, result.written, result.skipped, result.errors, status)
-            self._put("_runs", runs.unionByName(self.spark.createDataFrame([row], audit.RUNS)))
+            log = self._log("_runs")
+            row = [log.next, run_started, result.stage, result.fetched, result.validated, result.written, result.skipped, result.errors, None]
+            self._appended("_runs", replace(log, rows=[*log.rows, row], next=log.next + 1))
 
     def set_status(self, run_started: str, status: str) -> None:
         """The status of all of a run's stages; written after a failure too."""
         with self._within():
-            runs = self._visible("_runs")
-            own = F.when(F.col("started_at") == run_started, F.lit(status)).otherwise(F.col("status"))
-            self._put("_runs", runs.withColumn("status", own))
+            log = self._log("_runs")
+            self._appended("_runs", replace(log, statuses=log.statuses | {run_started: status}))
 
     def set_metadata(self, values: dict[str, str]) -> None:
         if self.failed or not values:
             return
         stamp = now()
-        new = self.spark.createDataFrame([(k, str(v), stamp) for k, v in values.items()], audit.METADATA).withColumn("seq", F.lit(1))
         with self._within():
-            self._put("_metadata", merge.upsert(self._visible("_metadata"), new, ["key"], ["seq"]))
+            log = self._log("_metadata")
+            own = {r[0]: r for r in log.rows} | {k: [k, str(v), stamp] for k, v in values.items()}
+            self._appended("_metadata", replace(log, rows=list(own.values()), next=log.next + 1))
 
     def finalize(self, run_started: str, status: str | None = None, metadata: dict[str, str] | None = None) -> str:
         """Status and metadata in one swap; the status comes from the run's counters if it isn't given."""
         if status is None:
-            found = audit.totals(self._visible("_runs").where(F.col("started_at") == run_started)).first()
+            found = audit.totals(self._scan("_runs", self._log("_runs")).where(F.col("started_at") == run_started)).first()
             status = found["status"] if found else "SUCCESS"
         with self.stage():
             self.set_status(run_started, status)

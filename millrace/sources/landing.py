@@ -80,6 +80,16 @@ def write_json(spark: SparkSession, path: str, payload: object, replace: bool =
         raise OSError(f"can't write {path}") from e
 
 
+def move(spark: SparkSession, old: str, new: str) -> None:
+    """Renames a folder, whose new parent is made if it isn't there."""
+    jvm = spark._jvm
+    at, to = jvm.org.apache.hadoop.fs.Path(old), jvm.org.apache.hadoop.fs.Path(new)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(to.getParent())
+    if not fs.rename(at, to):
+        raise OSError(f"can't rename {old}")
+
+
 VERSION = "{}/manifest-{:012d}.json"
 
 

@@ -77,87 +77,6 @@ def test_missing_bootstrap_fails(spark, raw, tmp_path):
         Run(spark, Store(spark, str(tmp_path / "db")), str(raw)).run()
 
 
-def test_stage_is_atomic(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "db"))
-    own = spark.createDataFrame([(1, "x", 1, 2, "h", "t", 0)], "fixture_id bigint, identifier string, element bigint, value bigint, side string, ingested_at string, seq int")
-    with pytest.raises(ZeroDivisionError), store.stage():
-        store.upsert("fixture_stats", own, ["seq"])
-        raise ZeroDivisionError
-    assert store.read("fixture_stats").isEmpty()
-    with store.stage():
-        assert store.upsert("fixture_stats", own, ["seq"]) == 1
-    assert store.read("fixture_stats").count() == 1
-    store.fail()
-    assert store.upsert("fixture_stats", own, ["seq"]) == 0
-
-
-STATS = "fixture_id bigint, identifier string, element bigint, value bigint, side string, ingested_at string, seq int"
-
-
-def test_two_writers_and_crashes(spark, tmp_path):
-    one = lambda i: spark.createDataFrame([(i, "x", 1, 2, "h", "t", 0)], STATS)
-    a, b = (Store(spark, str(tmp_path / "db")) for _ in range(2))
-    a.upsert("fixture_stats", one(1), ["seq"])
-    with pytest.raises(OSError), a.stage():  # both began at one version: the later commit fails, nothing is lost
-        a.upsert("fixture_stats", one(2), ["seq"])
-        b.upsert("fixture_stats", one(3), ["seq"])
-    assert rows(b.read("fixture_stats").select("fixture_id")) == [(1,), (3,)]
-    (tmp_path / "db" / "manifest-000000000009.json.tmp").write_text("{half")  # a writer that died before its rename
-    a.upsert("fixture_stats", one(4), ["seq"])
-    assert rows(a.read("fixture_stats").select("fixture_id")) == [(1,), (3,), (4,)]
-    versions = lambda: len(list((tmp_path / "db" / "fixture_stats").iterdir()))
-    assert versions() == 4 and a.vacuum() == 5 and versions() == 1 and a.read("fixture_stats").count() == 3
-
-
-def test_merges_write_only_touched_buckets(spark, tmp_path):
-    """Against a dictionary: rows of every merge, the number of buckets, and files that a merge leaves alone."""
-    store = Store(spark, str(tmp_path / "db"), bucket_rows=8)
-    wanted = {}
-
-    def put(found):
-        store.upsert("fixture_stats", spark.createDataFrame([(i, "x", e, v, "h", "t", 0) for i, e, v in found], STATS), ["seq"])
-        wanted.update({(i, e): v for i, e, v in found})
-        assert {(r.fixture_id, r.element): r.value for r in store.read("fixture_stats").collect()} == wanted
-        version = store.manifest()["fixture_stats"]
-        assert version.rows == len(wanted) and store.validate().constraint_mismatches == []
-        return version
-
-    assert put([(1, 1, 0), (2, 2, 0)]).buckets == 1
-    first = put([(i, e, 1) for i in range(5) for e in range(8)])  # 40 given and 2 held: six buckets at least
-    assert first.buckets == 8 and len(first.parts) > 2
-    second = put([(1, 3, 2), (9, 3, 2)])  # one element, one bucket
-    changed = [b for b in second.parts if second.parts[b] != first.parts.get(b)]
-    assert second.buckets == 8 and len(changed) == 1
-    third = put([(1, e, 3) for e in range(100, 103)])  # elements that are new, some in buckets that were empty
-    assert third.buckets == 8 and all(third.parts[b] == second.parts[b] for b in second.parts if third.parts[b][0].startswith(second.folder) or third.parts[b][0].startswith(first.folder))
-    store.vacuum()
-    assert {(r.fixture_id, r.element): r.value for r in store.read("fixture_stats").collect()} == wanted
-    folders = {str(p.relative_to(tmp_path / "db" / "fixture_stats")) for p in (tmp_path / "db" / "fixture_stats").glob("v-*/__bucket=*")}
-    assert folders == {path.split("fixture_stats/")[1] for path, _ in third.parts.values()}
-
-
-def test_tables_of_the_layout_before_buckets(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "db"))
-    store.upsert("fixture_stats", spark.createDataFrame([(1, "x", 1, 2, "h", "t", 0)], STATS), ["seq"])
-    path = store.manifest()["fixture_stats"].parts["0"][0]
-    landing.commit(spark, store.root, 2, {"fixture_stats": path})
-    assert store.read("fixture_stats").count() == 1
-    store.upsert("fixture_stats", spark.createDataFrame([(2, "x", 1, 2, "h", "t", 0)], STATS), ["seq"])
-    assert store.manifest()["fixture_stats"].rows == 2 and store.read("fixture_stats").count() == 2
-
-
-def test_stored_tables_declare_what_wrote_them(spark, tmp_path):
-    from dataclasses import replace
-
-    from millrace.plans.contract import Contract
-
-    now = compiled()["fixture_stats"]
-    store = Store(spark, str(tmp_path / "db"), Contract((replace(now, key=("fixture_id", "element")),)))
-    store.upsert("fixture_stats", spark.createDataFrame([(1, "x", 1, 2, "h", "t", 0)], STATS), ["seq"])
-    assert store.validate().status == "valid"
-    assert Store(spark, store.root, Contract((now,))).validate().constraint_mismatches == ["fixture_stats: key"]
-
-
 class Api(BaseHTTPRequestHandler):
     asked: list[str] = []
     missing: set[str] = set()
