@@ -44,29 +44,29 @@ def fractional(text: str) -> str:
     return f"CASE WHEN {bare} RLIKE {quoted(FLOAT_TEXT)} THEN try_cast({bare} AS DOUBLE) END"
 
 
-def by_type(value: str, boolean: str, text: str, number: str) -> str:
-    kind = json_type(value)
+def by_type(kind: str, boolean: str, text: str, number: str) -> str:
     return f"CASE WHEN {kind} = 'BOOLEAN' THEN {boolean} WHEN {kind} = 'STRING' THEN {text} WHEN {kind} RLIKE '{NUMBERS}' THEN {number} END"
 
 
-def to_bigint(value: str) -> str:
+def to_bigint(value: str, kind: str | None = None) -> str:
+    """``kind``: SQL text of the value's JSON type where that is known already."""
     number, text = got(value, "double"), integral(got(value, "string"))
     whole = f"CASE WHEN {number} = floor({number}) THEN coalesce({text}, {got(value, 'bigint')}) END"
-    return by_type(value, f"CAST({got(value, 'boolean')} AS BIGINT)", text, whole)
+    return by_type(kind or json_type(value), f"CAST({got(value, 'boolean')} AS BIGINT)", text, whole)
 
 
-def to_double(value: str) -> str:
-    return by_type(value, f"CAST({got(value, 'boolean')} AS DOUBLE)", fractional(got(value, "string")), got(value, "double"))
+def to_double(value: str, kind: str | None = None) -> str:
+    return by_type(kind or json_type(value), f"CAST({got(value, 'boolean')} AS DOUBLE)", fractional(got(value, "string")), got(value, "double"))
 
 
-def to_boolean(value: str) -> str:
+def to_boolean(value: str, kind: str | None = None) -> str:
     word, number = f"lower({got(value, 'string')})", got(value, "double")
     known = f"CASE WHEN {word} IN ({listed(TRUE_WORDS)}) THEN true WHEN {word} IN ({listed(FALSE_WORDS)}) THEN false END"
-    return by_type(value, got(value, "boolean"), known, f"CASE WHEN {number} IN (0D, 1D) THEN {number} = 1D END")
+    return by_type(kind or json_type(value), got(value, "boolean"), known, f"CASE WHEN {number} IN (0D, 1D) THEN {number} = 1D END")
 
 
-def to_string(value: str) -> str:
-    return f"CASE WHEN {json_type(value)} = 'STRING' THEN {got(value, 'string')} END"
+def to_string(value: str, kind: str | None = None) -> str:
+    return f"CASE WHEN {kind or json_type(value)} = 'STRING' THEN {got(value, 'string')} END"
 
 
 #: How a value becomes each contract type.

@@ -12,11 +12,6 @@ def items(df: DataFrame, document: str, path: str, keep: list[str]) -> DataFrame
     return own.select(*keep, F.posexplode("__items").alias("pos", "record"))
 
 
-def objects(df: DataFrame, record: str = "record") -> DataFrame:
-    """The rows whose record is a JSON object."""
-    return df.where(F.json_object_keys(F.to_json(record)).isNotNull())
-
-
 def bootstrap_list(df: DataFrame, name: str) -> DataFrame:
     """Records of one of the bootstrap document's lists."""
     return items(df, "document", f"$.{name}", ["path"])
@@ -31,14 +26,12 @@ def live_elements(df: DataFrame, keep: tuple[str, ...] = ("path", "round")) -> D
 
     Entries that aren't objects or have no id are passed over. The round is the file's, not the payload's.
     """
-    each = objects(items(df, "document", "$.elements", list(keep)))
-    each = each.where(F.try_variant_get("record", "$.id", "string").isNotNull())
-    stats = F.coalesce(F.try_variant_get("record", "$.stats", "map<string,variant>"), F.expr("cast(map() as map<string,variant>)"))
-    identity = F.create_map(
-        F.lit("element_id"), F.try_variant_get("record", "$.id", "variant"), F.lit("round"), F.try_parse_json(F.col("round").cast("string"))
-    )
-    both = F.map_concat(F.map_filter(identity, lambda k, v: ~F.map_contains_key(stats, k)), stats)
-    return each.select(*keep, "pos", F.try_parse_json(F.to_json(both)).alias("record"))
+    each = items(df, "document", "$.elements", list(keep)).select("*", F.try_variant_get("record", "$.id", "variant").alias("id"))
+    stats = F.try_variant_get("record", "$.stats", "map<string,variant>")
+    each = each.where(given("id")).select(*keep, "pos", "id", F.coalesce(stats, F.expr("cast(map() as map<string,variant>)")).alias("stats"))
+    identity = F.create_map(F.lit("element_id"), F.col("id"), F.lit("round"), F.col("round").cast("bigint").cast("variant"))
+    both = F.map_concat(F.map_filter(identity, lambda k, v: ~F.map_contains_key("stats", k)), "stats")
+    return each.select(*keep, "pos", F.to_variant_object(both).alias("record"))
 
 
 def fixture_stats(df: DataFrame) -> DataFrame:
@@ -46,23 +39,18 @@ def fixture_stats(df: DataFrame) -> DataFrame:
 
     A fixture without an id gives none; a missing identifier is empty text.
     """
-    each = objects(fixtures(df)).where(F.try_variant_get("record", "$.id", "string").isNotNull())
-    stats = each.select("path", F.col("pos").alias("pos_fixture"), "record", F.posexplode(F.try_variant_get("record", "$.stats", "array<variant>")).alias("pos_stat", "stat"))
+    each = fixtures(df).select("path", F.col("pos").alias("pos_fixture"), F.try_variant_get("record", "$.id", "variant").alias("id"), F.try_variant_get("record", "$.stats", "array<variant>").alias("stats"))
+    each = each.where(given("id")).select("path", "pos_fixture", "id", F.posexplode("stats").alias("pos_stat", "stat"))
+    name = F.coalesce(F.try_variant_get("stat", "$.identifier", "variant"), F.lit("").cast("variant"))
     both = F.array(*[F.struct(F.lit(i).alias("pos_side"), F.lit(s).alias("side"), F.try_variant_get("stat", f"$.{s}", "array<variant>").alias("entries")) for i, s in enumerate("ha")])
-    one = stats.select("path", "pos_fixture", "pos_stat", "record", "stat", F.explode(both).alias("x"))
-    entry = one.select("path", "pos_fixture", "pos_stat", "x.pos_side", "record", "stat", "x.side", F.posexplode("x.entries").alias("pos_entry", "entry"))
-    fields = F.filter(
-        F.array(
-            F.struct(F.lit("fixture_id").alias("k"), F.try_variant_get("record", "$.id", "variant").alias("v")),
-            F.struct(F.lit("identifier").alias("k"), F.coalesce(F.try_variant_get("stat", "$.identifier", "variant"), F.try_parse_json(F.lit('""'))).alias("v")),
-            F.struct(F.lit("element").alias("k"), F.try_variant_get("entry", "$.element", "variant").alias("v")),
-            F.struct(F.lit("value").alias("k"), F.try_variant_get("entry", "$.value", "variant").alias("v")),
-            F.struct(F.lit("side").alias("k"), F.try_parse_json(F.concat(F.lit('"'), F.col("side"), F.lit('"'))).alias("v")),
-        ),
-        lambda f: f["v"].isNotNull(),
-    )
-    record = F.try_parse_json(F.to_json(F.map_from_entries(fields)))
-    return entry.select("path", "pos_fixture", "pos_stat", "pos_side", "pos_entry", record.alias("record"))
+    one = each.select("path", "pos_fixture", "pos_stat", "id", name.alias("identifier"), F.explode(both).alias("x"))
+    entry = one.select("path", "pos_fixture", "pos_stat", "x.pos_side", "id", "identifier", "x.side", F.posexplode("x.entries").alias("pos_entry", "entry"))
+    own = ["path", "pos_fixture", "pos_stat", "pos_side", "pos_entry"]
+    entry = entry.select(*own, "id", "identifier", "side", *[F.try_variant_get("entry", f"$.{c}", "variant").alias(c) for c in ("element", "value")])
+    # a key that an entry lacks is lacking in its record
+    parts = {"fixture_id": F.col("id"), "identifier": F.col("identifier"), "element": F.col("element"), "value": F.col("value"), "side": F.col("side").cast("variant")}
+    fields = F.map_from_arrays(F.array(*map(F.lit, parts)), F.array(*parts.values()))
+    return entry.select(*own, F.to_variant_object(F.map_filter(fields, lambda k, v: v.isNotNull())).alias("record"))
 
 
 def season_events(df: DataFrame) -> DataFrame:
@@ -70,20 +58,18 @@ def season_events(df: DataFrame) -> DataFrame:
 
     No top element, or one without points: null. No chips, or an empty list: null.
     """
-    each = objects(bootstrap_list(df, "events"))
-    base = F.try_variant_get("record", "$", "map<string,variant>")
-    points = F.try_variant_get("record", "$.top_element_info.points", "variant")
-    chips = F.try_variant_get("record", "$.chip_plays", "array<variant>")
-    null = F.try_parse_json(F.lit("null"))
-    text = F.when(F.size(chips) > 0, F.to_json(F.try_variant_get("record", "$.chip_plays", "variant")))
-    made = F.create_map(F.lit("top_element_points"), F.coalesce(points, null), F.lit("chip_plays_json"), F.coalesce(quoted(text), null))
-    rest = F.map_filter(base, lambda k, v: ~k.isin("top_element_points", "chip_plays_json"))
-    return each.select("path", "pos", F.try_parse_json(F.to_json(F.map_concat(rest, made))).alias("record"))
-
-
-def quoted(text: Column) -> Column:
-    """Text as a JSON string in a VARIANT."""
-    return F.try_variant_get(F.try_parse_json(F.to_json(F.struct(text.alias("x")))), "$.x", "variant")
+    each = bootstrap_list(df, "events").select("path", "pos", F.try_variant_get("record", "$", "map<string,variant>").alias("base"))
+    each = each.where("base is not null").select("path", "pos", "base", F.element_at("base", "chip_plays").alias("plays"), F.try_variant_get(F.element_at("base", "top_element_info"), "$.points", "variant").alias("points"))
+    null = F.parse_json(F.lit("null"))
+    chips = F.when(F.size(F.try_variant_get("plays", "$", "array<variant>")) > 0, F.to_json("plays")).cast("variant")
+    made = F.create_map(F.lit("top_element_points"), F.coalesce("points", null), F.lit("chip_plays_json"), F.coalesce(chips, null))
+    rest = F.map_filter("base", lambda k, v: ~k.isin("top_element_points", "chip_plays_json"))
+    return each.select("path", "pos", F.to_variant_object(F.map_concat(rest, made)).alias("record"))
+
+
+def given(value: str) -> Column:
+    """Whether a VARIANT is there and no JSON null."""
+    return F.col(value).isNotNull() & ~F.is_variant_null(value)
 
 
 def histories(df: DataFrame) -> DataFrame:

@@ -26,21 +26,21 @@ def unknown_keys(keys: str, allowed: list[str], prefixes: tuple[str, ...] = ())
     return f"filter({rest}, k -> NOT ({dropped}))" if prefixes else rest
 
 
-def checks(c: Column, raw: str, persisted: bool) -> tuple[str, list[str]]:
-    """SQL text of a contract column's value, and of its possible errors; ``__keys`` are the record's keys."""
-    given = [f"array_contains(__keys, {quoted(k)})" for k in c.inputs]
-    present = f"({' OR '.join(given)})"
-    null = f"coalesce(is_variant_null({raw}), false)"
-    value = COERCE[c.type](raw)
+def checks(c: Column, persisted: bool) -> tuple[str, list[str]]:
+    """SQL text of a contract column's value, and of its possible errors, over the columns that ``checked`` prepares.
+
+    ``__raw_x`` is null where the record has no such key, ``__kind_x`` is VOID where it is an explicit null.
+    """
+    raw, value, void = f"`__raw_{c.name}`", f"`__value_{c.name}`", f"`__kind_{c.name}` = 'VOID'"
     kind = (PERSISTED if persisted else VALIDATED)[c.type]
     default = "NULL" if c.required or c.default is None else quoted(str(int(c.default) if c.type == "bool" else c.default))
-    errors = {"missing": f"__keys IS NOT NULL AND NOT {present}"} if c.required else {}
+    errors = {"missing": f"__keys IS NOT NULL AND {raw} IS NULL"} if c.required else {}
     if not c.nullable:
-        errors["null"] = f"{present} AND {null}"
-    errors[f"not {c.type}"] = f"{present} AND NOT {null} AND ({value}) IS NULL"
-    if len(given) > 1:
-        errors["given twice"] = " AND ".join(given)
-    column = f"CASE WHEN {present} THEN CAST({value} AS {kind}) ELSE CAST({default} AS {kind}) END AS `{c.name}`"
+        errors["null"] = void
+    errors[f"not {c.type}"] = f"{raw} IS NOT NULL AND NOT {void} AND {value} IS NULL"
+    if c.aliases:
+        errors["given twice"] = f"`__times_{c.name}` > 1"
+    column = f"CASE WHEN {raw} IS NOT NULL THEN CAST({value} AS {kind}) ELSE CAST({default} AS {kind}) END AS `{c.name}`"
     return column, [f"CASE WHEN {when} THEN {quoted(f'{c.name}: {why}')} END" for why, when in errors.items()]
 
 
@@ -50,22 +50,31 @@ def checked(df: DataFrame, table: Table, record: str = "record", persisted: bool
     A missing key takes its default, or is an error if it has none; an explicit null is an error where
     the column isn't nullable; a value that can't be coerced is an error. A record that isn't a JSON
     object has one error. Of two names for one column only one may be given.
+
+    Each value is taken from the record once, its type asked once and coerced once: each of these is a
+    projection whose columns the next one refers to.
     """
     own = [f"`{c}`" for c in df.columns]
-    # the keys and each raw value are taken once, the expressions above them refer to those columns
-    raw = [", ".join(f"try_variant_get(`{record}`, {quoted(f'$.{k}')}, 'variant')" for k in c.inputs) for c in table.columns]
-    taken = [f"coalesce({r}) AS `__raw_{c.name}`" for c, r in zip(table.columns, raw, strict=True)]
+    taken, kinds, values, times = [], [], [], []
+    for c in table.columns:
+        raw = [f"try_variant_get(`{record}`, {quoted(f'$.{k}')}, 'variant')" for k in c.inputs]
+        taken.append(f"{f'coalesce({", ".join(raw)})' if c.aliases else raw[0]} AS `__raw_{c.name}`")
+        if c.aliases:
+            times.append(f"{' + '.join(f'CAST({r} IS NOT NULL AS INT)' for r in raw)} AS `__times_{c.name}`")
+        kinds.append(f"schema_of_variant(`__raw_{c.name}`) AS `__kind_{c.name}`")
+        values.append(f"{COERCE[c.type](f'`__raw_{c.name}`', f'`__kind_{c.name}`')} AS `__value_{c.name}`")
     unknown = unknown_keys("__keys", [*(k for c in table.columns for k in c.inputs), *table.drop_keys], table.drop_prefixes)
     columns, errors = [], [
         "CASE WHEN __keys IS NULL THEN 'not an object' END",
-        f"CASE WHEN size({unknown}) > 0 THEN concat('unknown: ', array_join({unknown}, ', ')) END",
+        "CASE WHEN size(__unknown) > 0 THEN concat('unknown: ', array_join(__unknown, ', ')) END",
     ]
     for c in table.columns:
-        column, why = checks(c, f"`__raw_{c.name}`", persisted)
+        column, why = checks(c, persisted)
         columns.append(column)
         errors += why
-    prepared = df.selectExpr(*own, f"json_object_keys(to_json(`{record}`)) AS __keys", *taken)
-    return prepared.selectExpr(*own, *columns, f"array_compact(array({', '.join(errors)})) AS _errors")
+    prepared = df.selectExpr(*own, f"map_keys(try_variant_get(`{record}`, '$', 'map<string,variant>')) AS __keys", *taken, *times)
+    typed = prepared.selectExpr("*", f"{unknown} AS __unknown", *kinds)
+    return typed.selectExpr("*", *values).selectExpr(*own, *columns, f"array_compact(array({', '.join(errors)})) AS _errors")
 
 
 def split(checked_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
