@@ -11,7 +11,7 @@ ids as a result can need.
 from __future__ import annotations
 
 import hashlib
-import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ BLOCK, ROUNDING = 1024, 1e-9
 #: Share of the sampled neighbours that the lists within the calibrated ratio must hold.
 REACHED = 0.985
 TRIALS = 200
+#: Different vectors of a less common length from which it has an index of its own, and lengths that have one at most.
+DIRECT, MOST_LENGTHS = 4096, 64
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -133,6 +135,8 @@ def calibrated(graph: Graph, sample: np.ndarray, k: int) -> tuple[float, int]:
             best = lists[v][far[q, lists[v]].argmin()]
             ratios.append(far[q, best] / max(far[q].min(), 1e-9))
             ranks.append(rank[q, best])
+    if not ratios:  # a single vector has no neighbours
+        return 1.0, len(graph.centroids)
     return float(np.quantile(ratios, REACHED)), int(np.quantile(ranks, REACHED)) + 2
 
 
@@ -143,53 +147,90 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(vec_id, vector, digest) of the vectors that take part, each (vec_id, vector) once."""
+    """(vec_id, vector, digest, dim) of the vectors that take part, each (vec_id, vector) once; dim is their length."""
     own = df.selectExpr(f"cast(`{vec_id}` as bigint) as vec_id", f"cast(`{vector}` as array<double>) as vector")
     fine = "vec_id is not null and size(vector) > 0 and forall(vector, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(vector, x -> x <> 0)"
-    own = own.where(fine)
-    lengths = own.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    own = own.where(F.size("vector") == (lengths[0]["n"] if lengths else 0))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = matrix(batch.column("vector")) + 0.0  # -0 as 0
-        digests = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in rows]
+        column = batch.column("vector")
+        flat = column.flatten().to_numpy(zero_copy_only=False) + 0.0  # -0 as 0
+        ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+        digests = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in np.split(flat, ends[:-1])] if len(ends) else []
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], ["vec_id", "vector", "digest"])
 
-    return own.mapInArrow(by_batch(run), "vec_id bigint, vector array<double>, digest binary").dropDuplicates(["vec_id", "digest"])
+    found = own.where(fine).mapInArrow(by_batch(run), "vec_id bigint, vector array<double>, digest binary").dropDuplicates(["vec_id", "digest"])
+    return found.withColumn("dim", F.size("vector"))
 
 
 def entries(rows: DataFrame, k: int) -> DataFrame:
-    """One row per different vector: digest, vector, and its smallest k + 1 ids."""
+    """One row per different vector: digest, dim, vector, and its smallest k + 1 ids."""
     order = W.Window.partitionBy("digest").orderBy("vec_id")
     few = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1)
-    return few.groupBy("digest").agg(F.first("vector").alias("vector"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    return few.groupBy("digest").agg(F.first("dim").alias("dim"), F.first("vector").alias("vector"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
 
 
-def in_blocks(rows: DataFrame, entry: list[str], name: str, key: str) -> DataFrame:
-    """Rows of each list packed into arrays of about ``BLOCK`` entries."""
-    spark = rows.sparkSession
-    sizes = rows.groupBy("list").agg(F.expr(f"cast(ceil(count(*) / {BLOCK}) as int) as n_blocks"))
-    dealt = rows.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64(key), "n_blocks"))
-    return dealt.groupBy("list", "block").agg(F.collect_list(F.struct(*entry)).alias(name)).drop("block")
+def in_blocks(placed: DataFrame, rows: DataFrame, on: list[str], entry: list[str], name: str) -> DataFrame:
+    """(list, block, ``name``): each list's rows packed into arrays of about ``BLOCK`` entries. ``placed`` has list and ``on``."""
+    dealt = placed.join(F.broadcast(block_counts(placed)), "list").withColumn("block", F.pmod(F.xxhash64(*on), "n_blocks").cast("int"))
+    return dealt.join(rows, on).groupBy("list", "block").agg(F.collect_list(F.struct(*entry)).alias(name))
 
 
-def search(df: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Per query its ``k`` nearest vectors found: query_id, rank from 1, vec_id, score (cosine).
+def block_counts(placed: DataFrame) -> DataFrame:
+    """(list, n_blocks) of at most ``MAX_LISTS`` lists, or as many as there are lengths."""
+    return placed.groupBy("list").agg(F.expr(f"cast(ceil(count(*) / {BLOCK}) as int) as n_blocks"))
 
-    Ties go to the smaller vec_id; a query is never its own neighbour. Vectors that are null, zero or
-    hold null or non-finite components take no part, nor do those of another length than the most
-    common one. Rows that repeat a vec_id and vector count once. With fewer than k others all are
-    returned; an empty table gives an empty result. A query whose lists hold fewer than k others reads
-    all lists.
+
+def compared(k: int):
+    """The nearest ``k`` of a block of entries for each query of a block."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for wants, posts in zip(batch.column("wanted"), batch.column("posted"), strict=True):
+            w, p = wants.values, posts.values
+            q, v = matrix(w.field("vector")), matrix(p.field("vector"))
+            asked_ids, ids = w.field("vec_id").to_pylist(), p.field("ids").to_pylist()
+            nearby = unit(q) @ unit(v).T
+            some = min(len(v), k + 1)  # one may be the query itself
+            least = -np.partition(-nearby, some - 1, axis=1)[:, some - 1] - ROUNDING
+            for i, a in enumerate(asked_ids):
+                few = np.flatnonzero(nearby[i] >= least[i])  # ties at the end stay, so that the smaller ids can win
+                scores = cosines(np.broadcast_to(q[i], (len(few), q.shape[1])), v[few])
+                hits = [(-s, x) for s, at in zip(scores, few, strict=True) for x in ids[at] if x != a]
+                out += [(a, x, -s) for s, x in sorted(hits)[:k]]
+        a, x, s = zip(*out, strict=True) if out else ([], [], [])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(x, pa.int64()), pa.array(s, pa.float64())], ["query_id", "vec_id", "score"])
+
+    return run
+
+
+def matched(placed: DataFrame, own: DataFrame, probed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of each query and block of a list that it reads, some more than once.
+
+    Pairs of blocks meet by list and block, so a list that holds a large share of all vectors is many tasks;
+    a block of queries goes to each of them.
     """
-    spark = df.sparkSession
-    rows = saved(usable(df, vec_id, vector), "ann-rows")
-    own = saved(entries(rows, k), "ann-entries")
-    n = own.count()
-    shape = "query_id bigint, rank int, vec_id bigint, score double"
-    if not n:
-        return spark.createDataFrame([], shape)
-    length = own.select(F.size("vector")).first()[0]
+    posted = in_blocks(placed, own, ["digest"], ["ids", "vector"], "posted")
+    wanted = in_blocks(probed, asked, ["vec_id", "digest"], ["vec_id", "vector"], "wanted").drop("block")
+    wanted = wanted.join(F.broadcast(block_counts(placed)), "list").withColumn("block", F.explode(F.expr("sequence(0, n_blocks - 1)")))
+    pairs = wanted.join(posted, ["list", "block"]).select("wanted", "posted")
+    return pairs.mapInArrow(by_batch(compared(k)), "query_id bigint, vec_id bigint, score double")
+
+
+def best_of(found: DataFrame) -> DataFrame:
+    return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
+
+def listed(batch: pa.RecordBatch, lists: list[np.ndarray], keep: list[str]) -> pa.RecordBatch:
+    """A row for each row of ``batch`` and each of its lists."""
+    at = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    out = batch.select(keep).take(pa.array(at))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists) if lists else [], pa.int32()), *out.columns], ["list", *keep])
+
+
+def indexed(own: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score) found for queries ``asked`` among entries ``own``, all of one length."""
+    spark = own.sparkSession
+    n, length = own.count(), own.select("dim").first()[0]
     most = max(64, min(n, MAX_SAMPLE, MAX_SAMPLE_VALUES // length))
     n_lists = max(1, min(MAX_LISTS, n // LIST_ROWS, most // 2))
     n_sample = min(n, most, max(SAMPLE_PER_LIST * n_lists, 4096))
@@ -200,54 +241,68 @@ def search(df: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id"
     shared = spark.sparkContext.broadcast(graph)  # at most MAX_LISTS centroids and links
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = shared.value.lists_of(unit(matrix(batch.column("vector"))))
-        at = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        out = batch.take(pa.array(at))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists), pa.int32()), *out.columns], ["list", *out.schema.names])
+        return listed(batch, shared.value.lists_of(unit(matrix(batch.column("vector")))), ["digest"])
 
     def probe(batch: pa.RecordBatch) -> pa.RecordBatch:
-        vectors, at, lists = unit(matrix(batch.column("vector"))), [], []
+        vectors, lists = unit(matrix(batch.column("vector"))), []
         for i in range(0, len(vectors), 256):
             ids, far = shared.value.search(vectors[i : i + 256], width)
             near = np.isfinite(far) & (far <= np.maximum(far[:, :1], 1e-9) * ratio)
-            at.append(np.nonzero(near)[0] + i)
-            lists.append(ids[near])
-        out = batch.take(pa.array(np.concatenate(at)))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists), pa.int32()), *out.columns], ["list", *out.schema.names])
+            lists += [x[y] for x, y in zip(ids, near, strict=True)]
+        return listed(batch, lists, ["vec_id", "digest"])
+
+    def wider(upto: int):
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            vectors, lists = unit(matrix(batch.column("vector"))), []
+            size = max(1, BLOCK_VALUES // n_lists)
+            for i in range(0, len(vectors), size):
+                lists += list(np.argsort(-(vectors[i : i + size] @ shared.value.centroids.T), axis=1, kind="stable")[:, :upto])
+            return listed(batch, lists, ["vec_id", "digest"])
+
+        return run
+
+    probes = "list int, vec_id bigint, digest binary"
+    placed = saved(own.mapInArrow(by_batch(place), "list int, digest binary"), "ann-placed")
+    probed = saved(asked.mapInArrow(by_batch(probe), probes), "ann-probed")
+    best = saved(best_of(matched(placed, own, probed, asked, k)), "ann-found")
+    read = width
+    while read < n_lists:  # queries whose lists hold fewer than k others read more of them, the nearest first
+        enough = best.groupBy(F.col("query_id").alias("vec_id")).count().where(F.col("count") >= k)
+        short = saved(asked.join(enough, "vec_id", "left_anti"), "ann-short")
+        if short.isEmpty():
+            break
+        read = min(n_lists, 4 * read + 16)
+        probed = saved(short.mapInArrow(by_batch(wider(read)), probes), "ann-probed")
+        best = saved(best_of(best.union(matched(placed, own, probed, short, k))), "ann-found")
+    return best
 
-    postings = own.mapInArrow(by_batch(place), "list int, digest binary, vector array<double>, ids array<bigint>")
-    asked = rows.join(queries.select(F.col(vec_id).cast("bigint").alias("vec_id")).distinct(), "vec_id", "left_semi")
-    probes = asked.select("vec_id", "vector").mapInArrow(by_batch(probe), "list int, vec_id bigint, vector array<double>")
-    posted = in_blocks(postings, ["ids", "vector"], "posted", "digest")
 
-    def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[tuple] = []
-        for wants, posts in zip(batch.column("wanted"), batch.column("posted"), strict=True):
-            w, p = wants.values, posts.values
-            q, v = matrix(w.field("vector")), matrix(p.field("vector"))
-            asked_ids, ids = w.field("vec_id").to_pylist(), p.field("ids").to_pylist()
-            nearby = unit(q) @ unit(v).T
-            some = min(len(v), k + 1)  # one may be the query itself
-            least = -np.partition(-nearby, some - 1, axis=1)[:, some - 1] - ROUNDING
-            for i, a in enumerate(asked_ids):
-                few = np.flatnonzero(nearby[i] >= least[i])  # ties at the end stay, so that the smaller ids can win
-                scores = cosines(np.broadcast_to(q[i], (len(few), q.shape[1])), v[few])
-                hits = [(-s, x) for s, at in zip(scores, few, strict=True) for x in ids[at] if x != a]
-                out += [(a, x, -s) for s, x in sorted(hits)[:k]]
-        a, x, s = zip(*out, strict=True) if out else ([], [], [])
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(x, pa.int64()), pa.array(s, pa.float64())], ["query_id", "vec_id", "score"])
+def search(df: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """Per query its ``k`` nearest vectors found: query_id, rank from 1, vec_id, score (cosine).
 
-    def matched(probes: DataFrame) -> DataFrame:
-        wanted = in_blocks(probes, ["vec_id", "vector"], "wanted", "vec_id")
-        found = wanted.join(posted, "list").select("wanted", "posted").mapInArrow(by_batch(compare), "query_id bigint, vec_id bigint, score double")
-        return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-
-    best = saved(matched(probes), "ann-found")
-    enough = best.groupBy(F.col("query_id").alias("vec_id")).count().where(F.col("count") >= k)
-    short = saved(asked.select("vec_id", "vector").join(enough, "vec_id", "left_anti"), "ann-short")
-    if not short.isEmpty():  # their lists held fewer than k others: they read all lists
-        rest = matched(short.select(F.explode(F.sequence(F.lit(0), F.lit(n_lists - 1))).alias("list"), "vec_id", "vector"))
-        best = best.union(rest).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    Ties go to the smaller vec_id; a query is never its own neighbour. Vectors that are null, zero or
+    hold null or non-finite components take no part. Vectors of different lengths have no cosine: each
+    length is searched by itself, with an index for the most common one and for those of more than
+    ``DIRECT`` different vectors, the others block by block. Rows that repeat a vec_id and vector count
+    once. With fewer than k others all are returned, so a single vector has no row; an empty table gives
+    an empty result. A query whose lists hold fewer than k others reads further lists, the nearest first.
+    """
+    spark = df.sparkSession
+    rows = saved(usable(df, vec_id, vector), "ann-rows")
+    own = saved(entries(rows, k), "ann-entries")
+    asked = rows.join(queries.select(F.col(vec_id).cast("bigint").alias("vec_id")).distinct(), "vec_id", "left_semi")
+    asked = saved(asked, "ann-asked")
+    shape = "query_id bigint, rank int, vec_id bigint, score double"
+    lengths = own.groupBy("dim").count().orderBy(F.desc("count"), "dim")
+    chosen = [r["dim"] for i, r in enumerate(lengths.limit(MOST_LENGTHS).collect()) if i == 0 or r["count"] > DIRECT]
+    if not chosen:
+        return spark.createDataFrame([], shape)
+    found = [indexed(own.where(F.col("dim") == d), asked.where(F.col("dim") == d), k) for d in chosen]
+    rest = ~F.col("dim").isin(chosen)
+    others = asked.where(rest)
+    if not others.isEmpty():
+        found.append(best_of(matched(own.where(rest).select(F.col("dim").alias("list"), "digest"), own, others.select(F.col("dim").alias("list"), "vec_id", "digest"), asked, k)))
+    best = reduce(DataFrame.union, found)
     order = W.Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = best_of(best).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -371,3 +371,57 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted((r["doc_id"], r["n_tokens"]) for r in e) == sorted(texts) and {i for i, _ in texts} <= alone
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect()), key=repr) == sorted(map(tuple, e), key=repr)
+
+
+def plain_search(rows, asked, k=5):
+    """All pairs of one length; (vec_id, vector) once."""
+    found = {(i, tuple(v)) for i, v in rows}
+    out = []
+    for a, v in sorted(found):
+        if a in asked:
+            best = {}
+            for x, w in found:
+                if x != a and len(w) == len(v):
+                    best[x] = max(best.get(x, -2), float(ann.cosines(np.array([v]), np.array([w]))[0]))
+            out.append((a, best))
+    merged = defaultdict(dict)
+    for a, best in out:
+        for x, s in best.items():
+            merged[a][x] = max(merged[a].get(x, -2), s)
+    return {a: [x for _, x in sorted((-round(s, 9), x) for x, s in best.items())[:k]] for a, best in merged.items()}
+
+
+@pytest.mark.parametrize("case", ["one", "equal", "two", "lengths", "none"])
+def test_search_of_odd_tables(spark, case):
+    rng = np.random.default_rng(4)
+    rows = {
+        "one": [(50, [1.0, 2.0])],
+        "equal": [(i, [3.0, 1.0]) for i in range(60)],
+        "two": [(0, [1.0, 0.0]), (1, [0.0, 1.0])],
+        "lengths": [(i, rng.normal(size=2 + i % 3).round(3).tolist()) for i in range(90)] + [(0, [1.0] * 7)],
+        "none": [(0, [0.0, 0.0]), (50, [float("nan"), 1.0])],
+    }[case]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.search(df, df.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+        assert r["rank"] == len(got[r["query_id"]])
+    assert got == plain_search(rows if case != "none" else [], {i for i, _ in rows if i % 50 == 0})
+
+
+def test_search_over_many_blocks_and_short_lists(spark, monkeypatch):
+    """Small blocks, a list with most vectors, and queries whose own lists hold too few: every pair that should meet does."""
+    for name, value in {"BLOCK": 16, "LIST_ROWS": 8, "DIRECT": 20}.items():
+        monkeypatch.setattr(ann, name, value)
+    rng = np.random.default_rng(9)
+    heap = ann.unit(rng.normal(size=(1, 8)) + 0.01 * rng.normal(size=(300, 8)))
+    far = ann.unit(rng.normal(size=(100, 8)))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([heap, far]))] + [(1000 + i, rng.normal(size=5).tolist()) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    asked = {i for i, _ in rows if i % 20 == 0}
+    got = defaultdict(list)
+    for r in ann.search(df, df.where("vec_id % 20 = 0")).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    want = plain_search(rows, asked)
+    assert got.keys() == want.keys() and all(len(v) == 5 for v in got.values())
+    assert np.mean([len(set(got[a]) & set(want[a])) / 5 for a in want]) >= 0.9
