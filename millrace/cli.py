@@ -7,14 +7,15 @@ import logging
 import sys
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.config import resolve
-from millrace.operators import audit, drift, smoke
-from millrace.operators.store import Store
+from millrace.operators import audit, drift, flatten, smoke
+from millrace.operators.store import Store, now
 from millrace.plans.contract import compiled
 from millrace.plans.runner import Run, exit_code
-from millrace.sources import landing, rest
+from millrace.sources import fetch, landing, rest
 from millrace.sources.fetch import Fetcher
 
 RUN_COLUMNS = ("started_at", "stage", *audit.COUNTERS, "status")
@@ -33,8 +34,9 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--base-url", help="fetch from this API first; without it the landing folder alone is read")
     run.add_argument("--rate", type=positive, default=rest.DEFAULT_RATE, help=f"documents a second, at most {rest.MAX_RATE:g}")
     run.add_argument("--force", action="store_true", help="fetch again what has landed already")
-    for name in ("status", "inspect", "smoke-test"):
+    for name in ("status", "inspect"):
         commands.add_parser(name, parents=[common])
+    commands.add_parser("smoke-test", parents=[common]).add_argument("--base-url", help="fetch the two core documents and the first players first")
     schema = commands.add_parser("schema").add_subparsers(dest="action", required=True)
     schema.add_parser("export", parents=[common]).add_argument("--out")
     schema.add_parser("validate", parents=[common])
@@ -70,6 +72,32 @@ def smoke_lines(outcomes: dict[str, smoke.Outcome]) -> list[str]:
     return [line for lines in each for line in lines]
 
 
+def smoke_outcomes(spark: SparkSession, raw_dir: str, fetcher: Fetcher | None) -> dict[str, smoke.Outcome]:
+    """Checks of the newest documents: fetched now, fetched before, or else landed as files; what isn't there is a problem."""
+    stamp = now()
+
+    def newest(name: str, files: str) -> DataFrame:
+        found = fetch.documents(spark, raw_dir, name)
+        found = found.where(F.col("fetched_at") == stamp) if fetcher else found
+        found = found.select("path", "document")
+        landed = f"{raw_dir}/{files}"
+        return landing.documents(spark, landed) if not fetcher and found.isEmpty() and landing.exists(spark, landed) else found
+
+    contract = compiled()
+    if fetcher:
+        for name in ("bootstrap", "fixtures"):
+            fetcher.land(name, None, stamp)
+    core = newest("bootstrap", "bootstrap.json")
+    if fetcher:
+        players = flatten.bootstrap_list(core, "elements").orderBy("pos").limit(smoke.SAMPLE).select(F.try_variant_get("record", "$.id", "bigint")).collect()
+        fetcher.land("history", [r[0] for r in players if r[0] is not None], stamp)
+    return {
+        "bootstrap": smoke.bootstrap(core, contract),
+        "fixtures": smoke.fixtures(newest("fixtures", "fixtures.json"), contract),
+        "history": smoke.history(newest("history", "players/*.json"), contract),
+    }
+
+
 def show(lines: list[str]) -> None:
     print("\n".join(lines))
 
@@ -100,12 +128,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         show([*aligned(runs, RUN_COLUMNS, "no runs yet"), "", *aligned(metadata, METADATA_COLUMNS, "no metadata yet")])
         return 0
     if own.command == "smoke-test":
-        raw = config.raw_dir
-        outcomes = {
-            "bootstrap": smoke.bootstrap(landing.documents(spark, f"{raw}/bootstrap.json"), compiled()),
-            "fixtures": smoke.fixtures(landing.documents(spark, f"{raw}/fixtures.json"), compiled()),
-            "history": smoke.history(landing.documents(spark, f"{raw}/players/*.json"), compiled()),
-        }
+        base_url = own.base_url or config.base_url
+        outcomes = smoke_outcomes(spark, config.raw_dir, Fetcher(spark, base_url, config.raw_dir) if base_url else None)
         show(smoke_lines(outcomes))
         return int(not all(o.ok for o in outcomes.values()))
     report = store.validate()

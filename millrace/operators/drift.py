@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.plans.contract import Contract
+from millrace.functions.coerce import quoted
+from millrace.plans.contract import Contract, Table
 
 REPORT = "table_name string, column_name string, kind string, expected string, actual string"
 
@@ -85,6 +86,27 @@ def validate(contract: Contract, live: dict[str, LiveTable]) -> Report:
     return report
 
 
+#: JSON types that a contract type takes.
+TAKES = {"int": "^(BIGINT|DECIMAL|DOUBLE|FLOAT|STRING|BOOLEAN)", "float": "^(BIGINT|DECIMAL|DOUBLE|FLOAT|STRING|BOOLEAN)", "str": "^STRING", "bool": "^(BOOLEAN|BIGINT|STRING)"}
+
+
+def observed(df: DataFrame, table: Table, record: str = "record") -> DataFrame:
+    """What VARIANT records hold against the contract, a row for each column: n_missing, n_null, n_other (of a type that it doesn't take), types seen.
+
+    One pass and one aggregate of a row a column; a record that isn't an object lacks every column.
+    """
+    kind = lambda c: F.expr("coalesce(" + ", ".join(f"schema_of_variant(try_variant_get(`{record}`, {quoted(f'$.{k}')}, 'variant'))" for k in c.inputs) + ")")
+    each = F.array(*[F.struct(F.lit(c.name).alias("column_name"), F.lit(c.type).alias("expected"), F.lit(TAKES[c.type]).alias("takes"), kind(c).alias("kind")) for c in table.columns])
+    seen = df.select(F.explode(each).alias("x")).select("x.*")
+    short = F.regexp_extract("kind", "^[A-Z]+", 0)
+    return seen.groupBy("column_name", "expected").agg(
+        F.count_if(F.col("kind").isNull()).alias("n_missing"),
+        F.count_if(F.col("kind") == "VOID").alias("n_null"),
+        F.count_if((F.col("kind") != "VOID") & ~F.regexp_like("kind", F.col("takes"))).alias("n_other"),
+        F.array_join(F.array_sort(F.collect_set(F.when(F.col("kind") != "VOID", short))), ",").alias("types"),
+    )
+
+
 def migrated(df: DataFrame, contract_table, defaults: dict[str, object] | None = None) -> DataFrame:
     """``df`` with the contract's missing columns as nulls; one that may not be null needs a manual migration."""
     known = {c.name: c for c in contract_table.columns}

@@ -42,11 +42,15 @@ def required_inputs(contract: Contract, table: str) -> list[str]:
 
 
 def bootstrap(document: DataFrame, contract: Contract) -> Outcome:
+    if document.isEmpty():
+        return Outcome(["bootstrap: no document"])
     lists = {"elements": "players", "teams": "teams", "events": "events", "element_types": "element_types"}
     return Outcome([p for name, table in lists.items() for p in missing_keys(document, f"$.{name}", required_inputs(contract, table), name)])
 
 
 def fixtures(document: DataFrame, contract: Contract) -> Outcome:
+    if document.isEmpty():
+        return Outcome(["fixtures: no document"])
     return Outcome(missing_keys(document, "$", required_inputs(contract, "fixtures"), "fixtures"))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from millrace.operators import audit, buckets, drift, merge, validate
+from millrace.operators import audit, buckets, catalogue, drift, merge, validate
 from millrace.operators.buckets import BUCKET, Part, Version
 from millrace.plans.contract import Contract, Table, compiled
 from millrace.plans.sql import Session
@@ -129,8 +129,25 @@ class Store:
                 found[name] = drift.LiveTable(schema, tuple(version.key), tuple(version.cluster_by))
         return found
 
-    def validate(self) -> drift.Report:
-        return drift.validate(self.contract, self.live())
+    def validate(self, database: str | None = None) -> drift.Report:
+        """The contract against the stored tables, or against those of a database of Spark's catalogue."""
+        return drift.validate(self.contract, catalogue.tables(self.spark, database, self.contract) if database else self.live())
+
+    def publish(self, database: str) -> list[str]:
+        """Registers the stored tables in Spark's catalogue, as of the visible version; returns the statements run.
+
+        Every bucket is folded first and is a partition whose folder the catalogue names, so nothing is copied.
+        A table that is registered gets the columns it lacks and the partitions that have changed since. Its
+        readers see the published version until ``vacuum`` removes it: publish again before that. A session that
+        has read a table before refreshes it, as for any table that another session changes.
+        """
+        ran = []
+        for table in self.contract.tables:
+            if table.name in self.manifest():
+                self.compact(table.name)
+                parts = {b: held[0].path for b, held in self.manifest()[table.name].buckets.items() if held}
+                ran += catalogue.registered(self.spark, database, table, parts, f"{self.root}/{table.name}")
+        return ran
 
     # writes
 

@@ -62,10 +62,13 @@ class Table:
         """The column whose hash deals the rows into buckets: the first of the layout that is in the key, or the key's first."""
         return next((c for c in self.cluster_by if c in self.key), self.key[0])
 
-    def create_sql(self, database: str) -> str:
-        columns = ",\n  ".join([c.ddl for c in self.columns] + [f"{s} STRING" for s in SYSTEM_COLUMNS])
-        properties = f"'millrace.key' = '{','.join(self.key)}', 'millrace.grain' = '{self.grain}', 'millrace.cluster_by' = '{','.join(self.cluster_by)}'"
-        return f"CREATE TABLE IF NOT EXISTS {database}.{self.name} (\n  {columns}\n) USING parquet\nTBLPROPERTIES ({properties})"
+    def create_sql(self, database: str, partition: str | None = None, location: str | None = None) -> str:
+        """``partition``: a text column behind the contract's that the table's folders are told apart by."""
+        columns = ",\n  ".join([c.ddl for c in self.columns] + [f"{s} STRING" for s in SYSTEM_COLUMNS] + [f"{partition} STRING"] * bool(partition))
+        required = ",".join(c.name for c in self.columns if not c.nullable)
+        properties = f"'millrace.not_null' = '{required}', 'millrace.key' = '{','.join(self.key)}', 'millrace.grain' = '{self.grain}', 'millrace.cluster_by' = '{','.join(self.cluster_by)}'"
+        where = f"PARTITIONED BY ({partition})\n" * bool(partition) + f"LOCATION '{location}'\n" * bool(location)
+        return f"CREATE TABLE IF NOT EXISTS {database}.{self.name} (\n  {columns}\n) USING parquet\n{where}TBLPROPERTIES ({properties})"
 
     def add_column_sql(self, database: str, name: str) -> str:
         """Additive migration: only a nullable column that isn't in the key can be added."""

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import audit, flatten, validate
+from millrace.operators import audit, drift, flatten, validate
 from millrace.operators.store import Store
 from millrace.plans import runner
 from millrace.plans.catalogue import LINE_ORDER, Query, read
-from millrace.plans.contract import Contract, columns, compiled
+from millrace.plans.contract import Contract, Table, columns, compiled
 from millrace.storage import work_path
 
 QUERIES: dict[str, Query] = {}
@@ -173,3 +174,112 @@ def select_players(spark, sf_dir):
     ids = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("player"))
     cached, uncached = runner.players_by_cache(ids, read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("player")))
     return cached.withColumn("cached", F.lit(True)).union(uncached.withColumn("cached", F.lit(False)))
+
+
+def records(rows: DataFrame, keep: list[str], fields: dict[str, Column]) -> DataFrame:
+    """``keep`` and a VARIANT record of the fields; a null field is lacking, one of ``"null"`` is an explicit null."""
+    made = F.map_filter(F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)]), lambda k, v: v.isNotNull())
+    pairs = F.transform(F.map_entries(made), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"]))
+    return rows.select(*keep, F.parse_json(F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))).alias("record"))
+
+
+def text(value: Column) -> Column:
+    return F.concat(F.lit('"'), value, F.lit('"'))
+
+
+DEFAULTS = Table("t", columns("id:int kind:str=view score:float=1.5 seen:bool=true owner:int<user note:str?"), ("id",), "one row an event")
+
+
+@query("""SELECT event_id AS id, CASE WHEN event_id % 3 = 0 THEN 'view' ELSE event_type END AS kind, CASE WHEN event_id % 4 = 0 THEN 1.5 ELSE user_id::DOUBLE END AS score,
+    CASE WHEN event_id % 5 = 0 THEN 0 ELSE 1 END::BIGINT AS seen, CASE WHEN event_id % 6 = 0 THEN NULL ELSE user_id END::BIGINT AS owner, NULL::VARCHAR AS note,
+    CASE WHEN event_id % 6 = 0 THEN 'owner: given twice; owner: not int' ELSE '' END AS reasons FROM events""")
+def record_defaults(spark, sf_dir):
+    """Missing keys take their defaults, another name stands for a column, and of two names only one may be given."""
+    fields = {
+        "id": F.col("event_id").cast("string"), "kind": F.when(F.expr("event_id % 3 <> 0"), text(F.col("event_type"))), "score": F.when(F.expr("event_id % 4 <> 0"), F.col("user_id").cast("string")),
+        "seen": F.when(F.expr("event_id % 5 = 0"), F.lit('"off"')), "user": F.when(F.expr("event_id % 6 <> 0 or event_id % 2 = 0"), F.col("user_id").cast("string")),
+        "owner": F.when(F.expr("event_id % 6 = 0"), F.lit('"nobody"')),
+    }
+    found = validate.checked(records(read(spark, sf_dir, "events"), [], fields), DEFAULTS)
+    return found.select("id", "kind", "score", "seen", "owner", "note", F.array_join(F.array_sort("_errors"), "; ").alias("reasons"))
+
+
+@query("""WITH c AS (SELECT count(*) AS n, count(*) FILTER (l_orderkey % 7 = 0 AND l_linenumber = 1) AS bad, count(*) FILTER (l_orderkey % 11 = 0) AS odd,
+    count(*) FILTER (l_orderkey % 7 = 0 AND l_linenumber = 1 OR l_orderkey % 11 = 0) AS either, count(DISTINCT (l_orderkey, l_linenumber)) FILTER (NOT (l_orderkey % 7 = 0 AND l_linenumber = 1 OR l_orderkey % 11 = 0)) AS keys FROM lineitem)
+SELECT unnest(['fetched', 'validated', 'written', 'skipped', 'stored', 'value: not int', 'unknown: odd']) AS what, unnest([n, n - either, n - either, either, keys, bad, odd])::BIGINT AS n FROM c""")
+def store_records(spark, sf_dir):
+    """Records validated and merged in one query: the counters, the rows stored, and how often each reason set a record aside."""
+    store = Store(spark, work_path(spark, "store"))
+    own = read(spark, sf_dir, "lineitem").withColumn("bad", F.expr("l_orderkey % 7 = 0 and l_linenumber = 1"))
+    fields = {
+        "fixture_id": F.col("l_orderkey").cast("string"), "identifier": F.lit('"q"'), "element": F.col("l_linenumber").cast("string"), "side": F.lit('"h"'),
+        "value": F.when(F.col("bad"), F.lit('"many"')).otherwise(F.col("l_quantity").cast("bigint").cast("string")), "odd": F.when(F.expr("l_orderkey % 11 = 0"), F.lit("1")),
+    }
+    tally, aside = store.upsert_records("fixture_stats", records(own, SEQUENCE, fields), SEQUENCE)
+    counted = {"fetched": tally.fetched, "validated": tally.validated, "written": tally.written, "skipped": tally.skipped}
+    reasons = aside.select(F.explode("_errors").alias("what")).groupBy("what").agg(F.count("*").alias("n"))
+    stored = store.read("fixture_stats").agg(F.count("*").alias("n")).select(F.lit("stored").alias("what"), "n")
+    return spark.createDataFrame(list(counted.items()), "what string, n bigint").union(stored).union(reasons)
+
+
+@query(f"""WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER}) AS n FROM lineitem)
+SELECT l_orderkey::BIGINT AS fixture_id, CAST(l_quantity AS BIGINT) AS value FROM l WHERE n = 1 AND l_linenumber = 2 AND l_quantity >= 30""")
+def store_where(spark, sf_dir):
+    """Rows of one layout value from a store of several buckets: parts that can't hold them stay closed."""
+    store = Store(spark, work_path(spark, "store"), bucket_rows=20_000)
+    store.upsert("fixture_stats", lines_as_stats(read(spark, sf_dir, "lineitem")), SEQUENCE)
+    return store.where("fixture_stats", element=2, value=(30, None)).select("fixture_id", "value")
+
+
+@query(f"""WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER}) AS n FROM lineitem)
+SELECT l_linenumber::BIGINT AS element, count(*)::BIGINT AS n, sum(CAST(l_quantity AS BIGINT))::BIGINT AS total FROM l WHERE n = 1 GROUP BY l_linenumber""")
+def store_published(spark, sf_dir):
+    """A stored table registered in the catalogue and read by SQL there."""
+    root, database = work_path(spark, "store"), f"millrace_{uuid.uuid4().hex}"
+    store = Store(spark, root, bucket_rows=50_000)
+    store.upsert("fixture_stats", lines_as_stats(read(spark, sf_dir, "lineitem")), SEQUENCE)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/catalogue'")
+    store.publish(database)
+    return spark.sql(f"SELECT element, count(*) AS n, sum(value) AS total FROM {database}.fixture_stats GROUP BY element")
+
+
+@query("""SELECT event_type AS started_at, count(*)::BIGINT AS fetched, count(*) FILTER (value >= 10)::BIGINT AS validated, count(*) FILTER (value >= 10)::BIGINT AS written,
+    count(*) FILTER (NOT value >= 10)::BIGINT AS skipped, 0::BIGINT AS errors, CASE WHEN count(*) FILTER (NOT value >= 10) > 0 THEN 'FAILED_PARTIAL' ELSE 'SUCCESS' END AS status FROM events GROUP BY event_type""")
+def store_run_totals(spark, sf_dir):
+    """Several runs of three stages each, appended to the log and summed by run."""
+    store = Store(spark, work_path(spark, "store"))
+    own = read(spark, sf_dir, "events").withColumn("stage", F.expr("user_id % 3"))
+    for r in validate.counts(own, F.col("value") >= 10, "event_type", "stage").orderBy("event_type", "stage").collect():  # three rows a type
+        store.record_stage(r["event_type"], validate.Tally.of(str(r["stage"]), r, written=r["validated"]))
+    return audit.totals(store.read("_runs"))
+
+
+WATCHED = Table("orders", columns("o_orderkey:int o_custkey:int o_totalprice:str o_clerk:str? o_note:str?"), ("o_orderkey",), "one row an order")
+
+
+@query("""SELECT unnest(['o_orderkey', 'o_custkey', 'o_totalprice', 'o_clerk', 'o_note']) AS column_name, unnest(['int', 'int', 'str', 'str', 'str']) AS expected,
+    unnest([0, count(*) FILTER (o_orderstatus = 'P'), 0, 0, count(*)])::BIGINT AS n_missing, unnest([0, count(*) FILTER (o_orderstatus = 'F'), 0, 0, 0])::BIGINT AS n_null,
+    unnest([0, 0, count(*) FILTER (o_orderkey % 2 = 0), 0, 0])::BIGINT AS n_other, unnest(['BIGINT', 'BIGINT', 'BIGINT,STRING', 'STRING', '']) AS types FROM orders""")
+def observed_drift(spark, sf_dir):
+    """What the records of a table hold against a contract that has one column too many and one of another type."""
+    status = F.col("o_orderstatus")
+    fields = {
+        "o_orderkey": F.col("o_orderkey").cast("string"), "o_custkey": F.when(status == "F", F.lit("null")).when(status != "P", F.col("o_custkey").cast("string")),
+        "o_totalprice": F.when(F.expr("o_orderkey % 2 = 0"), F.col("o_totalprice").cast("bigint").cast("string")).otherwise(F.lit('"dear"')), "o_clerk": text(F.col("o_orderpriority")),
+    }
+    return drift.observed(records(read(spark, sf_dir, "orders"), [], fields), WATCHED)
+
+
+@query("SELECT user_id % 38 AS round, count(DISTINCT event_id % 500)::BIGINT AS players FROM events GROUP BY 1")
+def players_by_round(spark, sf_dir):
+    own = read(spark, sf_dir, "events").selectExpr("user_id % 38 as round", "event_id % 500 as element_id")
+    return audit.players_by_round(own)
+
+
+@query("""SELECT run_id, started_at, stage, fetched, validated, validated AS written, skipped, 0::BIGINT AS errors, NULL::VARCHAR AS status FROM
+(SELECT user_id AS run_id, 'then' AS started_at, event_type AS stage, count(*)::BIGINT AS fetched, count(*) FILTER (value >= 10)::BIGINT AS validated, count(*) FILTER (NOT value >= 10)::BIGINT AS skipped FROM events GROUP BY ALL)""")
+def runs_of_older_layout(spark, sf_dir):
+    """Run rows with the former single counter, as today's log shows them."""
+    old = validate.counts(read(spark, sf_dir, "events"), F.col("value") >= 10, "user_id", "event_type").withColumnsRenamed({"user_id": "run_id", "event_type": "stage", "validated": "upserted"})
+    old = old.withColumn("started_at", F.lit("then")).withColumn("errors", F.lit(0).cast("bigint"))
+    return audit.migrated_runs(old).select("run_id", "started_at", "stage", "fetched", "validated", "written", "skipped", "errors", "status")

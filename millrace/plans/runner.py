@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import add
 
@@ -117,6 +117,8 @@ class Run:
         """All stages in order; returns the run's status. A strict run stops behind the first stage with trouble."""
         self.started_at = now()
         status = None
+        if self.fetcher and self.strict:
+            self.fetcher = replace(self.fetcher, strict=True)
         try:
             for stage in (self.core, self.fixtures, self.gameweeks, self.player_histories):
                 began = time.monotonic()

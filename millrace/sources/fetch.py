@@ -47,6 +47,8 @@ class Fetcher:
     raw_dir: str
     rate: float = rest.DEFAULT_RATE
     retries: int = rest.MAX_RETRIES
+    #: End all requests of an endpoint with the first that fails.
+    strict: bool = False
 
     def land(self, name: str, ids: list[int] | None, stamp: str) -> int:
         """Fetches ``name``, once for each of ``ids`` if it has such; returns how many failed in the end.
@@ -59,6 +61,7 @@ class Fetcher:
         self.spark.dataSource.register(rest.RestSource)
         options = {"base_url": self.base_url, "endpoint": ENDPOINTS[name], "rate": str(self.rate), "retries": str(self.retries), "ids": ",".join(map(str, ids or []))}
         path = f"{folder(self.raw_dir, name)}/{stamp.replace(':', '').replace('+', 'Z')}"
-        got = self.spark.read.format("millrace_rest").options(**options).load()
-        got.withColumn("fetched_at", F.lit(stamp)).write.parquet(path)
+        with rest.Leases(self.rate, self.strict, self.spark.conf.get("spark.driver.host", "127.0.0.1")) as leases:
+            got = self.spark.read.format("millrace_rest").options(**options, leases=leases.address).load()
+            got.withColumn("fetched_at", F.lit(stamp)).write.parquet(path)
         return self.spark.read.schema(BODIES).parquet(path).where("body is null").count()

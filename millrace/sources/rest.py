@@ -1,8 +1,10 @@
 """REST source: JSON endpoints as rows of (endpoint, id, status, body), one request an id.
 
-Ids are split over partitions and the global rate with them, so the source never asks for more than
-``rate`` documents a second in all. A request is tried again after the waits below; what fails in the
-end is a row with a null body, so that one id's failure stops no other.
+Ids are split over partitions. Each request takes a token, leased from the driver (``Leases``), so that all
+tasks share one rate and what a slow one leaves the others use; without such leases the rate is split over
+the partitions. Either way the source never asks for more than ``rate`` documents a second in all. A request is
+tried again after the waits below; what fails in the end is a row with a null body, so that one id's failure
+stops no other, unless the leases are to end with the first failure.
 """
 
 from __future__ import annotations
@@ -11,6 +13,9 @@ import json
 import math
 import random
 import re
+import socket
+import socketserver
+import threading
 import time
 import urllib.error
 import urllib.request
@@ -81,7 +86,77 @@ class TokenBucket:
             self.sleep((1 - self.tokens) / self.rate)
 
 
-def fetch(url: str, bucket: TokenBucket, retries: int = MAX_RETRIES, timeout: float = TIMEOUT_S, opener=urllib.request.urlopen, sleep=time.sleep) -> tuple[int | None, str | None]:
+class Stopped(Exception):
+    """The leases have ended: a strict run met a failure."""
+
+
+class Leases:
+    """One rate for all tasks, given out by the driver: a line asks for a token, the answer is the time to wait for it.
+
+    Tokens are spaced by the rate, one at a time. With ``strict`` the first failure reported ends all further
+    leases. Tasks reach it at the driver's own address. Use it as a context manager.
+    """
+
+    def __init__(self, rate: float, strict: bool = False, host: str = "127.0.0.1", clock=time.monotonic):
+        self.rate, self.strict, self.host, self.clock = clamped_rate(rate), strict, host, clock
+        self.lock, self.free, self.ended = threading.Lock(), clock(), False
+
+    def answer(self, asked: str) -> str:
+        with self.lock:
+            if asked == "failed":
+                self.ended |= self.strict
+            elif not self.ended:
+                now = self.clock()
+                at = max(now, self.free)
+                self.free = at + 1 / self.rate
+                return f"{at - now:.6f}"
+        return "stop" if self.ended else "0"
+
+    def __enter__(self) -> Leases:
+        own = self
+
+        class Handler(socketserver.StreamRequestHandler):
+            def handle(self) -> None:
+                for line in self.rfile:
+                    self.wfile.write(f"{own.answer(line.decode().strip())}\n".encode())
+
+        class Server(socketserver.ThreadingTCPServer):
+            daemon_threads, allow_reuse_address = True, True
+
+        self.server = Server((self.host, 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.address = f"{self.host}:{self.server.server_address[1]}"
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.server.shutdown()
+        self.server.server_close()
+
+
+class LeasedBucket:
+    """A task's end of ``Leases``, with the interface of ``TokenBucket``."""
+
+    def __init__(self, address: str, sleep=time.sleep):
+        host, port = address.rsplit(":", 1)
+        self.sleep = sleep
+        self.link = socket.create_connection((host, int(port)), timeout=TIMEOUT_S).makefile("rw")
+
+    def ask(self, what: str) -> str:
+        self.link.write(f"{what}\n")
+        self.link.flush()
+        return self.link.readline().strip()
+
+    def take(self) -> None:
+        told = self.ask("token")
+        if not told or told == "stop":
+            raise Stopped
+        self.sleep(float(told))
+
+    def failed(self) -> None:
+        self.ask("failed")
+
+
+def fetch(url: str, bucket: TokenBucket | LeasedBucket, retries: int = MAX_RETRIES, timeout: float = TIMEOUT_S, opener=urllib.request.urlopen, sleep=time.sleep) -> tuple[int | None, str | None]:
     """(status, body) of ``url``: a token for every attempt, none held while waiting.
 
     429 waits as the server asks; 500, 502, 503, 504, lost connections, timeouts and bodies that
@@ -121,20 +196,26 @@ class RestReader(DataSourceReader):
         self.ids = [x for x in options.get("ids", "").split(",") if x] or [""]
         self.rate = clamped_rate(float(options.get("rate", DEFAULT_RATE)))
         self.retries = int(options.get("retries", MAX_RETRIES))
+        self.leases = options.get("leases")
         self.parts = min(len(self.ids), int(options.get("partitions", MAX_CONCURRENT)), MAX_CONCURRENT)
 
     def partitions(self) -> list[InputPartition]:
         return [Ids(self.ids[k :: self.parts]) for k in range(self.parts)]
 
     def read(self, partition: Ids) -> Iterator[tuple]:
-        bucket = TokenBucket(self.rate / self.parts)
+        bucket = LeasedBucket(self.leases) if self.leases else TokenBucket(self.rate / self.parts)
         for one in partition.ids:
-            status, body = fetch(f"{self.base}/{self.endpoint.format(id=one).lstrip('/')}", bucket, self.retries)
+            try:
+                status, body = fetch(f"{self.base}/{self.endpoint.format(id=one).lstrip('/')}", bucket, self.retries)
+            except Stopped:
+                return
+            if body is None and self.leases:
+                bucket.failed()
             yield self.endpoint, one or None, status, body
 
 
 class RestSource(DataSource):
-    """``spark.read.format("millrace_rest")`` with options base_url, endpoint (``{id}`` for each of ids), ids, rate, retries."""
+    """``spark.read.format("millrace_rest")`` with options base_url, endpoint (``{id}`` for each of ids), ids, rate, retries, leases (address)."""
 
     @classmethod
     def name(cls) -> str:

@@ -225,3 +225,36 @@ def test_logs_fold_and_keep_their_order(spark, tmp_path, monkeypatch):
     assert {r.key: r.value for r in store.read("_metadata").collect()} == {"k": "3", "k0": "x", "k1": "x", "k2": "x", "k3": "x"}
     store.vacuum()
     assert store.read("_runs").count() == 12 and store.read("_metadata").count() == 5
+
+
+def test_published_tables(spark, tmp_path):
+    """Registered over the visible version, widened by an added column, read back for drift, seen by another session."""
+    from dataclasses import replace
+
+    from millrace.plans.contract import Contract, columns
+
+    now = compiled()["fixture_stats"]
+    old = replace(now, columns=columns("fixture_id:int identifier:str element:int side:str"))
+    wider = Contract((replace(now, columns=(*old.columns, *columns("value:int?"))),))
+    store = Store(spark, str(tmp_path / "db"), Contract((old,)), bucket_rows=20)
+    spark.sql(f"CREATE DATABASE published LOCATION '{tmp_path}/cat'")
+    try:
+        store.upsert("fixture_stats", stats(spark, [(i, i % 3, 0) for i in range(100)]), ["seq"])
+        store.upsert("fixture_stats", stats(spark, [(1, 1, 0)]), ["seq"])
+        ran = store.publish("published")
+        assert ran[0].startswith("CREATE TABLE") and "ADD PARTITION" in ran[1]
+        other = spark.newSession()
+        assert other.sql("SELECT count(*), count(DISTINCT fixture_id) FROM published.fixture_stats").first()[:] == (100, 100)
+        assert store.validate("published").status == "valid" == store.validate().status
+        assert Store(spark, store.root, wider).validate("published").missing_columns == ["fixture_stats.value"]
+        later = Store(spark, store.root, wider, bucket_rows=20)
+        later.upsert("fixture_stats", stats(spark, [(7, 1, 5), (200, 1, 6)]), ["seq"])
+        ran = later.publish("published")
+        assert any("ADD COLUMNS (value BIGINT)" in sql for sql in ran) and not any(sql.startswith("CREATE") for sql in ran)
+        later.vacuum()
+        assert later.validate("published").status == "valid"
+        other.catalog.refreshTable("published.fixture_stats")  # it has read the table before
+        got = other.sql("SELECT fixture_id, value FROM published.fixture_stats WHERE value IS NOT NULL").collect()
+        assert sorted(map(tuple, got)) == [(7, 5), (200, 6)] and other.sql("SELECT count(*) FROM published.fixture_stats").first()[0] == 101
+    finally:
+        spark.sql("DROP DATABASE published CASCADE")
