@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-#: Paths given out so far that nobody has removed.
-_made: list[str] = []
+#: Where ``settled`` collects the paths that its own calls are given; each thread has its own.
+_collected: ContextVar[list[str] | None] = ContextVar("collected", default=None)
 
 
 def work_path(spark: SparkSession, label: str) -> str:
@@ -33,7 +34,9 @@ def work_path(spark: SparkSession, label: str) -> str:
     path = f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    _made.append(path)
+    collected = _collected.get()
+    if collected is not None:
+        collected.append(path)
     return path
 
 
@@ -52,15 +55,15 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 
 def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
-    """What ``make`` gives, saved, and its path; what was saved on the way to it is removed.
-
-    Nothing else may read or save working folders in between: one driver thread works on it.
-    """
+    """What ``make`` gives, saved, and its path; what was saved on the way to it, by calls of its own, is removed."""
     path = work_path(spark, label)
-    before = len(_made)
-    df = make()
-    df.write.parquet(path)
-    for done in _made[before:]:
+    made: list[str] = []
+    outer = _collected.set(made)
+    try:
+        df = make()
+        df.write.parquet(path)
+    finally:
+        _collected.reset(outer)
+    for done in made:
         remove(spark, done)
-    del _made[before:]
     return spark.read.schema(df.schema).parquet(path), path
