@@ -59,10 +59,14 @@ QUALITY = f"""
             (len(full_lines) - len(list_distinct(full_lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
         FROM q_rows LEFT JOIN q_repeat USING (rid)),
     q_base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM q_counts),
+    q_left AS (SELECT *, regexp_replace(text, '[A-Za-z\u00AA\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F\u1E00-\u1EFF]', '', 'g') AS rest FROM q_base),
+    q_letters AS (SELECT *, length(text) - length(rest) AS n_latin, length(regexp_replace(rest, '[^\\pL]', '', 'g')) AS n_other FROM q_left),
     q_all AS (
         SELECT *, NOT base_failed AND NOT (100 * n_symbols > 30 * n_words) AND word_chars BETWEEN 2 * n_words AND 15 * n_words
-            AND NOT (100 * n_dup_lines > 50 * len(full_lines)) AS kept
-        FROM q_base)"""
+            AND NOT (100 * n_dup_lines > 50 * len(full_lines))
+            AND NOT (100 * list_max(map_values(list_histogram(w))) > 30 * n_words) AND NOT (list_entropy(string_split(text, '')) < 2)
+            AND NOT (100 * least(n_latin, n_other) > 40 * (n_latin + n_other)) AS kept
+        FROM q_letters)"""
 
 OP10 = f"""
 WITH {QUALITY.format(docs="documents")}

@@ -8,8 +8,10 @@ order changes only the work: a document is kept if no rule rejects it.
 
 from __future__ import annotations
 
+import math
 import re
 import time
+from collections import Counter
 from collections.abc import Callable
 from copy import copy
 from dataclasses import dataclass
@@ -22,6 +24,7 @@ from pyspark.sql import types as T
 
 from millrace.llm.common import by_batch, texts
 
+LATIN = re.compile("[A-Za-z\u00AA\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F\u1E00-\u1EFF]+")
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 
 #: Sampled documents, and the code points above which one isn't sampled, for the estimates.
@@ -71,6 +74,23 @@ class Measures:
                 repeated.update((first, first + 1, first + 2, i, i + 1, i + 2))
         return len(repeated)
 
+    @cached_property
+    def n_top_word(self) -> int:
+        """How often the most frequent word stands in the text."""
+        return max(Counter(self.words).values(), default=0)
+
+    @cached_property
+    def entropy(self) -> float:
+        """Bits a character that the text's characters take on average."""
+        n = len(self.text)
+        return -sum(c / n * math.log2(c / n) for c in Counter(self.text).values())
+
+    @cached_property
+    def letters(self) -> tuple[int, int]:
+        """Latin letters and others."""
+        rest = LATIN.sub("", self.text)
+        return len(self.text) - len(rest), 0 if rest.isascii() else sum(map(str.isalpha, rest))
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -88,6 +108,15 @@ EXTRA = (
     Rule("duplicate_lines", lambda m: 100 * m.n_dup_lines > 50 * m.n_full_lines),
 )
 RULES = BASE + EXTRA
+#: Rules that look at the text once more: nothing that a report holds helps them, so they come last and see few texts.
+CONTENT = (
+    Rule("one_word", lambda m: 100 * m.n_top_word > 30 * m.n_words),
+    Rule("entropy", lambda m: m.entropy < 2),
+    Rule("mixed_scripts", lambda m: 100 * min(m.letters) > 40 * sum(m.letters)),
+)
+CASCADE = RULES + CONTENT
+#: Measures that a report has for every row whatever the rules ask.
+REPORTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def timed(rule: Rule, measures: list[Measures]) -> tuple[float, list[bool]]:
@@ -98,9 +127,15 @@ def timed(rule: Rule, measures: list[Measures]) -> tuple[float, list[bool]]:
     return (time.perf_counter() - began) / max(1, len(own)), verdicts
 
 
-def ordered(sample: list[str], rules: tuple[Rule, ...] = RULES, cost: Callable[[Rule, list[Measures]], tuple[float, list[bool]]] = timed) -> tuple[Rule, ...]:
-    """``rules`` in the order of rejection per cost on what is left of ``sample``, ties by cost then name."""
+def ordered(sample: list[str], rules: tuple[Rule, ...] = RULES, cost: Callable[[Rule, list[Measures]], tuple[float, list[bool]]] = timed, known: tuple[str, ...] = ()) -> tuple[Rule, ...]:
+    """``rules`` in the order of rejection per cost on what is left of ``sample``, ties by cost then name.
+
+    The measures ``known`` are taken in any case, so they cost a rule nothing.
+    """
     left, rest, out = [Measures(t) for t in sample], list(rules), []
+    for m in left:
+        for name in known:
+            getattr(m, name)
     while rest and left:
         found = {r.name: cost(r, left) for r in rest}
         rate = lambda r: sum(found[r.name][1]) / len(left) / max(found[r.name][0], 1e-9)  # noqa: B023, E731
@@ -129,9 +164,9 @@ def sampled(df: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> list[
         share *= 8
 
 
-def sampled_order(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> tuple[Rule, ...]:
+def sampled_order(df: DataFrame, rules: tuple[Rule, ...] = CASCADE, text: str = "text", known: tuple[str, ...] = ()) -> tuple[Rule, ...]:
     """The order for ``df`` from a sample of at most ``SAMPLE_ROWS`` texts (an empty table: as given)."""
-    return ordered(sampled(df, text), rules)
+    return ordered(sampled(df, text), rules, known=known)
 
 
 def rules_run(text: str, rules: tuple[Rule, ...]) -> int:
@@ -146,7 +181,7 @@ def rejected_by(text: str, rules: tuple[Rule, ...]) -> str | None:
     return next((r.name for r in rules if r.rejects(measures)), None)
 
 
-def keep(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+def keep(df: DataFrame, rules: tuple[Rule, ...] = CASCADE, text: str = "text") -> DataFrame:
     """The rows of ``df`` that no rule rejects, all columns as they were.
 
     A null text has no words, so rules on word counts reject it. Rows that repeat are judged alike.
@@ -164,20 +199,21 @@ def keep(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") ->
 REPORT = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean, rejected_by string"
 
 
-def report(df: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def report(df: DataFrame, rules: tuple[Rule, ...] = CASCADE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the base measures, base_failed, kept, and the rule of the cascade that rejected the row.
 
     ``rejected_by`` depends on the estimated order, the other columns don't. Null and empty texts
-    have no words: all counts 0, base_failed true.
+    have no words: all counts 0, base_failed true. The measures reported are taken for every row; of the
+    rules each row runs those up to the first that rejects it, so the dearer ones see what is left.
     """
-    order = sampled_order(df, rules, text)
+    order = sampled_order(df, rules, text, REPORTED)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows: list[tuple] = []
         for t in texts(batch):
             m = Measures(t)
+            base = m.n_words < 50 or 100 * m.n_repeat_words > 50 * m.n_words  # BASE, of which all are reported
             by = next((r.name for r in order if r.rejects(m)), None)
-            base = any(r.rejects(m) for r in BASE)
             rows.append((m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words, base, not base and by is None, by))
         names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by"]
         kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string()]

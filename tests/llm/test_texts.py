@@ -402,3 +402,30 @@ def test_quality_sample_is_that_of_all_rows(spark):
         df = spark.createDataFrame(rows, "doc_id bigint, text string")
         hashed = df.where("length(text) <= 65536").selectExpr("xxhash64(doc_id, text) AS h", "text").collect()
         assert quality.sampled(df, rows=10) == [r.text for r in sorted(hashed)[:10]]
+
+
+def test_content_rules_see_few_texts_and_match_sql(spark, tmp_path, monkeypatch):
+    """Evaluations in a report stay below rows times rules; each content rule rejects its own kind, in SQL as here."""
+    import duckdb
+
+    from millrace.llm import oracle
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    good = [" ".join(word() for _ in range(rng.randint(60, 300))) for _ in range(300)]
+    kinds = {
+        "one_word": " ".join(x for _ in range(90) for x in ("again", word(), word())), "entropy": " ".join(rng.choice(["aaab", "baaa", "abaa", "aaba", "aabb"]) + "a" * rng.randint(0, 9) for _ in range(400)),
+        "mixed_scripts": " ".join(word() + " " + "".join(rng.choice("абвгдежзиклмнопрст") for _ in range(6)) for _ in range(80)), "greek": " ".join("".join(rng.choice("αβγδεζηθικλμνξοπ") for _ in range(5)) for _ in range(90)),
+    }
+    texts = [*good, *kinds.values(), *["short text"] * 200, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in quality.report(df).collect()}
+    own = {name: got[len(good) + i] for i, name in enumerate(kinds)}
+    assert own["one_word"]["rejected_by"] == "one_word" and own["mixed_scripts"]["rejected_by"] == "mixed_scripts" and not own["entropy"]["kept"] and own["greek"]["kept"]
+    assert all(got[i]["kept"] for i in range(len(good)))
+    documents = df.toArrow()  # noqa: F841  read by the SQL
+    assert sorted(duckdb.sql(oracle.OP10).fetchall()) == sorted(tuple(r)[:8] for r in got.values())
+    order = quality.sampled_order(df, known=quality.REPORTED)
+    ran = sum(quality.rules_run(t or "", order) for t in texts)
+    assert ran <= len(texts) * len(order) - 200 * (len(order) - 2) < len(texts) * len(order)
+    assert order[0].name == "few_words"
