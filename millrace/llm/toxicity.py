@@ -2,8 +2,9 @@
 
 A logistic regression over the different words of a text and their beginnings. For every labelled
 text that names a group of people, the terms are swapped within their set and the squared change of
-the score is part of the loss, so that a neutral mention of a group counts for nothing. The sets are
-a parameter. Corpora whose groups have other names add their own: words of the labelled texts that
+the score is part of the loss, so that a neutral mention of a group counts for nothing. A text that names
+none is given a mention, drawn by its row's hash, so that the penalty acts on every term of the sets even where
+the corpus has none of them. The sets are a parameter. Corpora whose groups have other names add their own: words of the labelled texts that
 are mentioned alike in both classes, each paired with the one that stands most often in the same texts.
 """
 
@@ -124,22 +125,37 @@ def neutral_terms(rows: DataFrame, known: Iterable[str] = (), max_terms: int = M
     return found
 
 
-def with_features(rows: DataFrame, swap: dict[str, str]) -> DataFrame:
-    """(toxic, place, features, swapped) of training rows; swapped is null where no term stands."""
+def mentions(words: set[str], swap: dict[str, str], given: list[tuple[str, str]], draw: int) -> tuple[set[str], set[str]] | None:
+    """A text's words and the same with identity terms swapped; one of ``given`` is put in where no term stands."""
+    other = swapped(words, swap)
+    if other is not None:
+        return words, other
+    if not given:
+        return None
+    one, two = given[draw % len(given)]
+    return words | {one}, words | {two}
+
+
+def with_features(rows: DataFrame, swap: dict[str, str], given: dict[str, str] | None = None) -> DataFrame:
+    """(toxic, place, features, plus, minus) of training rows: what a swap takes away and adds; null where nothing is swapped.
+
+    Terms and successors of ``given`` are mentioned in the texts that hold none of ``swap``.
+    """
+    pairs = sorted((given or {}).items())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        plain, other = [], []
-        for own in batch.column("words").to_pylist():
+        plain, plus, minus = [], [], []
+        for own, draw in zip(batch.column("words").to_pylist(), batch.column("place").to_pylist(), strict=True):
             words = set(own)
-            swap_words = swapped(words, swap)
             plain.append(sorted(features(words)))
-            other.append(None if swap_words is None else sorted(features(swap_words)))
-        kind = pa.list_(pa.int32())
-        return pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), batch.column("place"), pa.array(plain, kind), pa.array(other, kind)], ["toxic", "place", "features", "swapped"]
-        )
+            pair = mentions(words, swap, pairs, draw)
+            before, after = map(features, pair) if pair else (None, None)
+            plus.append(sorted(before - after) if pair else None)
+            minus.append(sorted(after - before) if pair else None)
+        lists = [pa.array(x, pa.list_(pa.int32())) for x in (plain, plus, minus)]
+        return pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("place"), *lists], ["toxic", "place", "features", "plus", "minus"])
 
-    return rows.mapInArrow(by_batch(run), "toxic int, place bigint, features array<int>, swapped array<int>")
+    return rows.mapInArrow(by_batch(run), "toxic int, place bigint, features array<int>, plus array<int>, minus array<int>")
 
 
 def telling(rows: DataFrame, max_features: int, swap: dict[str, str]) -> list[int]:
@@ -185,33 +201,47 @@ def cells(lists: pa.ListArray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return rows[known], place[known]
 
 
-def fit(labels: np.ndarray, plain: pa.ListArray, other: pa.ListArray, chosen: list[int], penalty: float = COUNTERFACTUAL) -> Model:
-    """Full-batch Adam on the logistic loss, the ridge and the counterfactual penalty."""
+class Objective:
+    """Logistic loss, ridge and counterfactual penalty over training rows, as a function of weights and bias."""
+
+    def __init__(self, labels: np.ndarray, plain: pa.ListArray, plus: pa.ListArray, minus: pa.ListArray, chosen: np.ndarray, penalty: float):
+        self.y, self.n, self.size, self.penalty = labels.astype(float), len(labels), len(chosen), penalty
+        self.rows, self.columns = cells(plain, chosen)
+        paired = plus.is_valid().to_numpy(zero_copy_only=False)
+        self.n_pairs, of_pair = int(paired.sum()), np.cumsum(paired) - 1
+        (pr, pc_), (mr, mc) = cells(plus, chosen), cells(minus, chosen)
+        self.pair_rows, self.pair_columns = of_pair[np.append(pr, mr)], np.append(pc_, mc)
+        self.signs = np.append(np.ones(len(pr)), -np.ones(len(mr)))
+
+    def at(self, w: np.ndarray, b: float) -> tuple[float, np.ndarray]:
+        """The loss and its gradient, the bias last."""
+        z = np.clip(b + np.bincount(self.rows, w[self.columns], self.n), -50, 50)
+        r = (1 / (1 + np.exp(-z)) - self.y) / self.n
+        loss = float((np.logaddexp(0, z) - self.y * z).sum() / self.n + RIDGE / 2 * (w * w).sum())
+        g = np.append(np.bincount(self.columns, r[self.rows], self.size) + RIDGE * w, r.sum())
+        if self.n_pairs and self.penalty:
+            d = np.bincount(self.pair_rows, w[self.pair_columns] * self.signs, self.n_pairs)
+            loss += float(self.penalty / self.n_pairs * (d * d).sum())
+            g[:-1] += 2 * self.penalty / self.n_pairs * np.bincount(self.pair_columns, d[self.pair_rows] * self.signs, self.size)
+        return loss, g
+
+
+def fit(labels: np.ndarray, plain: pa.ListArray, plus: pa.ListArray, minus: pa.ListArray, chosen: list[int], penalty: float = COUNTERFACTUAL) -> Model:
+    """Full-batch Adam on the objective."""
     n = len(labels)
     if not n or not chosen or len(set(labels.tolist())) < 2:
         rate = (labels.sum() + 0.25) / (n + 1)
         return Model({}, float(np.log(rate / (1 - rate))))
-    own, y = np.array(chosen), labels.astype(float)
-    rows, columns = cells(plain, own)
-    swap_rows, swap_columns = cells(other, own)
-    paired = other.is_valid().to_numpy(zero_copy_only=False)
-    of_pair, mine = np.cumsum(paired) - 1, paired[rows]
-    sr, sc = of_pair[np.append(rows[mine], swap_rows)], np.append(columns[mine], swap_columns)
-    sv = np.append(np.ones(int(mine.sum())), -np.ones(len(swap_rows)))
-    n_pairs = int(paired.sum())
-    w, b = np.zeros(len(chosen)), float(np.log((y.mean()) / (1 - y.mean())))
+    objective = Objective(labels, plain, plus, minus, np.array(chosen), penalty)
+    mean = objective.y.mean()
+    w, b = np.zeros(len(chosen)), float(np.log(mean / (1 - mean)))
     m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for step in range(1, STEPS + 1):
-        z = b + np.bincount(rows, w[columns], n)
-        r = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / n
-        g = np.append(np.bincount(columns, r[rows], len(w)) + RIDGE * w, r.sum())
-        if n_pairs:
-            d = np.bincount(sr, w[sc] * sv, n_pairs)
-            g[:-1] += 2 * penalty / n_pairs * np.bincount(sc, d[sr] * sv, len(w))
+        g = objective.at(w, b)[1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    return Model({f: float(x) for f, x in zip(chosen, w, strict=True) if abs(x) > 1e-3}, float(b), n_pairs=n_pairs)
+    return Model({f: float(x) for f, x in zip(chosen, w, strict=True) if abs(x) > 1e-3}, float(b), n_pairs=objective.n_pairs)
 
 
 def trained(
@@ -226,19 +256,19 @@ def trained(
     rows = saved(training_rows(docs, labels, max_train), "toxicity-words")
     given = {t for terms in identities for t in terms}
     swap = swaps([*identities, *neutral_terms(rows, given)])
-    featured = saved(with_features(rows, swap), "toxicity-rows")
+    featured = saved(with_features(rows, swap, swaps(identities)), "toxicity-rows")
     chosen = telling(featured, max_features, swap)
     own = np.array(chosen)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         few = lambda x: None if x is None else [f for f in np.array(x, int)[np.isin(x, own)].tolist()]
-        kept = [pa.array([few(x) for x in batch.column(c).to_pylist()], pa.list_(pa.int32())) for c in ("features", "swapped")]
+        kept = [pa.array([few(x) for x in batch.column(c).to_pylist()], pa.list_(pa.int32())) for c in ("features", "plus", "minus")]
         return pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("place"), *kept], batch.schema.names)
 
     # at most max_train rows of at most max_features and the terms' own, in an order that is the same in every run
     table = featured.mapInArrow(by_batch(run), featured.schema).orderBy("place", "toxic", "features").toArrow().combine_chunks()
     column = lambda c: table.column(c).chunk(0) if table.num_rows else pa.array([], table.schema.field(c).type)
-    model = fit(column("toxic").to_numpy(), column("features"), column("swapped"), chosen, COUNTERFACTUAL if penalty is None else penalty)
+    model = fit(column("toxic").to_numpy(), column("features"), column("plus"), column("minus"), chosen, COUNTERFACTUAL if penalty is None else penalty)
     model.swap = swap
     return model
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -425,3 +426,50 @@ def test_search_over_many_blocks_and_short_lists(spark, monkeypatch):
     want = plain_search(rows, asked)
     assert got.keys() == want.keys() and all(len(v) == 5 for v in got.values())
     assert np.mean([len(set(got[a]) & set(want[a])) / 5 for a in want]) >= 0.9
+
+
+def test_toxicity_gradient_against_differences():
+    """The gradient of loss, ridge and penalty, recomputed by finite differences; the loss, recomputed row by row."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    chosen, n = np.arange(0, 40, 2), 25
+    lists = lambda least: pa.array([sorted(rng.choice(40, rng.integers(least, 9), replace=False).tolist()) for _ in range(n)], pa.list_(pa.int32()))
+    plain, plus = lists(0), lists(0)
+    minus = pa.array([x if i % 4 else None for i, x in enumerate(lists(0).to_pylist())], pa.list_(pa.int32()))
+    plus = pa.array([x if i % 4 else None for i, x in enumerate(plus.to_pylist())], pa.list_(pa.int32()))
+    labels = rng.integers(0, 2, n)
+    objective = toxicity.Objective(labels, plain, plus, minus, chosen, 1.5)
+    w, b = rng.normal(size=len(chosen)), 0.3
+    loss, gradient = objective.at(w, b)
+    weight = dict(zip(chosen.tolist(), w, strict=True))
+    total = lambda features: sum(weight.get(f, 0.0) for f in features)
+    scores = [1 / (1 + math.exp(-b - total(x))) for x in plain.to_pylist()]
+    own = -sum(math.log(p if y else 1 - p) for p, y in zip(scores, labels, strict=True)) / n + toxicity.RIDGE / 2 * float((w * w).sum())
+    changes = [total(x) - total(y) for x, y in zip(plus.to_pylist(), minus.to_pylist(), strict=True) if x is not None]
+    assert objective.n_pairs == len(changes) and loss == pytest.approx(own + 1.5 * sum(d * d for d in changes) / len(changes))
+    for k in range(len(chosen) + 1):
+        step = np.zeros(len(chosen) + 1)
+        step[k] = 1e-6
+        up, down = (objective.at(w + s * step[:-1], b + s * step[-1])[0] for s in (1, -1))
+        assert gradient[k] == pytest.approx((up - down) / 2e-6, abs=1e-6)
+
+
+def test_neutral_mentions_of_terms_that_the_corpus_lacks(spark):
+    """Toxic words begin like an identity term: without the penalty neutral mentions of it are false positives, with it none."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(900):
+        words = [f"word{rng.randint(0, 300)}" for _ in range(20)]
+        if i % 3 == 0:
+            words += rng.sample(["muslimzz", "muslimqq", "muslimvv"], 2)
+        rows.append((i, " ".join(rng.sample(words, len(words)))))
+        labels.append((i, 1, int(i % 3 == 0)))
+    docs, marked = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    held, free = toxicity.trained(docs, marked), toxicity.trained(docs, marked, penalty=0.0)
+    clean = [t for i, t in rows if i % 3]
+    wrong = lambda model, term: sum(model.score(f"{t} {term}") >= 0.5 for t in clean) / len(clean)
+    assert wrong(free, "muslim") > 0.5 and wrong(held, "muslim") < 0.05 and wrong(held, "christian") < 0.05
+    toxic = [t for i, t in rows if not i % 3]
+    assert sum(held.score(t) >= 0.5 for t in toxic) / len(toxic) > 0.95
+    assert held.n_pairs == free.n_pairs == sum(1 for i in range(900) if zlib.crc32(str(i).encode()) % 5)
