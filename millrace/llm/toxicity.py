@@ -266,7 +266,7 @@ def trained(
         return pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("place"), *kept], batch.schema.names)
 
     # at most max_train rows of at most max_features and the terms' own, in an order that is the same in every run
-    table = featured.mapInArrow(by_batch(run), featured.schema).orderBy("place", "toxic", "features").toArrow().combine_chunks()
+    table = saved(featured.mapInArrow(by_batch(run), featured.schema), "toxicity-chosen").orderBy("place", "toxic", "features").toArrow().combine_chunks()
     column = lambda c: table.column(c).chunk(0) if table.num_rows else pa.array([], table.schema.field(c).type)
     model = fit(column("toxic").to_numpy(), column("features"), column("plus"), column("minus"), chosen, COUNTERFACTUAL if penalty is None else penalty)
     model.swap = swap
