@@ -72,9 +72,9 @@ def given(value: str) -> Column:
     return F.col(value).isNotNull() & ~F.is_variant_null(value)
 
 
-def histories(df: DataFrame) -> DataFrame:
-    """Records of a player's history; an empty or missing one gives none."""
-    return items(df, "document", "$.history", ["path", "player"])
+def histories(df: DataFrame, keep: tuple[str, ...] = ("path", "player")) -> DataFrame:
+    """Records of a player's history with the columns ``keep``; an empty or missing one gives none."""
+    return items(df, "document", "$.history", list(keep))
 
 
 def chip_view(events: DataFrame) -> DataFrame:

@@ -14,7 +14,9 @@ from millrace.operators.store import Store
 from millrace.plans import runner
 from millrace.plans.catalogue import LINE_ORDER, Query, read
 from millrace.plans.contract import Contract, Table, columns, compiled
+from millrace.sources import fetch
 from millrace.storage import work_path
+from millrace.streaming.incremental import merge_rounds
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -283,3 +285,19 @@ def runs_of_older_layout(spark, sf_dir):
     old = validate.counts(read(spark, sf_dir, "events"), F.col("value") >= 10, "user_id", "event_type").withColumnsRenamed({"user_id": "run_id", "event_type": "stage", "validated": "upserted"})
     old = old.withColumn("started_at", F.lit("then")).withColumn("errors", F.lit(0).cast("bigint"))
     return audit.migrated_runs(old).select("run_id", "started_at", "stage", "fetched", "validated", "written", "skipped", "errors", "status")
+
+
+@query("""SELECT o_orderkey::BIGINT AS element_id, o_custkey::BIGINT AS round, (CASE WHEN o_custkey % 3 = 0 THEN 1000 ELSE 0 END + o_orderkey % 97)::BIGINT AS minutes FROM orders""")
+def stream_versions(spark, sf_dir):
+    """Rounds fetched twice, streamed after each fetch: bodies of all customers, then corrected ones of a third of them."""
+    raw, store = work_path(spark, "raw"), Store(spark, work_path(spark, "store"))
+    own, checkpoint = read(spark, sf_dir, "orders"), work_path(spark, "stream")
+    for more, stamp in ((0, "2024-01-01T00:00:00+00:00"), (1000, "2024-01-02T00:00:00+00:00")):
+        rows = own.where("o_custkey % 3 = 0") if more else own
+        minutes = (F.expr("o_orderkey % 97") + more).cast("bigint").alias("minutes")
+        each = F.struct(F.col("o_orderkey").alias("id"), F.struct(minutes).alias("stats"))
+        bodies = rows.groupBy(F.col("o_custkey").cast("string").alias("id")).agg(F.to_json(listed("elements", each)).alias("body"))
+        shape = [F.lit("live").alias("endpoint"), "id", F.lit(200).alias("status"), "body", F.lit(stamp).alias("fetched_at")]
+        bodies.select(*shape).write.parquet(f"{fetch.folder(raw, 'live')}/{stamp[:10]}")
+        merge_rounds(spark, store, raw, checkpoint).awaitTermination()
+    return store.read("gameweeks").select("element_id", "round", "minutes")
