@@ -33,6 +33,8 @@ BANDS = COORDS // ROWS
 BLOCK = 512
 #: Rounds of contraction at most, and the open pairs per node below which they are compared at once.
 ROUNDS, OPEN_PER_NODE = 6, 1
+#: Nodes of a class of shingles that one task compares with as many others.
+CHUNK = 256
 #: 64-bit words of the bitmap that bounds what two sets share.
 BIT_WORDS = 16
 
@@ -161,7 +163,8 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     share is met class by class and not shingle by shingle. Two sets of such similarity share a class
     among the rarest of each: of n shingles those before the ceil(n * percent / 100)-th last. The nodes
     of the largest component of a class are paired with the others only, so a large group costs no more
-    than its size for each of those.
+    than its size for each of those. Both sides of a class are dealt into chunks of about ``CHUNK`` nodes,
+    and chunk meets chunk, so that no class is one task.
     """
     own = sets.join(nodes, "node").withColumn("n", F.size("shingles")).withColumn("set", F.xxhash64("shingles"))
     each = own.select("node", "comp", "n", "set", F.explode("shingles").alias("shingle"))
@@ -181,20 +184,28 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ranked = ranked.where((F.col("alone") + F.col("nth") - F.col("weight") < length) & (F.col("c1") < F.col("c2")))
     prefix = saved(ranked.select(*of_class, "node", "set", "comp", "n", F.col("alone").cast("int").alias("alone"), F.col("nth").cast("int").alias("nth"), F.col("weight").cast("int").alias("weight")), "minhash-prefixes")
     by_comp = prefix.groupBy(*of_class, "comp").agg(F.count("*").alias("held"))
-    largest = by_comp.groupBy(*of_class).agg(F.max_by("comp", F.struct("held", "comp")).alias("largest"), F.count("*").alias("comps")).where("comps > 1")
-    flagged = prefix.join(largest.drop("comps"), of_class).withColumn("large", F.col("comp") == F.col("largest")).drop("largest")
+    largest = by_comp.groupBy(*of_class).agg(F.max_by("comp", F.struct("held", "comp")).alias("largest"), F.count("*").alias("comps"), F.sum("held").alias("all"), (F.sum("held") - F.max("held")).alias("small")).where("comps > 1")
+    chunks = lambda held: F.ceil(F.col(held) / CHUNK).cast("int")
+    largest = largest.select(*of_class, "largest", chunks("all").alias("chunks"), chunks("small").alias("chunks_l"))
+    flagged = prefix.join(largest, of_class).withColumn("large", F.col("comp") == F.col("largest")).drop("largest")
+    chunk = F.xxhash64("node", "set")
+    flagged = flagged.withColumn("chunk", F.pmod(chunk, "chunks").cast("int")).withColumn("chunk_l", F.pmod(chunk, "chunks_l").cast("int"))
     words = own.select("node", "set", *[F.col("bits")[k].alias(f"bits_{k}") for k in range(BIT_WORDS)])
     flagged = saved(flagged.join(words, ["node", "set"]).drop("set"), "minhash-flagged")
     renamed = lambda c: c.replace("bits_", "bits_l_") if c.startswith("bits_") else f"{c}_l"
-    others = flagged.where("not large").drop("large")
-    others = others.select(*of_class, *[F.col(c).alias(renamed(c)) for c in others.columns if c not in of_class])
+    # a node of chunk i meets all chunks of the others, one of the others' chunk j all chunks of the class
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    met = [*of_class, "chunk", "chunk_l"]
+    others = flagged.where("not large").withColumn("chunk", every("chunks")).drop("large", "chunks", "chunks_l")
+    others = others.select(*met, *[F.col(c).alias(renamed(c)) for c in others.columns if c not in met])
+    flagged = flagged.withColumn("chunk_l", every("chunks_l")).drop("chunks", "chunks_l")
     fits = (F.col("comp") != F.col("comp_l")) & (F.col("large") | (F.col("node_l") < F.col("node")))
     # shared at most, if this is the first class that both hold (one before it gives the pair already): it and what is left behind it
     most = F.col("weight") + F.least(F.col("n") - F.col("alone") - F.col("nth"), F.col("n_l") - F.col("alone_l") - F.col("nth_l"))
     lacks = lambda a, b: reduce(add, [F.bit_count(F.col(f"{a}{k}").bitwiseAND(F.bitwise_not(F.col(f"{b}{k}")))) for k in range(BIT_WORDS)])
     for bound in (most, F.col("n") - lacks("bits_", "bits_l_"), F.col("n_l") - lacks("bits_l_", "bits_")):
         fits &= (100 + percent) * bound >= percent * (F.col("n") + F.col("n_l"))
-    pairs = flagged.join(others, of_class).where(fits)
+    pairs = flagged.join(others, met).where(fits)
     return pairs.select(F.least("node", "node_l").alias("a"), F.greatest("node", "node_l").alias("b")).distinct()
 
 

@@ -51,10 +51,11 @@ def documents():
     return texts
 
 
-@pytest.mark.parametrize("rounds", [0, 6])
-def test_minhash_against_all_pairs(spark, documents, monkeypatch, rounds):
-    """With and without contraction before the last comparison."""
+@pytest.mark.parametrize(("rounds", "chunk"), [(0, 3), (6, 256)])
+def test_minhash_against_all_pairs(spark, documents, monkeypatch, rounds, chunk):
+    """With and without contraction before the last comparison, its classes in many chunks or in one."""
     monkeypatch.setattr(minhash, "ROUNDS", rounds)
+    monkeypatch.setattr(minhash, "CHUNK", chunk)
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in documents.items()], "doc_id bigint, text string, node string, n_shingles int")
     got = {r["doc_id"]: tuple(r) for r in minhash.near_duplicates(df.repartition(3)).collect()}
     assert got == near(documents)
