@@ -11,7 +11,10 @@ ones, and every document loses them. Runs live in a folder with a manifest and c
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
+from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
@@ -130,28 +133,40 @@ class Runs:
 
 
 def hashed_lines(df: DataFrame, doc_id: str, text: str, n_batches: int, min_chars: int) -> DataFrame:
-    """Per row of ``df`` and different line key in it: batch, document, hash of the text, hash of the line."""
+    """Per row of ``df`` and different line key in it: batch, document, hash of the text, hash of the line.
+
+    ``first`` marks one entry of each row; a row without keys has one entry, whose line is null.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
         for doc, t in zip(batch.column("doc").to_pylist(), texts(batch, "text"), strict=True):
             of_text, part = text_hash(t), xxhash.xxh3_64_intdigest(str(doc).encode()) % n_batches
             keys = {k for k in map(line_key, t.split("\n")) if len(k) >= min_chars and len(k.decode()) >= min_chars}
-            out += [(part, doc, *of_text, *line_hash(k)) for k in keys]
-        names = ["batch", "doc", "t1", "t2", *KEY]
-        kinds = [pa.int32(), pa.int64(), *[pa.int64()] * 4]
-        columns = zip(*out, strict=True) if out else [[]] * 6
+            hashes = [line_hash(k) for k in keys] or [(None, None)]
+            out += [(part, doc, *of_text, *h, n == 0) for n, h in enumerate(hashes)]
+        names = ["batch", "doc", "t1", "t2", *KEY, "first"]
+        kinds = [pa.int32(), pa.int64(), *[pa.int64()] * 4, pa.bool_()]
+        columns = zip(*out, strict=True) if out else [[]] * 7
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return df.selectExpr(f"cast(`{doc_id}` as bigint) as doc", f"`{text}` as text").mapInArrow(
-        by_batch(run), "batch int, doc bigint, t1 bigint, t2 bigint, h1 bigint, h2 bigint"
+        by_batch(run), "batch int, doc bigint, t1 bigint, t2 bigint, h1 bigint, h2 bigint, first boolean"
     )
 
 
+def hot_texts(held: DataFrame) -> dict[tuple[int, int], int]:
+    """The texts that are more than one in ``SHARE`` of all rows, so fewer than ``SHARE``, and the tasks that each is dealt to."""
+    each = held.where("first")
+    most = max(each.count() / SHARE, FEW)
+    rows = each.groupBy("t1", "t2").agg(F.count("*").alias("n")).where(F.col("n") > most).collect()
+    return {(r["t1"], r["t2"]): math.ceil(r["n"] / most) for r in rows}
+
+
 def common_by_text(
     df: DataFrame, doc_id: str, text: str, min_docs: int, min_chars: int, n_batches: int, fanout: int
-) -> DataFrame:
-    """Per different text that holds common lines: t1, t2, and the hashes of those lines.
+) -> tuple[DataFrame, dict[tuple[int, int], int]]:
+    """Per different text that holds common lines: t1, t2, and the hashes of those lines; and the texts of many rows.
 
     Rows that share a doc_id are one document for the count; rows with a null doc_id are together one.
     """
@@ -162,11 +177,11 @@ def common_by_text(
     held = spark.read.schema(lines.schema).parquet(path)
     runs = Runs(spark, min_docs, fanout)
     for k in range(n_batches):
-        runs.add(held.where(F.col("batch") == k).select("doc", *KEY).distinct())  # reads its own files alone
+        runs.add(held.where((F.col("batch") == k) & F.col("h1").isNotNull()).select("doc", *KEY).distinct())  # reads its own files alone
     common = saved(runs.common(), "lines-common")
     runs.close()
     found = held.select("t1", "t2", *KEY).join(common, KEY, "left_semi").distinct()
-    return found.groupBy("t1", "t2").agg(F.collect_list(F.struct(*KEY)).alias("common"))
+    return found.groupBy("t1", "t2").agg(F.collect_list(F.struct(*KEY)).alias("common")), hot_texts(held)
 
 
 def stripped(batch: pa.RecordBatch) -> list[tuple[str, int, int]]:
@@ -185,25 +200,41 @@ def stripped(batch: pa.RecordBatch) -> list[tuple[str, int, int]]:
 def with_common(df: DataFrame, doc_id: str, text: str, **how) -> DataFrame:
     """``df`` with its text's hash (t1, t2) and the common lines in it, null if there are none.
 
-    Copies of one text are dealt to ``SALTS`` tasks by their documents.
+    Copies of one text are dealt to tasks by the number of its rows, so that no key holds more than one in
+    ``SHARE`` of them, whatever their doc_ids are.
     """
-    found = common_by_text(df, doc_id, text, **how).withColumn("t3", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spark = df.sparkSession
+    found, hot = common_by_text(df, doc_id, text, **how)
+    dealt = spark.createDataFrame([(*k, n) for k, n in hot.items()], "t1 bigint, t2 bigint, tasks int")  # fewer than SHARE rows
+    found = found.join(F.broadcast(dealt), ["t1", "t2"], "left")
+    found = found.withColumn("t3", F.explode(F.sequence(F.lit(0), F.coalesce("tasks", F.lit(1)) - 1))).drop("tasks")
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        pairs = [text_hash(t) for t in texts(batch, text)]
-        salts = [xxhash.xxh3_64_intdigest(str(d).encode()) % SALTS for d in batch.column(doc_id).to_pylist()]
-        added = [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)]
-        return pa.RecordBatch.from_arrays([*batch.columns, *added, pa.array(salts, pa.int32())], [*batch.schema.names, "t1", "t2", "t3"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[int] = Counter()
+
+        def salt(row: int, others: list, tasks: int) -> int:
+            own = xxhash.xxh3_64_intdigest(repr([c[row].as_py() for c in others]).encode())
+            seen[own] += 1  # rows alike in all columns are dealt in turn, in whatever order the partition comes
+            return (own + seen[own]) % tasks
+
+        def keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
+            pairs = [text_hash(t) for t in texts(batch, text)]
+            others = [c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != text]
+            salts = [salt(row, others, hot[p]) if p in hot else 0 for row, p in enumerate(pairs)]
+            added = [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays([*batch.columns, *added, pa.array(salts, pa.int32())], [*batch.schema.names, "t1", "t2", "t3"])
+
+        yield from by_batch(keyed)(batches)
 
     more = [T.StructField(c, T.LongType()) for c in ("t1", "t2")]
-    keyed = df.mapInArrow(by_batch(run), T.StructType([*df.schema.fields, *more, T.StructField("t3", T.IntegerType())]))
+    keyed = df.mapInArrow(run, T.StructType([*df.schema.fields, *more, T.StructField("t3", T.IntegerType())]))
     return keyed.join(found, ["t1", "t2", "t3"], "left")
 
 
 #: The contract's limits, and how many batches the runs are built from.
 PRODUCTION = {"min_docs": 10, "min_chars": 1, "n_batches": 6, "fanout": 2}
-#: Tasks that copies of one text are dealt to.
-SALTS = 4
+#: A text's copies are dealt so that a key holds at most one in so many rows, or ``FEW``.
+SHARE, FEW = 4096, 64
 
 
 def digests(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:

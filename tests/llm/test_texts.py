@@ -121,6 +121,22 @@ def test_lines_against_brute_force(spark):
     assert lines.digests(df.limit(0)).collect() == []
 
 
+def test_copies_of_a_text_are_dealt_by_their_number(spark, monkeypatch):
+    """A third of all rows is one text, another third alike in all columns, many are empty: no key holds more than its share."""
+    monkeypatch.setattr(lines, "SHARE", 16)
+    monkeypatch.setattr(lines, "FEW", 5)
+    rows = [(k, "same\nown lines", k) for k in range(200)] + [(7, "twice\nsame", 0)] * 200 + [(k, None, 1) for k in range(100)] + [(k, f"rare {k}\nsame", 2) for k in range(1000, 1100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, more int").repartition(5)
+    keyed = lines.with_common(df, "doc_id", "text", **lines.PRODUCTION)
+    held = keyed.groupBy("t1", "t2", "t3").count().orderBy("count").collect()
+    assert keyed.count() == 600 and held[-1]["count"] <= 3 * 600 / 16 and len({(r["t1"], r["t2"]) for r in held}) == 103
+    assert {(r["t1"], r["t2"]) for r in held if r["t3"] > 0} == set(lines.hot_texts(lines.hashed_lines(df, "doc_id", "text", 2, 1)))
+    want = brute_lines([(d, t) for d, t, _ in rows], 10)
+    got = [(r["doc_id"], r["text"]) for r in lines.dedup(df).collect()]
+    assert sorted(got, key=repr) == sorted([(d, None if t is None else "\n".join(k)) for (d, t, _), (_, _, k) in zip(rows, want, strict=True)], key=repr)
+    assert {r["kept_sha256"] for r in lines.digests(df.where("text is null")).collect()} == {hashlib.sha256(b"").hexdigest()}
+
+
 def test_levels_are_compacted(spark):
     runs = lines.Runs(spark, min_docs=2, fanout=2)
     for k in range(5):
