@@ -187,7 +187,11 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     largest = by_comp.groupBy(*of_class).agg(F.max_by("comp", F.struct("held", "comp")).alias("largest"), F.count("*").alias("comps"), F.sum("held").alias("all"), (F.sum("held") - F.max("held")).alias("small")).where("comps > 1")
     chunks = lambda held: F.ceil(F.col(held) / CHUNK).cast("int")
     largest = largest.select(*of_class, "largest", chunks("all").alias("chunks"), chunks("small").alias("chunks_l"))
-    flagged = prefix.join(largest, of_class).withColumn("large", F.col("comp") == F.col("largest")).drop("largest")
+    # a row knows how many hold its class, so its salt needs no look-up
+    salts = F.ceil(F.col("rows") / CHUNK).cast("int")
+    largest = largest.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    prefix = prefix.withColumn("salt", F.pmod(F.xxhash64("node", "set"), salts).cast("int"))
+    flagged = prefix.join(largest, [*of_class, "salt"]).drop("salt").withColumn("large", F.col("comp") == F.col("largest")).drop("largest")
     chunk = F.xxhash64("node", "set")
     flagged = flagged.withColumn("chunk", F.pmod(chunk, "chunks").cast("int")).withColumn("chunk_l", F.pmod(chunk, "chunks_l").cast("int"))
     words = own.select("node", "set", *[F.col("bits")[k].alias(f"bits_{k}") for k in range(BIT_WORDS)])
