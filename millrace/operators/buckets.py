@@ -99,17 +99,19 @@ def address_bits(spark: SparkSession, table: Table, exact: dict[str, object]) ->
     return spark.range(1).select(found).first()[0]
 
 
-def routed(rows: DataFrame, table: Table, leaves: list[str]) -> DataFrame:
-    """``rows`` with the bucket, out of ``leaves``, that their address starts with.
+def routed(rows: DataFrame, table: Table, leaves: list[str], nth: str | None = None) -> DataFrame:
+    """``rows`` with the bucket, out of ``leaves``, that their address starts with, and as ``nth`` its place among them.
 
     The leaves have few different lengths: a row asks for its prefix of each, and one of them is there. The
     directory has a row for each bucket, some 50,000 at 100 TB.
     """
     if leaves == [""]:
-        return rows.withColumn(BUCKET, F.lit(""))
+        return rows.withColumns({BUCKET: F.lit("")} | ({nth: F.lit(0)} if nth else {}))
     lengths = sorted({len(b) for b in leaves})
-    listed = ", ".join(f"({len(b)}, {int(b or '0', 2)}L, '{b}')" for b in leaves)
-    directory = rows.sparkSession.sql(f"SELECT * FROM VALUES {listed} AS t(__length, __prefix, {BUCKET})")
+    listed = ", ".join(f"({len(b)}, {int(b or '0', 2)}L, '{b}', {i})" for i, b in enumerate(leaves))
+    directory = rows.sparkSession.sql(f"SELECT * FROM VALUES {listed} AS t(__length, __prefix, {BUCKET}, {nth or '__nth'})")
+    if not nth:
+        directory = directory.drop("__nth")
     asked = rows.withColumn("__at", address(table)).withColumn("__length", F.explode(F.lit(lengths)))
     asked = asked.withColumn("__prefix", F.expr(f"shiftright(__at, {BITS} - __length)"))
     return asked.join(directory, ["__length", "__prefix"]).drop("__at", "__length", "__prefix")

@@ -13,6 +13,16 @@ def latest(df: DataFrame, key: list[str], *order: Column) -> DataFrame:
     return df.withColumn("__nth", nth).where(F.col("__nth") == 1).drop("__nth")
 
 
+def first_of_few(df: DataFrame, key: list[str], *order: Column) -> DataFrame:
+    """As ``latest``, for keys that have a few rows each, such as a table's parts.
+
+    Spark sorts the input of a filter on row numbers before its shuffle too, to leave rows out early; here
+    that would hold all rows of a file in memory and leave none out.
+    """
+    before = F.lag(F.lit(True)).over(W.Window.partitionBy(*key).orderBy(*order))
+    return df.withColumn("__before", before).where(F.col("__before").isNull()).drop("__before")
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, key: list[str], sequence: list[str]) -> DataFrame:
     """All keys of both; a key of ``incoming`` replaces the whole row, its last by ``sequence`` winning.
 

@@ -39,6 +39,9 @@ BUCKET_ROWS = 4_000_000
 MAX_DELTAS = 8
 #: Tasks at most that write one bucket of a delta.
 SALTS = 8
+#: Rows that a task puts together, of buckets with several parts, and rows of a file that a fold writes. Shuffled bytes tell
+#: little of a task's memory, since stored columns repeat.
+TASK_ROWS, FILE_ROWS = 250_000, 1_000_000
 #: Rows of runs, statuses and metadata that the manifest holds before they are folded.
 TAIL = 200
 REJECTED = "rejected"
@@ -105,9 +108,13 @@ class Store:
             return found.select("*", F.regexp_extract(at, f"{BUCKET}=b([01]*)", 1).alias(BUCKET), F.regexp_extract(at, "/v-([^/]*)/", 1).alias("__from"))
 
         single = [parts[0].path for parts in version.buckets.values() if len(parts) == 1]
-        several = [p.path for parts in version.buckets.values() if len(parts) > 1 for p in parts]
+        several = [p for parts in version.buckets.values() if len(parts) > 1 for p in parts]
         clean = of(single) if single else None
-        mixed = merge.latest(of(several), [BUCKET, *version.key], F.desc("__from")) if several else None
+        mixed = None
+        if several:
+            tasks = max(1, -(-sum(p.rows for p in several) // TASK_ROWS))
+            dealt = of([p.path for p in several]).repartition(tasks, BUCKET, *version.key)
+            mixed = merge.first_of_few(dealt, [BUCKET, *version.key], F.desc("__from"))
         return (clean.unionByName(mixed) if single and several else clean if single else mixed).drop("__from")
 
     def query(self, sql: str, params: list | None = None) -> DataFrame:
@@ -226,11 +233,14 @@ class Store:
         leaves = [leaf for b in old for leaf in buckets.planned(b, held[b], self.bucket_rows)]
         number = version.merges + 1
         folder = self._folder(table.name, number)
-        if leaves != old:
+        if len(leaves) > 1:  # each bucket has tasks of its own, a file each
+            files = max(1, -(-min(self.bucket_rows, sum(r["count"] for r in counted)) // FILE_ROWS))
+            rows = buckets.routed(rows.drop(BUCKET), table, leaves, "__nth")
+            nth = F.col("__nth") * files + F.pmod(F.xxhash64(*table.key), F.lit(files))
+            rows = rows.repartitionById(len(leaves) * files, nth.cast("int")).drop("__nth")
+        elif leaves != old:
             rows = buckets.routed(rows.drop(BUCKET), table, leaves)
         rows = rows.withColumn(BUCKET, F.concat(F.lit("b"), BUCKET))
-        if len(leaves) > 1:  # few files a bucket, and several tasks for one that is much larger than others
-            rows = rows.hint("rebalance", BUCKET)
         rows.sortWithinPartitions(BUCKET, *table.cluster_by).write.partitionBy(BUCKET).parquet(folder)
         parts = self._parts(table, folder)
         kept = {b: p for b, p in version.buckets.items() if b not in old}
@@ -257,19 +267,21 @@ class Store:
         rows = incoming.select(*columns, good.alias("__good"))
         rows = rows.withColumn("__own", F.when(~F.col("__good"), F.monotonically_increasing_id()))
         rows = buckets.routed(rows, table, list(version.buckets))
+        rows = rows.withColumn(BUCKET, F.when(F.col("__good"), F.concat(F.lit("b"), BUCKET)).otherwise(F.lit(REJECTED)))
         spread = [BUCKET, "__salt"] if several else []
         if several:  # a few files for each bucket, and no bucket is one task
             rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*table.key, "__own"), F.lit(SALTS))).repartition(*spread)
         order = [F.desc_nulls_last(s) for s in sequence]
-        nth = F.row_number().over(W.Window.partitionBy(*spread, *table.key, "__own").orderBy(*order))
+        # sorted once: the window's order begins with what the writer and the layout ask for, the key has the rest
+        layout = list(dict.fromkeys([*[BUCKET] * (several or bad is not None), *(c for c in table.cluster_by if c in table.key), *table.key]))
+        nth = F.row_number().over(W.Window.partitionBy(*layout, "__own", *spread[1:]).orderBy(*order))
         own = F.col("__good") & (F.col("__nth") == 1)
         seen = Observation()
         rows = rows.withColumn("__nth", nth).observe(
             seen, F.count("*").alias("given"), F.count_if("__good").alias("good"), F.count_if(own).alias("n"), *buckets.ranges(table, own)
         )
-        rows = rows.where("__nth = 1").withColumn(BUCKET, F.when(F.col("__good"), F.concat(F.lit("b"), BUCKET)).otherwise(F.lit(REJECTED)))
-        rows = rows.select(BUCKET, *columns)
-        if several:
+        rows = rows.where("__nth = 1").select(BUCKET, *columns)
+        if several and not set(table.cluster_by) <= set(table.key):
             rows = rows.sortWithinPartitions(BUCKET, *table.cluster_by)
         rows.write.partitionBy(BUCKET).parquet(folder)
         counted = {"given": 0, "good": 0, "n": 0} | seen.get

@@ -117,6 +117,23 @@ def test_deltas_are_read_folded_and_split(spark, tmp_path):
     assert held(store) == before and all(len(parts) <= 1 for parts in store.manifest()["fixture_stats"].buckets.values())
 
 
+def test_tasks_follow_rows(spark, tmp_path, monkeypatch):
+    """A task of a read or fold has a bounded number of rows, however well they compress, and sorts none before its shuffle."""
+    monkeypatch.setattr("millrace.operators.store.TASK_ROWS", 100)
+    monkeypatch.setattr("millrace.operators.store.FILE_ROWS", 100)
+    store = Store(spark, str(tmp_path / "db"), bucket_rows=400)
+    made = lambda n, value: spark.range(n).selectExpr("id as fixture_id", "'x' as identifier", "id % 2 as element", f"{value}L as value", "'h' as side", "'t' as ingested_at", "0 as seq")
+    store.upsert("fixture_stats", made(3000, 1), ["seq"])
+    store.upsert("fixture_stats", made(300, 2), ["seq"])
+    version = store.manifest()["fixture_stats"]
+    sizes = [spark.read.parquet(str(f)).count() for parts in version.buckets.values() if parts for f in Path(parts[0].path).glob("*.parquet")]
+    assert sum(sizes) == 3000 and max(sizes) < 200
+    found = store.read("fixture_stats")
+    assert "WindowGroupLimit" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.rdd.getNumPartitions() >= 33
+    assert sorted(found.groupBy("value").count().collect()) == [(1, 2700), (2, 300)]
+
+
 def test_buckets_of_two_rounds_split_by_key(spark, tmp_path):
     """A million rows of two rounds: buckets of at most twice the bound, and changes that touch one of them."""
     store, most = Store(spark, str(tmp_path / "db"), bucket_rows=50_000), 50_000
