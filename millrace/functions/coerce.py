@@ -52,7 +52,8 @@ def to_bigint(value: str, kind: str | None = None) -> str:
     """``kind``: SQL text of the value's JSON type where that is known already."""
     number, text = got(value, "double"), integral(got(value, "string"))
     whole = f"CASE WHEN {number} = floor({number}) THEN coalesce({text}, {got(value, 'bigint')}) END"
-    return by_type(kind or json_type(value), f"CAST({got(value, 'boolean')} AS BIGINT)", text, whole)
+    kind = kind or json_type(value)
+    return f"CASE WHEN {kind} = 'BIGINT' THEN {got(value, 'bigint')} ELSE {by_type(kind, f'CAST({got(value, "boolean")} AS BIGINT)', text, whole)} END"
 
 
 def to_double(value: str, kind: str | None = None) -> str:

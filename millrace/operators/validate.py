@@ -26,22 +26,26 @@ def unknown_keys(keys: str, allowed: list[str], prefixes: tuple[str, ...] = ())
     return f"filter({rest}, k -> NOT ({dropped}))" if prefixes else rest
 
 
-def checks(c: Column, persisted: bool) -> tuple[str, list[str]]:
-    """SQL text of a contract column's value, and of its possible errors, over the columns that ``checked`` prepares.
-
-    ``__raw_x`` is null where the record has no such key, ``__kind_x`` is VOID where it is an explicit null.
-    """
-    raw, value, void = f"`__raw_{c.name}`", f"`__value_{c.name}`", f"`__kind_{c.name}` = 'VOID'"
-    kind = (PERSISTED if persisted else VALIDATED)[c.type]
+def spec(c: Column) -> str:
+    """SQL text of what a cell needs to know of its contract column; a null message is no error."""
     default = "NULL" if c.required or c.default is None else quoted(str(int(c.default) if c.type == "bool" else c.default))
-    errors = {"missing": f"__keys IS NOT NULL AND {raw} IS NULL"} if c.required else {}
-    if not c.nullable:
-        errors["null"] = void
-    errors[f"not {c.type}"] = f"{raw} IS NOT NULL AND NOT {void} AND {value} IS NULL"
-    if c.aliases:
-        errors["given twice"] = f"`__times_{c.name}` > 1"
-    column = f"CASE WHEN {raw} IS NOT NULL THEN CAST({value} AS {kind}) ELSE CAST({default} AS {kind}) END AS `{c.name}`"
-    return column, [f"CASE WHEN {when} THEN {quoted(f'{c.name}: {why}')} END" for why, when in errors.items()]
+    own = {
+        "type": quoted(c.type), "n": f"CAST({default if c.type in ('int', 'bool') else 'NULL'} AS BIGINT)", "d": f"CAST({default if c.type == 'float' else 'NULL'} AS DOUBLE)",
+        "t": f"CAST({default if c.type == 'str' else 'NULL'} AS STRING)", "missing": quoted(f"{c.name}: missing") if c.required else "CAST(NULL AS STRING)",
+        "void": "CAST(NULL AS STRING)" if c.nullable else quoted(f"{c.name}: null"), "other": quoted(f"{c.name}: not {c.type}"),
+    }
+    return f"named_struct({', '.join(f'{quoted(k)}, {v}' for k, v in own.items())})"
+
+
+#: A value coerced to its column's type, in the field of that type; a key that the record lacks has its default.
+OF_TYPE = {t: f(*("r.v", "r.k")) for t, f in COERCE.items()}
+CELL = f"""CASE WHEN r.v IS NULL THEN named_struct('given', false, 'k', r.k, 'n', s.n, 'd', s.d, 't', s.t)
+ELSE named_struct('given', true, 'k', r.k, 'n', CASE WHEN s.type = 'int' THEN {OF_TYPE['int']} WHEN s.type = 'bool' THEN CAST({OF_TYPE['bool']} AS BIGINT) END,
+'d', CASE WHEN s.type = 'float' THEN {OF_TYPE['float']} END, 't', CASE WHEN s.type = 'str' THEN {OF_TYPE['str']} END) END"""
+#: What is wrong with it: lacking, an explicit null, or not of the type; null if nothing is.
+ERROR = """CASE WHEN NOT c.given THEN CASE WHEN __keys IS NOT NULL THEN s.missing END WHEN c.k = 'VOID' THEN s.void
+WHEN c.n IS NULL AND c.d IS NULL AND c.t IS NULL THEN s.other END"""
+FIELD = {"int": "n", "bool": "n", "float": "d", "str": "t"}
 
 
 def checked(df: DataFrame, table: Table, record: str = "record", persisted: bool = True) -> DataFrame:
@@ -51,30 +55,31 @@ def checked(df: DataFrame, table: Table, record: str = "record", persisted: bool
     the column isn't nullable; a value that can't be coerced is an error. A record that isn't a JSON
     object has one error. Of two names for one column only one may be given.
 
-    Each value is taken from the record once, its type asked once and coerced once: each of these is a
-    projection whose columns the next one refers to.
+    All values are taken from the record at once and lie in an array, in the contract's order, over which
+    one function types and coerces them. An expression of its own for each of a hundred columns would be
+    planned for seconds, and the method that Spark makes of them is too large for the JVM to compile.
     """
     own = [f"`{c}`" for c in df.columns]
-    taken, kinds, values, times = [], [], [], []
-    for c in table.columns:
-        raw = [f"try_variant_get(`{record}`, {quoted(f'$.{k}')}, 'variant')" for k in c.inputs]
-        taken.append(f"{f'coalesce({", ".join(raw)})' if c.aliases else raw[0]} AS `__raw_{c.name}`")
-        if c.aliases:
-            times.append(f"{' + '.join(f'CAST({r} IS NOT NULL AS INT)' for r in raw)} AS `__times_{c.name}`")
-        kinds.append(f"schema_of_variant(`__raw_{c.name}`) AS `__kind_{c.name}`")
-        values.append(f"{COERCE[c.type](f'`__raw_{c.name}`', f'`__kind_{c.name}`')} AS `__value_{c.name}`")
-    unknown = unknown_keys("__keys", [*(k for c in table.columns for k in c.inputs), *table.drop_keys], table.drop_prefixes)
-    columns, errors = [], [
-        "CASE WHEN __keys IS NULL THEN 'not an object' END",
-        "CASE WHEN size(__unknown) > 0 THEN concat('unknown: ', array_join(__unknown, ', ')) END",
-    ]
-    for c in table.columns:
-        column, why = checks(c, persisted)
-        columns.append(column)
-        errors += why
-    prepared = df.selectExpr(*own, f"map_keys(try_variant_get(`{record}`, '$', 'map<string,variant>')) AS __keys", *taken, *times)
-    typed = prepared.selectExpr("*", f"{unknown} AS __unknown", *kinds)
-    return typed.selectExpr("*", *values).selectExpr(*own, *columns, f"array_compact(array({', '.join(errors)})) AS _errors")
+    names = list(dict.fromkeys(k for c in table.columns for k in c.inputs))
+    inside = f"try_variant_get(`{record}`, '$', {quoted(f'struct<{", ".join(f"`{k}`: variant" for k in names)}>')}) AS __in"
+    keys = f"map_keys(try_variant_get(`{record}`, '$', 'map<string,variant>')) AS __keys"
+    raw = [[f"__in.`{k}`" for k in c.inputs] for c in table.columns]
+    values = f"array({', '.join(f'coalesce({", ".join(r)})' if len(r) > 1 else r[0] for r in raw)})"
+    specs = f"array({', '.join(map(spec, table.columns))})"
+    cells = f"zip_with(transform({values}, v -> named_struct('v', v, 'k', schema_of_variant(v))), {specs}, (r, s) -> {CELL}) AS __cells"
+    unknown = unknown_keys("__keys", [*names, *table.drop_keys], table.drop_prefixes)
+    wrong, found, upto = f"zip_with(__cells, {specs}, (c, s) -> {ERROR})", [], 0
+    for i, (c, r) in enumerate(zip(table.columns, raw, strict=True), 1):
+        if c.aliases:  # said behind what else is wrong with the column
+            times = " + ".join(f"CAST({x} IS NOT NULL AS INT)" for x in r)
+            found += [f"slice(__wrong, {upto + 1}, {i - upto})", f"array(CASE WHEN {times} > 1 THEN {quoted(f'{c.name}: given twice')} END)"]
+            upto = i
+    found.append(f"slice(__wrong, {upto + 1}, {len(raw) - upto})" if upto else "__wrong")
+    first = "array(CASE WHEN __keys IS NULL THEN 'not an object' END, CASE WHEN size(__unknown) > 0 THEN concat('unknown: ', array_join(__unknown, ', ')) END)"
+    kinds = PERSISTED if persisted else VALIDATED
+    columns = [f"CAST(__cells[{i}].{FIELD[c.type]} AS {kinds[c.type]}) AS `{c.name}`" for i, c in enumerate(table.columns)]
+    taken = df.selectExpr(*own, inside, keys).selectExpr("*", cells, f"{unknown} AS __unknown").selectExpr("*", f"{wrong} AS __wrong")
+    return taken.selectExpr(*own, *columns, f"array_compact(concat({', '.join([first, *found])})) AS _errors")
 
 
 def split(checked_rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +79,12 @@ def test_scalars(spark):
         scalars.parsed_deadline(F.col("d")).cast("string"), scalars.skip_percent(F.lit(1), F.lit(0)),
     ).first()
     assert list(row) == ["GKP", "UNK", 5.5, "A B", "2024-08-16 17:30:00", None]
+
+
+def test_generated_code_stays_small(spark):
+    """The JVM compiles methods of up to 8,000 bytes only; a table of a hundred columns stays below it."""
+    rows = spark.range(3).select(F.parse_json(F.concat(F.lit('{"round":'), F.col("id"), F.lit("}"))).alias("record"))
+    plan = validate.checked(rows, compiled()["gameweeks"])._jdf.queryExecution()
+    said = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(plan, "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", said)]
+    assert sizes and max(sizes) < 8000, sizes
