@@ -29,9 +29,10 @@ def unknown_keys(keys: str, allowed: list[str], prefixes: tuple[str, ...] = ())
 def spec(c: Column) -> str:
     """SQL text of what a cell needs to know of its contract column; a null message is no error."""
     default = "NULL" if c.required or c.default is None else quoted(str(int(c.default) if c.type == "bool" else c.default))
+    n, d, t = (default if c.type in types else "NULL" for types in (("int", "bool"), ("float",), ("str",)))
+    absent = f"named_struct('given', false, 'k', CAST(NULL AS STRING), 'n', CAST({n} AS BIGINT), 'd', CAST({d} AS DOUBLE), 't', CAST({t} AS STRING))"
     own = {
-        "type": quoted(c.type), "n": f"CAST({default if c.type in ('int', 'bool') else 'NULL'} AS BIGINT)", "d": f"CAST({default if c.type == 'float' else 'NULL'} AS DOUBLE)",
-        "t": f"CAST({default if c.type == 'str' else 'NULL'} AS STRING)", "missing": quoted(f"{c.name}: missing") if c.required else "CAST(NULL AS STRING)",
+        "type": quoted(c.type), "absent": absent, "missing": quoted(f"{c.name}: missing") if c.required else "CAST(NULL AS STRING)",
         "void": "CAST(NULL AS STRING)" if c.nullable else quoted(f"{c.name}: null"), "other": quoted(f"{c.name}: not {c.type}"),
     }
     return f"named_struct({', '.join(f'{quoted(k)}, {v}' for k, v in own.items())})"
@@ -39,11 +40,11 @@ def spec(c: Column) -> str:
 
 #: A value coerced to its column's type, in the field of that type; a key that the record lacks has its default.
 OF_TYPE = {t: f(*("r.v", "r.k")) for t, f in COERCE.items()}
-CELL = f"""CASE WHEN r.v IS NULL THEN named_struct('given', false, 'k', r.k, 'n', s.n, 'd', s.d, 't', s.t)
+CELL = f"""CASE WHEN r IS NULL THEN s.absent
 ELSE named_struct('given', true, 'k', r.k, 'n', CASE WHEN s.type = 'int' THEN {OF_TYPE['int']} WHEN s.type = 'bool' THEN CAST({OF_TYPE['bool']} AS BIGINT) END,
 'd', CASE WHEN s.type = 'float' THEN {OF_TYPE['float']} END, 't', CASE WHEN s.type = 'str' THEN {OF_TYPE['str']} END) END"""
 #: What is wrong with it: lacking, an explicit null, or not of the type; null if nothing is.
-ERROR = """CASE WHEN NOT c.given THEN CASE WHEN __keys IS NOT NULL THEN s.missing END WHEN c.k = 'VOID' THEN s.void
+ERROR = """CASE WHEN NOT c.given THEN s.missing WHEN c.k = 'VOID' THEN s.void
 WHEN c.n IS NULL AND c.d IS NULL AND c.t IS NULL THEN s.other END"""
 FIELD = {"int": "n", "bool": "n", "float": "d", "str": "t"}
 
@@ -66,9 +67,9 @@ def checked(df: DataFrame, table: Table, record: str = "record", persisted: bool
     raw = [[f"__in.`{k}`" for k in c.inputs] for c in table.columns]
     values = f"array({', '.join(f'coalesce({", ".join(r)})' if len(r) > 1 else r[0] for r in raw)})"
     specs = f"array({', '.join(map(spec, table.columns))})"
-    cells = f"zip_with(transform({values}, v -> named_struct('v', v, 'k', schema_of_variant(v))), {specs}, (r, s) -> {CELL}) AS __cells"
+    cells = f"zip_with(transform({values}, v -> CASE WHEN v IS NOT NULL THEN named_struct('v', v, 'k', schema_of_variant(v)) END), {specs}, (r, s) -> {CELL}) AS __cells"
     unknown = unknown_keys("__keys", [*names, *table.drop_keys], table.drop_prefixes)
-    wrong, found, upto = f"zip_with(__cells, {specs}, (c, s) -> {ERROR})", [], 0
+    wrong, found, upto = f"CASE WHEN __keys IS NULL THEN CAST(array() AS array<string>) ELSE zip_with(__cells, {specs}, (c, s) -> {ERROR}) END", [], 0
     for i, (c, r) in enumerate(zip(table.columns, raw, strict=True), 1):
         if c.aliases:  # said behind what else is wrong with the column
             times = " + ".join(f"CAST({x} IS NOT NULL AS INT)" for x in r)
