@@ -160,14 +160,12 @@ def placed(df: DataFrame, narrow: DataFrame, doc_id: str, source: str, plan: Pla
 
     ``df`` and ``narrow`` (source and sizes of the same rows) come from ``sized`` and have mix_chunk.
     """
-    spark = df.sparkSession
-    chunk_sizes = narrow.groupBy(F.col(source).alias("mix_source"), "mix_chunk").agg(F.sum("mix_size").alias("chunk_size"))
-    chunks = chunk_sizes.withColumn(
-        "chunk_start", F.sum("chunk_size").over(W.Window.partitionBy("mix_source").orderBy("mix_chunk")) - F.col("chunk_size")
-    )
-    known = plan.table(spark).withColumnRenamed("mix_source", "plan_source")
-    chunks = chunks.join(known, F.col("mix_source").eqNullSafe(F.col("plan_source"))).drop("plan_source").withColumnRenamed("mix_chunk", "of_chunk")
-    rows = df.join(chunks, F.col(source).eqNullSafe(F.col("mix_source")) & (F.col("mix_chunk") == F.col("of_chunk"))).drop("of_chunk", "mix_source")
+    known = plan.table(df.sparkSession).withColumnRenamed("mix_source", "plan_source")
+    # the driver has made this table: sent to all tasks, it deals the texts once, to join and to number them
+    indexed = lambda x: x.join(F.broadcast(known), F.col(source).eqNullSafe(F.col("plan_source"))).drop("plan_source")
+    chunks = indexed(narrow).groupBy("mix_index", "mix_chunk").agg(F.sum("mix_size").alias("chunk_size"))
+    chunks = chunks.withColumn("chunk_start", F.sum("chunk_size").over(W.Window.partitionBy("mix_index").orderBy("mix_chunk")) - F.col("chunk_size"))
+    rows = indexed(df).join(chunks, ["mix_index", "mix_chunk"])
     order = W.Window.partitionBy("mix_index", "mix_chunk").orderBy(doc_id, "mix_size", "mix_hash")
     return rows.withColumns({
         "mix_row": F.row_number().over(order),

@@ -474,3 +474,18 @@ def test_neutral_mentions_of_terms_that_the_corpus_lacks(spark):
     toxic = [t for i, t in rows if not i % 3]
     assert sum(held.score(t) >= 0.5 for t in toxic) / len(toxic) > 0.95
     assert held.n_pairs == free.n_pairs == sum(1 for i in range(900) if zlib.crc32(str(i).encode()) % 5)
+
+
+def test_mixing_deals_texts_once_to_place_them(spark):
+    """Rows are joined with their chunks and numbered by one exchange."""
+    docs = spark.createDataFrame([(1, "a b", "x"), (2, "c", None)], "doc_id bigint, text string, source string")
+    own = mixing.sized(docs, "doc_id", "text").withColumn("mix_chunk", F.lit(0))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = mixing.placed(own, own.drop("text"), "doc_id", "source", mixing.Plan([("x", 2), (None, 1)]))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") <= 4, plan
+    assert sorted((r["doc_id"], r["mix_index"], r["mix_row"], r["mix_start"]) for r in found.collect()) == [(1, 0, 1, 0), (2, 1, 1, 0)]
