@@ -121,7 +121,7 @@ def bitmap(shingle_set: np.ndarray) -> np.ndarray:
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles, bits): the whole sets, and their bitmaps, of the documents that ``nodes`` names."""
+    """(node, shingles, bits, set): the whole sets, their bitmaps and hashes, of the documents that ``nodes`` names."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingles(t) for t in texts(batch)]
@@ -132,7 +132,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     named = docs.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     found = named.mapInArrow(by_batch(run), "node bigint, digest binary, shingles array<bigint>, bits array<bigint>")
-    return found.dropDuplicates(["node", "digest"]).drop("digest")
+    return found.dropDuplicates(["node", "digest"]).drop("digest").withColumn("set", F.xxhash64("shingles"))
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -166,22 +166,20 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     than its size for each of those. Both sides of a class are dealt into chunks of about ``CHUNK`` nodes,
     and chunk meets chunk, so that no class is one task.
     """
-    own = sets.join(nodes, "node").withColumn("n", F.size("shingles")).withColumn("set", F.xxhash64("shingles"))
-    each = own.select("node", "comp", "n", "set", F.explode("shingles").alias("shingle"))
-    # who holds a shingle, as 128 bits: sums that keep no order
-    holders = [F.sum(F.shiftright(F.xxhash64("node", "set", F.lit(k)), 1) % (1 << 40)).alias(f"p{k}") for k in (1, 2, 3)]
-    often = each.groupBy("shingle").agg(F.count("*").alias("rows"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), *holders).where("rows > 1")
-    of_class = ["rows", "p1", "p2", "p3"]
-    weighed = each.join(often, "shingle").groupBy("node", "set", *of_class).agg(
-        *[F.first(c).alias(c) for c in ("comp", "n", "c1", "c2")], F.count("*").alias("weight")
+    each = sets.drop("bits").join(nodes, "node").withColumn("n", F.size("shingles")).select("node", "comp", "n", "set", F.explode("shingles").alias("shingle"))
+    # who holds a shingle, as 128 bits: each holder has it once, so hashes that cancel out in pairs keep all of them and no order
+    holders = [F.bit_xor(F.xxhash64("node", "set", F.lit(k))).alias(f"p{k}") for k in (1, 2)]
+    often = each.groupBy("shingle").agg(F.count("*").alias("rows"), (F.min("comp") < F.max("comp")).alias("parted"), *holders).where("rows > 1")
+    of_class = ["rows", "p1", "p2"]
+    common = each.join(often, "shingle").groupBy("node", "set", *of_class).agg(
+        *[F.first(c).alias(c) for c in ("comp", "n", "parted")], F.count("*").alias("weight")
     )
-    common = saved(weighed, "minhash-common")
     by_set = W.Window.partitionBy("node", "set")
     alone = F.col("n") - F.sum("weight").over(by_set)  # shingles of this set only come first
     upto = F.sum("weight").over(by_set.orderBy(*of_class).rowsBetween(W.Window.unboundedPreceding, 0))
     ranked = common.withColumn("alone", alone).withColumn("nth", upto)
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    ranked = ranked.where((F.col("alone") + F.col("nth") - F.col("weight") < length) & (F.col("c1") < F.col("c2")))
+    ranked = ranked.where((F.col("alone") + F.col("nth") - F.col("weight") < length) & F.col("parted"))
     prefix = saved(ranked.select(*of_class, "node", "set", "comp", "n", F.col("alone").cast("int").alias("alone"), F.col("nth").cast("int").alias("nth"), F.col("weight").cast("int").alias("weight")), "minhash-prefixes")
     by_comp = prefix.groupBy(*of_class, "comp").agg(F.count("*").alias("held"))
     largest = by_comp.groupBy(*of_class).agg(F.max_by("comp", F.struct("held", "comp")).alias("largest"), F.count("*").alias("comps"), F.sum("held").alias("all"), (F.sum("held") - F.max("held")).alias("small")).where("comps > 1")
@@ -194,7 +192,8 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     flagged = prefix.join(largest, [*of_class, "salt"]).drop("salt").withColumn("large", F.col("comp") == F.col("largest")).drop("largest")
     chunk = F.xxhash64("node", "set")
     flagged = flagged.withColumn("chunk", F.pmod(chunk, "chunks").cast("int")).withColumn("chunk_l", F.pmod(chunk, "chunks_l").cast("int"))
-    words = own.select("node", "set", *[F.col("bits")[k].alias(f"bits_{k}") for k in range(BIT_WORDS)])
+    # bitmaps come from the saved sets, whose shingles stay where they are
+    words = sets.select("node", "set", *[F.col("bits")[k].alias(f"bits_{k}") for k in range(BIT_WORDS)])
     flagged = saved(flagged.join(words, ["node", "set"]).drop("set"), "minhash-flagged")
     renamed = lambda c: c.replace("bits_", "bits_l_") if c.startswith("bits_") else f"{c}_l"
     # a node of chunk i meets all chunks of the others, one of the others' chunk j all chunks of the class

@@ -61,6 +61,15 @@ def test_minhash_against_all_pairs(spark, documents, monkeypatch, rounds, chunk)
     assert got == near(documents)
 
 
+def test_minhash_moves_bitmaps_without_their_sets(spark, documents, monkeypatch):
+    plans, save = {}, minhash.saved
+    monkeypatch.setattr(minhash, "ROUNDS", 0)
+    monkeypatch.setattr(minhash, "saved", lambda df, label: plans.update({label: df._jdf.queryExecution().executedPlan().toString()}) or save(df, label))
+    minhash.near_duplicates(spark.createDataFrame(list(documents.items()), "doc_id bigint, text string")).count()
+    assert "bits" in plans["minhash-flagged"]
+    assert "shingles" not in plans["minhash-flagged"]
+
+
 def test_minhash_odd_rows(spark):
     text = " ".join(f"w{k}" for k in range(30))
     rows = [(7, text), (7, text), (3, text), (9, "entirely different words stand here now"), (9, text), (None, text), (11, None)]
