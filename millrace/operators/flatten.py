@@ -6,9 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def items(df: DataFrame, document: str, path: str, keep: list[str]) -> DataFrame:
-    """One row for each entry of the list at ``path``: ``record`` and ``pos``; no list gives no rows."""
-    own = df.select(*keep, F.try_variant_get(document, path, "array<variant>").alias("__items"))
+def items(df: DataFrame, document: str, path: str, keep: list[str], kind: str = "variant") -> DataFrame:
+    """One row for each entry of the list at ``path``: ``record`` and ``pos``; no list gives no rows.
+
+    ``kind``: what is taken of an entry; parts that aren't of it are null. Every level taken as VARIANT is a copy
+    of all below it, so a nested entry is taken at once.
+    """
+    own = df.select(*keep, F.try_variant_get(document, path, f"array<{kind}>").alias("__items"))
     return own.select(*keep, F.posexplode("__items").alias("pos", "record"))
 
 
@@ -26,9 +30,8 @@ def live_elements(df: DataFrame, keep: tuple[str, ...] = ("path", "round")) -> D
 
     Entries that aren't objects or have no id are passed over. The round is the file's, not the payload's.
     """
-    each = items(df, "document", "$.elements", list(keep)).select("*", F.try_variant_get("record", "$.id", "variant").alias("id"))
-    stats = F.try_variant_get("record", "$.stats", "map<string,variant>")
-    each = each.where(given("id")).select(*keep, "pos", "id", F.coalesce(stats, F.expr("cast(map() as map<string,variant>)")).alias("stats"))
+    each = items(df, "document", "$.elements", list(keep), "struct<id: variant, stats: map<string,variant>>").select("*", "record.id")
+    each = each.where(given("id")).select(*keep, "pos", "id", F.coalesce("record.stats", F.expr("cast(map() as map<string,variant>)")).alias("stats"))
     identity = F.create_map(F.lit("element_id"), F.col("id"), F.lit("round"), F.col("round").cast("bigint").cast("variant"))
     both = F.map_concat(F.map_filter(identity, lambda k, v: ~F.map_contains_key("stats", k)), "stats")
     return each.select(*keep, "pos", F.to_variant_object(both).alias("record"))
@@ -39,18 +42,23 @@ def fixture_stats(df: DataFrame) -> DataFrame:
 
     A fixture without an id gives none; a missing identifier is empty text.
     """
-    each = fixtures(df).select("path", F.col("pos").alias("pos_fixture"), F.try_variant_get("record", "$.id", "variant").alias("id"), F.try_variant_get("record", "$.stats", "array<variant>").alias("stats"))
+    entries = "array<struct<element: variant, value: variant>>"
+    fixture = f"struct<id: variant, stats: array<struct<identifier: variant, h: {entries}, a: {entries}>>>"
+    each = items(df, "document", "$", ["path"], fixture).select("path", F.col("pos").alias("pos_fixture"), "record.id", "record.stats")
     each = each.where(given("id")).select("path", "pos_fixture", "id", F.posexplode("stats").alias("pos_stat", "stat"))
-    name = F.coalesce(F.try_variant_get("stat", "$.identifier", "variant"), F.lit("").cast("variant"))
-    both = F.array(*[F.struct(F.lit(i).alias("pos_side"), F.lit(s).alias("side"), F.try_variant_get("stat", f"$.{s}", "array<variant>").alias("entries")) for i, s in enumerate("ha")])
+    name = F.coalesce("stat.identifier", F.lit("").cast("variant"))
+    both = F.array(*[F.struct(F.lit(i).alias("pos_side"), F.lit(s).alias("side"), F.col(f"stat.{s}").alias("entries")) for i, s in enumerate("ha")])
     one = each.select("path", "pos_fixture", "pos_stat", "id", name.alias("identifier"), F.explode(both).alias("x"))
     entry = one.select("path", "pos_fixture", "pos_stat", "x.pos_side", "id", "identifier", "x.side", F.posexplode("x.entries").alias("pos_entry", "entry"))
     own = ["path", "pos_fixture", "pos_stat", "pos_side", "pos_entry"]
-    entry = entry.select(*own, "id", "identifier", "side", *[F.try_variant_get("entry", f"$.{c}", "variant").alias(c) for c in ("element", "value")])
-    # a key that an entry lacks is lacking in its record
+    entry = entry.select(*own, "id", "identifier", "side", "entry.element", "entry.value")
+    # a key that an entry lacks is lacking in its record; few do
     parts = {"fixture_id": F.col("id"), "identifier": F.col("identifier"), "element": F.col("element"), "value": F.col("value"), "side": F.col("side").cast("variant")}
+    whole = F.struct(*[c.alias(k) for k, c in parts.items()])
     fields = F.map_from_arrays(F.array(*map(F.lit, parts)), F.array(*parts.values()))
-    return entry.select(*own, F.to_variant_object(F.map_filter(fields, lambda k, v: v.isNotNull())).alias("record"))
+    lacking = F.to_variant_object(F.map_filter(fields, lambda k, v: v.isNotNull()))
+    record = F.when(F.col("element").isNotNull() & F.col("value").isNotNull(), F.to_variant_object(whole)).otherwise(lacking)
+    return entry.select(*own, record.alias("record"))
 
 
 def season_events(df: DataFrame) -> DataFrame:
@@ -58,7 +66,7 @@ def season_events(df: DataFrame) -> DataFrame:
 
     No top element, or one without points: null. No chips, or an empty list: null.
     """
-    each = bootstrap_list(df, "events").select("path", "pos", F.try_variant_get("record", "$", "map<string,variant>").alias("base"))
+    each = items(df, "document", "$.events", ["path"], "map<string,variant>").withColumnRenamed("record", "base")
     each = each.where("base is not null").select("path", "pos", "base", F.element_at("base", "chip_plays").alias("plays"), F.try_variant_get(F.element_at("base", "top_element_info"), "$.points", "variant").alias("points"))
     null = F.parse_json(F.lit("null"))
     chips = F.when(F.size(F.try_variant_get("plays", "$", "array<variant>")) > 0, F.to_json("plays")).cast("variant")

@@ -62,11 +62,15 @@ def flatten_live_elements(spark, sf_dir):
 @query("""SELECT l_orderkey::BIGINT AS fixture_id, 'quantity' AS identifier, l_partkey::BIGINT AS element, CAST(l_quantity AS BIGINT) AS value, 'h' AS side FROM lineitem
 UNION ALL SELECT l_orderkey, 'line', l_partkey, l_linenumber, 'a' FROM lineitem""")
 def flatten_fixture_stats(spark, sf_dir):
-    entry = lambda value: F.array(F.struct(F.col("l_partkey").alias("element"), value.cast("bigint").alias("value")))
-    quantity = F.struct(F.lit("quantity").alias("identifier"), entry(F.col("l_quantity")).alias("h"), F.slice(entry(F.col("l_quantity")), 1, 0).alias("a"))
-    line = F.struct(F.lit("line").alias("identifier"), F.slice(entry(F.col("l_linenumber")), 1, 0).alias("h"), entry(F.col("l_linenumber")).alias("a"))
-    each = F.struct(F.col("l_orderkey").alias("id"), F.array(quantity, line).alias("stats"))
-    made = documents(read(spark, sf_dir, "lineitem"), "l_orderkey", "key", F.collect_list(each))
+    def fixture(line: Column) -> Column:
+        entry = lambda value: F.array(F.struct(line["l_partkey"].alias("element"), value.cast("bigint").alias("value")))
+        quantity = F.struct(F.lit("quantity").alias("identifier"), entry(line["l_quantity"]).alias("h"), F.slice(entry(line["l_quantity"]), 1, 0).alias("a"))
+        number = F.struct(F.lit("line").alias("identifier"), F.slice(entry(line["l_linenumber"]), 1, 0).alias("h"), entry(line["l_linenumber"]).alias("a"))
+        return F.struct(F.col("l_orderkey").alias("id"), F.array(quantity, number).alias("stats"))
+
+    # lines are gathered as they are; what the document says of each is made behind the shuffle
+    lines = F.collect_list(F.struct("l_partkey", "l_quantity", "l_linenumber"))
+    made = documents(read(spark, sf_dir, "lineitem"), "l_orderkey", "key", F.transform(lines, fixture))
     return flatten.fixture_stats(made).select(field("fixture_id"), field("identifier", "string"), field("element"), field("value"), field("side", "string"))
 
 
