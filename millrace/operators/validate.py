@@ -63,24 +63,28 @@ def checked(df: DataFrame, table: Table, record: str = "record", persisted: bool
     own = [f"`{c}`" for c in df.columns]
     names = list(dict.fromkeys(k for c in table.columns for k in c.inputs))
     inside = f"try_variant_get(`{record}`, '$', {quoted(f'struct<{", ".join(f"`{k}`: variant" for k in names)}>')}) AS __in"
-    keys = f"map_keys(try_variant_get(`{record}`, '$', 'map<string,variant>')) AS __keys"
+    keys = f"map_keys(try_variant_get(`{record}`, '$', 'map<string,struct<>>')) AS __keys"  # of no type that would be copied
     raw = [[f"__in.`{k}`" for k in c.inputs] for c in table.columns]
     values = f"array({', '.join(f'coalesce({", ".join(r)})' if len(r) > 1 else r[0] for r in raw)})"
     specs = f"array({', '.join(map(spec, table.columns))})"
     cells = f"zip_with(transform({values}, v -> CASE WHEN v IS NOT NULL THEN named_struct('v', v, 'k', schema_of_variant(v)) END), {specs}, (r, s) -> {CELL}) AS __cells"
     unknown = unknown_keys("__keys", [*names, *table.drop_keys], table.drop_prefixes)
+    clean = ["__keys IS NOT NULL", "size(__unknown) = 0", "NOT exists(__wrong, e -> e IS NOT NULL)"]
     wrong, found, upto = f"CASE WHEN __keys IS NULL THEN CAST(array() AS array<string>) ELSE zip_with(__cells, {specs}, (c, s) -> {ERROR}) END", [], 0
     for i, (c, r) in enumerate(zip(table.columns, raw, strict=True), 1):
         if c.aliases:  # said behind what else is wrong with the column
             times = " + ".join(f"CAST({x} IS NOT NULL AS INT)" for x in r)
             found += [f"slice(__wrong, {upto + 1}, {i - upto})", f"array(CASE WHEN {times} > 1 THEN {quoted(f'{c.name}: given twice')} END)"]
             upto = i
+            clean.append(f"{times} <= 1")
     found.append(f"slice(__wrong, {upto + 1}, {len(raw) - upto})" if upto else "__wrong")
     first = "array(CASE WHEN __keys IS NULL THEN 'not an object' END, CASE WHEN size(__unknown) > 0 THEN concat('unknown: ', array_join(__unknown, ', ')) END)"
     kinds = PERSISTED if persisted else VALIDATED
     columns = [f"CAST(__cells[{i}].{FIELD[c.type]} AS {kinds[c.type]}) AS `{c.name}`" for i, c in enumerate(table.columns)]
     taken = df.selectExpr(*own, inside, keys).selectExpr("*", cells, f"{unknown} AS __unknown").selectExpr("*", f"{wrong} AS __wrong")
-    return taken.selectExpr(*own, *columns, f"array_compact(concat({', '.join([first, *found])})) AS _errors")
+    # most rows have no reasons to put together
+    errors = f"CASE WHEN {' AND '.join(clean)} THEN CAST(array() AS array<string>) ELSE array_compact(concat({', '.join([first, *found])})) END AS _errors"
+    return taken.selectExpr(*own, *columns, errors)
 
 
 def split(checked_rows: DataFrame) -> tuple[DataFrame, DataFrame]:

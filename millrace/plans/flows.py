@@ -184,9 +184,8 @@ def select_players(spark, sf_dir):
 
 def records(rows: DataFrame, keep: list[str], fields: dict[str, Column]) -> DataFrame:
     """``keep`` and a VARIANT record of the fields; a null field is lacking, one of ``"null"`` is an explicit null."""
-    made = F.map_filter(F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)]), lambda k, v: v.isNotNull())
-    pairs = F.transform(F.map_entries(made), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"]))
-    return rows.select(*keep, F.parse_json(F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))).alias("record"))
+    pairs = F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v) for k, v in fields.items()])  # passes over nulls
+    return rows.select(*keep, F.parse_json(F.concat(F.lit("{"), pairs, F.lit("}"))).alias("record"))
 
 
 def text(value: Column) -> Column:

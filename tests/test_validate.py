@@ -88,3 +88,16 @@ def test_generated_code_stays_small(spark):
     said = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(plan, "codegen")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", said)]
     assert sizes and max(sizes) < 8000, sizes
+
+
+def test_valid_rows_cost_no_reasons_and_no_copies_of_their_values(spark):
+    """Keys are listed without the values under them, and reasons put together for wrong rows alone."""
+    rows = [record("fixture_stats"), record("fixture_stats", odd={"a": [1]}), [], {}]
+    df = spark.createDataFrame([(json.dumps(r),) for r in rows], "j string").select(F.parse_json("j").alias("record"))
+    found = validate.checked(df, compiled()["fixture_stats"])
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "MapType(StringType,VariantType" not in plan and "map<string,variant>" not in plan
+    errors = found.select(F.expr("_errors"))._jdf.queryExecution().optimizedPlan().expressions().toString()
+    assert errors.index("CASE WHEN") < errors.index("concat(")
+    missing = [f"{c}: missing" for c in ("fixture_id", "identifier", "element", "value", "side")]
+    assert [r["_errors"] for r in found.collect()] == [[], ["unknown: odd"], ["not an object"], missing]
